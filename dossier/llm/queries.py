@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 #: query name -> (module, name of its SQL or None)
 _TABLE = {
     "op1_line_dedup": ("line_dedup", "OP1_SQL"),
+    "op3_quality_rules": ("quality_rules", None),
+    "op7_quality_classifier": ("quality_classifier", None),
 }
 
 

@@ -14,6 +14,7 @@ _TABLE = {
     "op5_byte_bpe": ("byte_bpe", None),
     "op6_best_fit_packing": ("packing", None),
     "op7_quality_classifier": ("quality_classifier", None),
+    "op8_warc": ("warc", "OP8_SQL"),
 }
 
 

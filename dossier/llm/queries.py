@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 _TABLE = {
     "op1_line_dedup": ("line_dedup", "OP1_SQL"),
     "op3_quality_rules": ("quality_rules", None),
+    "op4_license_scan": ("license_scan", "OP4_SQL"),
     "op5_byte_bpe": ("byte_bpe", None),
     "op6_best_fit_packing": ("packing", None),
     "op7_quality_classifier": ("quality_classifier", None),

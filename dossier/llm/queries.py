@@ -16,6 +16,7 @@ _TABLE = {
     "op6_best_fit_packing": ("packing", None),
     "op7_quality_classifier": ("quality_classifier", None),
     "op8_warc": ("warc", "OP8_SQL"),
+    "op9_embedding_dedup": ("embedding_dedup", None),
     "op10_minhash": ("minhash", None),
 }
 

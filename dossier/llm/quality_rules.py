@@ -18,7 +18,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dossier.llm.shared import cut, row_key, table
@@ -99,76 +99,82 @@ def _chi2_quantile(p: float, k: int) -> float:
     return high
 
 
-def _params(group: str, mean: np.ndarray, cov: np.ndarray, rows: int) -> dict:
-    """Mean and the rows of the inverse Cholesky factor, for distances as sums of squares."""
-    cov = cov + np.diag(np.maximum(0.0, FLOOR**2 - np.diag(cov)))
-    white = np.linalg.inv(np.linalg.cholesky(cov))
-    return {"_g": group, "rows": rows, "logdet": float(np.linalg.slogdet(cov)[1]), "mean": mean.tolist(), "white": white.ravel().tolist()}
+#: Histogram bins for a unit of a coordinate, and for a doubling of the distance.
+_FINE, _COARSE = 256, 16
+_MEAN, _FACTOR = [f"m{i}" for i in range(DIMS)], [f"f{i}_{j}" for i, j in _PAIRS]
 
 
-_PARAMS = "_g string, rows long, logdet double, mean array<double>, white array<double>"
+def _factor(frame: DataFrame) -> DataFrame:
+    """Replace c{i}_{j} of a covariance by f{i}_{j} of its Cholesky factor and by logdet; variances have a floor."""
+    made: dict[tuple[int, int], str] = {}
+    for i, j in sorted(_PAIRS):
+        rest = F.col(f"c{i}_{j}") - sum((F.col(made[i, k]) * F.col(made[j, k]) for k in range(j)), F.lit(0.0))
+        if i == j:
+            rest = F.sqrt(F.greatest(rest, F.lit(float(FLOOR[i] ** 2) / 16)))
+        else:
+            rest = rest / F.col(made[j, j])
+        made[i, j] = f"f{i}_{j}"
+        frame = frame.withColumn(made[i, j], rest)
+    return frame.select("_g", "rows", sum((2 * F.ln(f"f{i}_{i}") for i in range(DIMS)), F.lit(0.0)).alias("logdet"), *_MEAN, *_FACTOR)
 
 
-def _start(pdf):
-    """Medians and MADs from one group's histograms (dim, bin, n); a histogram has a bounded number of bins."""
-    import pandas as pd
+def _covariance(entry) -> list[Column]:
+    floor = [F.lit(float(f * f)) for f in FLOOR]
+    return [(F.greatest(entry(i, j), floor[i]) if i == j else entry(i, j)).alias(f"c{i}_{j}") for i, j in _PAIRS]
 
-    mean, scale = np.zeros(DIMS), np.ones(DIMS)
-    for dim, own in pdf.groupby("dim"):
-        own = own.sort_values("bin")
-        at, n = own["bin"].to_numpy() / _BINS, own["n"].to_numpy()
-        mean[dim] = at[np.searchsorted(n.cumsum(), n.sum() / 2)]
-        off = np.abs(at - mean[dim])
-        order = np.argsort(off, kind="stable")
-        scale[dim] = 1.4826 * off[order][np.searchsorted(n[order].cumsum(), n.sum() / 2)]
-    rows = int(pdf.loc[pdf["dim"] == 0, "n"].sum())
-    return pd.DataFrame([_params(pdf["_g"].iloc[0], mean, np.diag(scale**2), rows)])
 
+def _distance() -> Column:
+    """Squared Mahalanobis distance by forward substitution in the factor."""
+    z: list[Column] = []
+    for i in range(DIMS):
+        z.append((F.col("x")[i] - F.col(f"m{i}") - sum((F.col(f"f{i}_{j}") * z[j] for j in range(i)), F.lit(0.0))) / F.col(f"f{i}_{i}"))
+    return sum((v * v for v in z), F.lit(0.0))
 
-def _concentrate(share: float):
-    """Mean and scatter of the bins nearest the centre that hold ``share`` of a group's rows."""
-    grow = share / _chi2_cdf(_chi2_quantile(share, DIMS), DIMS + 2)  # consistency at the normal
-
-    def step(pdf):
-        import pandas as pd
-
-        pdf = pdf.sort_values("bin")
-        n = pdf["n"].to_numpy()
-        last = int(np.searchsorted(n.cumsum(), share * n.sum())) + 1
-        part = pdf.iloc[:last]
-        h = part["n"].sum()
-        mean = np.array([part[f"s{i}"].sum() for i in range(DIMS)]) / h
-        cov = np.zeros((DIMS, DIMS))
-        for i, j in _PAIRS:
-            cov[i, j] = cov[j, i] = part[f"s{i}_{j}"].sum() / h - mean[i] * mean[j]
-        return pd.DataFrame([_params(pdf["_g"].iloc[0], mean, grow * cov + 1e-9 * np.eye(DIMS), int(n.sum()))])
-
-    return step
 
+def _upto(bins: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """The bins of a group, least first, up to the one that completes ``share`` of its rows; a group's bins are few."""
+    own = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("n").over(own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return bins.withColumns({"_before": before, "_all": F.sum("n").over(own)}).where(F.col("_before") < share * F.col("_all"))
 
-_BINS = 256
 
-
-def _distance(x: Column, mean: Column, white: Column) -> Column:
-    rows = [sum((white[i * DIMS + j] * (x[j] - mean[j]) for j in range(i + 1)), F.lit(0.0)) for i in range(DIMS)]
-    return sum((r * r for r in rows), F.lit(0.0))
+def _start(stats: DataFrame) -> DataFrame:
+    """Coordinate medians, and MADs as a diagonal scatter, from histograms."""
+    dims = [F.struct(F.lit(i).alias("dim"), F.floor(F.col("x")[i] * _FINE).alias("bin")) for i in range(DIMS)]
+    bins = stats.select("_g", F.explode(F.array(*dims)).alias("b")).groupBy("_g", "b.dim", "b.bin").agg(F.count("*").alias("n"))
+    middle = _upto(bins, ["_g", "dim"], 0.5).groupBy("_g", "dim").agg(F.max("bin").alias("mid"), F.first("_all").alias("rows"))
+    off = bins.join(middle, ["_g", "dim"]).select("_g", "dim", F.abs(F.col("bin") - F.col("mid")).alias("bin"), "n", "mid", "rows")
+    mad = _upto(off, ["_g", "dim"], 0.5).groupBy("_g").agg(
+        F.first("rows").alias("rows"),
+        *(F.max(F.when(F.col("dim") == i, F.col("mid") / _FINE)).alias(f"m{i}") for i in range(DIMS)),
+        *(F.max(F.when(F.col("dim") == i, 1.4826 * F.col("bin") / _FINE)).alias(f"s{i}") for i in range(DIMS)),
+    )
+    return _factor(mad.select("_g", "rows", *_MEAN, *_covariance(lambda i, j: F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0))))
+
+
+def _concentrate(stats: DataFrame, now: DataFrame, share: float) -> DataFrame:
+    """Mean and scatter of the rows nearest the centre that make up ``share`` of each group."""
+    grow = share / _chi2_cdf(_chi2_quantile(share, DIMS), DIMS + 2)  # consistency at the normal
+    far = stats.join(now, "_g").withColumn("bin", F.floor(_COARSE * F.log2(1e-6 + _distance())))
+    x = F.col("x")
+    sums = {f"s{i}": x[i] for i in range(DIMS)} | {f"s{i}_{j}": x[i] * x[j] for i, j in _PAIRS}
+    bins = far.groupBy("_g", "bin").agg(F.count("*").alias("n"), *(F.sum(v).alias(k) for k, v in sums.items()))
+    near = _upto(bins, ["_g"], share).groupBy("_g").agg(F.first("_all").alias("rows"), F.sum("n").alias("h"), *(F.sum(k).alias(k) for k in sums))
+    near = near.select("_g", "rows", *(F.col(k) / F.col("h") if "_" in k else (F.col(k) / F.col("h")).alias(f"m{k[1:]}") for k in sums))
+    near = near.toDF("_g", "rows", *_MEAN, *(f"s{i}_{j}" for i, j in _PAIRS))
+    spread = lambda i, j: grow * (F.col(f"s{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
+    return _factor(near.select("_g", "rows", *_MEAN, *_covariance(spread)))
 
 
 def mcd(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
-    """(_g, mean, white, rows, logdet) per group of ``stats(_g, x)``."""
-    dims = [F.struct(F.lit(i).alias("dim"), F.floor(F.col("x")[i] * _BINS).alias("bin")) for i in range(DIMS)]
-    bins = stats.select("_g", F.explode(F.array(*dims)).alias("b")).groupBy("_g", "b.dim", "b.bin").agg(F.count("*").alias("n"))
-    best = cut(bins.groupBy("_g").applyInPandas(_start, _PARAMS), "mcd")
-    sums = [F.count("*").alias("n"), *(F.sum(F.col("x")[i]).alias(f"s{i}") for i in range(DIMS)), *(F.sum(F.col("x")[i] * F.col("x")[j]).alias(f"s{i}_{j}") for i, j in _PAIRS)]
+    """Per group of ``stats(_g, x)``: rows, logdet, mean m0.. and Cholesky factor f0_0.. of its scatter."""
+    best = cut(_start(stats), "mcd")
     for at in range(steps):
-        far = stats.join(best.select("_g", "mean", "white"), "_g")
-        far = far.withColumn("bin", F.floor(16 * F.log2(1e-6 + _distance(F.col("x"), F.col("mean"), F.col("white")))))
-        fresh = far.groupBy("_g", "bin").agg(*sums).groupBy("_g").applyInPandas(_concentrate(share), _PARAMS)
+        fresh = _concentrate(stats, best, share)
         if at:  # the determinant may only fall
-            old = best.select("_g", *(F.col(c).alias(f"old_{c}") for c in ("rows", "logdet", "mean", "white")))
-            fresh = fresh.join(old, "_g")
-            worse = F.col("old_logdet") < F.col("logdet")
-            fresh = fresh.select("_g", *(F.when(worse, F.col(f"old_{c}")).otherwise(F.col(c)).alias(c) for c in ("rows", "logdet", "mean", "white")))
+            names = [c for c in fresh.columns if c != "_g"]
+            both = fresh.join(best.select("_g", F.struct(*names).alias("old")), "_g")
+            fresh = both.select("_g", *(F.when(F.col("old.logdet") < F.col("logdet"), F.col(f"old.{c}")).otherwise(F.col(c)).alias(c) for c in names))
         best = cut(fresh, "mcd")
     return best
 
@@ -188,9 +194,9 @@ def judge(docs: DataFrame, cut_at: float | None = None, min_group: int = 60) ->
     names = names.select("_g", F.when(F.col("count") >= min_group, F.col("_g")).when(F.col("_langs") >= min_group, F.concat(F.lit("lang "), "_lang")).otherwise("all").alias("_to"))
     stats = stats.join(names, "_g", "left").withColumn("_g", F.coalesce("_to", F.lit("all"))).drop("_to")
     found = mcd(stats.where("n_words >= 50").select("_g", "x"))
-    scored = stats.join(found.select("_g", "mean", "white"), "_g", "left")
+    scored = stats.join(found, "_g", "left")
     failed = base_failed()
-    far = F.coalesce(_distance(F.col("x"), F.col("mean"), F.col("white")), F.lit(0.0))
+    far = F.coalesce(_distance(), F.lit(0.0))
     return scored.withColumns({"base_failed": failed, "distance": far}).withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= cut_at))
 
 

@@ -5,14 +5,53 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from dossier.llm.line_dedup import dedup_lines
-from dossier.llm.shared import cut, file_batches, table
+from dossier.llm.minhash import keep_one
+from dossier.llm.packing import pack
+from dossier.llm.quality_classifier import classify, fit
+from dossier.llm.quality_rules import keep_regular
+from dossier.llm.shared import cut, file_batches, table, workers_see_us
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the factorisation machine predicts to be of quality."""
+    workers_see_us(spark)
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return classify(docs, model, 0.3).where("predicted = 1").select(*docs.columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and are no outliers of their language and source."""
+    workers_see_us(spark)
+    return keep_regular(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the lines that ten documents or more hold; none are dropped."""
+    workers_see_us(spark)
     return dedup_lines(docs, 10, file_batches(docs, 4)).select(*docs.columns)
 
 
-STAGES = [("line dedup", line_dedup)]
+def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of five-word near-duplicates at 0.8."""
+    workers_see_us(spark)
+    return keep_one(docs, 5, 80)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents that stayed and their places in sequences of 2048."""
+    import public_tokenizers
+
+    workers_see_us(spark)
+    return pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("quality rules", quality_rules),
+    ("line dedup", line_dedup),
+    ("minhash near-dedup", minhash_dedup),
+    ("best-fit packing", packing),
+]
 
 #: Learned models and packing are beyond SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

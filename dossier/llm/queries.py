@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: query name -> (module, name of its SQL or None)
 _TABLE = {
     "op1_line_dedup": ("line_dedup", "OP1_SQL"),
+    "op2_ngram_lm": ("ngram_lm", None),
     "op3_quality_rules": ("quality_rules", None),
     "op4_license_scan": ("license_scan", "OP4_SQL"),
     "op5_byte_bpe": ("byte_bpe", None),

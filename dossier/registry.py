@@ -3,13 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
+MODULES = ("screen", "observations", "sampling")
+
+
+def _all() -> dict[str, tuple[Callable, str | None]]:
+    found: dict[str, tuple[Callable, str | None]] = {}
+    for name in MODULES:
+        found |= import_module(f"dossier.operators.{name}").QUERIES
+    return found
+
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {name: run for name, (run, _) in _all().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in _all().items() if sql}

@@ -11,6 +11,7 @@ Null or empty text: one piece of the end id. Repeated rows are packed as often a
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from array import array
 
@@ -33,40 +34,75 @@ class WordCoder:
 
     SPLIT, SPLIT_ID = "<|endoftext|>", 49407
 
-    def __init__(self, path: str, remember: int = 300_000):
+    def __init__(self, path: str, remember: int = 500_000):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)
+        self.enders = {i for token, i in self.encoder.get_vocab().items() if token.endswith("</w>")}
         self.remember, self.known, self.older = remember, {}, {}
 
     def _plain(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.encoder.encode_batch_fast(texts, add_special_tokens=False)]
 
+    @staticmethod
+    def _parts(chunk: bytes) -> tuple[bytes, ...]:
+        """A word and the stops after it, which the tokenizer takes apart too; anything else stays whole."""
+        word = chunk.rstrip(b".,!?;:")
+        if word.isascii():
+            if word.isalpha():
+                return (word.lower(), chunk[len(word) :]) if len(word) < len(chunk) else (word.lower(),)
+        elif len(word) < len(chunk) and unicodedata.normalize("NFC", word.decode()).lower()[-1].isalpha():
+            return word, chunk[len(word) :]
+        return (chunk,)
+
     def _learn(self, chunks: list[bytes]) -> None:
-        odd = [c for c in chunks if b"<|" in c]
-        even = [c for c in chunks if b"<|" not in c]
-        for c, ids in zip(odd, self._plain([c.decode() for c in odd])):
-            self.known[c] = array("I", ids).tobytes()
-        for i in range(0, len(even), 2000):
-            own = even[i : i + 2000]
-            ids = self._plain([self.SPLIT.join([c.decode() for c in own])])[0] + [self.SPLIT_ID]
-            at = 0
-            for c in own:
-                end = ids.index(self.SPLIT_ID, at)
-                self.known[c] = array("I", ids[at:end]).tobytes()
-                at = end + 1
+        known, older = self.known, self.older
+        split = {c: self._parts(c) for c in chunks}
+        fresh = set().union(*split.values()).difference(known) if split else set()
+        known.update((p, older[p]) for p in fresh if p in older)
+        self._encode_parts([p for p in fresh if p not in older])
+        for c, parts in split.items():
+            if c not in known:
+                known[c] = b"".join([known[p] for p in parts])
+
+    def _encode_parts(self, parts: list[bytes]) -> None:
+        """Words of letters only are one unit each, whose last id ends a word; other parts are told apart by SPLIT."""
+        letters, even = [], []
+        for p in parts:
+            if p.isalpha() or (not p.isascii() and unicodedata.normalize("NFC", p.decode()).lower().isalpha()):
+                letters.append(p)
+            elif b"<|" in p:
+                self.known[p] = array("I", self._plain([p.decode()])[0]).tobytes()
+            else:
+                even.append(p)
+        for own in (letters[i : i + 2000] for i in range(0, len(letters), 2000)):
+            ids = array("I", self._plain([b" ".join(own).decode()])[0])
+            self._remember(own, [i + 1 for i, token in enumerate(ids) if token in self.enders], ids, 0)
+        for own in (even[i : i + 2000] for i in range(0, len(even), 2000)):
+            ids = array("I", self._plain([self.SPLIT.join([c.decode() for c in own])])[0] + [self.SPLIT_ID])
+            self._remember(own, [i + 1 for i, token in enumerate(ids) if token == self.SPLIT_ID], ids, 1)
+
+    def _remember(self, parts: list[bytes], ends: list[int], ids: array, apart: int) -> None:
+        if len(ends) != len(parts):
+            raise ValueError("the tokenizer takes words apart in another way than expected")
+        packed, at = ids.tobytes(), 0
+        for p, end in zip(parts, ends):
+            self.known[p] = packed[4 * at : 4 * (end - apart)]
+            at = end
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of every text; white space other than ASCII is left to the tokenizer."""
-        split = [t.split() for t in texts]
-        fresh = set().union(*split) if split else set()
         if len(self.known) > self.remember:
             self.known, self.older = {}, self.known
-        fresh = fresh.difference(self.known)
+        split = [t.split() for t in texts]
+        met = [list(map(self.known.get, own)) for own in split]
+        late = [i for i, own in enumerate(met) if None in own]
+        fresh = {c for i in late for c, ids in zip(split[i], met[i]) if ids is None}
         self.known.update((c, self.older[c]) for c in fresh if c in self.older)
         self._learn([c for c in fresh if c not in self.older])
-        ids = self.known.__getitem__
-        return [b"".join(map(ids, own)) for own in split]
+        for i in late:
+            met[i] = map(self.known.__getitem__, split[i])
+        return [b"".join(own) for own in met]
 
 
 _CODERS: dict[str, WordCoder] = {}

@@ -91,3 +91,11 @@ def test_budget_is_greedy(spark):
 def test_set_metrics_of_nothing(spark):
     none = spark.createDataFrame([], "organisation_number string, field string")
     assert tuple(refresh.set_metrics(none, none).first()) == (0, 0, 0, 1.0, 1.0)
+
+
+def test_priority_links(spark):
+    html = '<a href="/kontakt">Kontakt</a><a href="https://other.no/about">x</a><a href="/products">p</a><a href="/x?y#z">Om oss: team</a>'
+    pages = spark.createDataFrame([(1, "https://example.no/", html), (2, "https://example.no/", None)], "page_id long, url string, html string")
+    from dossier.operators.pages import priority_links
+
+    assert [(r["link"], r["rank"]) for r in priority_links(pages).orderBy("nth").collect()] == [("https://example.no/kontakt", 3), ("https://example.no/x", 7)]

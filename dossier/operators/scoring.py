@@ -199,6 +199,9 @@ QUERIES = {
  q as (select st.strategy, ix, coalesce(n, 0) as n, coalesce(mean, 0) + 0.35 * sqrt(ln((select count(*) from iterations) + 1) / (coalesce(n, 0) + 1)) as pr from st left join p on p.strategy = st.strategy)
  select strategy, n, round(pr, 9) as priority, cast(row_number() over (order by pr desc, ix) as int) as place from q"""),
     "budget_uniform": (lambda s, d: budget_uniform(_tasks(s, d), 500, ["user_id", "seq"]).select("user_id", "seq"), "select user_id, event_id as seq from events order by user_id, event_id limit 500"),
-    "budget_greedy": (lambda s, d: budget_greedy(_tasks(s, d), 100.0, "user_id"), None),
+    "budget_greedy": (lambda s, d: budget_greedy(_tasks(s, d), 100.0, "user_id"), """with recursive t as (select user_id, round(value, 2) as cost, row_number() over (partition by user_id order by event_id) as k from events),
+ g as (select user_id, k, case when cost <= 100 then cost else 0.0 end as spent, case when cost <= 100 then 1 else 0 end as accepted from t where k = 1
+ union all select t.user_id, t.k, case when g.spent + t.cost <= 100 then g.spent + t.cost else g.spent end, g.accepted + case when g.spent + t.cost <= 100 then 1 else 0 end from g join t on t.user_id = g.user_id and t.k = g.k + 1)
+ select user_id, round(max_by(spent, k), 6) as spent, cast(max(accepted) as int) as accepted from g group by user_id"""),
     "control_iterations": (lambda s, d: control_loop(bind(s, d, "observations")), None),
 }

@@ -5,9 +5,11 @@ classes are compared. ``BANDS`` bands of ``ROWS`` minima give candidates (a pair
 probability (1 - 0.8**4)**32 = 5e-8), the low two bits of all minima, packed, an estimate corrected for chance
 collisions, and the full texts the decision.
 
-Inside a bucket no pairs are spread: rounds of stars link members to one pivot and join what is linked; a last round
-compares only members of different components, with the estimate inside the join. So a group of copies costs its size
-times the few texts it does not link to, and no link between components is lost.
+Inside a bucket no pairs are spread: rounds of stars link members to one pivot and join what is linked. What is left
+is to compare members of different components. Where many texts look alike without being linked (a large group whose
+stars passed the estimate), chunks of its texts are compared block by block inside a task, small components against
+all and each other, and only links come out. The pairs of other buckets are joined, with the estimate inside the join.
+So a group of copies costs its size times the texts it does not link to, and no link between components is lost.
 
 Null or empty text: no shingles, linked with nothing. Fewer words than ``width``: the whole sequence is one shingle. A
 null doc_id has no component and is kept. Rows that repeat a doc_id are one document for linking.
@@ -139,7 +141,44 @@ def _broadcast_if_small(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
-def link(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int = 2) -> DataFrame:
+def blocks(members: DataFrame, texts: DataFrame, width: int, percent: int, chunk: int = 400) -> DataFrame:
+    """Links between different parts of each group of ``members(rep, crowd, part)``, as (u, v).
+
+    Chunks hold about ``chunk`` texts, of one large part or of small parts only; chunks of the same large part do not meet.
+    """
+    sizes = members.groupBy("crowd", "part").agg(F.count("*").alias("n"))
+    big = F.when(F.col("n") > chunk, F.col("part").cast("string")).otherwise("small")
+    sized = cut(members.join(sizes, ["crowd", "part"]).select("crowd", big.alias("family"), "rep", "part"), "minhash-sized")
+    whole = sized.groupBy("crowd", "family").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
+    placed = sized.join(whole, ["crowd", "family"]).select("crowd", "family", "rep", "part", F.pmod(F.xxhash64("rep"), "chunks").alias("nth"))
+    held = placed.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    packed = cut(held.groupBy("crowd", "family", "nth").agg(F.collect_list(F.struct("rep", "part", "text")).alias("rows")), "minhash-chunks")
+    packed = packed.withColumn("c", F.xxhash64("crowd", "family", "nth"))
+    x, y = packed.select("crowd", "family", "c").alias("x"), packed.select("crowd", "family", "c").alias("y")
+    meet = (F.col("x.crowd") == F.col("y.crowd")) & (F.col("x.c") <= F.col("y.c")) & ((F.col("x.family") == "small") | (F.col("x.family") != F.col("y.family")))
+    tasks = cut(x.join(y, meet).select(F.col("x.c").alias("cx"), F.col("y.c").alias("cy")), "minhash-chunk-pairs")
+    both = tasks.join(packed.select(F.col("c").alias("cx"), F.col("rows").alias("rx")), "cx").join(packed.select(F.col("c").alias("cy"), F.col("rows").alias("ry")), "cy").select("rx", "ry")
+
+    def run(batches):
+        for batch in batches:
+            for rx, ry in zip(batch.column("rx"), batch.column("ry")):
+                left = [(r["rep"], r["part"], shingle_set(r["text"], width)) for r in rx.as_py()]
+                right = left if rx == ry else [(r["rep"], r["part"], shingle_set(r["text"], width)) for r in ry.as_py()]
+                u, v = [], []
+                for i, p, a in left:
+                    n = len(a)
+                    for j, q, b in right:
+                        if p != q and i != j and 100 * min(n, len(b)) >= percent * max(n, len(b)):
+                            same = len(a & b)
+                            if 100 * same >= percent * (n + len(b) - same):
+                                u.append(i)
+                                v.append(j)
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+
+    return both.mapInArrow(run, "u long, v long")
+
+
+def link(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int = 2, crowd_above: int = 32) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
     signed = cut(signatures(docs, width), "minhash")
     full = signed.where("n_shingles > 0 and doc_id is not null")
@@ -154,29 +193,32 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int =
     texts = own.where("text is not null").join(_broadcast_if_small(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     texts = cut(texts, "minhash-texts")
     bits = cut(reps.join(ids, F.col("rep") == F.col("doc_id"), "left_semi").dropDuplicates(["rep"]).select("rep", "bits"), "minhash-bits")
-    edges, parts = None, None
-    for at in range(star_rounds + 1):
-        members = buckets.join(bits, "rep")
-        if parts is None:
-            members = members.withColumn("part", F.col("rep"))
-        else:
-            members = members.join(parts.select(F.col("id").alias("rep"), F.col("component").alias("_part")), "rep", "left")
-            members = members.withColumn("part", F.coalesce("_part", "rep")).drop("_part")
-            apart = members.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
-            members = cut(members.join(apart, "key"), "minhash-members")
-        if at < star_rounds:
-            pick = F.min_by(F.struct("rep", "bits", "part"), F.struct(F.xxhash64("rep", F.lit(at)), "rep"))
-            pivots = members.groupBy("key").agg(pick.alias("p")).select("key", "p.*").alias("p")
-        else:
-            pivots = members.alias("p")
-        other = members.alias("m")
-        differ = (F.col("p.part") != F.col("m.part")) if at < star_rounds else (F.col("p.part") < F.col("m.part"))
-        close = other.join(pivots, (F.col("m.key") == F.col("p.key")) & differ & (matches("p", "m") >= LEAST_MATCHES))
-        pairs = close.select(F.least("p.rep", "m.rep").alias("a"), F.greatest("p.rep", "m.rep").alias("b")).distinct()
+    members = buckets.join(bits, "rep").withColumn("part", F.col("rep"))
+    near, links, parts = None, None, None
+    for at in range(star_rounds):
+        pick = F.min_by(F.struct("rep", "bits", "part"), F.struct(F.xxhash64("rep", F.lit(at)), "rep"))
+        pivots = members.groupBy("key").agg(pick.alias("p")).select("key", "p.*").alias("p")
+        close = members.alias("m").join(pivots, (F.col("m.key") == F.col("p.key")) & (F.col("p.part") != F.col("m.part")) & (matches("p", "m") >= LEAST_MATCHES))
+        pairs = cut(close.select(F.least("p.rep", "m.rep").alias("a"), F.greatest("p.rep", "m.rep").alias("b")).distinct(), "minhash-pairs")
+        near = pairs if near is None else near.union(pairs)
         found = cut(verified(pairs, texts, width, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-links")
-        edges = found if edges is None else edges.union(found)
-        if at < star_rounds or found.take(1):
-            parts = cut(components(edges), "minhash-parts")
+        links = found if links is None else links.union(found)
+        parts = cut(components(links), "minhash-parts")
+        part_of = parts.select(F.col("id").alias("rep"), F.col("component").alias("_part"))
+        members = buckets.join(bits, "rep").join(part_of, "rep", "left").withColumn("part", F.coalesce("_part", "rep")).drop("_part")
+        apart = members.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
+        members = cut(members.join(apart, "key"), "minhash-members")
+    crowds = cut(components(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "minhash-crowds").select(F.col("id").alias("rep"), F.col("component").alias("crowd"))
+    crowded = crowds.join(part_of, "rep", "left").select("rep", "crowd", F.coalesce("_part", "rep").alias("part"))
+    large = crowded.groupBy("crowd").agg(F.count("*").alias("n"), F.min("part").alias("x"), F.max("part").alias("y")).where((F.col("n") > crowd_above) & (F.col("x") < F.col("y"))).select("crowd")
+    crowded = cut(crowded.join(large, "crowd"), "minhash-crowded")
+    links = links.union(cut(blocks(crowded, texts, width, percent), "minhash-links"))
+    rest = members.join(crowded.select("rep", "crowd"), "rep", "left").withColumn("crowd", F.coalesce("crowd", F.lit(None).cast("long")))
+    elsewhere = ~F.coalesce(F.col("p.crowd") == F.col("m.crowd"), F.lit(False))
+    close = rest.alias("m").join(rest.alias("p"), (F.col("m.key") == F.col("p.key")) & (F.col("p.part") < F.col("m.part")) & elsewhere & (matches("p", "m") >= LEAST_MATCHES))
+    pairs = cut(close.select(F.least("p.rep", "m.rep").alias("a"), F.greatest("p.rep", "m.rep").alias("b")).distinct(), "minhash-pairs")
+    links = links.union(cut(verified(pairs, texts, width, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-links"))
+    parts = cut(components(links), "minhash-parts")
     placed = signed.join(classes, ["s1", "s2"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
     placed = placed.join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left")
     component = F.coalesce("component", "rep")

@@ -3,7 +3,8 @@
 Vectors that are equal, with equal labels, form a class; classes of a label (and length) are dealt into shards of about
 ``shard_rows``. A task per shard builds its graph and writes it to the shared folder. A task per pair of shards of a
 label then queries each graph with the other's vectors: beams widen while all they hold is linked and until a recall
-audit against brute force passes; what still fills the widest beam is compared exactly, block by block. Cosines
+audit against brute force passes; what still fills the widest beam is compared exactly, block by block. An audit counts
+only with enough links of its own; where links are too rare for one, all vectors are compared exactly. Cosines
 are verified in double precision. A task returns per vector its links and one link into its group, never all pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite parts, and null labels or ids, link with nothing. Rows
@@ -164,21 +165,45 @@ def _exact(a: np.ndarray, b: np.ndarray, least: float):
         yield np.arange(i, min(len(a), i + step)), a[i : i + step] @ b.T >= least
 
 
-def _one_way(graph: Graph, x32: np.ndarray, x64: np.ndarray, own: np.ndarray, least: float, goal: float, audit: int):
-    """Verified pairs of ``own`` (double) against the graph's rows, and the queries left to exact comparison."""
-    beam = 32
+def _one_way(graph: Graph, x64: np.ndarray, own: np.ndarray, least: float, goal: float, audit: int, same: bool):
+    """Verified pairs of ``own`` (double) against the graph's rows, the queries left to exact comparison, and whether
+    every query's links are exact. ``same``: own are the graph's rows, which do not link with themselves.
+
+    The audit compares queries exactly, in random order, until ``audit`` of them are linked and they have ten times as
+    many links and one for each 20 queries of the shard; where links are fewer, every query has been compared and its
+    exact links stand.
+    """
+    beam, listed = 32, 256
     q32 = own.astype(np.float32)
+    enough = max(10 * audit, len(own) // 20)
+    draws = np.random.default_rng(len(own)).permutation(len(own))
+    times = np.full(len(own), -1, np.int64)  # true links of the queries drawn
+    true_q, true_r = [draws[:0]], [draws[:0]]
     while True:
         q, r, full = graph.within(q32, least - 1e-4, beam, 8 * beam)
-        ok = np.einsum("ij,ij->i", own[q], x64[r]) >= least
+        ok = (np.einsum("ij,ij->i", own[q], x64[r]) >= least) & ~(same & (q == r))
         q, r = q[ok], r[ok]
-        sample = np.setdiff1d(np.linspace(0, len(own) - 1, min(audit, len(own))).astype(np.int64), full)
-        true = sum(int(hits.sum()) for _, hits in _exact(own[sample], x64, least))
-        got = int(np.isin(q, sample).sum())
-        if got >= goal * true:
-            return q, r, full
+        audited = np.ones(len(own), bool)
+        audited[full] = False
+        left = draws[audited[draws] & (times[draws] < 0)]
+        while left.size and ((seen := times[audited & (times > 0)]).size < audit or seen.sum() < enough):
+            some, left = left[:BATCH], left[BATCH:]
+            for block, hits in _exact(own[some], x64, least):
+                mine = some[block]
+                if same:
+                    hits[np.arange(len(mine)), mine] = False
+                times[mine] = hits.sum(1)
+                hits[times[mine] > listed] = False
+                rows, columns = np.nonzero(hits)
+                true_q.append(mine[rows])
+                true_r.append(columns)
+        drawn = audited & (times >= 0)
+        if not left.size or drawn[q].sum() >= goal * times[drawn].sum():
+            sure_q, sure_r = np.concatenate(true_q), np.concatenate(true_r)
+            rest, sure = ~drawn[q], drawn[sure_q]
+            return np.append(q[rest], sure_q[sure]), np.append(r[rest], sure_r[sure]), np.flatnonzero(~audited | (times > listed)), not left.size
         if beam >= 512:
-            return q[:0], r[:0], np.arange(len(own))
+            return q[:0], r[:0], np.arange(len(own)), True
         beam *= 2
 
 
@@ -187,13 +212,13 @@ def compare(a: dict, b: dict, least: float, goal: float = 0.99, audit: int = 48)
     same = a is b
     x, y = a["x64"], b["x64"]
     shift = 0 if same else len(x)
-    q, r, full = _one_way(b["graph"], b["x32"], y, x, least, goal, audit)
+    q, r, full, whole = _one_way(b["graph"], y, x, least, goal, audit, same)
     pairs, exact = [np.stack([q, r + shift], 1)], np.zeros(len(x), bool)
     exact[full] = True
-    if not same:
-        q2, r2, full2 = _one_way(a["graph"], a["x32"], x, y, least, goal, audit)
+    late = np.zeros(len(y), bool)
+    if not same and not whole:
+        q2, r2, full2, _ = _one_way(a["graph"], x, y, least, goal, audit, same)
         pairs.append(np.stack([r2, q2 + shift], 1))
-        late = np.zeros(len(y), bool)
         late[full2] = True
     total = len(x) if same else len(x) + len(y)
     weight = a["w"] if same else np.concatenate([a["w"], b["w"]])

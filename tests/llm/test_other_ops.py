@@ -58,6 +58,26 @@ def test_embedding_links(spark, shard_rows):
     assert embedding_dedup.link(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("same", [False, True])
+def test_audit_finds_rare_links_that_the_graph_misses(same):
+    n, draw = 2000, np.random.default_rng(6)
+    x, y = draw.normal(size=(n, 32)), draw.normal(size=(n, 32))
+    places = np.array([[11, 700], [303, 1501], [1234, 15], [1777, 1777]])
+    assert not np.isin(places, np.linspace(0, n - 1, 48).astype(int)).any()
+    (x if same else y)[places[:, 1]] = x[places[:, 0]] + draw.normal(size=(len(places), 32)) * 0.1
+
+    def shard(x):
+        x64 = embedding_dedup._unit(x)
+        x32 = x64.astype(np.float32)
+        blind = embedding_dedup.Graph(x32, [np.full((n, 40), n, np.int64)])  # reaches its entry only
+        return {"x32": x32, "x64": x64, "w": np.ones(n, np.int64), "graph": blind}
+
+    a = shard(x)
+    at, links, _ = embedding_dedup.compare(a, a if same else shard(y), 0.93)
+    want = places[:3] if same else places + [0, n]
+    assert sorted(at) == sorted(want.ravel()) and (links == 1).all()
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
 def test_sql_and_pipeline(spark):
     import duckdb

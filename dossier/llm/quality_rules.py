@@ -7,7 +7,8 @@ stops falling. A step is one aggregate over (group, distance bin), so no group m
 ``cut`` are rejected.
 
 Null or empty text: no words, base_failed. Null lang or source: a group like any other. Groups under ``min_group``
-rows join their language's group, then the group of all. Repeated rows count as often as they occur.
+rows are judged by the model of all rows of their language, those of its large groups included; languages under
+``min_group`` rows by the model of all rows. Repeated rows count as often as they occur.
 """
 
 from __future__ import annotations
@@ -189,11 +190,17 @@ def judge(docs: DataFrame, cut_at: float | None = None, min_group: int = 60) ->
     stats = cut(own.mapInArrow(_stats_batches, schema), "rule-stats")
     many = stats.where("n_words >= 50").groupBy("_g").count()
     language = F.to_json(F.struct(F.get_json_object("_g", "$.lang").alias("lang")))
-    tongues = many.groupBy(language.alias("_lang")).agg(F.sum("count").alias("_langs"))
-    names = many.withColumn("_lang", language).join(tongues, "_lang")
-    names = names.select("_g", F.when(F.col("count") >= min_group, F.col("_g")).when(F.col("_langs") >= min_group, F.concat(F.lit("lang "), "_lang")).otherwise("all").alias("_to"))
-    stats = stats.join(names, "_g", "left").withColumn("_g", F.coalesce("_to", F.lit("all"))).drop("_to")
-    found = mcd(stats.where("n_words >= 50").select("_g", "x"))
+    names = many.withColumn("_lang", F.concat(F.lit("lang "), language))
+    small = F.col("count") < min_group
+    tongues = names.groupBy("_lang").agg(F.sum("count").alias("_langs"), F.max(small).alias("_wanted"))
+    tongues = tongues.withColumn("_large", F.col("_langs") >= min_group)
+    tongues = tongues.join(tongues.agg(F.max(F.col("_wanted") & ~F.col("_large")).alias("_all")))
+    names = names.join(tongues, "_lang").withColumn("_to", F.when(~small, F.col("_g")).when(F.col("_large"), F.col("_lang")).otherwise("all"))
+    # A row counts in its own group's model if that is large, and in those of its language and of all where a small group needs them.
+    into = F.array(F.when(~small, F.col("_g")), F.when(F.col("_wanted") & F.col("_large"), F.col("_lang")), F.when(F.col("_all"), "all"))
+    names = cut(names.select("_g", "_to", F.array_compact(into).alias("_into")), "rule-groups")
+    found = mcd(stats.where("n_words >= 50").join(names, "_g").select(F.explode("_into").alias("_g"), "x"))
+    stats = stats.join(names.drop("_into"), "_g", "left").withColumn("_g", F.coalesce("_to", F.lit("all"))).drop("_to")
     scored = stats.join(found, "_g", "left")
     failed = base_failed()
     far = F.coalesce(_distance(), F.lit(0.0))

@@ -197,6 +197,19 @@ def test_mcd_resists_contamination(spark):
     assert all(abs(row[f"m{i}"] - 0.5) < 0.08 for i in range(quality_rules.DIMS)) and abs(row["f0_0"] - 0.3) < 0.06
 
 
+@pytest.mark.parametrize("lang", ["en", "xx"])
+def test_small_groups_are_judged_by_all_of_their_language(spark, lang):
+    """Rows of a small source stand apart from a large one's in its language, or, in a rare language, from all."""
+    workers_see_us(spark)
+    draw = random.Random(8)
+    text = lambda symbols: " ".join("".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 8))) + "#" * symbols for _ in range(120))
+    own = [(i, text(0), "en", "large", 1) for i in range(100)]
+    own += [(i, text(3), lang, "junk", 1) for i in range(200, 203)] + [(300, text(3), lang, "alone", 1), (301, text(0), lang, "fine", 1)]
+    found = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(own, SCHEMA)).collect()}
+    assert [i for i in found if not found[i]["kept"]] and {i for i in found if not found[i]["kept"] and i >= 200} == {200, 201, 202, 300}
+    assert sum(not r["kept"] for r in found.values()) < 10
+
+
 def test_classifier_separates_and_uses_the_identity(spark, docs):
     draw = random.Random(1)
     texts = [(" ".join(draw.choice(("alpha", "beta", "gamma")) + str(draw.randint(0, 99)) for _ in range(80)) if i % 2 else "JUNK!! " * 60) for i in range(300)]

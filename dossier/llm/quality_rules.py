@@ -3,8 +3,10 @@
 Every text gets base statistics and a transformed vector of shape statistics that do not depend on its length. For
 each (lang, source) the minimum-covariance-determinant location and scatter are found over all its rows: from
 coordinate medians and MADs, concentration steps keep the h rows of least Mahalanobis distance until the determinant
-stops falling. A step is one aggregate over (group, distance bin), so no group meets in one task. Rows beyond
-``cut`` are rejected.
+stops falling. A step is one aggregate over (group, distance bin), so no group meets in one task. A coordinate's variance
+is the measured one, but no less than texts of the group's sizes have by chance: most texts have no symbols, repeated lines
+or repeated words at all, and the scatter of those nearest the centre is 0. Rows beyond the 0.999 quantile of chi-square
+are rejected.
 
 Null or empty text: no words, base_failed. Null lang or source: a group like any other. Groups under ``min_group``
 rows are judged by the model of all rows of their language, those of its large groups included; languages under
@@ -27,10 +29,10 @@ from dossier.llm.shared import cut, row_key, table
 SYMBOLS = "#*$%&|<>"
 #: Coordinates: log mean word length; angles asin(sqrt(share)) of symbols, upper-case letters, repeated lines, repeated words.
 DIMS = 5
-#: Least standard deviation of a coordinate: what clean texts of 50 words differ by chance.
-FLOOR = np.array([0.06, 0.04, 0.07, 0.2, 0.17])
+#: Least variance of a coordinate, against singular matrices only.
+LEAST = 1e-6
 _PAIRS = [(i, j) for i in range(DIMS) for j in range(i + 1)]
-_STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, x array<double>"
+_STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, x array<double>"
 _UPPER = [chr(c) for c in range(0x250) if chr(c).isupper()]
 _NO_UPPER = {ord(c): None for c in _UPPER}
 
@@ -49,11 +51,11 @@ def repeat_words(words: list) -> int:
     return covered
 
 
-def text_stats(text: str) -> tuple[int, int, int, int, int, list[float]]:
+def text_stats(text: str) -> tuple[int, int, int, int, int, int, list[float]]:
     words = text.encode().split()  # bytes: splits at [\x20\x09-\x0D] only
     n = len(words)
     if not n:
-        return 0, 0, 0, 0, 0, [0.0] * DIMS
+        return 0, 0, 0, 0, 0, 0, [0.0] * DIMS
     chars = len(text) - sum(map(text.count, " \t\n\x0b\x0c\r"))
     symbols = sum(map(text.count, SYMBOLS))
     filled = [line for line in text.split("\n") if line.encode().strip()]
@@ -61,18 +63,18 @@ def text_stats(text: str) -> tuple[int, int, int, int, int, list[float]]:
     again = repeat_words(words)
     upper = len(text) - len(text.translate(_NO_UPPER))
     angle = lambda share: math.asin(math.sqrt(min(1.0, share)))
-    return n, chars, symbols, dup, again, [math.log(chars / n), angle(symbols / chars), angle(upper / chars), angle(dup / len(filled)), angle(again / n)]
+    return n, chars, symbols, dup, again, len(filled), [math.log(chars / n), angle(symbols / chars), angle(upper / chars), angle(dup / len(filled)), angle(again / n)]
 
 
 def _stats_batches(batches):
     for batch in batches:
         texts = pc.fill_null(batch.column("text"), "")
-        rows = list(zip(*map(text_stats, texts.to_pylist()))) or [[]] * 6
-        kinds = [pa.int64()] * 5 + [pa.list_(pa.float64())]
+        rows = list(zip(*map(text_stats, texts.to_pylist()))) or [[]] * 7
+        kinds = [pa.int64()] * 6 + [pa.list_(pa.float64())]
         kept = [batch.column(c) for c in ("doc_id", "_g", "_k1", "_k2")]
         yield pa.RecordBatch.from_arrays(
             kept + [pa.array(v, k) for v, k in zip(rows, kinds)],
-            names=["doc_id", "_g", "_k1", "_k2", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "x"],
+            names=["doc_id", "_g", "_k1", "_k2", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "x"],
         )
 
 
@@ -80,6 +82,13 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def chance() -> Column:
+    """Variance of each coordinate by chance in a text of this size: 1 / 4n for the angle of a share of n; repeated words
+    come in sixes (two windows of three), and a word's log length varies by about a half."""
+    quarter = lambda n: 0.25 / F.col(n)
+    return F.array(quarter("n_words"), quarter("word_chars"), quarter("word_chars"), quarter("n_lines"), 6 * quarter("n_words"))
+
+
 def _chi2_cdf(x: float, k: int) -> float:
     """Lower regularised gamma P(k/2, x/2) by its series."""
     a, z = k / 2, x / 2
@@ -102,7 +111,7 @@ def _chi2_quantile(p: float, k: int) -> float:
 
 #: Histogram bins for a unit of a coordinate, and for a doubling of the distance.
 _FINE, _COARSE = 256, 16
-_MEAN, _FACTOR = [f"m{i}" for i in range(DIMS)], [f"f{i}_{j}" for i, j in _PAIRS]
+_MEAN, _LEAST, _FACTOR = [f"m{i}" for i in range(DIMS)], [f"v{i}" for i in range(DIMS)], [f"f{i}_{j}" for i, j in _PAIRS]
 
 
 def _factor(frame: DataFrame) -> DataFrame:
@@ -111,17 +120,16 @@ def _factor(frame: DataFrame) -> DataFrame:
     for i, j in sorted(_PAIRS):
         rest = F.col(f"c{i}_{j}") - sum((F.col(made[i, k]) * F.col(made[j, k]) for k in range(j)), F.lit(0.0))
         if i == j:
-            rest = F.sqrt(F.greatest(rest, F.lit(float(FLOOR[i] ** 2) / 16)))
+            rest = F.sqrt(F.greatest(rest, F.col(f"v{i}") / 16))
         else:
             rest = rest / F.col(made[j, j])
         made[i, j] = f"f{i}_{j}"
         frame = frame.withColumn(made[i, j], rest)
-    return frame.select("_g", "rows", sum((2 * F.ln(f"f{i}_{i}") for i in range(DIMS)), F.lit(0.0)).alias("logdet"), *_MEAN, *_FACTOR)
+    return frame.select("_g", "rows", sum((2 * F.ln(f"f{i}_{i}") for i in range(DIMS)), F.lit(0.0)).alias("logdet"), *_MEAN, *_LEAST, *_FACTOR)
 
 
 def _covariance(entry) -> list[Column]:
-    floor = [F.lit(float(f * f)) for f in FLOOR]
-    return [(F.greatest(entry(i, j), floor[i]) if i == j else entry(i, j)).alias(f"c{i}_{j}") for i, j in _PAIRS]
+    return [(F.greatest(entry(i, j), F.col(f"v{i}")) if i == j else entry(i, j)).alias(f"c{i}_{j}") for i, j in _PAIRS]
 
 
 def _distance() -> Column:
@@ -150,7 +158,8 @@ def _start(stats: DataFrame) -> DataFrame:
         *(F.max(F.when(F.col("dim") == i, F.col("mid") / _FINE)).alias(f"m{i}") for i in range(DIMS)),
         *(F.max(F.when(F.col("dim") == i, 1.4826 * F.col("bin") / _FINE)).alias(f"s{i}") for i in range(DIMS)),
     )
-    return _factor(mad.select("_g", "rows", *_MEAN, *_covariance(lambda i, j: F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0))))
+    least = stats.groupBy("_g").agg(*(F.greatest(F.avg(F.col("v")[i]), F.lit(LEAST)).alias(f"v{i}") for i in range(DIMS)))
+    return _factor(mad.join(least, "_g").select("_g", "rows", *_MEAN, *_LEAST, *_covariance(lambda i, j: F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0))))
 
 
 def _concentrate(stats: DataFrame, now: DataFrame, share: float) -> DataFrame:
@@ -159,16 +168,22 @@ def _concentrate(stats: DataFrame, now: DataFrame, share: float) -> DataFrame:
     far = stats.join(now, "_g").withColumn("bin", F.floor(_COARSE * F.log2(1e-6 + _distance())))
     x = F.col("x")
     sums = {f"s{i}": x[i] for i in range(DIMS)} | {f"s{i}_{j}": x[i] * x[j] for i, j in _PAIRS}
-    bins = far.groupBy("_g", "bin").agg(F.count("*").alias("n"), *(F.sum(v).alias(k) for k, v in sums.items()))
-    near = _upto(bins, ["_g"], share).groupBy("_g").agg(F.first("_all").alias("rows"), F.sum("n").alias("h"), *(F.sum(k).alias(k) for k in sums))
-    near = near.select("_g", "rows", *(F.col(k) / F.col("h") if "_" in k else (F.col(k) / F.col("h")).alias(f"m{k[1:]}") for k in sums))
-    near = near.toDF("_g", "rows", *_MEAN, *(f"s{i}_{j}" for i, j in _PAIRS))
+    least = [F.first(v).alias(v) for v in _LEAST]
+    bins = far.groupBy("_g", "bin").agg(F.count("*").alias("n"), *least, *(F.sum(v).alias(k) for k, v in sums.items()))
+    near = _upto(bins, ["_g"], share).groupBy("_g").agg(F.first("_all").alias("rows"), F.sum("n").alias("h"), *least, *(F.sum(k).alias(k) for k in sums))
+    near = near.select("_g", "rows", *_LEAST, *(F.col(k) / F.col("h") if "_" in k else (F.col(k) / F.col("h")).alias(f"m{k[1:]}") for k in sums))
+    near = near.toDF("_g", "rows", *_LEAST, *_MEAN, *(f"s{i}_{j}" for i, j in _PAIRS))
     spread = lambda i, j: grow * (F.col(f"s{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
-    return _factor(near.select("_g", "rows", *_MEAN, *_covariance(spread)))
+    return _factor(near.select("_g", "rows", *_MEAN, *_LEAST, *_covariance(spread)))
 
 
 def mcd(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
-    """Per group of ``stats(_g, x)``: rows, logdet, mean m0.. and Cholesky factor f0_0.. of its scatter."""
+    """Per group of ``stats(_g, x)``: rows, logdet, mean m0.. and Cholesky factor f0_0.. of its scatter.
+
+    ``v``, where there is one, has a row's variances by chance: their means over a group are its least variances.
+    """
+    if "v" not in stats.columns:
+        stats = stats.withColumn("v", F.array(*[F.lit(LEAST)] * DIMS))
     best = cut(_start(stats), "mcd")
     for at in range(steps):
         fresh = _concentrate(stats, best, share)
@@ -182,7 +197,7 @@ def mcd(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
 
 def judge(docs: DataFrame, cut_at: float | None = None, min_group: int = 60) -> DataFrame:
     """doc_id, row key, base statistics, base_failed, distance and kept of every row of ``docs``."""
-    cut_at = cut_at or _chi2_quantile(1 - 1e-8, DIMS)
+    cut_at = cut_at or _chi2_quantile(0.999, DIMS)
     k1, k2 = row_key(docs)
     own = docs.select("doc_id", "text", F.to_json(F.struct("lang", "source")).alias("_g"), k1.alias("_k1"), k2.alias("_k2"))
     schema = "doc_id long, _g string, _k1 long, _k2 long, " + _STATS
@@ -199,7 +214,7 @@ def judge(docs: DataFrame, cut_at: float | None = None, min_group: int = 60) ->
     # A row counts in its own group's model if that is large, and in those of its language and of all where a small group needs them.
     into = F.array(F.when(~small, F.col("_g")), F.when(F.col("_wanted") & F.col("_large"), F.col("_lang")), F.when(F.col("_all"), "all"))
     names = cut(names.select("_g", "_to", F.array_compact(into).alias("_into")), "rule-groups")
-    found = mcd(stats.where("n_words >= 50").join(names, "_g").select(F.explode("_into").alias("_g"), "x"))
+    found = mcd(stats.where("n_words >= 50").join(names, "_g").select(F.explode("_into").alias("_g"), "x", chance().alias("v")))
     stats = stats.join(names.drop("_into"), "_g", "left").withColumn("_g", F.coalesce("_to", F.lit("all"))).drop("_to")
     scored = stats.join(found, "_g", "left")
     failed = base_failed()

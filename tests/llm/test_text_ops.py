@@ -210,6 +210,27 @@ def test_small_groups_are_judged_by_all_of_their_language(spark, lang):
     assert sum(not r["kept"] for r in found.values()) < 10
 
 
+def test_junk_within_the_base_rules_is_rejected(spark):
+    workers_see_us(spark)
+    draw = random.Random(9)
+
+    def text(upper=0.02, longer=0, symbols=0.0, repeat=0):
+        words = ["".join(draw.choice("abcdefgh") for _ in range(draw.randint(2, 8) + (draw.random() < longer) * 3)) for _ in range(300)]
+        for _ in range(repeat):
+            at, to = draw.randrange(0, 140), draw.randrange(150, 290)
+            words[to : to + 6] = words[at : at + 6]
+        flat = "".join(c.upper() if draw.random() < upper else "#" if c != " " and draw.random() < symbols else c for c in " ".join(words))
+        return "\n".join(flat[i : i + 150] for i in range(0, len(flat), 150))
+
+    own = [(i, text(), "en", "s", 1) for i in range(300)]
+    own += [(1000 + i, text(upper=0.15), "en", "s", 1) for i in range(3)] + [(2000 + i, text(longer=0.6), "en", "s", 1) for i in range(3)]
+    own += [(3000 + i, text(symbols=0.03), "en", "s", 1) for i in range(3)] + [(4000 + i, text(upper=0, repeat=9), "en", "s", 1) for i in range(3)]
+    found = {r["doc_id"]: r for r in quality_rules.judge(spark.createDataFrame(own, SCHEMA)).collect()}
+    assert not any(r["base_failed"] for r in found.values())
+    assert not any(r["kept"] for i, r in found.items() if i >= 1000)
+    assert sum(not r["kept"] for i, r in found.items() if i < 300) <= 6
+
+
 def test_classifier_separates_and_uses_the_identity(spark, docs):
     draw = random.Random(1)
     texts = [(" ".join(draw.choice(("alpha", "beta", "gamma")) + str(draw.randint(0, 99)) for _ in range(80)) if i % 2 else "JUNK!! " * 60) for i in range(300)]

@@ -226,9 +226,18 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int =
 
 
 def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the least of its group, unchanged, one row for each such doc_id."""
-    gone = cut(link(docs, width, percent).where("not kept").select("doc_id").distinct(), "minhash-gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """Rows of ``docs`` whose doc_id is the least of its group, unchanged, one row for each such doc_id.
+
+    Of rows that repeat a doc_id the least stays, in the order of the columns; null doc_ids all stay. A doc_id with a row
+    that is not kept goes as a whole.
+    """
+    gone = link(docs, width, percent).where("not kept").select("doc_id").distinct()
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    apart = cut(gone.withColumn("_gone", F.lit(True)).union(again.withColumn("_gone", F.lit(False))).groupBy("doc_id").agg(F.max("_gone").alias("_gone")), "minhash-apart")
+    single = docs.join(apart, "doc_id", "left_anti").select(*docs.columns)
+    held = docs.join(apart.where("not _gone"), "doc_id", "left_semi")
+    least = held.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return single.unionByName(least)
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -88,6 +88,18 @@ def test_minhash(docs, empty, rows):
     assert minhash.link(empty, 2, 80).count() == 0
 
 
+def test_keep_one_keeps_one_row_of_repeated_ids(spark):
+    workers_see_us(spark)
+    draw = random.Random(7)
+    a, b, c = (" ".join(str(draw.randint(0, 999)) for _ in range(60)) for _ in range(3))
+    own = [(1, a, "en", "s", 1)] * 3 + [(2, a, "en", "s", 1)] * 2 + [(3, b, "en", "t", 1), (3, b, "en", "s", 1), (4, c, None, "s", 1), (5, "", "en", "s", 0), (5, "", "en", "s", 0)]
+    own += [(None, a, "en", "s", 1)] * 2
+    found = minhash.keep_one(spark.createDataFrame(own, SCHEMA).repartition(3))
+    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    want = Counter({(1, a, "en", "s", 1): 1, (3, b, "en", "s", 1): 1, (4, c, None, "s", 1): 1, (5, "", "en", "s", 0): 1, (None, a, "en", "s", 1): 2})
+    assert Counter(tuple(r) for r in found.collect()) == want
+
+
 def test_estimate_is_unbiased():
     h = np.random.default_rng(1).integers(0, 2**63, 4000, dtype=np.uint64)
     x, y = minhash.signature(h[:3000])[3], minhash.signature(h[1000:])[3]

@@ -1,4 +1,4 @@
-"""Sentiment, coverage scores, strategies, budget and the control loop (AGG-03, AGG-04, AGG-06, FLT-09, SCO-01..06, WIN-06)."""
+"""Sentiment, coverage scores, strategies, budget and the control loop (AGG-03, AGG-04, AGG-06, FLT-09, SCO-01..05, WIN-06); SCO-06, the competition proxy, is left out."""
 
 from __future__ import annotations
 

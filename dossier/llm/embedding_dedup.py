@@ -1,14 +1,15 @@
 """Embedding near-dedup over hierarchical navigable small-world graphs, one per shard.
 
-Vectors that are equal, with equal labels, form a class; classes of a label (and length) are dealt into shards of about
-``shard_rows``. A task per shard builds its graph and writes it to the shared folder. A task per pair of shards of a
+Vectors that are equal, with equal labels, form a class, named by its least vec_id and 128 bits of vector and label; classes of a
+label (and length) are dealt into shards of about ``shard_rows``. A task per shard builds its graph and writes it to the shared folder. A task per pair of shards of a
 label then queries each graph with the other's vectors: beams widen while all they hold is linked and until a recall
 audit against brute force passes; what still fills the widest beam is compared exactly, block by block. An audit counts
 only with enough links of its own; where links are too rare for one, all vectors are compared exactly. Cosines
 are verified in double precision. A task returns per vector its links and one link into its group, never all pairs.
 
 Vectors that are null, empty, zero or hold null or non-finite parts, and null labels or ids, link with nothing. Rows
-that repeat are vectors of their own, linked with each other.
+that repeat are vectors of their own, linked with each other; so are rows that repeat a vec_id with another vector, which
+are compared like any other two: each gets its own links and component, and is kept where its vec_id is the component's.
 """
 
 from __future__ import annotations
@@ -270,10 +271,13 @@ def _load(path: str) -> dict:
         return {"x32": unit, "x64": x64, "ids": f["ids"], "w": f["w"], "graph": Graph(unit, layers)}
 
 
+_NAME = ("rep", "k1", "k2")
+
+
 def _build_shards(folder: str):
     def build(shard: pa.Table) -> pa.Table:
-        ids = shard.column("rep").to_numpy()
-        order = np.argsort((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), kind="stable")
+        ids = np.stack([shard.column(c).to_numpy() for c in _NAME], 1)
+        order = np.argsort(ids[:, 1] ^ ids[:, 2], kind="stable")
         x = shard.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)[order].astype(np.float32)
         graph = Graph.build(_unit(x.astype(np.float64)).astype(np.float32))
         out = io.BytesIO()
@@ -292,15 +296,16 @@ def link(vectors: DataFrame, least: float = 0.93, shard_rows: int = 20_000, goal
     fit = F.forall(e, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists(e, lambda v: v != 0)
     usable = F.coalesce(F.col("vec_id").isNotNull() & F.col("label").isNotNull() & fit, F.lit(False))
     own = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "label", "embedding", usable.alias("_ok"))
-    own = own.withColumns({"_group": F.when(F.col("_ok"), F.xxhash64("label", F.size("embedding"))), "_k1": F.xxhash64("embedding"), "_k2": F.xxhash64(F.lit(7), "embedding")})
+    own = own.withColumns({"_group": F.when(F.col("_ok"), F.xxhash64("label", F.size("embedding"))), "_k1": F.xxhash64("label", "embedding"), "_k2": F.xxhash64(F.lit(7), "label", "embedding")})
     keys = ["_group", "_k1", "_k2"]
     narrow = own.where("_ok").select(*keys, "vec_id")
     classes = cut(narrow.groupBy(*keys).agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")), "vector-classes")
     shards = classes.groupBy("_group").agg(F.ceil(F.count("*") / shard_rows).alias("_shards"))
-    placed = classes.join(shards, "_group").select(*keys, "rep", "n", F.pmod(F.xxhash64("rep"), "_shards").alias("_shard"))
-    held = own.where("_ok").join(placed, (own["vec_id"] == placed["rep"]) & (own["_k1"] == placed["_k1"]) & (own["_k2"] == placed["_k2"]) & (own["_group"] == placed["_group"]))
-    held = held.select(placed["_group"], "_shard", "rep", "n", "embedding").dropDuplicates(["_group", "_shard", "rep"])
+    placed = classes.join(shards, "_group").select(*keys, "rep", "n", F.pmod(F.xxhash64("_k1", "_k2"), "_shards").alias("_shard"))
+    held = own.where("_ok").join(placed, [own[c] == placed[c] for c in keys] + [own["vec_id"] == placed["rep"]])
+    held = held.select(*(placed[c] for c in keys), "_shard", "rep", "n", "embedding").dropDuplicates([*keys, "_shard", "rep"])
     folder = mounted(new_uri(vectors.sparkSession, "graphs"))
+    held = held.withColumnsRenamed({"_k1": "k1", "_k2": "k2"})
     built = held.groupBy("_group", "_shard").applyInArrow(_build_shards(folder), "_group long, _shard long, path string")
     built = cut(built, "graph-paths")
     left, right = built.alias("l"), built.alias("r")
@@ -313,13 +318,16 @@ def link(vectors: DataFrame, least: float = 0.93, shard_rows: int = 20_000, goal
                 b = a if p == q else _load(q)
                 at, n, root = compare(a, b, least, goal, audit)
                 ids = a["ids"] if p == q else np.concatenate([a["ids"], b["ids"]])
-                yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(n), pa.array(ids[root])], names=["rep", "n", "root"])
+                names = [pa.StructArray.from_arrays([pa.array(ids[x, k]) for k in range(3)], names=list(_NAME)) for x in (at, root)]
+                yield pa.RecordBatch.from_arrays([names[0], pa.array(n), names[1]], names=["name", "n", "root"])
 
     spread = cut(tasks.repartition(max(24, vectors.sparkSession.sparkContext.defaultParallelism * 2), "a", "b"), "graph-tasks")
-    found = cut(spread.mapInArrow(run, "rep long, n long, root long"), "vector-links")
-    parts = components(found.select(F.col("rep").alias("u"), F.col("root").alias("v")))
-    linked = found.groupBy("rep").agg(F.sum("n").alias("_links")).join(parts.withColumnRenamed("id", "rep"), "rep", "left")
-    known = classes.join(linked, "rep", "left").select(*keys, F.col("n").alias("_n"), F.coalesce("_links", F.lit(0)).alias("_links"), F.coalesce("component", "rep").alias("_component"))
+    name = "struct<rep:bigint,k1:bigint,k2:bigint>"
+    found = cut(spread.mapInArrow(run, f"name {name}, n long, root {name}"), "vector-links")
+    parts = components(found.select(F.col("name").alias("u"), F.col("root").alias("v")))  # names are ordered by vec_id first
+    linked = found.groupBy("name").agg(F.sum("n").alias("_links")).join(parts.withColumnRenamed("id", "name"), "name", "left")
+    named = classes.withColumn("name", F.struct("rep", F.col("_k1").alias("k1"), F.col("_k2").alias("k2")))
+    known = named.join(linked, "name", "left").select(*keys, F.col("n").alias("_n"), F.coalesce("_links", F.lit(0)).alias("_links"), F.coalesce("component.rep", "rep").alias("_component"))
     out = own.select("vec_id", *keys).join(known, keys, "left")
     component = F.coalesce("_component", "vec_id")
     return out.select("vec_id", F.coalesce(F.col("_links") + F.col("_n") - 1, F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"))

@@ -95,3 +95,10 @@ def test_sql_and_pipeline(spark):
         assert rows(got.columns, [tuple(r) for r in got.collect()]) == rows(want.columns, want.fetchall()), name
     out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert 0 < len({r["doc_id"] for r in out}) < 200 and [n for n, _ in corpus_pipeline.STAGES][0] == "quality classifier"
+
+
+def test_repeated_vec_ids_are_vectors_of_their_own(spark):
+    workers_see_us(spark)
+    rows = [(1, [1.0, 0.0, 0.0], 0), (1, [0.0, 1.0, 0.0], 0), (2, [0.0, 1.0, 0.01], 0), (2, [0.0, 1.0, 0.01], 0), (2, [0.0, 1.0, 0.01], 1)]
+    found = embedding_dedup.link(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == [(1, 0, 1, True), (1, 2, 1, True), (2, 0, 2, True), (2, 2, 1, False), (2, 2, 1, False)]

@@ -1,22 +1,26 @@
 """MinHash near-dedup with b-bit signatures.
 
-A text's set holds its distinct word shingles. Rows of equal sets form a class, stood for by its least doc_id; only
-classes are compared. ``BANDS`` bands of ``ROWS`` minima give candidates (a pair at the threshold shares no band with
-probability (1 - 0.8**4)**32 = 5e-8), the low two bits of all minima, packed, an estimate corrected for chance
-collisions, and the full texts the decision.
-
-Inside a bucket no pairs are spread: rounds of stars link members to one pivot and join what is linked. What is left
-is to compare members of different components. Where many texts look alike without being linked (a large group whose
-stars passed the estimate), chunks of its texts are compared block by block inside a task, small components against
-all and each other, and only links come out. The pairs of other buckets are joined, with the estimate inside the join.
-So a group of copies costs its size times the texts it does not link to, and no link between components is lost.
+A text's set holds its distinct word shingles. Rows of equal word sequences (128 bits of SHA-256) form a class, named by its
+least doc_id; only classes are compared. ``BANDS`` bands of ``ROWS`` minima give candidates (a pair at the threshold shares
+no band with probability (1 - 0.8**4)**32 = 5e-8), the low two bits of all minima, packed, an estimate corrected for chance
+collisions, and the full sets the decision.
+
+Inside a bucket no pairs are spread: rounds of stars compare members with one pivot and join what is linked. What is left
+is to compare members of different components. Classes whose estimates passed make up crowds; a crowd with more than one
+component is compared chunk by chunk inside tasks, where estimates choose the pairs and incidence matrices of the exact
+shingles count what they share, and only links come out. Pairs of a bucket in different crowds are joined, with the
+estimate inside the join. Buckets and crowds are dealt into chunks, so a frequent band or a large group of copies is spread
+over tasks, and no link between components is lost.
 
 Null or empty text: no shingles, linked with nothing. Fewer words than ``width``: the whole sequence is one shingle. A
-null doc_id has no component and is kept. Rows that repeat a doc_id are one document for linking.
+null doc_id has no component and is kept. Rows are linked by their own texts, also where they repeat a doc_id; of any type.
 """
 
 from __future__ import annotations
 
+import hashlib
+import re
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm.components import components
-from dossier.llm.shared import cut, table
+from dossier.llm.shared import cut, quoted, row_key, table, unused
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -53,10 +57,9 @@ def shingle_set(text: str, width: int) -> set[tuple[bytes, ...]]:
     return set(zip(*(words[i:] for i in range(width))))
 
 
-def shingle_hashes(text: str, width: int) -> np.ndarray:
+def shingle_hashes(words: list[bytes], width: int) -> np.ndarray:
     import xxhash
 
-    words = shingle_words(text)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     span = min(width, len(words))
     if not span:
@@ -67,33 +70,39 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
     return np.unique(out)
 
 
-def signature(hashes: np.ndarray) -> tuple[int, int, np.ndarray, np.ndarray]:
-    """Two hashes of the whole set, the bands' hashes, and the packed low bits: two planes of two 64-bit words."""
-    s1 = int(_mixed(hashes).sum().view(np.int64))
-    s2 = int((_mixed(hashes * _MIX).sum() + np.uint64(hashes.size)).view(np.int64))
+def signature(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bands' hashes, and the packed low bits: two planes of two 64-bit words."""
     minima = np.full(MINIMA, np.iinfo(np.uint64).max, np.uint64)
     for i in range(0, hashes.size, 2048):
         minima = np.minimum(minima, (np.multiply.outer(_FACTORS, hashes[i : i + 2048]) >> np.uint64(32)).min(1))
     bands = _mixed((minima.reshape(BANDS, ROWS) * _BAND_FACTORS).sum(1) + np.arange(BANDS, dtype=np.uint64) * _MIX)
     planes = np.packbits(np.stack([(minima & np.uint64(1)), (minima >> np.uint64(1)) & np.uint64(1)]).astype(np.uint8), axis=1)
-    return s1, s2, bands.view(np.int64), planes.view("<i8").ravel()
-
-
-_SIGNED = "doc_id long, n_shingles long, s1 long, s2 long, bands array<long>, bits array<long>"
+    return bands.view(np.int64), planes.view("<i8").ravel()
 
 
 def signatures(docs: DataFrame, width: int) -> DataFrame:
+    """Per row: doc_id, row key k1 and k2, n_shingles, 128 bits c1 and c2 of its word sequence, bands and bits."""
+
     def run(batches):
         for batch in batches:
             rows = []
             for text in pc.fill_null(batch.column("text"), "").to_pylist():
-                h = shingle_hashes(text, width)
-                rows.append((h.size, *signature(h)) if h.size else (0, None, None, None, None))
+                words = shingle_words(text)
+                h = shingle_hashes(words, width)
+                if h.size:
+                    own = np.frombuffer(hashlib.sha256(b" ".join(words)).digest(), "<i8")
+                    rows.append((h.size, own[0], own[1], *signature(h)))
+                else:
+                    rows.append((0, None, None, None, None))
             columns = list(zip(*rows)) or [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["doc_id", "n_shingles", "s1", "s2", "bands", "bits"])
+            kept = ["doc_id", "k1", "k2"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=[*kept, "n_shingles", "c1", "c2", "bands", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _SIGNED)
+    k1, k2 = row_key(docs)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {kind}, k1 long, k2 long, n_shingles long, c1 long, c2 long, bands array<long>, bits array<long>"
+    return docs.select("doc_id", k1.alias("k1"), k2.alias("k2"), "text").mapInArrow(run, schema)
 
 
 def matches(a: str, b: str) -> Column:
@@ -108,10 +117,10 @@ def estimate(equal: Column) -> Column:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of ``pairs(a, b)`` those whose full sets have 100 * intersection >= percent * union."""
-    own = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    held = pairs.join(own, "a").join(other, "b").select("a", "b", "text_a", "text_b")
+    """Of ``pairs(a, b)`` those whose full sets have 100 * intersection >= percent * union, as (u, v)."""
+    own = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
+    held = pairs.join(own, "a").join(other, "b").select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("a.nid").alias("i"), F.col("b.nid").alias("j"), "text_a", "text_b")
 
     def run(batches):
         sets: dict = {}
@@ -125,119 +134,199 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
             return found
 
         for batch in batches:
-            a, b = batch.column("a").to_pylist(), batch.column("b").to_pylist()
             keep = []
-            for i, j, x, y in zip(a, b, batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()):
+            for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("i", "j", "text_a", "text_b"))):
                 x, y = of(i, x), of(j, y)
                 both = len(x & y)
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    return held.mapInArrow(run, "a long, b long")
+    node = pairs.schema["a"].dataType.simpleString()
+    return held.mapInArrow(run, f"u {node}, v {node}")
 
 
 def _broadcast_if_small(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """Ids that are counted to be at most 8 MB are broadcast, more are shuffled."""
+    """Ids that are counted to be at most 16 MB are broadcast, more are shuffled."""
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
-def blocks(members: DataFrame, texts: DataFrame, width: int, percent: int, chunk: int = 400) -> DataFrame:
-    """Links between different parts of each group of ``members(rep, crowd, part)``, as (u, v).
-
-    Chunks hold about ``chunk`` texts, of one large part or of small parts only; chunks of the same large part do not meet.
+def _equal_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Equal 2-bit minima of all signatures in a with all in b."""
+    words = [(a[:, None, i] ^ b[None, :, i]) | (a[:, None, i + 2] ^ b[None, :, i + 2]) for i in range(2)]
+    return MINIMA - np.bitwise_count(words[0]).astype(np.int16) - np.bitwise_count(words[1])
+
+
+def shared_shingles(left: list[set], right: list[set], slice_: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of a set on the left with one on the right, by products of incidence matrices."""
+    number: dict = {}
+    for s in left:
+        for x in s:
+            number.setdefault(x, len(number))
+    there = [np.fromiter((number[x] for x in s if x in number), np.int64) for s in right]
+    used, at = np.unique(np.concatenate(there) if there else np.zeros(0, np.int64), return_inverse=True)
+    place = np.full(len(number) + 1, -1, np.int64)
+    place[used] = np.arange(len(used))
+    sides = []
+    for groups in ([np.fromiter((number[x] for x in s), np.int64, len(s)) for s in left], there):
+        row = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+        column = place[np.concatenate(groups)] if groups else row
+        order = np.argsort(column, kind="stable")
+        sides.append((row[order], column[order], len(groups)))
+    out = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(used), slice_):
+        both = []
+        for row, column, n in sides:
+            a, b = np.searchsorted(column, [start, start + slice_])
+            m = np.zeros((n, slice_), np.float32)
+            m[row[a:b], column[a:b] - start] = 1
+            both.append(m)
+        out += both[0] @ both[1].T
+    return out.astype(np.int64)
+
+
+def _block_links(left: list[dict], right: list[dict], same: bool, width: int, percent: int) -> list[tuple[int, int]]:
+    """Places (in left, in right) of linked texts of different parts; estimates choose what is compared."""
+    bits = [np.array([r["bits"] for r in side], np.int64) for side in (left, right)]
+    part = [np.array([r["part"]["nid"] for r in side], np.int64) for side in (left, right)]
+    near = (_equal_bits(*bits) >= LEAST_MATCHES) & (part[0][:, None] != part[1][None, :])
+    if same:
+        near = np.triu(near, 1)
+    rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
+    if not rows.size:
+        return []
+    a, b = ([shingle_set(side[i]["text"], width) for i in at] for side, at in ((left, rows), (right, columns)))
+    both = shared_shingles(a, b)
+    union = np.fromiter(map(len, a), np.int64)[:, None] + np.fromiter(map(len, b), np.int64)[None, :] - both
+    u, v = np.nonzero((100 * both >= percent * union) & near[np.ix_(rows, columns)])
+    return list(zip(rows[u].tolist(), columns[v].tolist()))
+
+
+def blocks(members: DataFrame, texts: DataFrame, width: int, percent: int, chunk: int = 400, chunk_bytes: int = 4 << 20) -> DataFrame:
+    """Links between different parts of each group of ``members(node, crowd, part, bits)``, as (u, v).
+
+    Chunks hold about ``chunk`` texts and ``chunk_bytes``, of one large part or of small parts only; chunks of the same
+    large part do not meet.
     """
+    spark = members.sparkSession
     sizes = members.groupBy("crowd", "part").agg(F.count("*").alias("n"))
-    big = F.when(F.col("n") > chunk, F.col("part").cast("string")).otherwise("small")
-    sized = cut(members.join(sizes, ["crowd", "part"]).select("crowd", big.alias("family"), "rep", "part"), "minhash-sized")
-    whole = sized.groupBy("crowd", "family").agg(F.ceil(F.count("*") / chunk).alias("chunks"))
-    placed = sized.join(whole, ["crowd", "family"]).select("crowd", "family", "rep", "part", F.pmod(F.xxhash64("rep"), "chunks").alias("nth"))
-    held = placed.join(texts.withColumnRenamed("doc_id", "rep"), "rep")
-    packed = cut(held.groupBy("crowd", "family", "nth").agg(F.collect_list(F.struct("rep", "part", "text")).alias("rows")), "minhash-chunks")
-    packed = packed.withColumn("c", F.xxhash64("crowd", "family", "nth"))
-    x, y = packed.select("crowd", "family", "c").alias("x"), packed.select("crowd", "family", "c").alias("y")
-    meet = (F.col("x.crowd") == F.col("y.crowd")) & (F.col("x.c") <= F.col("y.c")) & ((F.col("x.family") == "small") | (F.col("x.family") != F.col("y.family")))
+    big = F.when(F.col("n") > chunk, F.col("part"))
+    held = texts.select("node", "text", F.octet_length("text").cast("long").alias("bytes"))
+    sized = members.join(sizes, ["crowd", "part"]).select("crowd", F.xxhash64(big).alias("family"), big.isNotNull().alias("large"), "node", "part", "bits").join(held, "node")
+    sized = cut(sized, "minhash-sized")
+    count = F.ceil(F.greatest(F.count("*") / chunk, F.sum("bytes") / chunk_bytes))
+    whole = sized.groupBy("crowd", "family").agg(count.alias("chunks"))
+    placed = sized.join(whole, ["crowd", "family"]).withColumn("nth", F.pmod(F.xxhash64("node"), "chunks"))
+    packed = placed.groupBy("crowd", "family", "large", "nth").agg(F.collect_list(F.struct("node", "part", "bits", "text")).alias("rows"))
+    packed = cut(packed.withColumn("c", F.xxhash64("crowd", "family", "nth")), "minhash-chunks")
+    x, y = packed.select("crowd", "family", "large", "c").alias("x"), packed.select("crowd", "family", "c").alias("y")
+    meet = (F.col("x.crowd") == F.col("y.crowd")) & (F.col("x.c") <= F.col("y.c")) & (~F.col("x.large") | (F.col("x.family") != F.col("y.family")))
     tasks = cut(x.join(y, meet).select(F.col("x.c").alias("cx"), F.col("y.c").alias("cy")), "minhash-chunk-pairs")
-    both = tasks.join(packed.select(F.col("c").alias("cx"), F.col("rows").alias("rx")), "cx").join(packed.select(F.col("c").alias("cy"), F.col("rows").alias("ry")), "cy").select("rx", "ry")
+    spread = tasks.repartition(max(1, min(tasks.count(), 16 * spark.sparkContext.defaultParallelism)), "cx", "cy")
+    rows = lambda c, out: packed.select(F.col("c").alias(c), F.col("rows").alias(out))
+    both = spread.join(rows("cx", "rx"), "cx").join(rows("cy", "ry"), "cy").select("rx", "ry", (F.col("cx") == F.col("cy")).alias("same"))
 
     def run(batches):
         for batch in batches:
-            for rx, ry in zip(batch.column("rx"), batch.column("ry")):
-                left = [(r["rep"], r["part"], shingle_set(r["text"], width)) for r in rx.as_py()]
-                right = left if rx == ry else [(r["rep"], r["part"], shingle_set(r["text"], width)) for r in ry.as_py()]
-                u, v = [], []
-                for i, p, a in left:
-                    n = len(a)
-                    for j, q, b in right:
-                        if p != q and i != j and 100 * min(n, len(b)) >= percent * max(n, len(b)):
-                            same = len(a & b)
-                            if 100 * same >= percent * (n + len(b) - same):
-                                u.append(i)
-                                v.append(j)
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-
-    return both.mapInArrow(run, "u long, v long")
-
-
-def link(docs: DataFrame, width: int = 5, percent: int = 80, star_rounds: int = 2, crowd_above: int = 32) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
+            for rx, ry, same in zip(batch.column("rx"), batch.column("ry"), batch.column("same").to_pylist()):
+                left, right = rx.as_py(), ry.as_py()
+                found = _block_links(left, right, same, width, percent)
+                nodes = batch.schema.field("rx").type.value_type.field("node").type
+                out = [pa.array([left[i]["node"] for i, _ in found], nodes), pa.array([right[j]["node"] for _, j in found], nodes)]
+                yield pa.RecordBatch.from_arrays(out, names=["u", "v"])
+
+    node = members.schema["node"].dataType.simpleString()
+    return both.mapInArrow(run, f"u {node}, v {node}")
+
+
+def _spread(keyed: DataFrame) -> DataFrame:
+    """One row of ``keyed(key, chunks, ...)`` for every chunk of its bucket."""
+    return keyed.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
+
+
+def _linked(docs: DataFrame, width: int, percent: int, star_rounds: int = 2, bucket_chunk: int = 512) -> DataFrame:
+    """doc_id, k1, k2, n_shingles, component_id and kept of every row of ``docs``."""
     signed = cut(signatures(docs, width), "minhash")
     full = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = cut(full.groupBy("s1", "s2").agg(F.min("doc_id").alias("rep")), "minhash-classes")
-    reps = full.join(classes.select("s1", "s2", F.col("rep").alias("doc_id")), ["doc_id", "s1", "s2"], "left_semi").dropDuplicates(["doc_id", "s1", "s2"])
-    reps = cut(reps.select(F.col("doc_id").alias("rep"), "bands", "bits"), "minhash-reps")
-    banded = reps.select("rep", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = cut(banded.join(shared, "key").distinct(), "minhash-buckets")
-    ids = cut(buckets.select(F.col("rep").alias("doc_id")).distinct(), "minhash-ids")
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    texts = own.where("text is not null").join(_broadcast_if_small(ids), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    texts = cut(texts, "minhash-texts")
-    bits = cut(reps.join(ids, F.col("rep") == F.col("doc_id"), "left_semi").dropDuplicates(["rep"]).select("rep", "bits"), "minhash-bits")
-    members = buckets.join(bits, "rep").withColumn("part", F.col("rep"))
-    near, links, parts = None, None, None
+    # rows of a class have equal bands and bits, so any will do
+    least = F.min(F.struct("doc_id", "k1", "k2")).alias("least")
+    classes = full.groupBy("c1", "c2").agg(least, F.any_value("bands").alias("bands"), F.any_value("bits").alias("bits"))
+    classes = classes.withColumn("nid", F.monotonically_increasing_id())
+    named = F.struct(F.col("least.doc_id").alias("rep"), F.col("nid").alias("nid")).alias("node")
+    reps = cut(classes.select(named, "c1", "c2", F.col("least.k1").alias("k1"), F.col("least.k2").alias("k2"), "bands", "bits"), "minhash-reps")
+    banded = reps.select("node", F.explode("bands").alias("key"))
+    shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / bucket_chunk).alias("chunks"))
+    buckets = banded.distinct().join(shared, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    buckets = cut(buckets, "minhash-buckets")
+    ids = cut(buckets.select("node").distinct(), "minhash-nodes")
+    near_by = reps.join(_broadcast_if_small(ids), "node", "left_semi")
+    bits = cut(near_by.select("node", "bits"), "minhash-bits")
+    wanted = cut(near_by.select("k1", "k2", "node"), "minhash-wanted")
+    k1, k2 = row_key(docs)
+    own = docs.where("text is not null").select(k1.alias("k1"), k2.alias("k2"), "text")
+    texts = cut(own.join(_broadcast_if_small(wanted), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("node", "text"), "minhash-texts")
+    members = buckets.join(bits, "node").withColumn("part", F.col("node"))
+    near, links, part_of = None, None, None
     for at in range(star_rounds):
-        pick = F.min_by(F.struct("rep", "bits", "part"), F.struct(F.xxhash64("rep", F.lit(at)), "rep"))
-        pivots = members.groupBy("key").agg(pick.alias("p")).select("key", "p.*").alias("p")
-        close = members.alias("m").join(pivots, (F.col("m.key") == F.col("p.key")) & (F.col("p.part") != F.col("m.part")) & (matches("p", "m") >= LEAST_MATCHES))
-        pairs = cut(close.select(F.least("p.rep", "m.rep").alias("a"), F.greatest("p.rep", "m.rep").alias("b")).distinct(), "minhash-pairs")
+        pick = F.min_by(F.struct("node", "bits", "part"), F.struct(F.xxhash64("node", F.lit(at)), F.col("node.nid")))
+        pivots = cut(members.groupBy("key", "chunks").agg(pick.alias("p")).select("key", "chunks", "p.*"), "minhash-pivots")
+        close = members.alias("m").join(_spread(pivots).alias("p"), (F.col("m.key") == F.col("p.key")) & (F.col("m.chunk") == F.col("p.chunk")) & (F.col("p.part") != F.col("m.part")) & (matches("p", "m") >= LEAST_MATCHES))
+        pairs = cut(close.select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b")).distinct(), "minhash-pairs")
         near = pairs if near is None else near.union(pairs)
-        found = cut(verified(pairs, texts, width, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-links")
+        found = cut(verified(pairs, texts, width, percent), "minhash-links")
         links = found if links is None else links.union(found)
         parts = cut(components(links), "minhash-parts")
-        part_of = parts.select(F.col("id").alias("rep"), F.col("component").alias("_part"))
-        members = buckets.join(bits, "rep").join(part_of, "rep", "left").withColumn("part", F.coalesce("_part", "rep")).drop("_part")
-        apart = members.groupBy("key").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key")
-        members = cut(members.join(apart, "key"), "minhash-members")
-    crowds = cut(components(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "minhash-crowds").select(F.col("id").alias("rep"), F.col("component").alias("crowd"))
-    crowded = crowds.join(part_of, "rep", "left").select("rep", "crowd", F.coalesce("_part", "rep").alias("part"))
-    large = crowded.groupBy("crowd").agg(F.count("*").alias("n"), F.min("part").alias("x"), F.max("part").alias("y")).where((F.col("n") > crowd_above) & (F.col("x") < F.col("y"))).select("crowd")
-    crowded = cut(crowded.join(large, "crowd"), "minhash-crowded")
+        part_of = parts.select(F.col("id").alias("node"), F.col("component").alias("_part"))
+        members = cut(buckets.join(bits, "node").join(part_of, "node", "left").withColumn("part", F.coalesce("_part", "node")).drop("_part"), "minhash-parted")
+        apart = cut(members.groupBy("key", "chunks").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key", "chunks"), "minhash-apart")
+        members = cut(members.join(_spread(apart), ["key", "chunk"], "left_semi"), "minhash-members")
+    crowds = cut(components(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "minhash-crowds").select(F.col("id").alias("node"), F.col("component").alias("crowd"))
+    crowded = crowds.join(part_of, "node", "left").select("node", "crowd", F.coalesce("_part", "node").alias("part"))
+    several = crowded.groupBy("crowd").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("crowd")
+    crowded = cut(crowded.join(several, "crowd").join(bits, "node"), "minhash-crowded")
     links = links.union(cut(blocks(crowded, texts, width, percent), "minhash-links"))
-    rest = members.join(crowded.select("rep", "crowd"), "rep", "left").withColumn("crowd", F.coalesce("crowd", F.lit(None).cast("long")))
+    # what is left: members of a bucket in different crowds or in none
+    rest = cut(members.join(crowds, "node", "left"), "minhash-rest")
+    meet = rest.groupBy("key", "chunks").agg(F.count("*").alias("n")).where("n > 1").select("key", "chunks")
+    halves = _spread(meet.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))).where("other <= chunk")
+    m, p = rest.join(halves, ["key", "chunk"]).alias("m"), rest.withColumnRenamed("chunk", "other").join(halves, ["key", "other"]).alias("p")
     elsewhere = ~F.coalesce(F.col("p.crowd") == F.col("m.crowd"), F.lit(False))
-    close = rest.alias("m").join(rest.alias("p"), (F.col("m.key") == F.col("p.key")) & (F.col("p.part") < F.col("m.part")) & elsewhere & (matches("p", "m") >= LEAST_MATCHES))
-    pairs = cut(close.select(F.least("p.rep", "m.rep").alias("a"), F.greatest("p.rep", "m.rep").alias("b")).distinct(), "minhash-pairs")
-    links = links.union(cut(verified(pairs, texts, width, percent).select(F.col("a").alias("u"), F.col("b").alias("v")), "minhash-links"))
+    close = m.join(p, [F.col(f"m.{c}") == F.col(f"p.{c}") for c in ("key", "chunk", "other")] + [((F.col("m.chunk") != F.col("m.other")) | (F.col("p.node") < F.col("m.node"))) & (F.col("p.part") != F.col("m.part")) & elsewhere & (matches("p", "m") >= LEAST_MATCHES)])
+    pairs = cut(close.select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b")).distinct(), "minhash-pairs")
+    links = links.union(cut(verified(pairs, texts, width, percent), "minhash-links"))
     parts = cut(components(links), "minhash-parts")
-    placed = signed.join(classes, ["s1", "s2"], "left").select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
-    placed = placed.join(parts.select(F.col("id").alias("rep"), "component"), "rep", "left")
-    component = F.coalesce("component", "rep")
-    return placed.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    tops = reps.select("c1", "c2", "node").join(parts.select(F.col("id").alias("node"), F.col("component.rep").alias("top")), "node", "left")
+    tops = tops.select("c1", "c2", F.coalesce("top", "node.rep").alias("top"))
+    placed = signed.drop("bands", "bits").join(tops, ["c1", "c2"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id"))
+    return placed.select("doc_id", "k1", "k2", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def link(docs: DataFrame, width: int = 5, percent: int = 80, **settings) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per row of ``docs``."""
+    return _linked(docs, width, percent, **settings).drop("k1", "k2")
 
 
-def keep_one(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, **settings) -> DataFrame:
     """Rows of ``docs`` whose doc_id is the least of its group, unchanged, one row for each such doc_id.
 
-    Of rows that repeat a doc_id the least stays, in the order of the columns; null doc_ids all stay. A doc_id with a row
-    that is not kept goes as a whole.
+    Of rows that repeat a doc_id the least stays, in the order of the columns (of texts, where a column has no order);
+    null doc_ids all stay.
     """
-    gone = link(docs, width, percent).where("not kept").select("doc_id").distinct()
-    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    apart = cut(gone.withColumn("_gone", F.lit(True)).union(again.withColumn("_gone", F.lit(False))).groupBy("doc_id").agg(F.max("_gone").alias("_gone")), "minhash-apart")
-    single = docs.join(apart, "doc_id", "left_anti").select(*docs.columns)
-    held = docs.join(apart.where("not _gone"), "doc_id", "left_semi")
-    least = held.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
-    return single.unionByName(least)
+    names = docs.columns
+    n1, n2 = unused(names, "_k1", "_k2")
+    gone = cut(_linked(docs, width, percent, **settings).where("not kept").select(F.col("k1").alias(n1), F.col("k2").alias(n2)).distinct(), "minhash-gone")
+    k1, k2 = row_key(docs)
+    held = docs.select(*map(quoted, names), k1.alias(n1), k2.alias(n2)).join(gone, [n1, n2], "left_anti").select(*map(quoted, names))
+    again = cut(held.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "minhash-again")
+    single = held.join(again, "doc_id", "left_anti").select(*map(quoted, names))
+    order = [quoted(f.name) for f in docs.schema if _ordered(f.dataType)]
+    row, least = F.struct(*(quoted(c).alias(f"c{i}") for i, c in enumerate(names))), F.struct(*order)
+    repeated = held.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by(row, least).alias("_row"))
+    return single.unionByName(repeated.select(*(F.col(f"_row.c{i}").alias(c) for i, c in enumerate(names))))
+
+
+def _ordered(kind) -> bool:
+    return not re.search(r"map<|variant|interval", kind.simpleString())
 
 
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

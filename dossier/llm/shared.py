@@ -5,20 +5,28 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from urllib.parse import unquote, urlparse
+from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Fixed by the contracts: ``[\x20\x09-\x0D]``.
 WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def base_uri(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset (local tests)."""
+    """``spark.checkpoint.dir`` of the session, which driver and executors share.
+
+    Where it is unset, a local session (tests) gets a temporary folder; a cluster raises ValueError, as a folder of one
+    machine would not do.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="dossier-work-")
         spark.conf.set("spark.checkpoint.dir", found)
         spark.sparkContext.setCheckpointDir(found)
@@ -59,12 +67,17 @@ def replace_file(path: str, data: bytes) -> None:
 
 
 def workers_see_us(spark: SparkSession) -> None:
-    """Let Python workers import this package where it was not installed, and bound Arrow batches by rows."""
+    """Let Python workers import this package where it was not installed, and bound Arrow batches by rows and bytes.
+
+    These are settings of the session; a session that has its own bound on bytes keeps it.
+    """
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, environment.get("PYTHONPATH", "")) if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    if not spark.conf.get(BATCH_BYTES, None):
+        spark.conf.set(BATCH_BYTES, str(16 << 20))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,22 +85,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def file_batches(docs: DataFrame, n: int) -> list[DataFrame]:
-    """A plain file scan dealt into at most ``n`` scans of whole files; one batch where files cannot be told apart."""
-    files = sorted(docs.inputFiles())
-    if len(files) < 2 or any("%" in f for f in files):
-        return [docs]
-    files = [unquote(f) for f in files]
-    size = -(-len(files) // n)
-    read = docs.sparkSession.read.schema(docs.schema)
-    return [read.parquet(*files[i : i + size]) for i in range(0, len(files), size)]
-
-
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z only; ``lower`` serves where the whole string is ASCII."""
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def quoted(name: str) -> Column:
+    """The column of exactly this name, whatever characters it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names`` with underscores added until no column of ``columns`` has them."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def row_key(docs: DataFrame) -> tuple[Column, Column]:
     """128 bits of (doc_id, text): rows that are equal in both share every decision."""
     doc_id, text = F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))

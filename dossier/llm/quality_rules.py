@@ -1,22 +1,25 @@
 """Quality rules: robust multivariate outliers per language and source.
 
 Every text gets base statistics and a transformed vector of shape statistics that do not depend on its length. For
-each (lang, source) the minimum-covariance-determinant location and scatter are found over all its rows: from
-coordinate medians and MADs, concentration steps keep the h rows of least Mahalanobis distance until the determinant
-stops falling. A step is one aggregate over (group, distance bin), so no group meets in one task. A coordinate's variance
-is the measured one, but no less than texts of the group's sizes have by chance: most texts have no symbols, repeated lines
-or repeated words at all, and the scatter of those nearest the centre is 0. Rows beyond the 0.999 quantile of chi-square
-are rejected.
-
-Null or empty text: no words, base_failed. Null lang or source: a group like any other. Groups under ``min_group``
-rows are judged by the model of all rows of their language, those of its large groups included; languages under
-``min_group`` rows by the model of all rows. Repeated rows count as often as they occur.
+each (lang, source) the minimum-covariance-determinant location and scatter are found over all its rows: from two
+deterministic starts (medians with MADs, and the spatial signs about them), concentration steps keep the rows of least
+Mahalanobis distance that make up the share h until no group's determinant falls; the lesser determinant counts. A step is
+one aggregate over (group, distance bin), so no group meets in one task; the bin in which h is reached counts by the part
+that completes h. A coordinate's variance is the measured one, but no less than texts of the group's sizes have by chance:
+most texts have no symbols, repeated lines or repeated words at all, and the scatter of those nearest the centre is 0. Rows
+beyond the 0.999 quantile of chi-square are rejected.
+
+Null or empty text: no words, base_failed. Null lang or source: a group like any other; without such a column all rows
+share one. A scatter of five coordinates needs rows: groups under ``min_group`` are judged by the model of all rows of
+their language, those of its large groups included; languages under ``min_group`` rows by the model of all rows. Repeated
+rows count as often as they occur. doc_id may be of any type.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut, row_key, table
+from dossier.llm.shared import cut, quoted, row_key, table, unused
 
 SYMBOLS = "#*$%&|<>"
 #: Coordinates: log mean word length; angles asin(sqrt(share)) of symbols, upper-case letters, repeated lines, repeated words.
@@ -109,8 +112,10 @@ def _chi2_quantile(p: float, k: int) -> float:
     return high
 
 
+#: A model belongs to a group and a start.
+KEYS = ["_g", "_s"]
 #: Histogram bins for a unit of a coordinate, and for a doubling of the distance.
-_FINE, _COARSE = 256, 16
+_FINE, _COARSE = 256, 64
 _MEAN, _LEAST, _FACTOR = [f"m{i}" for i in range(DIMS)], [f"v{i}" for i in range(DIMS)], [f"f{i}_{j}" for i, j in _PAIRS]
 
 
@@ -125,7 +130,7 @@ def _factor(frame: DataFrame) -> DataFrame:
             rest = rest / F.col(made[j, j])
         made[i, j] = f"f{i}_{j}"
         frame = frame.withColumn(made[i, j], rest)
-    return frame.select("_g", "rows", sum((2 * F.ln(f"f{i}_{i}") for i in range(DIMS)), F.lit(0.0)).alias("logdet"), *_MEAN, *_LEAST, *_FACTOR)
+    return frame.select(*KEYS, "rows", sum((2 * F.ln(f"f{i}_{i}") for i in range(DIMS)), F.lit(0.0)).alias("logdet"), *_MEAN, *_LEAST, *_FACTOR)
 
 
 def _covariance(entry) -> list[Column]:
@@ -141,16 +146,26 @@ def _distance() -> Column:
 
 
 def _upto(bins: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """The bins of a group, least first, up to the one that completes ``share`` of its rows; a group's bins are few."""
+    """The bins of a group, least first, up to the one that completes ``share`` of its rows; a group's bins are few.
+
+    _part: how much of a bin's rows belong to the share, 1 but for the last.
+    """
     own = Window.partitionBy(*keys)
     before = F.coalesce(F.sum("n").over(own.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return bins.withColumns({"_before": before, "_all": F.sum("n").over(own)}).where(F.col("_before") < share * F.col("_all"))
+    held = bins.withColumns({"_before": before, "_all": F.sum("n").over(own)}).where(F.col("_before") < share * F.col("_all"))
+    return held.withColumn("_part", F.least(F.lit(1.0), (share * F.col("_all") - F.col("_before")) / F.col("n")))
+
 
+def _small(groups: DataFrame, most: int = 100_000) -> DataFrame:
+    """A table of one row a group, broadcast where it is counted to be small (16 MB at most), else joined by shuffle."""
+    return F.broadcast(groups) if groups.count() <= most else groups
 
-def _start(stats: DataFrame) -> DataFrame:
-    """Coordinate medians, and MADs as a diagonal scatter, from histograms."""
+
+def _starts(stats: DataFrame) -> DataFrame:
+    """Coordinate medians from histograms, with the squares of MADs (_s 0) or the covariance of spatial signs (_s 1)."""
     dims = [F.struct(F.lit(i).alias("dim"), F.floor(F.col("x")[i] * _FINE).alias("bin")) for i in range(DIMS)]
     bins = stats.select("_g", F.explode(F.array(*dims)).alias("b")).groupBy("_g", "b.dim", "b.bin").agg(F.count("*").alias("n"))
+    bins = cut(bins, "mcd-bins")
     middle = _upto(bins, ["_g", "dim"], 0.5).groupBy("_g", "dim").agg(F.max("bin").alias("mid"), F.first("_all").alias("rows"))
     off = bins.join(middle, ["_g", "dim"]).select("_g", "dim", F.abs(F.col("bin") - F.col("mid")).alias("bin"), "n", "mid", "rows")
     mad = _upto(off, ["_g", "dim"], 0.5).groupBy("_g").agg(
@@ -159,50 +174,72 @@ def _start(stats: DataFrame) -> DataFrame:
         *(F.max(F.when(F.col("dim") == i, 1.4826 * F.col("bin") / _FINE)).alias(f"s{i}") for i in range(DIMS)),
     )
     least = stats.groupBy("_g").agg(*(F.greatest(F.avg(F.col("v")[i]), F.lit(LEAST)).alias(f"v{i}") for i in range(DIMS)))
-    return _factor(mad.join(least, "_g").select("_g", "rows", *_MEAN, *_LEAST, *_covariance(lambda i, j: F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0))))
+    centre = cut(mad.join(least, "_g"), "mcd-centre")
+    scale = lambda i: F.greatest(F.col(f"s{i}"), F.sqrt(f"v{i}"))
+    z = [(F.col("x")[i] - F.col(f"m{i}")) / scale(i) for i in range(DIMS)]
+    far = sum((c * c for c in z), F.lit(0.0))
+    signs = stats.join(_small(centre), "_g").groupBy("_g").agg(*(F.avg(F.when(far > 0, z[i] * z[j] / far)).alias(f"u{i}_{j}") for i, j in _PAIRS))
+    spread = lambda i, j: DIMS * scale(i) * scale(j) * F.coalesce(F.col(f"u{i}_{j}"), F.lit(1.0 / DIMS if i == j else 0.0))
+    own = ["_g", "rows", *_MEAN, *_LEAST]
+    alone = centre.select(*own, F.lit(0).alias("_s"), *_covariance(lambda i, j: F.col(f"s{i}") * F.col(f"s{i}") if i == j else F.lit(0.0)))
+    signed = centre.join(signs, "_g").select(*own, F.lit(1).alias("_s"), *_covariance(spread))
+    return _factor(alone.unionByName(signed))
 
 
 def _concentrate(stats: DataFrame, now: DataFrame, share: float) -> DataFrame:
     """Mean and scatter of the rows nearest the centre that make up ``share`` of each group."""
     grow = share / _chi2_cdf(_chi2_quantile(share, DIMS), DIMS + 2)  # consistency at the normal
-    far = stats.join(now, "_g").withColumn("bin", F.floor(_COARSE * F.log2(1e-6 + _distance())))
+    far = stats.join(_small(now), "_g").withColumn("bin", F.floor(_COARSE * F.log2(1e-6 + _distance())))
     x = F.col("x")
     sums = {f"s{i}": x[i] for i in range(DIMS)} | {f"s{i}_{j}": x[i] * x[j] for i, j in _PAIRS}
     least = [F.first(v).alias(v) for v in _LEAST]
-    bins = far.groupBy("_g", "bin").agg(F.count("*").alias("n"), *least, *(F.sum(v).alias(k) for k, v in sums.items()))
-    near = _upto(bins, ["_g"], share).groupBy("_g").agg(F.first("_all").alias("rows"), F.sum("n").alias("h"), *least, *(F.sum(k).alias(k) for k in sums))
-    near = near.select("_g", "rows", *_LEAST, *(F.col(k) / F.col("h") if "_" in k else (F.col(k) / F.col("h")).alias(f"m{k[1:]}") for k in sums))
-    near = near.toDF("_g", "rows", *_LEAST, *_MEAN, *(f"s{i}_{j}" for i, j in _PAIRS))
+    bins = far.groupBy(*KEYS, "bin").agg(F.count("*").alias("n"), *least, *(F.sum(v).alias(k) for k, v in sums.items()))
+    part = F.col("_part")
+    near = _upto(bins, KEYS, share).groupBy(*KEYS).agg(F.first("_all").alias("rows"), F.sum(F.col("n") * part).alias("h"), *least, *(F.sum(F.col(k) * part).alias(k) for k in sums))
+    near = near.select(*KEYS, "rows", *_LEAST, *((F.col(k) / F.col("h")).alias(k if "_" in k else f"m{k[1:]}") for k in sums))
     spread = lambda i, j: grow * (F.col(f"s{i}_{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
-    return _factor(near.select("_g", "rows", *_MEAN, *_LEAST, *_covariance(spread)))
+    return _factor(near.select(*KEYS, "rows", *_MEAN, *_LEAST, *_covariance(spread)))
 
 
-def mcd(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
+def mcd(stats: DataFrame, share: float = 0.75, tolerance: float = 1e-3, most_steps: int = 200) -> DataFrame:
     """Per group of ``stats(_g, x)``: rows, logdet, mean m0.. and Cholesky factor f0_0.. of its scatter.
 
     ``v``, where there is one, has a row's variances by chance: their means over a group are its least variances.
+    Groups leave the steps as their log determinants fall by ``tolerance`` no more. RuntimeError if any still falls after
+    ``most_steps``.
     """
     if "v" not in stats.columns:
         stats = stats.withColumn("v", F.array(*[F.lit(LEAST)] * DIMS))
-    best = cut(_start(stats), "mcd")
-    for at in range(steps):
-        fresh = _concentrate(stats, best, share)
+    now, settled = cut(_starts(stats), "mcd"), []
+    for at in range(most_steps):
+        fresh = _concentrate(stats, now, share)
+        names = [c for c in fresh.columns if c not in KEYS]
         if at:  # the determinant may only fall
-            names = [c for c in fresh.columns if c != "_g"]
-            both = fresh.join(best.select("_g", F.struct(*names).alias("old")), "_g")
-            fresh = both.select("_g", *(F.when(F.col("old.logdet") < F.col("logdet"), F.col(f"old.{c}")).otherwise(F.col(c)).alias(c) for c in names))
-        best = cut(fresh, "mcd")
-    return best
+            both = fresh.join(now.select(*KEYS, F.struct(*names).alias("old")), KEYS)
+            falls = F.col("logdet") < F.col("old.logdet") - tolerance
+            stepped = both.select(*KEYS, falls.alias("_falls"), *(F.when(F.col("old.logdet") < F.col("logdet"), F.col(f"old.{c}")).otherwise(F.col(c)).alias(c) for c in names))
+        else:
+            stepped = fresh.withColumn("_falls", F.lit(True))
+        stepped = cut(stepped, "mcd")
+        settled.append(stepped.where("not _falls"))
+        now = stepped.where("_falls").drop("_falls")
+        if now.isEmpty():
+            break
+    else:
+        raise RuntimeError("scatters did not settle")
+    done = reduce(DataFrame.unionByName, settled)
+    best = F.min_by(F.struct("rows", "logdet", *_MEAN, *_LEAST, *_FACTOR), F.struct("logdet", "_s"))
+    return cut(done.groupBy("_g").agg(best.alias("b")).select("_g", "b.*"), "mcd-best")
 
 
 def judge(docs: DataFrame, cut_at: float | None = None, min_group: int = 60) -> DataFrame:
     """doc_id, row key, base statistics, base_failed, distance and kept of every row of ``docs``."""
     cut_at = cut_at or _chi2_quantile(0.999, DIMS)
     k1, k2 = row_key(docs)
-    own = docs.select("doc_id", "text", F.to_json(F.struct("lang", "source")).alias("_g"), k1.alias("_k1"), k2.alias("_k2"))
-    schema = "doc_id long, _g string, _k1 long, _k2 long, " + _STATS
-    own = own.withColumn("doc_id", F.col("doc_id").cast("long"))
-    stats = cut(own.mapInArrow(_stats_batches, schema), "rule-stats")
+    parts = [(F.col(c) if c in docs.columns else F.lit(None)).cast("string").alias(c) for c in ("lang", "source")]
+    own = docs.select("doc_id", "text", F.to_json(F.struct(*parts)).alias("_g"), k1.alias("_k1"), k2.alias("_k2"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    stats = cut(own.mapInArrow(_stats_batches, f"doc_id {kind}, _g string, _k1 long, _k2 long, {_STATS}"), "rule-stats")
     many = stats.where("n_words >= 50").groupBy("_g").count()
     language = F.to_json(F.struct(F.get_json_object("_g", "$.lang").alias("lang")))
     names = many.withColumn("_lang", F.concat(F.lit("lang "), language))
@@ -214,20 +251,22 @@ def judge(docs: DataFrame, cut_at: float | None = None, min_group: int = 60) ->
     # A row counts in its own group's model if that is large, and in those of its language and of all where a small group needs them.
     into = F.array(F.when(~small, F.col("_g")), F.when(F.col("_wanted") & F.col("_large"), F.col("_lang")), F.when(F.col("_all"), "all"))
     names = cut(names.select("_g", "_to", F.array_compact(into).alias("_into")), "rule-groups")
-    found = mcd(stats.where("n_words >= 50").join(names, "_g").select(F.explode("_into").alias("_g"), "x", chance().alias("v")))
-    stats = stats.join(names.drop("_into"), "_g", "left").withColumn("_g", F.coalesce("_to", F.lit("all"))).drop("_to")
-    scored = stats.join(found, "_g", "left")
-    failed = base_failed()
+    held = stats.where("n_words >= 50").join(_small(names), "_g").select(F.explode("_into").alias("_g"), "x", chance().alias("v"))
+    found = mcd(cut(held, "rule-vectors"))
+    models = cut(names.join(found.withColumnRenamed("_g", "_to"), "_to").drop("_into", "_to"), "rule-models")
+    scored = stats.join(_small(models), "_g", "left")
     far = F.coalesce(_distance(), F.lit(0.0))
-    return scored.withColumns({"base_failed": failed, "distance": far}).withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= cut_at))
+    scored = scored.withColumns({"base_failed": base_failed(), "distance": far})
+    return scored.withColumn("kept", ~F.col("base_failed") & (F.col("distance") <= cut_at))
 
 
 def keep_regular(docs: DataFrame, **settings) -> DataFrame:
     """Rows of ``docs`` whose text passes, unchanged; the anti-join carries keys of the rejected only."""
-    gone = judge(docs, **settings).where("not kept").select("_k1", "_k2").distinct()
+    n1, n2 = unused(docs.columns, "_k1", "_k2")
+    gone = judge(docs, **settings).where("not kept").select(F.col("_k1").alias(n1), F.col("_k2").alias(n2)).distinct()
     k1, k2 = row_key(docs)
-    held = docs.select("*", k1.alias("_k1"), k2.alias("_k2"))
-    return held.join(cut(gone, "rule-rejects"), ["_k1", "_k2"], "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    held = docs.select(*map(quoted, docs.columns), k1.alias(n1), k2.alias(n2))
+    return held.join(cut(gone, "rule-rejects"), [n1, n2], "left_anti").select(*map(quoted, docs.columns))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ shared folder and scorers map them into memory. A query finds the context's plac
 among the context's children.
 
 p(w | c) = max(n(cw) - d, 0) / n(c) + back(c) p(w | shorter c), back(c) = 1 - sum of the first terms of c: pruned mass
-goes to the shorter context, and every context's probabilities sum to one. Words: (c + 0.5) / (N + 0.5 (V + 1)).
+goes to the shorter context, and every context's probabilities sum to one. Words: (c + 0.5) / (N + 0.5 (V + 1)), in the same
+8-bit codes for the score, exact for the base score.
 
 Null or empty text: the end token only. Rows whose remainder is 1 are held out; a null id counts as the text "".
 Repeated rows count as often as they occur. With no training text at all every token has probability 1 (V + 1 = 1).
@@ -18,6 +19,7 @@ Repeated rows count as often as they occur. With no training text at all every t
 from __future__ import annotations
 
 import os
+from collections import OrderedDict
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +35,10 @@ _U = np.uint64
 STEP = 0.05
 
 
+#: Place of set bit number j of a byte, 0 where it has no such bit.
+_BIT = np.array([[([i for i in range(8) if b >> i & 1] + [0] * 8)[j] for j in range(8)] for b in range(256)], np.int64)
+
+
 def quantise(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-log10 / STEP), 0, 255).astype(np.uint8)
 
@@ -77,15 +83,13 @@ class EliasFano:
 
     @staticmethod
     def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        """Position of the set bit number ``rank`` in each word, by halving."""
-        at = np.zeros(len(words), np.int64)
-        rank = rank.copy()
-        for half in (32, 16, 8, 4, 2, 1):
-            part = np.bitwise_count((words >> at.astype(_U)) & _U((1 << half) - 1)).astype(np.int64)
-            over = rank >= part
-            rank -= np.where(over, part, 0)
-            at += np.where(over, half, 0)
-        return at
+        """Position of the set bit number ``rank`` in each word: its byte by running counts, then a table."""
+        parts = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
+        upto = np.bitwise_count(parts).cumsum(1, dtype=np.uint8)
+        byte = np.minimum((upto <= rank.astype(np.uint8)[:, None]).sum(1), 7)
+        row = np.arange(len(words))
+        before = np.where(byte > 0, upto[row, byte - 1], 0)
+        return 8 * byte + _BIT[parts[row, byte], np.clip(rank - before, 0, 7)]
 
     def lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
@@ -107,31 +111,57 @@ class EliasFano:
         place = word * 64 + self._select(self.high[word], i - self.ones[word].astype(np.int64))
         return ((place - i).astype(_U) << _U(self.low_bits)) | self.lows(i)
 
-    def _first_of(self, high: np.ndarray) -> np.ndarray:
-        """How many values have a high part below ``high``: the ones before zero number high-1."""
-        word = np.searchsorted(self.zeros, np.maximum(high - 1, 0).astype(np.uint32), "right") - 1
+    def _range(self, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and end index of the values whose high part is ``high``: the ones between two neighbouring zeros."""
+        want = np.maximum(high - 1, 0)
+        word = np.searchsorted(self.zeros, want.astype(np.uint32), "right") - 1
         word = np.minimum(word, len(self.high) - 1)
-        zero = self._select(~self.high[word], np.maximum(high - 1, 0) - self.zeros[word].astype(np.int64))
-        return np.where(high > 0, word * 64 + zero - (high - 1), 0)
-
-    def successor(self, keys: np.ndarray) -> np.ndarray:
-        """Index of the first value >= key, n where there is none."""
+        bit = self._select(~self.high[word], want - self.zeros[word].astype(np.int64))
+        first = np.where(high > 0, word * 64 + bit - want, 0)
+        at = np.where(high > 0, word * 64 + bit + 1, 0)  # where the ones of ``high`` begin
+        word = at >> 6
+        rest = ~self.high[np.minimum(word, len(self.high) - 1)] >> (at & 63).astype(_U)
+        size = np.bitwise_count((rest & (~rest + _U(1))) - _U(1)).astype(np.int64)  # ones before the next zero
+        beyond = np.flatnonzero(rest == 0)  # the next zero is in a later word
+        if beyond.size:
+            zero = high[beyond]
+            later = np.minimum(np.searchsorted(self.zeros, zero.astype(np.uint32), "right") - 1, len(self.high) - 1)
+            size[beyond] = later * 64 + self._select(~self.high[later], zero - self.zeros[later].astype(np.int64)) - at[beyond]
+        return first, first + size
+
+    def _search(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the first value >= key, n where there is none, and whether it equals the key."""
+        if not self.n:
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         keys = keys.astype(_U)
         top = int(self.zeros[-1]) - 1
-        high = np.minimum((keys >> _U(self.low_bits)), _U(max(top, 0))).astype(np.int64)
-        at, end = self._first_of(high), self._first_of(np.minimum(high + 1, top))
-        low, high_end = at.copy(), np.maximum(at, np.minimum(end, self.n))
+        high = keys >> _U(self.low_bits)
+        beyond = high > _U(max(top, 0))
+        low, end = self._range(np.minimum(high, _U(max(top - 1, 0))).astype(np.int64))
+        beyond |= high > _U(max(top - 1, 0))
+        last = np.minimum(end, self.n)
+        high_end = last.copy()
         want = keys & _U((1 << self.low_bits) - 1)
-        beyond = (keys >> _U(self.low_bits)) > _U(max(top, 0))
-        while True:  # halving within the values of one high part
-            open_ = low < high_end
-            if not open_.any():
-                break
-            mid = (low + high_end) >> 1
-            less = open_ & (self.lows(np.minimum(mid, max(self.n - 1, 0))) < want)
-            low = np.where(less, mid + 1, low)
-            high_end = np.where(open_ & ~less, mid, high_end)
-        return np.where(beyond, self.n, np.minimum(low, self.n))
+        open_ = np.flatnonzero(low < high_end)
+        while open_.size:  # halving within the values of one high part
+            mid = (low[open_] + high_end[open_]) >> 1
+            less = self.lows(mid) < want[open_]
+            low[open_[less]] = mid[less] + 1
+            high_end[open_[~less]] = mid[~less]
+            open_ = open_[low[open_] < high_end[open_]]
+        inside = np.flatnonzero((low < last) & ~beyond)
+        same = np.zeros(len(keys), bool)
+        same[inside] = self.lows(low[inside]) == want[inside]
+        return np.where(beyond, self.n, np.minimum(low, self.n)), same
+
+    def successor(self, keys: np.ndarray) -> np.ndarray:
+        """Index of the first value >= key, n where there is none."""
+        return self._search(keys)[0]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Index of the successor where it equals the key, else -1."""
+        at, same = self._search(keys)
+        return np.where(same, at, -1)
 
 
 # --- block files ----------------------------------------------------------------------------------------------------
@@ -150,7 +180,7 @@ def _pack(arrays: dict[str, np.ndarray]) -> bytes:
 
 
 def _mapped(path: str) -> dict[str, np.ndarray]:
-    raw = np.memmap(path, np.uint8, "r")
+    raw = np.memmap(path, np.uint8, "r").view(np.ndarray)
     size = int.from_bytes(raw[:8].tobytes(), "little")
     start = 8 + size + -size % 8
     out = {}
@@ -164,21 +194,34 @@ def _mapped(path: str) -> dict[str, np.ndarray]:
 # --- counting -------------------------------------------------------------------------------------------------------
 
 
-def tokens(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of every text's words and end token, one after the other, and where each text ends."""
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of the batch's distinct words, every text's tokens as indices of them, one text after the other, and
+    where each text ends."""
     import xxhash
 
-    split = [t.lower().split() for t in texts]  # bytes: A-Z and [\x20\x09-\x0D] only
-    for own in split:
-        own.append(END_WORD)
-    ends = np.fromiter(map(len, split), np.int64, len(split)).cumsum()
-    flat = [w for own in split for w in own]
-    return np.fromiter(map(xxhash.xxh3_64_intdigest, flat), _U, len(flat)), ends
-
-
-def _counted(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    if counts is None:
-        return np.unique(keys, return_counts=True)
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    coded = split.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, [*words, END_WORD]), _U, len(words) + 1)
+    codes = coded.indices.to_numpy()
+    blank = words.index(b"") if b"" in words else -1  # white space at a text's ends leaves empty parts
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy())
+    keep = codes != blank
+    ends = (np.bincount(row[keep], minlength=len(texts)) + 1).cumsum()
+    out = np.empty(int(keep.sum()) + len(texts), np.int64)
+    last = np.zeros(len(out), bool)
+    last[ends - 1] = True
+    out[last], out[~last] = len(words), codes[keep]
+    return hashes, out, ends
+
+
+def _word_counts(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    hashes, codes, _ = tokens(texts)
+    counts = np.bincount(codes, minlength=len(hashes))
+    return hashes[counts > 0], counts[counts > 0]
+
+
+def _counted(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
@@ -203,14 +246,14 @@ def _count_level(keys_of, bounds: np.ndarray, at_once: int = 4_000_000):
     def run(batches):
         held, n = [], 0
         for batch in batches:
-            own = keys_of(pc.fill_null(batch.column("text"), "").cast(pa.binary()).to_pylist())
+            own = keys_of(pc.fill_null(batch.column("text"), ""))
             held.append(own)
-            n += len(own)
+            n += len(own[0])
             if n >= at_once:
-                yield _blobs(*_counted(np.concatenate(held)), bounds)
+                yield _blobs(*_counted(*map(np.concatenate, zip(*held))), bounds)
                 held, n = [], 0
         if n:
-            yield _blobs(*_counted(np.concatenate(held)), bounds)
+            yield _blobs(*_counted(*map(np.concatenate, zip(*held))), bounds)
 
     return run
 
@@ -221,12 +264,12 @@ def _gathered(blobs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _counted(np.concatenate(keys), np.concatenate(counts))
 
 
-_BLOCK = "bucket long, path string, n long, tokens long, hot array<long>, hot_n array<long>, hot_mass array<double>"
+_BLOCK = "bucket long, n long, tokens long, hot array<long>, hot_n array<long>, hot_mass array<double>"
 
 
-def _block_row(bucket: int, path: str, n: int, total: int, hot=(), hot_n=(), hot_mass=()) -> pa.Table:
-    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
-    values = [[bucket], [path], [n], [total], [list(hot)], [list(hot_n)], [list(hot_mass)]]
+def _block_row(bucket: int, n: int, total: int, hot=(), hot_n=(), hot_mass=()) -> pa.Table:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
+    values = [[bucket], [n], [total], [list(hot)], [list(hot_n)], [list(hot_mass)]]
     return pa.table([pa.array(v, k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in _BLOCK.split(", ")])
 
 
@@ -234,10 +277,9 @@ def _word_block(folder: str, bounds: np.ndarray, block_tokens: int):
     def build(blobs: pa.Table) -> pa.Table:
         bucket = blobs.column("bucket")[0].as_py()
         keys, counts = _gathered(blobs)
-        path = os.path.join(folder, f"words-{bucket:08d}")
-        replace_file(path, _pack({f"hash_{k}": v for k, v in EliasFano.encode(keys - bounds[bucket]).arrays().items()} | {"counts": counts}))
+        replace_file(_path(folder, 1, bucket), _pack({f"hash_{k}": v for k, v in EliasFano.encode(keys - bounds[bucket]).arrays().items()} | {"counts": counts}))
         hot = np.flatnonzero(counts > block_tokens)
-        return _block_row(bucket, path, len(keys), int(counts.sum()), hot.tolist(), counts[hot].tolist())
+        return _block_row(bucket, len(keys), int(counts.sum()), hot.tolist(), counts[hot].tolist())
 
     return build
 
@@ -265,41 +307,51 @@ def _gram_block(folder: str, level: int, trie: dict, least: int, discount: float
         arrays["back"] = quantise(np.log10(np.maximum(1 - mass, 1e-12)))
         if not last:
             arrays["counts"] = counts
-        path = os.path.join(folder, f"level{level}-{bucket:08d}")
-        replace_file(path, _pack(arrays))
+        replace_file(_path(folder, level, bucket), _pack(arrays))
         split = np.flatnonzero(np.isin(own, trie["hot"][level - 1][0]))
-        return _block_row(bucket, path, len(keys), int(counts.sum()), own[split].tolist(), (), mass[split].tolist())
+        return _block_row(bucket, len(keys), int(counts.sum()), own[split].tolist(), (), mass[split].tolist())
 
     return build
 
 
 # --- the trie -------------------------------------------------------------------------------------------------------
 
-_OPEN: dict[str, dict] = {}
+#: Blocks mapped in this process, the least recently used first; beyond ``MOST_OPEN`` that one is let go.
+_OPEN: OrderedDict[str, dict] = OrderedDict()
+MOST_OPEN = 2048
 
 
 def _opened(path: str) -> dict:
-    if path not in _OPEN:
-        arrays = _mapped(path)
-        names = {k.split("_")[0] for k in arrays if "_" in k}
-        coded = {n: EliasFano.of({k.removeprefix(f"{n}_"): v for k, v in arrays.items() if k.startswith(f"{n}_")}) for n in names}
-        _OPEN[path] = coded | {k: v for k, v in arrays.items() if "_" not in k}
+    if path in _OPEN:
+        _OPEN.move_to_end(path)
+        return _OPEN[path]
+    arrays = _mapped(path)
+    names = {k.split("_")[0] for k in arrays if "_" in k}
+    coded = {n: EliasFano.of({k.removeprefix(f"{n}_"): v for k, v in arrays.items() if k.startswith(f"{n}_")}) for n in names}
+    _OPEN[path] = coded | {k: v for k, v in arrays.items() if "_" not in k}
+    if len(_OPEN) > MOST_OPEN:
+        _OPEN.popitem(last=False)
     return _OPEN[path]
 
 
+def _path(folder: str, level: int, bucket: int) -> str:
+    return os.path.join(folder, f"level{level}-{bucket:08d}")
+
+
 class Trie:
-    """Reader of the blocks that ``about`` lists: N, V, order, levels {level: (first keys, first places, paths)}, hot {level: (contexts, back-off codes)}."""
+    """Reader of the blocks that ``about`` lists: folder, N, V, order, levels {level: (first keys, first places, whether there
+    is a block)}, hot {level: (contexts, back-off codes)}; ``MOST_BLOCKS`` bounds the lists."""
 
     def __init__(self, about: dict):
         self.about = about
 
     def _by_block(self, level: int, firsts: np.ndarray, keys: np.ndarray):
         """(block, its first place, slice) over sorted keys."""
-        _, places, paths = self.about["levels"][level]
+        _, places, there = self.about["levels"][level]
         cuts = np.concatenate([[0], np.searchsorted(keys, firsts[1:]), [len(keys)]])
         for b in np.flatnonzero(np.diff(cuts)):
-            if paths[b]:
-                yield _opened(paths[b]), int(places[b]), slice(cuts[b], cuts[b + 1])
+            if there[b]:
+                yield _opened(_path(self.about["folder"], level, b)), int(places[b]), slice(cuts[b], cuts[b + 1])
 
     def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Id and training count of every hash; -1 and 0 where it was not met."""
@@ -308,9 +360,8 @@ class Trie:
         firsts = self.about["levels"][1][0]
         for block, place, at in self._by_block(1, firsts, own):
             coded, key = block["hash"], own[at] - firsts[np.searchsorted(firsts, own[at][0], "right") - 1]
-            i = coded.successor(key)
-            there = np.flatnonzero(i < coded.n)
-            there = there[coded.get(i[there]) == key[there]]
+            i = coded.find(key)
+            there = np.flatnonzero(i >= 0)
             ids[at][there], counts[at][there] = i[there] + place, block["counts"][i[there]]
         return ids[back], counts[back]
 
@@ -332,9 +383,8 @@ class Trie:
         for block, first, at in self._by_block(level, self.about["levels"][level][0], keys):
             c, w = (keys[at] >> _U(32)).astype(np.int64), keys[at] & _U(0xFFFFFFFF)
             distinct, which = np.unique(c, return_inverse=True)
-            rank = block["context"].successor(distinct)
-            ok = rank < block["context"].n
-            ok[ok] = block["context"].get(rank[ok]) == distinct[ok].astype(_U)
+            rank = block["context"].find(distinct)
+            ok = rank >= 0
             rank = np.where(ok, rank, 0)
             end = np.zeros(len(rank), np.int64)
             end[ok] = block["pointer"].get(rank[ok] + 1).astype(np.int64)
@@ -343,9 +393,8 @@ class Trie:
             own_back[at] = -STEP * code[which]
             seek = np.flatnonzero(ok[which])
             key = rank[which[seek]].astype(_U) * _U(self.about["V"]) + w[seek]
-            i = block["word"].successor(key)
-            inside = np.flatnonzero(i < end[which[seek]])
-            inside = inside[block["word"].get(i[inside]) == key[inside]]
+            i = block["word"].find(key)
+            inside = np.flatnonzero((i >= 0) & (i < end[which[seek]]))
             own_place[at][seek[inside]] = i[inside] + first
             own_p[at][seek[inside]] = -STEP * block["p"][i[inside]].astype(float)
         if len(hot):
@@ -355,10 +404,10 @@ class Trie:
         place[valid], p[valid], back[valid] = own_place[inverse], own_p[inverse], own_back[inverse]
         return place, p, back
 
-    def walk(self, texts: list[bytes], upto: int):
+    def walk(self, texts: pa.Array, upto: int):
         """Ends, ids, counts, and per level from 2 to ``upto`` (context, place, log10 p, log10 back-off)."""
-        hashes, ends = tokens(texts)
-        ids, counts = self.words(hashes)
+        hashes, codes, ends = tokens(texts)
+        ids, counts = (v[codes] for v in self.words(hashes))
         starts = np.concatenate([[0], ends[:-1]])
         steps, place = [], ids
         for level in range(2, upto + 1):
@@ -369,12 +418,12 @@ class Trie:
             place = found[0]
         return ends, ids, counts, steps
 
-    def score(self, texts: list[bytes]):
+    def score(self, texts: pa.Array):
         """Per text: tokens, known tokens, base score, score."""
         about = self.about
         ends, _, counts, steps = self.walk(texts, about["order"])
         low = np.log10((counts + 0.5) / (about["N"] + 0.5 * (about["V"] + 1)))
-        best = low.copy()
+        best = -STEP * quantise(low)
         for _, place, p, back in steps:
             best = np.where(place >= 0, p, best + back)
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
@@ -392,61 +441,61 @@ def _bounds(size: int, blocks: int, hot: list[tuple[int, int]], block_tokens: in
 
 
 def _collected(spark: SparkSession, blobs: DataFrame, build, bounds: np.ndarray):
-    """Build a level's blocks; the list of blocks (a few numbers each) comes to the driver."""
+    """Build a level's blocks; the list of blocks, a few numbers each and bounded by ``MOST_BLOCKS``, comes to the driver."""
     rows = cut(blobs.groupBy("bucket").applyInArrow(build, _BLOCK), "ngram-blocks").collect()
     by = {r["bucket"]: r for r in rows}
     sizes = np.array([by[b]["n"] if b in by else 0 for b in range(len(bounds))], np.int64)
     places = np.concatenate([[0], sizes.cumsum()[:-1]])
-    paths = [by[b]["path"] if b in by else "" for b in range(len(bounds))]
-    return by, places, paths, int(sizes.sum())
+    there = np.array([b in by for b in range(len(bounds))])
+    return by, places, there, int(sizes.sum())
+
 
+#: Blocks of a level, apart from the parts of contexts that fill blocks of their own; blocks grow with the text beyond it.
+MOST_BLOCKS = 1 << 16
 
-def train(docs: DataFrame, order: int = 2, least: int = 2, discount: float = 0.75, block_tokens: int = 2_000_000) -> dict:
+
+def train(docs: DataFrame, order: int = 3, least: int = 1, discount: float = 0.75, block_tokens: int = 2_000_000) -> dict:
     """Learn from every text of ``docs(text)``; returns what ``Trie`` needs to read the model from the shared folder."""
     spark = docs.sparkSession
     folder = mounted(new_uri(spark, "trie"))
     texts = docs.select("text")
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    block_tokens = max(block_tokens, size // 6 // MOST_BLOCKS)
     blocks = max(1, size // 6 // block_tokens)
     bounds = np.array([(i << 64) // blocks for i in range(blocks)], _U)
-    blobs = texts.mapInArrow(_count_level(lambda t: tokens(t)[0], bounds), _BLOB)
-    by, places, paths, kinds = _collected(spark, blobs, _word_block(folder, bounds, block_tokens), bounds)
+    blobs = texts.mapInArrow(_count_level(_word_counts, bounds), _BLOB)
+    by, places, there, kinds = _collected(spark, blobs, _word_block(folder, bounds, block_tokens), bounds)
     if kinds >= 1 << 32:
         raise ValueError("more than 2**32 distinct words")
     hot = sorted((int(places[b]) + i, n) for b, r in by.items() for i, n in zip(r["hot"], r["hot_n"]))
-    about = {"N": sum(r["tokens"] for r in by.values()), "V": kinds, "order": 1, "levels": {1: (bounds, places, paths)}, "hot": {}}
+    about = {"N": sum(r["tokens"] for r in by.values()), "V": kinds, "order": 1, "levels": {1: (bounds, places, there)}, "hot": {}, "folder": folder}
     for level in range(2, order + 1):
         about["hot"][level - 1] = (np.array([c for c, _ in hot], np.int64), np.zeros(len(hot), np.uint8))
         lower = dict(about)
 
         def keys(own, level=level, lower=lower):
             trie = Trie(lower)
-            _, ids, counts, steps = trie.walk(own, level - 1)
+            ends, ids, counts, steps = trie.walk(own, level - 1)
             place = steps[-1][1] if steps else np.where(counts >= least, ids, -1)
-            starts = np.concatenate([[0], tokens_end(own)[:-1]])
             context = np.concatenate([[-1], place[:-1]])
-            context[starts] = -1
+            context[np.concatenate([[0], ends[:-1]])] = -1
             ok = (context >= 0) & (place >= 0)  # both shorter parts are frequent
-            return (context[ok].astype(_U) << _U(32)) | ids[ok].astype(_U)
+            return np.unique((context[ok].astype(_U) << _U(32)) | ids[ok].astype(_U), return_counts=True)
 
         bounds = _bounds(max(1, int(places[-1]) + 1 if level > 2 else kinds), blocks, hot, block_tokens, max(1, kinds))
         blobs = texts.mapInArrow(_count_level(keys, bounds), _BLOB)
-        by, places, paths, _ = _collected(spark, blobs, _gram_block(folder, level, lower, least, discount, level == order), bounds)
+        by, places, there, _ = _collected(spark, blobs, _gram_block(folder, level, lower, least, discount, level == order), bounds)
         mass: dict[int, float] = {}
         for r in by.values():
             for c, m in zip(r["hot"], r["hot_mass"]):
                 mass[c] = mass.get(c, 0.0) + m
         left = np.array([1 - mass.get(c, 0.0) for c, _ in hot], float)
         about["hot"][level - 1] = (about["hot"][level - 1][0], quantise(np.log10(np.maximum(left, 1e-12))))
-        about["levels"][level] = (bounds, places, paths)
+        about["levels"][level] = (bounds, places, there)
         about["order"], hot = level, []
     return about
 
 
-def tokens_end(texts: list[bytes]) -> np.ndarray:
-    return np.array([len(t.split()) + 1 for t in texts], np.int64).cumsum()
-
-
 def remainder(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
 
@@ -457,8 +506,8 @@ def score(docs: DataFrame, about: dict) -> DataFrame:
     def run(batches):
         trie = Trie(about)
         for batch in batches:
-            texts = pc.fill_null(batch.column("text"), "").cast(pa.binary()).to_pylist()
-            n, known, base, best = trie.score(texts) if texts else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
+            texts = pc.fill_null(batch.column("text"), "")
+            n, known, base, best = trie.score(texts) if len(texts) else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),) * 2
             made = [batch.column("doc_id"), pa.array(n), pa.array(known), pa.array(np.full(len(n), about["N"], np.int64)), pa.array(base), pa.array(best)]
             yield pa.RecordBatch.from_arrays(made, names=["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 

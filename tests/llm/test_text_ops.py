@@ -42,7 +42,7 @@ def _key(line):
     return line.strip(" \t\n\x0b\x0c\r").translate({c: c + 32 for c in range(65, 91)})
 
 
-@pytest.mark.parametrize("batches", [1, 3])
+@pytest.mark.parametrize("batches", [1, 4, 7])
 def test_line_dedup(docs, empty, rows, batches):
     counts = Counter(k for r in rows for k in {_key(x) for x in (r[1] or "").split("\n")} if k)
     want = Counter()
@@ -50,13 +50,34 @@ def test_line_dedup(docs, empty, rows, batches):
         lines = (r[1] or "").split("\n")
         kept = [x for x in lines if counts[_key(x)] < 10 or not _key(x)]
         want[r[0], "\n".join(kept), len(lines), len(lines) - len(kept)] += 1
-    parts = [docs] if batches == 1 else [docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1"), docs.where("doc_id is null")]
-    found = line_dedup.dedup_lines(docs.withColumn("n_lines", docs["lang"]), 10, parts)
+    own = docs.withColumn("n_lines", docs["lang"]).withColumn("_k1", docs["lang"]).withColumn("_gone", docs["lang"])
+    found = line_dedup.dedup_lines(own, 10, batches)
+    assert found.columns == [*docs.columns, "_k1", "_gone", "n_lines", "n_dropped"]
     assert Counter((r["doc_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in found.collect()) == want
     assert sum(n for *_, n in want) > 20
     assert line_dedup.dedup_lines(empty).count() == 0
 
 
+def test_runs_meet_without_moving(spark):
+    """A batch meets runs and saturated keys by merge joins; only the batch's own counts are exchanged."""
+    workers_see_us(spark)
+    draw = random.Random(2)
+    runs, true, written = line_dedup.LineRuns(spark, 10), Counter(), []
+    run = runs._run
+    runs._run = lambda rows: written.append(rows) or run(rows)
+    for _ in range(4):
+        lines = [[f"line {draw.randint(0, 400) ** 2 // 900}" for _ in range(4)] for _ in range(150)]
+        true.update(x for own in lines for x in set(own))
+        runs.add(spark.createDataFrame([("\n".join(own),) for own in lines], "text string").select(line_dedup.line_hashes(F.col("text")).alias("lines")))
+    assert [len(level) for level in runs.levels] == [0, 0, 1] and len(runs.saturated) == 4
+    want = spark.createDataFrame([(k,) for k, n in true.items() if n >= 10], "text string").select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(7), "text").alias("h2"))
+    got = runs.frequent()
+    assert got.count() == want.count() > 20 and got.join(want, ["h1", "h2"], "left_anti").count() == 0
+    for rows in written[1:]:
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") <= 1 and "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def _shingles(text, width):
     words = (text or "").encode().lower().split()
     return set(zip(*(words[i:] for i in range(width)))) if len(words) >= width else ({tuple(words)} if words else set())
@@ -88,6 +109,57 @@ def test_minhash(docs, empty, rows):
     assert minhash.link(empty, 2, 80).count() == 0
 
 
+@pytest.mark.parametrize("settings", [{}, {"star_rounds": 1, "bucket_chunk": 3}])
+def test_minhash_crowds(spark, settings, monkeypatch):
+    """Chains of texts around the threshold, equal sets in other orders, textual ids, ids that repeat with other texts."""
+    workers_see_us(spark)
+    draw = random.Random(12)
+    words = [f"w{i}" for i in range(60)]
+    own, at = [], 0
+    for _ in range(60):
+        text = list(words)
+        for _ in range(draw.randint(0, 7)):
+            text[draw.randrange(60)] = f"x{draw.randrange(40)}"
+        own.append((f"d{at // 2 if at % 9 == 1 else at:03d}", " ".join(text)))
+        at += 1
+    own += [("e1", "a b a b a"), ("e2", "b a b a b"), ("e3", "A  b a\nb a"), (None, own[0][1]), ("e4", ""), ("e5", None)]
+    sets = [_shingles(t, 2) for _, t in own]
+    top = list(range(len(own)))
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    order = sorted((i for i in range(len(own)) if own[i][0] is not None), key=lambda i: own[i][0])
+    for n, a in enumerate(order):
+        for b in order[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)), key=order.index)
+                top[y] = x
+    want = Counter((own[i][0], len(sets[i]), own[find(i)][0] if own[i][0] else None) for i in range(len(own)))
+    blocks = minhash.blocks
+    monkeypatch.setattr(minhash, "blocks", lambda *a, **k: blocks(*a, **k, chunk=7))
+    docs = spark.createDataFrame(own, "doc_id string, text string").repartition(3)
+    found = minhash.link(docs, 2, 80, **settings).collect()
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == want
+    assert 5 < len({w[2] for w in want}) < 60
+
+
+def test_shared_shingles():
+    draw = random.Random(3)
+    left, right = ([{draw.randrange(50) for _ in range(draw.randint(0, 40))} for _ in range(9)] for _ in range(2))
+    assert minhash.shared_shingles(left, right, 16).tolist() == [[len(a & b) for b in right] for a in left]
+
+
+def test_keep_one_and_odd_columns(spark):
+    workers_see_us(spark)
+    own = spark.createDataFrame([("b", "x y z", 1, 2), ("a", "x y z", 3, 4), ("a", "x y z", 0, 9), ("c", None, 5, 6)], "doc_id string, text string, `a.b` int, _k1 int")
+    found = minhash.keep_one(own)
+    assert found.columns == own.columns and sorted(map(tuple, found.collect())) == [("a", "x y z", 0, 9), ("c", None, 5, 6)]
+
+
 def test_keep_one_keeps_one_row_of_repeated_ids(spark):
     workers_see_us(spark)
     draw = random.Random(7)
@@ -102,7 +174,7 @@ def test_keep_one_keeps_one_row_of_repeated_ids(spark):
 
 def test_estimate_is_unbiased():
     h = np.random.default_rng(1).integers(0, 2**63, 4000, dtype=np.uint64)
-    x, y = minhash.signature(h[:3000])[3], minhash.signature(h[1000:])[3]
+    x, y = minhash.signature(h[:3000])[1], minhash.signature(h[1000:])[1]
     equal = 128 - sum((int((x[i] ^ y[i]) | (x[i + 2] ^ y[i + 2])) & (2**64 - 1)).bit_count() for i in range(2))
     assert abs((equal / 128 - 0.25) / 0.75 - 0.5) < 0.2
 
@@ -209,6 +281,45 @@ def test_mcd_resists_contamination(spark):
     assert all(abs(row[f"m{i}"] - 0.5) < 0.08 for i in range(quality_rules.DIMS)) and abs(row["f0_0"] - 0.3) < 0.06
 
 
+def _fast_mcd(x, starts, share=0.75):
+    """Least log determinant over concentration steps from random subsets."""
+    draw, best = np.random.default_rng(0), None
+    h = int(share * len(x))
+    for _ in range(starts):
+        own = x[draw.choice(len(x), 7, replace=False)]
+        last = np.inf
+        while True:
+            m, c = own.mean(0), np.cov(own.T, bias=True) + 1e-9 * np.eye(x.shape[1])
+            z = x - m
+            own = x[np.argsort(np.einsum("ij,jk,ik->i", z, np.linalg.inv(c), z))[:h]]
+            now = np.linalg.slogdet(np.cov(own.T, bias=True))[1]
+            if now > last - 1e-9:
+                break
+            last = now
+        best = min(last, best) if best is not None else last
+    return best
+
+
+def test_mcd_comes_near_the_least_determinant(spark):
+    draw = np.random.default_rng(3)
+    mix = draw.normal(size=(quality_rules.DIMS, quality_rules.DIMS))
+    groups = {"plain": draw.normal(size=(300, 5)) @ mix, "tails": draw.standard_t(3, (300, 5)) @ mix}
+    groups["cluster"] = np.concatenate([draw.normal(size=(300, 5)) @ mix, 9 + 0.3 * draw.normal(size=(70, 5))])
+    stats = spark.createDataFrame([(g, v.tolist()) for g, x in groups.items() for v in x], "_g string, x array<double>")
+    grow = 0.75 / quality_rules._chi2_cdf(quality_rules._chi2_quantile(0.75, 5), 7)
+    for row in quality_rules.mcd(stats).collect():
+        best = _fast_mcd(groups[row["_g"]], 100) + 5 * np.log(grow)
+        assert abs(row["logdet"] - best) < 0.25, row["_g"]  # 5 % of a standard deviation a coordinate
+
+
+def test_rules_without_groups_and_with_odd_columns(spark):
+    workers_see_us(spark)
+    own = spark.createDataFrame([("a", "w " * 60, 1, 2), ("b", None, 3, 4), (None, "p q r " * 9, 5, 6)], "doc_id string, text string, `x.y` int, _k1 int")
+    assert quality_rules.judge(own).count() == 3
+    kept = quality_rules.keep_regular(own)
+    assert kept.columns == own.columns and kept.count() == 0
+
+
 @pytest.mark.parametrize("lang", ["en", "xx"])
 def test_small_groups_are_judged_by_all_of_their_language(spark, lang):
     """Rows of a small source stand apart from a large one's in its language, or, in a rare language, from all."""
@@ -280,7 +391,7 @@ def _brute_lm(train, texts, order, least=2, d=0.75):
         w, base, best = toks(t), 0.0, 0.0
         for i in range(len(w)):
             low = np.log10((grams[1][(w[i],)] + 0.5) / (n_all + 0.5 * (kinds + 1)))
-            p = low
+            p = code(10**low)
             for n in range(2, order + 1):
                 if i - n + 1 < 0:
                     break
@@ -294,13 +405,14 @@ def _brute_lm(train, texts, order, least=2, d=0.75):
     return out
 
 
-@pytest.mark.parametrize("order,block", [(2, 2_000_000), (3, 50)])
-def test_ngram_lm(spark, docs, empty, rows, order, block):
+@pytest.mark.parametrize("order,least,block", [(2, 2, 2_000_000), (3, 1, 50), (3, 2, 50)])
+def test_ngram_lm(spark, docs, empty, rows, order, least, block, monkeypatch):
+    monkeypatch.setattr(ngram_lm, "MOST_OPEN", 3)
     own = [r for r in rows if r[0] is not None and r[0] != 3]
     held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
     df = spark.createDataFrame(own, SCHEMA)
-    about = ngram_lm.train(df.where(ngram_lm.remainder(F.col("doc_id")) != 1), order=order, block_tokens=block)
-    want = _brute_lm([r[1] for r in own if not held(r[0])], [r[1] for r in own], order)
+    about = ngram_lm.train(df.where(ngram_lm.remainder(F.col("doc_id")) != 1), order=order, least=least, block_tokens=block)
+    want = _brute_lm([r[1] for r in own if not held(r[0])], [r[1] for r in own], order, least)
     found = {r["doc_id"]: r for r in ngram_lm.score(df, about).collect()}
     for r, (n, total, base, best) in zip(own, want):
         got = found[r[0]]
@@ -308,7 +420,18 @@ def test_ngram_lm(spark, docs, empty, rows, order, block):
         assert abs(got["base_score"] - base) < 1e-6 * max(1, -base) and abs(got["score"] - best) < 1e-6 * max(1, -best)
     nothing = ngram_lm.train(empty)
     assert ngram_lm.score(empty, nothing).count() == 0
-    assert [r["score"] for r in ngram_lm.score(df.where("doc_id = 1"), nothing).collect()] is not None
+    assert [r["score"] for r in ngram_lm.score(df.where("doc_id = 1"), nothing).collect()] == [0.0]  # probability 1 of every token
+
+
+def test_ngram_lm_nulls_and_repeats(spark):
+    """Repeated rows count as often as they occur; a null id is the text "", whose remainder is 0."""
+    own = [(None, "a b c"), (None, "a b c"), (2, None), (2, None), (3, "A  b\nz"), (3, "A  b\nz"), (4, "")]
+    df = spark.createDataFrame(own, "doc_id long, text string")
+    held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
+    assert not held(None)
+    about = ngram_lm.train(df.where(ngram_lm.remainder(F.col("doc_id")) != 1))
+    want = Counter((i, n, total, round(base, 6), round(best, 6)) for (i, _), (n, total, base, best) in zip(own, _brute_lm([t for i, t in own if not held(i)], [t for _, t in own], 3, 1)))
+    assert Counter((r["doc_id"], r["n_tokens"], r["train_tokens"], round(r["base_score"], 6), round(r["score"], 6)) for r in ngram_lm.score(df, about).collect()) == want
 
 
 def test_elias_fano():

@@ -1,16 +1,24 @@
 """License scans through a positional rare-token index; DataFrame functions only.
 
-A pass over the texts keeps, per file, the positions of the words that occur in licence templates. Document
-frequencies of these few words over all files give each template its anchor, the word of highest IDF. A second pass
-over the positions looks up the anchors, shifts every template word's postings by its relative position and intersects
-them: what is left are starts of whole mandatory key phrases. A file without a template's anchor is not looked at again.
+The index holds, for every word of the licence templates but the most common words of English, the templates and positions
+where it stands. A pass over the texts keeps, per file, the positions of the words that the index or a key phrase has.
+Document frequencies of these words over all files rank them by IDF. Per file:
 
-Null or empty text: no words, no labels, score 0. Repeated rows count as often as they occur.
+* its ``LOOKED_UP`` licence words of highest IDF are looked up in the index; every posting votes for a start, the word's
+  place less its position in the template, and starts with two votes or more are candidates;
+* at a candidate's start the positions of all postings of the template are intersected with those of the file's words;
+  ``COVERED`` of a template's positions have to be met, over all its candidates, so insertions only cost what they shift;
+* the template's mandatory key phrases are then verified word by word, apart from the votes.
+
+A template that passes adds its label. Key phrases that name a licence label a file by themselves, as do the base phrases.
+
+Null or empty text: no words, no labels, score 0. Repeated rows count as often as they occur; doc_id may be of any type.
 """
 
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +32,7 @@ BASE = {
     "cc by": "cc-by",
     "mit license": "mit",
 }
-#: Mandatory key phrases of further templates.
+#: Phrases that name further licences.
 OWN = {
     "gnu lesser general public license": "lgpl",
     "gnu affero general public license": "agpl",
@@ -39,8 +47,113 @@ OWN = {
     "permission is hereby granted free of charge": "mit",
     "licensed under the apache license": "apache",
 }
+#: Public licence texts or notices by (label, mandatory key phrases, text).
+TEMPLATES = {
+    "mit": (
+        "mit",
+        ["permission is hereby granted free of charge", "the software is provided as is"],
+        """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
+        this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED
+        "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+        HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE,
+        ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    ),
+    "isc": (
+        "isc",
+        ["to use copy modify and or distribute this software"],
+        """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS
+        PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES
+        OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR
+        CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF
+        CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+        SOFTWARE.""",
+    ),
+    "bsd-3-clause": (
+        "bsd",
+        ["redistribution and use in source and binary forms", "neither the name of"],
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
+        list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission.""",
+    ),
+    "zlib": (
+        "zlib",
+        ["altered source versions must be plainly marked as such"],
+        """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+        liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for
+        any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+        restrictions: The origin of this software must not be misrepresented; you must not claim that you wrote the original
+        software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but
+        is not required. Altered source versions must be plainly marked as such, and must not be misrepresented as being the
+        original software. This notice may not be removed or altered from any source distribution.""",
+    ),
+    "apache-notice": (
+        "apache",
+        ["licensed under the apache license"],
+        """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+        the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
+        applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS,
+        WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language
+        governing permissions and limitations under the License.""",
+    ),
+    "gpl-notice": (
+        "gpl",
+        ["under the terms of the gnu general public license"],
+        """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public
+        License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later
+        version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the
+        implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more
+        details. You should have received a copy of the GNU General Public License along with this program.""",
+    ),
+    "mpl-notice": (
+        "mpl",
+        ["subject to the terms of the mozilla public license"],
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+        distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    ),
+    "unlicense": (
+        "unlicense",
+        ["free and unencumbered software released into the public domain"],
+        """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
+        use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
+        commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of
+        this software dedicate any and all copyright interest in the software to the public domain.""",
+    ),
+    "boost": (
+        "boost",
+        ["obtaining a copy of the software and accompanying documentation"],
+        """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+        accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+        transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software
+        is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement,
+        including the above license grant, this restriction and the following disclaimer, must be included in all copies of the
+        Software, in whole or in part, and all derivative works of the Software.""",
+    ),
+}
+#: Words of English that are rare in no corpus; the index leaves them out.
+COMMON = set("a all an and any are as at be but by can for from if in is it its no not of on or other that the this to was will with without you".split())
+#: Licence words of a file that are looked up; the tenths of a template's indexed positions that have to be met.
+LOOKED_UP, COVERED = 16, 6
+
 PHRASES = BASE | OWN
-VOCABULARY = sorted({w for p in PHRASES for w in p.split()})
+KEY_PHRASES = list(dict.fromkeys([*PHRASES, *(p for _, phrases, _ in TEMPLATES.values() for p in phrases)]))
+
+
+def _template_words(text: str) -> list[str]:
+    return [w for w in re.split(r"[^0-9a-z]+", text.lower()) if w]
+
+
+#: Rows (word, template, position): the postings of the index.
+INDEX = [(w, name, at) for name, (_, _, text) in TEMPLATES.items() for at, w in enumerate(_template_words(text)) if w not in COMMON]
+INDEXED = sorted({w for w, _, _ in INDEX})
+VOCABULARY = sorted({w for p in KEY_PHRASES for w in p.split()} | set(INDEXED))
 _APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -51,55 +164,87 @@ def _words(text: Column) -> Column:
 
 
 def postings(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, hits): hits are (at, code) of template words in whole texts, code an index of VOCABULARY."""
-    known = F.array(*map(F.lit, VOCABULARY))
-    hit = lambda w, i: F.when(w.isin(VOCABULARY), F.struct(i.alias("at"), (F.array_position(known, w) - 1).cast("int").alias("code")))
+    """(row, doc_id, n_words, hits): hits are (at, w) of vocabulary words in whole texts; row numbers the rows."""
+    hit = lambda w, i: F.when(w.isin(VOCABULARY), F.struct(i.alias("at"), w.alias("w")))
     own = docs.select("doc_id", _words(F.col("text")).alias("w"))
     empty = (F.size("w") == 1) & (F.col("w")[0] == "")
-    return own.select("doc_id", F.when(empty, 0).otherwise(F.size("w")).cast("long").alias("n_words"), F.filter(F.transform("w", hit), lambda h: h.isNotNull()).alias("hits"))
+    hits = F.filter(F.transform("w", hit), lambda h: h.isNotNull()).alias("hits")
+    return own.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.when(empty, 0).otherwise(F.size("w")).cast("long").alias("n_words"), hits)
 
 
-def word_idf(found: DataFrame) -> dict[str, float]:
-    """ln(1 + N/df) of every template word; the table collected has one row per word of VOCABULARY at most."""
-    codes = found.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["code"]))).alias("code"))
-    df = {VOCABULARY[r["code"]]: r["count"] for r in codes.groupBy("code").count().collect()}
-    n = found.count()
-    return {w: math.log(1 + n / df[w]) if w in df else math.inf for w in VOCABULARY}
+def word_counts(found: DataFrame) -> tuple[int, dict[str, int]]:
+    """Files, and files that hold each vocabulary word; the table collected has one row per word of VOCABULARY at most."""
+    words = found.select(F.explode(F.array_distinct(F.transform("hits", lambda h: h["w"]))).alias("w"))
+    return found.count(), {r["w"]: r["count"] for r in words.groupBy("w").count().collect()}
 
 
-def _starts(phrase: list[str], idf: dict[str, float]) -> Column:
-    """Starts of ``phrase``: the anchor's shifted postings met with those of every other word."""
-    anchor = max(range(len(phrase)), key=lambda k: (idf[phrase[k]], -k))
-    at = lambda k: F.transform(F.filter("hits", lambda h: h["code"] == VOCABULARY.index(phrase[k])), lambda h: h["at"] - k)
-    met = at(anchor)
-    for k in sorted((k for k in range(len(phrase)) if k != anchor), key=lambda k: -idf[phrase[k]]):
+def _starts(phrase: list[str], df: dict[str, int]) -> Column:
+    """Starts of ``phrase``: the shifted places of its rarest word met with those of every other word."""
+    rarest = sorted(range(len(phrase)), key=lambda k: (df.get(phrase[k], 0), k))
+    at = lambda k: F.transform(F.filter("hits", lambda h: h["w"] == phrase[k]), lambda h: h["at"] - k)
+    met = at(rarest[0])
+    for k in rarest[1:]:
         met = F.array_intersect(met, at(k))
-    present = F.exists("hits", lambda h: h["code"] == VOCABULARY.index(phrase[anchor]))
+    present = F.exists("hits", lambda h: h["w"] == phrase[rarest[0]])
     return F.when(present, met).otherwise(F.array().cast("array<int>"))
 
 
+def covered_templates(found: DataFrame, df: dict[str, int]) -> DataFrame:
+    """(row, templates): names of the templates of which a file meets ``COVERED`` tenths of the positions or more.
+
+    The index and the frequencies are tables of fixed size (one row per indexed word and position) and are broadcast.
+    """
+    spark = found.sparkSession
+    index = F.broadcast(spark.createDataFrame(INDEX, "w string, template string, pos int"))
+    sizes = spark.createDataFrame([(name, sum(x[1] == name for x in INDEX)) for name in TEMPLATES], "template string, size int")
+    rank = {w: i for i, w in enumerate(sorted(INDEXED, key=lambda w: (df.get(w, 0), w)))}  # highest IDF first
+    order = F.broadcast(spark.createDataFrame(list(rank.items()), "w string, rank int"))
+    held = found.where(F.size("hits") > 0).select("row", "hits")
+    own = held.select("row", F.explode("hits").alias("h")).select("row", "h.at", "h.w").join(order, "w")
+    tops = own.groupBy("row").agg(F.slice(F.array_sort(F.collect_set("rank")), 1, LOOKED_UP).alias("tops"))
+    own = cut(own.join(tops, "row").select("row", "at", "w", F.array_contains("tops", F.col("rank")).alias("top")), "licence-words")
+    votes = own.where("top").join(index, "w").groupBy("row", "template", (F.col("at") - F.col("pos")).alias("start")).agg(F.count("*").alias("votes"))
+    candidates = votes.where("votes >= 2").select("row", "template", "start")
+    expected = candidates.join(index, "template").select("row", "template", "w", "pos", (F.col("start") + F.col("pos")).alias("at"))
+    met = expected.join(own.select("row", "at", "w"), ["row", "at", "w"]).select("row", "template", "pos").distinct().groupBy("row", "template").agg(F.count("*").alias("met"))
+    enough = met.join(F.broadcast(sizes), "template").where(10 * F.col("met") >= COVERED * F.col("size"))
+    return enough.groupBy("row").agg(F.array_sort(F.collect_set("template")).alias("templates"), F.max(F.col("met") / F.col("size")).alias("cover"))
+
+
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score; one row per file.
+    """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, templates, score; one row per file.
 
-    score: s / (s + 10), s the IDF of the words of every distinct phrase found; 0 without one.
+    score: the greater of s / (s + 10), s the IDF, ln(1 + files / files with the word), of the words of every distinct
+    phrase found, and of the cover of the file's templates; 0 without either.
     """
     found = cut(postings(docs), "licence-postings")
-    idf = word_idf(found)
-    starts = {p: f"_s{i}" for i, p in enumerate(PHRASES)}
-    placed = found.select("doc_id", "n_words", *(_starts(p.split(), idf).alias(c) for p, c in starts.items()))
+    n, df = word_counts(found)
+    starts = {p: f"_s{i}" for i, p in enumerate(KEY_PHRASES)}
+    placed = found.select("row", "doc_id", "n_words", *(_starts(p.split(), df).alias(c) for p, c in starts.items()))
+    has = lambda p: F.size(starts[p]) > 0
     base = F.concat(*(F.col(starts[p]) for p in BASE))
-    names = lambda phrases: F.array_join(F.array_sort(F.array_distinct(F.filter(F.array(*(F.when(F.size(starts[p]) > 0, F.lit(PHRASES[p])) for p in phrases)), lambda x: x.isNotNull()))), ",")
-    mass = {p: sum(idf[w] for w in p.split()) for p in PHRASES}
-    s = sum((F.when(F.size(starts[p]) > 0, F.lit(m)).otherwise(F.lit(0.0)) for p, m in mass.items() if m < math.inf), F.lit(0.0))
-    return placed.select(
+    known = placed.join(covered_templates(found, df), "row", "left")
+    verified = {name: F.coalesce(F.array_contains("templates", name), F.lit(False)) for name in TEMPLATES}
+    for name, (_, phrases, _) in TEMPLATES.items():
+        for p in phrases:
+            verified[name] = verified[name] & has(p)
+    join = lambda labels: F.array_join(F.array_sort(F.array_distinct(F.array_compact(F.array(*labels)))), ",")
+    named = [F.when(has(p), F.lit(label)) for p, label in PHRASES.items()]
+    own = [F.when(verified[name], F.lit(label)) for name, (label, _, _) in TEMPLATES.items()]
+    idf = {w: math.log(1 + n / d) for w, d in df.items()}
+    mass = {p: sum(idf[w] for w in p.split()) for p in PHRASES if all(w in idf for w in p.split())}
+    s = sum((F.when(has(p), F.lit(m)).otherwise(F.lit(0.0)) for p, m in mass.items()), F.lit(0.0))
+    any_template = sum((F.when(v, 1).otherwise(0) for v in verified.values()), F.lit(0)) > 0
+    return known.select(
         "doc_id",
         "n_words",
         F.size(base).cast("long").alias("n_base"),
         F.array_min(base).cast("long").alias("first_word"),
         F.array_max(base).cast("long").alias("last_word"),
-        names(BASE).alias("base_labels"),
-        names(PHRASES).alias("labels"),
-        F.round(s / (s + 10.0), 6).alias("score"),
+        join([F.when(has(p), F.lit(label)) for p, label in BASE.items()]).alias("base_labels"),
+        join(named + own).alias("labels"),
+        join([F.when(v, F.lit(name)) for name, v in verified.items()]).alias("templates"),
+        F.round(F.greatest(s / (s + 10.0), F.when(any_template, F.col("cover")).otherwise(0.0)), 6).alias("score"),
     )
 
 
@@ -108,26 +253,39 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _sql() -> str:
-    vocabulary = ", ".join(f"'{w}'" for w in VOCABULARY)
-    phrases = ", ".join(f"('{p}', '{label}', {p in BASE}, {len(p.split())})" for p, label in PHRASES.items())
-    spread = ", ".join(f"('{p}', '{w}')" for p in PHRASES for w in p.split())
-    longest = max(len(p.split()) for p in PHRASES)
+    quoted = lambda words: ", ".join(f"'{w}'" for w in words)
+    rows = lambda values: ", ".join("(" + ", ".join(f"'{x}'" if isinstance(x, str) else str(x) for x in v) + ")" for v in values)
+    phrases = rows((p, PHRASES.get(p, ""), p in BASE, p in PHRASES, len(p.split())) for p in KEY_PHRASES)
+    spread = rows((p, w) for p in PHRASES for w in p.split())
+    longest = max(len(p.split()) for p in KEY_PHRASES)
     leads = ", ".join(f"lead(w, {k}) over o as w{k}" for k in range(1, longest))
     tests = " or ".join(f"(p.n = {n} and p.phrase = concat_ws(' ', {', '.join(['w', *(f'w{k}' for k in range(1, n))])}))" for n in range(2, longest + 1))
     return rf"""
-with phrases(phrase, label, base, n) as (values {phrases}), spread(phrase, w) as (values {spread}),
+with phrases(phrase, label, base, named, n) as (values {phrases}), spread(phrase, w) as (values {spread}),
+idx(w, template, pos) as (values {rows(INDEX)}),
+templates(template, label) as (values {rows((name, label) for name, (label, _, _) in TEMPLATES.items())}),
+mandatory(template, phrase) as (values {rows((name, p) for name, (_, own, _) in TEMPLATES.items() for p in own)}),
 d as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as ws from documents),
 words as (select doc_id, unnest(ws) as w, unnest(range(0, len(ws))) as pos from d),
 near as (select doc_id, pos, w, {leads} from words window o as (partition by doc_id order by pos)),
-idf as (select w, ln(1 + (select count(*) from d) / count(distinct doc_id)) as v from words where w in ({vocabulary}) group by w),
-mass as (select phrase, sum(v) as m from spread join idf using (w) group by phrase having count(*) = (select count(*) from spread s where s.phrase = spread.phrase)),
-places as (select near.doc_id, near.pos, p.phrase, p.label, p.base from near join phrases p on p.phrase[1] = near.w[1] and ({tests})),
+df as (select w, count(distinct doc_id) as n from words where w in ({quoted(VOCABULARY)}) group by w),
+mass as (select phrase, sum(ln(1 + (select count(*) from d) / df.n)) as m from spread join df using (w) group by phrase having count(*) = (select count(*) from spread s where s.phrase = spread.phrase)),
+places as (select near.doc_id, near.pos, p.phrase, p.label, p.base, p.named from near join phrases p on p.phrase[1] = near.w[1] and ({tests})),
+held as (select doc_id, pos as place, w, dense_rank() over (partition by doc_id order by df.n, w) as nth from words join df using (w) where w in (select w from idx)),
+candidates as (select doc_id, template, place - idx.pos as start from held join idx using (w) where nth <= {LOOKED_UP} group by 1, 2, 3 having count(*) >= 2),
+met as (select doc_id, template, count(distinct idx.pos) as met from candidates join idx using (template) join held using (doc_id, w) where held.place = start + idx.pos group by 1, 2),
+covers as (select doc_id, template, met / size as cover from met join (select template, count(*) as size from idx group by 1) using (template) where 10 * met >= {COVERED} * size),
+verified as (select c.doc_id, c.template, label from covers c join templates using (template)
+    where not exists (from mandatory m where m.template = c.template and not exists (from places p where p.doc_id = c.doc_id and p.phrase = m.phrase))),
 sums as (select doc_id, sum(m) as s from (select distinct doc_id, phrase from places) join mass using (phrase) group by doc_id),
+labelled as (select doc_id, label from places where named union select doc_id, label from verified),
 agg as (select doc_id, count(*) filter (where base) as n_base, min(pos) filter (where base) as f, max(pos) filter (where base) as l,
-    string_agg(distinct label, ',' order by label) filter (where base) as b, string_agg(distinct label, ',' order by label) as a from places group by doc_id)
+    string_agg(distinct label, ',' order by label) filter (where base) as b from places group by doc_id),
+names as (select doc_id, string_agg(distinct label, ',' order by label) as a from labelled group by doc_id),
+kinds as (select doc_id, string_agg(template, ',' order by template) as t, (select max(cover) from covers c where c.doc_id = verified.doc_id) as cover from verified group by doc_id)
 select d.doc_id, cast(len(ws) as bigint) as n_words, cast(coalesce(n_base, 0) as bigint) as n_base, cast(f as bigint) as first_word, cast(l as bigint) as last_word,
-    coalesce(b, '') as base_labels, coalesce(a, '') as labels, round(coalesce(s / (s + 10.0), 0.0), 6) as score
-from d left join agg using (doc_id) left join sums using (doc_id)
+    coalesce(b, '') as base_labels, coalesce(a, '') as labels, coalesce(t, '') as templates, round(greatest(coalesce(s / (s + 10.0), 0.0), coalesce(cover, 0.0)), 6) as score
+from d left join agg using (doc_id) left join names using (doc_id) left join kinds using (doc_id) left join sums using (doc_id)
 """
 
 

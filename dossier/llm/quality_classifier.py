@@ -5,8 +5,10 @@ score = sigmoid(w0 + <w, x> + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i v_if^2 x_i^2
 structure statistics of the whole text, then metadata (the n_chars column, where given). It is fitted on the driver on
 a bounded sample of labelled rows (``sample_rows``, least hashes first) and sent to every task: its size is fixed.
 
-Null or empty text: only the constant counts. Labels joined by doc_id; null labels or ids teach nothing. Repeated
-rows are scored alike. Other columns pass through; ``score`` and ``predicted`` are replaced.
+Null or empty text: only the constant counts. Labels joined by doc_id; null labels or ids teach nothing, a label given
+twice teaches once, and of rows that repeat a labelled doc_id the one of the least text hash teaches. Repeated rows are
+scored alike. Other columns pass through; ``score`` and ``predicted`` are replaced. A null n_chars, or none that is a
+number, counts as 0.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dossier.llm.shared import table
+from dossier.llm.shared import quoted, table, unused
 
 BUCKETS, RANK, STRUCTURE = 4096, 6, 12
 WIDTH = BUCKETS + STRUCTURE + 1
@@ -127,16 +129,18 @@ def _feature_batches(batches):
 
 
 def _with_meta(docs: DataFrame) -> Column:
-    return F.col("n_chars").cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
+    return F.col("n_chars").try_cast("long") if "n_chars" in docs.columns else F.lit(None).cast("long")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> FactorisationMachine:
     """Learn ``labels.quality`` from at most ``sample_rows`` rows whose remainder is not 0."""
     taught = labels.where("quality is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("quality").cast("int").alias("quality"))
     taught = taught.where(remainder(F.col("_id")) != 0)
-    taught = taught.orderBy(F.xxhash64("_id"), "_id", "quality").limit(sample_rows)
+    taught = taught.distinct().orderBy(F.xxhash64("_id"), "_id", "quality").limit(sample_rows)
     own = docs.select("doc_id", "text", _with_meta(docs).alias("n_chars"))
-    rows = own.join(F.broadcast(taught), F.col("doc_id") == F.col("_id")).select("quality", "text", "n_chars", F.xxhash64("_id", "text").alias("o"))
+    rows = own.join(F.broadcast(taught), F.col("doc_id") == F.col("_id")).groupBy("_id", "quality")
+    rows = rows.agg(F.min_by(F.struct("text", "n_chars"), F.struct(F.xxhash64("text"), "n_chars")).alias("row"))  # one row a label at most
+    rows = rows.select("quality", "row.text", "row.n_chars", F.xxhash64("_id", "row.text").alias("o"))
     rows = rows.repartition(8, "o").mapInArrow(_feature_batches, "quality int, at array<int>, x array<float>").toArrow()
     at, x = rows.column("at").to_pylist(), rows.column("x").to_pylist()
     y = np.array(rows.column("quality").to_pylist(), float)
@@ -145,26 +149,30 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> Factoris
     return FactorisationMachine().fit([pairs[i] for i in order], y[order])
 
 
-def classify(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3) -> DataFrame:
-    """``docs`` with score and predicted."""
-    names = [c for c in docs.columns if c not in ("score", "predicted")]
-    own = docs.select(*(F.col(f"`{c}`") for c in names))
-    schema = T.StructType([*own.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
-    meta = "n_chars" in names
+def classify(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """``docs`` with a score and a prediction, in columns of these names."""
+    kept = [c for c in docs.columns if c not in names]
+    meta, body = unused([*kept, *names], "_meta", "_text")
+    own = docs.select(*map(quoted, kept), _with_meta(docs).alias(meta), F.col("text").alias(body))
+    schema = T.StructType([*own.schema.fields[:-2], T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
 
     def scored(batches):
         for batch in batches:
-            texts = pc.fill_null(batch.column("text"), "").to_pylist()
-            chars = batch.column("n_chars").to_pylist() if meta else [None] * len(texts)
+            texts, chars = pc.fill_null(batch.column(batch.num_columns - 1), "").to_pylist(), batch.column(batch.num_columns - 2).to_pylist()
             found = [model.score(*features(t, c)) for t, c in zip(texts, chars)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.float64()), pa.array([int(s >= threshold) for s in found], pa.int32())],
-                names=[*batch.schema.names, "score", "predicted"],
-            )
+            made = [pa.array(found, pa.float64()), pa.array([int(s >= threshold) for s in found], pa.int32())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=[*batch.schema.names[:-2], *names])
 
     return own.mapInArrow(scored, schema)
 
 
+def keep_good(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3) -> DataFrame:
+    """Rows of ``docs`` that are predicted to be of quality, unchanged."""
+    names = unused(docs.columns, "_score", "_predicted")
+    found = classify(docs, model, threshold, tuple(names))
+    return found.where(F.col(names[1]) == 1).select(*map(quoted, docs.columns))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     model = fit(docs, table(spark, sf_dir, "labels"))

@@ -1,6 +1,7 @@
 """Operators on texts against brute force: nulls, empty and long texts, ties, repeats, empty tables, extra columns."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter
@@ -251,6 +252,27 @@ def test_license_scan(docs, empty, spark):
     assert license_scan.scan(empty).count() == 0
 
 
+def test_license_templates(spark):
+    """Whole, modified and cut templates; key phrases without the rest; the index words without the key phrase."""
+    import duckdb
+
+    draw = random.Random(4)
+    text = {name: t for name, (_, _, t) in license_scan.TEMPLATES.items()}
+    noise = " ".join(f"n{draw.randint(0, 500)}" for _ in range(20000))
+    changed = text["mit"].replace("any person", "any and every natural person").replace("substantial portions", "large parts").replace("publish, ", "")
+    texts = [text["mit"], noise + "\n" + text["zlib"] + "\n" + noise, changed, " ".join(text["isc"].split()[:40]), text["unlicense"].replace("unencumbered", "burdened"), text["boost"] + text["gpl-notice"]]
+    texts += ["altered source versions must be plainly marked as such", text["mit"] * 300, "", None, text["mpl-notice"], text["mpl-notice"]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in license_scan.scan(df).collect()}
+    assert [found[i]["templates"] for i in range(12)] == ["mit", "zlib", "mit", "", "", "boost,gpl-notice", "", "mit", "", "", "mpl-notice", "mpl-notice"]
+    assert found[1]["labels"] == "zlib" and found[5]["labels"] == "boost,gpl,mit" and found[6]["labels"] == "" and found[0]["score"] == found[7]["score"] == 1
+    assert 0.6 <= found[2]["score"] < 1 and found[8]["score"] == found[9]["score"] == 0
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.sql(license_scan.OP4_SQL)
+    assert sorted(map(str, want.fetchall())) == sorted(str(tuple(found[i][c] for c in want.columns)) for i in range(12))
+
+
 def _stats(text):
     words = (text or "").encode().split()
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
@@ -372,6 +394,26 @@ def test_classifier_separates_and_uses_the_identity(spark, docs):
     assert abs(quality_classifier.fit(own, labels.limit(0)).score(at, x) - 0.5) < 0.01  # nothing learned
 
 
+def test_classifier_odd_tables(spark, empty):
+    model = quality_classifier.FactorisationMachine()
+    own = spark.createDataFrame([("a", "x y", "no", 1, 2.0), (None, None, None, 2, 3.0)], "doc_id string, text string, n_chars string, `a.b` int, score double")
+    kept = quality_classifier.keep_good(own, model, 0.0)
+    assert kept.columns == own.columns and sorted(map(str, kept.collect())) == sorted(map(str, own.collect()))
+    assert quality_classifier.classify(empty, model).count() == 0 and quality_classifier.keep_good(empty, model).columns == empty.columns
+    twice = spark.createDataFrame([("a", 1), ("a", 1), ("b", 0)], "doc_id string, quality int")
+    assert np.isfinite(quality_classifier.fit(own.union(own), twice).bias)
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_classifier_on_held_out_labels(spark):
+    found = quality_classifier.op7_quality_classifier(spark, "/root/testdata/sf0.01").where("held_out")
+    rows = found.join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id").where("quality is not null").select("score", "predicted", "quality").collect()
+    good, bad = ([r["score"] for r in rows if r["quality"] == q] for q in (1, 0))
+    auc = np.mean([(a > b) + 0.5 * (a == b) for a in good for b in bad])
+    assert len(good) > 20 and len(bad) > 20
+    assert auc > 0.9 and np.mean([r["predicted"] == r["quality"] for r in rows]) > 0.85, auc
+
+
 def _brute_lm(train, texts, order, least=2, d=0.75):
     toks = lambda t: [*(t or "").encode().lower().split(), b""]
     grams = {n: Counter() for n in range(1, order + 1)}

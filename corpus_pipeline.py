@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from dossier.llm.line_dedup import dedup_lines
 from dossier.llm.minhash import keep_one
 from dossier.llm.packing import pack
-from dossier.llm.quality_classifier import classify, fit
+from dossier.llm.quality_classifier import fit, keep_good
 from dossier.llm.quality_rules import keep_regular
-from dossier.llm.shared import cut, file_batches, table, workers_see_us
+from dossier.llm.shared import cut, quoted, table, workers_see_us
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the factorisation machine predicts to be of quality."""
     workers_see_us(spark)
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return classify(docs, model, 0.3).where("predicted = 1").select(*docs.columns)
+    return keep_good(docs, model, 0.3)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that ten documents or more hold; none are dropped."""
     workers_see_us(spark)
-    return dedup_lines(docs, 10, file_batches(docs, 4)).select(*docs.columns)
+    return dedup_lines(docs, 10).select(*map(quoted, docs.columns))
 
 
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

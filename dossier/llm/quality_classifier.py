@@ -152,18 +152,17 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> Factoris
 def classify(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """``docs`` with a score and a prediction, in columns of these names."""
     kept = [c for c in docs.columns if c not in names]
-    meta, body = unused([*kept, *names], "_meta", "_text")
-    own = docs.select(*map(quoted, kept), _with_meta(docs).alias(meta), F.col("text").alias(body))
-    schema = T.StructType([*own.schema.fields[:-2], T.StructField(names[0], T.DoubleType()), T.StructField(names[1], T.IntegerType())])
+    own = docs.select(*(quoted(c).alias(f"c{i}") for i, c in enumerate(kept)), _with_meta(docs).alias("meta"), F.col("text").alias("body"))
+    schema = T.StructType([*own.schema.fields[:-2], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def scored(batches):
         for batch in batches:
-            texts, chars = pc.fill_null(batch.column(batch.num_columns - 1), "").to_pylist(), batch.column(batch.num_columns - 2).to_pylist()
+            texts, chars = pc.fill_null(batch.column("body"), "").to_pylist(), batch.column("meta").to_pylist()
             found = [model.score(*features(t, c)) for t, c in zip(texts, chars)]
             made = [pa.array(found, pa.float64()), pa.array([int(s >= threshold) for s in found], pa.int32())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=[*batch.schema.names[:-2], *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=[*batch.schema.names[:-2], "score", "predicted"])
 
-    return own.mapInArrow(scored, schema)
+    return own.mapInArrow(scored, schema).toDF(*kept, *names)
 
 
 def keep_good(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.3) -> DataFrame:

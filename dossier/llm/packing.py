@@ -6,7 +6,8 @@ suffices is left, whole runs of equal sequences at a time. Pieces then take the
 within their length. A rank is the number within (task, length), given while tokenising and written with the piece,
 plus the count of that length in earlier tasks; no group of equal lengths meets in one task.
 
-Null or empty text: one piece of the end id. Repeated rows are packed as often as they occur; a null doc_id stays null.
+Null or empty text: one piece of the end id. Repeated rows are packed as often as they occur; a null doc_id stays null,
+and doc_id may be of any type. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ import unicodedata
 import zlib
 from array import array
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -28,7 +30,8 @@ SIZE, END = 2048, b"\0\0\0\0"
 class WordCoder:
     """Ids as little-endian bytes, through a memory of what stands between ASCII white space.
 
-    The tokenizer drops white space and looks at nothing across it, so a text's ids are those of its chunks in turn.
+    The tokenizer drops white space and looks at nothing across it, so a text's ids are those of its chunks in turn. A batch
+    is split and dictionary-encoded in Arrow and its ids are assembled by one take; only distinct chunks pass through Python.
     Chunks not met before are encoded many at a time, joined by a special token that splits them again.
     """
 
@@ -90,19 +93,34 @@ class WordCoder:
             self.known[p] = packed[4 * at : 4 * (end - apart)]
             at = end
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of every text; white space other than ASCII is left to the tokenizer."""
+    def encode_all(self, texts: pa.Array) -> tuple[memoryview, np.ndarray]:
+        """The ids of all texts one after the other, as bytes, and the byte at which each text starts and the last ends.
+
+        White space other than ASCII is left to the tokenizer.
+        """
         if len(self.known) > self.remember:
             self.known, self.older = {}, self.known
-        split = [t.split() for t in texts]
-        met = [list(map(self.known.get, own)) for own in split]
-        late = [i for i, own in enumerate(met) if None in own]
-        fresh = {c for i in late for c, ids in zip(split[i], met[i]) if ids is None}
-        self.known.update((c, self.older[c]) for c in fresh if c in self.older)
-        self._learn([c for c in fresh if c not in self.older])
+        split = pc.ascii_split_whitespace(texts)
+        size = pc.list_value_length(split).to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+        known, older = self.known, self.older
+        known[b""] = b""
+        met = list(map(known.get, distinct))
+        late = [i for i, ids in enumerate(met) if ids is None]
+        if older:
+            known.update([(distinct[i], older[distinct[i]]) for i in late if distinct[i] in older])
+        self._learn([distinct[i] for i in late if distinct[i] not in known])
         for i in late:
-            met[i] = map(self.known.__getitem__, split[i])
-        return [b"".join(own) for own in met]
+            met[i] = known[distinct[i]]
+        flat = pa.array(met, pa.large_binary()).take(coded.indices)
+        at = np.frombuffer(flat.buffers()[1], np.int64) if len(flat) else np.zeros(1, np.int64)
+        return memoryview(flat.buffers()[2] or b""), at[np.concatenate([[0], size.cumsum()])]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of every text."""
+        data, at = self.encode_all(pa.array([t.decode() for t in texts], pa.string()))
+        return [bytes(data[i:j]) for i, j in zip(at.tolist(), at[1:].tolist())]
 
 
 _CODERS: dict[str, WordCoder] = {}
@@ -117,7 +135,7 @@ def _coder(path: str) -> WordCoder:
     return _CODERS[path]
 
 
-_PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long, _part int, _nth long"
+_PIECE = "piece int, start long, length long, ids_crc32 long, _part int, _nth long"
 
 
 def cut_pieces(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -> DataFrame:
@@ -126,27 +144,35 @@ def cut_pieces(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = Fa
     def run(batches):
         from pyspark import TaskContext
 
-        coder, part, nth = _coder(path), TaskContext.get().partitionId(), [0] * (size + 1)
+        coder, part = _coder(path), TaskContext.get().partitionId()
+        nth = np.zeros(size + 1, np.int64)
         for batch in batches:
-            found = coder.encode(pc.fill_null(batch.column("text"), "").cast(pa.binary()).to_pylist())
-            rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), found):
-                ids += END
-                for piece, at in enumerate(range(0, len(ids), 4 * size)):
-                    own = ids[at : at + 4 * size]
-                    n = len(own) // 4
-                    rows.append((doc_id, piece, at // 4, n, zlib.crc32(own), part, nth[n], own))
-                    nth[n] += 1
-            kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            data, at = coder.encode_all(pc.fill_null(batch.column("text"), ""))
+            total = np.diff(at) // 4 + 1  # with the end id
+            pieces = -(-total // size)
+            row = np.repeat(np.arange(len(total)), pieces)
+            piece = np.arange(len(row)) - np.repeat(pieces.cumsum() - pieces, pieces)
+            start = piece * size
+            length = np.minimum(size, total[row] - start)
+            first = at[row] + 4 * start
+            last = np.minimum(first + 4 * length, at[row + 1])
+            ends = length * 4 > last - first
+            spans = list(zip(first.tolist(), last.tolist(), ends.tolist()))
+            crc = [zlib.crc32(END, zlib.crc32(data[i:j])) if end else zlib.crc32(data[i:j]) for i, j, end in spans]
+            order = np.argsort(length, kind="stable")
+            kinds, runs, sizes = np.unique(length[order], return_index=True, return_counts=True)
+            number = np.empty(len(row), np.int64)
+            number[order] = np.arange(len(row)) - np.repeat(runs, sizes) + np.repeat(nth[kinds], sizes)
+            nth[kinds] += sizes
+            made = [batch.column("doc_id").take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length), pa.array(crc, pa.int64()), pa.array(np.full(len(row), part, np.int32)), pa.array(number)]
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "_part", "_nth"]
-            columns = list(zip(*rows)) or [()] * 8
-            made = [pa.array(v, k) for v, k in zip(columns, kinds)]
             if with_ids:
-                made.append(pa.array([array("I", b).tolist() for b in columns[7]], pa.list_(pa.int32())))
+                made.append(pa.array([array("I", bytes(data[i:j]) + END * end).tolist() for i, j, end in spans], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(made, names=names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, _PIECE + (", ids array<int>" if with_ids else ""))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {_PIECE}" + (", ids array<int>" if with_ids else ""))
 
 
 def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int, int, int]]:
@@ -187,23 +213,36 @@ def plan(counts: dict[int, int], size: int = SIZE) -> list[tuple[int, int, int,
     return slots
 
 
-def pack(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False) -> DataFrame:
-    """Pieces with sequence_id and offset, gapless from 0 within a sequence."""
+def _slots(spark: SparkSession, slots: list[tuple[int, int, int, int, int]], each: int = 1 << 16) -> DataFrame:
+    """The plan's runs as a table; long runs are cut, so that no row stands for more than ``each`` pieces."""
+    cut_up = [(n, first + i, min(each, many - i), seq + i, at) for n, first, many, seq, at in slots for i in range(0, many, each)]
+    columns = list(zip(*cut_up)) or [()] * 5
+    return spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=["length", "_first", "_n", "_seq", "offset"]))
+
+
+def pack(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = False, broadcast_runs: int = 50_000) -> DataFrame:
+    """Pieces with sequence_id and offset, gapless from 0 within a sequence.
+
+    A plan of up to ``broadcast_runs`` runs (2 MB) is broadcast; the rows of a larger one are spread to one per slot and
+    joined on (length, rank), a key that occurs once on either side, so a frequent length is dealt over all tasks.
+    """
     spark = docs.sparkSession
     pieces = cut(cut_pieces(docs, path, size, with_ids), "pieces")
     by_task = cut(pieces.groupBy("length", "_part").agg(F.count("*").alias("n")), "piece-counts")
     counts = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``size`` rows
     earlier = F.sum("n").over(Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
     before = by_task.select("length", "_part", F.coalesce(earlier, F.lit(0)).alias("_before"))
-    ranked = pieces.join(before, ["length", "_part"]).withColumn("_rank", F.col("_before") + F.col("_nth"))
-    slots = plan(counts, size)
-    columns = list(zip(*slots)) or [()] * 5
-    planned = spark.createDataFrame(pa.table([pa.array(c, pa.int64()) for c in columns], names=["length", "_first", "_n", "_seq", "offset"]))
-    if len(slots) <= 200_000:  # 8 MB; a plan beyond that is joined by shuffle
-        planned = F.broadcast(planned)
-    held = ranked.join(planned, (ranked["length"] == planned["length"]) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_first") + F.col("_n")))
-    out = [pieces[c] for c in pieces.columns if not c.startswith("_") and c != "length"]
-    return held.select(*out, ranked["length"], (F.col("_seq") + F.col("_rank") - F.col("_first")).alias("sequence_id"), "offset")
+    # one row per task and length: as many as there are tasks, so it is merged with the pieces, not sent to all
+    ranked = pieces.join(before.hint("merge"), ["length", "_part"]).withColumn("_rank", F.col("_before") + F.col("_nth"))
+    planned = _slots(spark, plan(counts, size))
+    place = F.col("_seq") + F.col("_rank") - F.col("_first")
+    if planned.count() <= broadcast_runs:
+        held = ranked.join(F.broadcast(planned.withColumnRenamed("length", "_length")), (F.col("length") == F.col("_length")) & (F.col("_rank") >= F.col("_first")) & (F.col("_rank") < F.col("_first") + F.col("_n")))
+    else:
+        spread = planned.repartition(max(8, spark.sparkContext.defaultParallelism)).withColumn("_rank", F.explode(F.sequence("_first", F.col("_first") + F.col("_n") - 1)))
+        held = ranked.join(spread.hint("merge"), ["length", "_rank"])
+    out = [c for c in pieces.columns if not c.startswith("_")]
+    return held.select(*out, place.alias("sequence_id"), "offset")
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

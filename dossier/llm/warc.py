@@ -2,11 +2,11 @@
 
 Writing: every page becomes three gzip members of an archive; the request and the metadata name their response by
 WARC-Concurrent-To. Of pages with equal payloads of ``min_revisit`` bytes or more the smallest page_id is the response,
-others revisit it by digest and id. An archive belongs to one task and is put in place whole, so a repeated task
-leaves the same set of files.
+others revisit it by digest and id. An archive is named by the attempt that writes it and put in place whole; the table of
+archives lists those of the attempts that were committed, so what a lost or repeated attempt leaves is not read.
 
 Reading: archives are parsed record by record; request and metadata join their response on the identifier, and one
-nested row per capture comes out.
+nested row per capture comes out, with null for a record that is missing.
 
 Null html: an empty payload. Null url: an empty target. A null page_id is written as such and never the response of
 others. Rows that repeat in page_id and payload are all responses. Other columns are not archived.
@@ -67,7 +67,7 @@ def revisits(pages: DataFrame, min_revisit: int = 100) -> DataFrame:
     return own.join(first, "digest").where("page_id > refers_to").select(F.col("page_id").alias("_page"), F.col("digest").alias("_digest"), "refers_to").distinct()
 
 
-def write_archives(pages: DataFrame, uri: str, min_revisit: int = 100) -> DataFrame:
+def write_archives(pages: DataFrame, uri: str, min_revisit: int = 100, roll_bytes: int = 64 << 20) -> DataFrame:
     """Write ``pages(page_id, url, html)`` under ``uri``; a table of (path, records, bytes) says what is there."""
     folder = mounted(uri)
     body = F.coalesce(F.col("html"), F.lit(""))
@@ -78,12 +78,12 @@ def write_archives(pages: DataFrame, uri: str, min_revisit: int = 100) -> DataFr
     def write(batches):
         from pyspark import TaskContext
 
-        part, n, out = TaskContext.get().partitionId(), 0, bytearray()
+        part, attempt, n, out = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0, bytearray()
         done = []
 
         def roll():
             nonlocal out
-            path = os.path.join(folder, f"part-{part:06d}-{len(done):04d}.warc.gz")
+            path = os.path.join(folder, f"part-{part:06d}-{attempt}-{len(done):04d}.warc.gz")
             replace_file(path, bytes(out))
             done.append((path, n, len(out)))
             out = bytearray()
@@ -94,7 +94,7 @@ def write_archives(pages: DataFrame, uri: str, min_revisit: int = 100) -> DataFr
             for page_id, url, digest, refers_to, payload in zip(*columns, payloads):
                 out += b"".join(capture(page_id, url, payload, digest, refers_to, f"{part}/{n}"))
                 n += 1
-                if len(out) >= 64 << 20:
+                if len(out) >= roll_bytes:
                     roll()
         if out:
             roll()
@@ -167,7 +167,7 @@ def assemble(found: DataFrame) -> DataFrame:
     main = found.where(F.col("type").isin("response", "revisit")).select("capture", "target", F.struct("record_id", "type", "digest", "refers_to", "payload_bytes", "payload").alias("response"))
     request = found.where("type = 'request'").select("capture", F.struct("record_id", "target").alias("request"))
     notes = found.where("type = 'metadata'").select("capture", "page_id", F.struct("record_id", "page_id", "payload_bytes").alias("metadata"))
-    return main.join(request, "capture").join(notes, "capture").select("page_id", "target", "request", "response", "metadata")
+    return main.join(request, "capture", "full").join(notes, "capture", "full").select("page_id", "target", "request", "response", "metadata")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,6 +34,20 @@ def test_warc_round_trip(spark):
     assert warc.assemble(warc.read_records(warc.write_archives(pages.limit(0), new_uri(spark, "t")))).count() == 0
 
 
+def test_warc_large_payloads_rolls_and_missing_records(spark):
+    """A payload beyond the reader's buffer that does not compress, archives of one capture each, captures in part."""
+    workers_see_us(spark)
+    noise = np.random.default_rng(1).integers(0x4E00, 0x9FFF, 900_000).astype("<u2").tobytes().decode("utf-16-le")
+    pages = spark.createDataFrame([(1, "a", noise), (2, "b", noise), (3, "c", "x" * 100)], "page_id long, url string, html string").coalesce(1)
+    archives = warc.write_archives(pages, new_uri(spark, "t"), roll_bytes=1000)
+    assert archives.count() >= 2
+    found = warc.read_records(archives, True)
+    rows = {r["page_id"]: r for r in warc.assemble(found).collect()}
+    assert bytes(rows[1]["response"]["payload"]).decode() == noise and rows[2]["response"]["refers_to"] == 1
+    assert warc.assemble(found.where("type <> 'request'")).where("request is null and response is not null").count() == 3
+    assert warc.assemble(found.where("type = 'metadata'")).where("response is null").count() == 3
+
+
 @pytest.mark.parametrize("shard_rows", [20_000, 150])
 def test_embedding_links(spark, shard_rows):
     workers_see_us(spark)

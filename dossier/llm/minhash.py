@@ -5,10 +5,10 @@ least doc_id; only classes are compared. ``BANDS`` bands of ``ROWS`` minima give
 no band with probability (1 - 0.8**4)**32 = 5e-8), the low two bits of all minima, packed, an estimate corrected for chance
 collisions, and the full sets the decision.
 
-Inside a bucket no pairs are spread: rounds of stars compare members with one pivot and join what is linked. What is left
-is to compare members of different components. Classes whose estimates passed make up crowds; a crowd with more than one
-component is compared chunk by chunk inside tasks, where estimates choose the pairs and incidence matrices of the exact
-shingles count what they share, and only links come out. Pairs of a bucket in different crowds are joined, with the
+Inside a bucket no pairs are spread: its members are compared with one pivot, and what is linked is joined. What is left is
+to compare members of different components. Classes whose estimates with a pivot passed make up crowds; a crowd with more
+than one component is compared chunk by chunk inside tasks, where estimates choose the pairs and incidence matrices of the
+exact shingles count what they share, and only links come out. Pairs of a bucket in different crowds are joined, with the
 estimate inside the join. Buckets and crowds are dealt into chunks, so a frequent band or a large group of copies is spread
 over tasks, and no link between components is lost.
 
@@ -152,6 +152,7 @@ def _broadcast_if_small(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
 
 def _equal_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Equal 2-bit minima of all signatures in a with all in b."""
+    a, b = a.view(np.uint64), b.view(np.uint64)  # bit counts of signed numbers are those of their absolute values
     words = [(a[:, None, i] ^ b[None, :, i]) | (a[:, None, i + 2] ^ b[None, :, i + 2]) for i in range(2)]
     return MINIMA - np.bitwise_count(words[0]).astype(np.int16) - np.bitwise_count(words[1])
 
@@ -208,13 +209,13 @@ def blocks(members: DataFrame, texts: DataFrame, width: int, percent: int, chunk
     large part do not meet.
     """
     spark = members.sparkSession
-    sizes = members.groupBy("crowd", "part").agg(F.count("*").alias("n"))
+    sizes = _broadcast_if_small(cut(members.groupBy("crowd", "part").agg(F.count("*").alias("n")), "minhash-sizes"))
     big = F.when(F.col("n") > chunk, F.col("part"))
     held = texts.select("node", "text", F.octet_length("text").cast("long").alias("bytes"))
     sized = members.join(sizes, ["crowd", "part"]).select("crowd", F.xxhash64(big).alias("family"), big.isNotNull().alias("large"), "node", "part", "bits").join(held, "node")
     sized = cut(sized, "minhash-sized")
     count = F.ceil(F.greatest(F.count("*") / chunk, F.sum("bytes") / chunk_bytes))
-    whole = sized.groupBy("crowd", "family").agg(count.alias("chunks"))
+    whole = _broadcast_if_small(cut(sized.groupBy("crowd", "family").agg(count.alias("chunks")), "minhash-whole"))
     placed = sized.join(whole, ["crowd", "family"]).withColumn("nth", F.pmod(F.xxhash64("node"), "chunks"))
     packed = placed.groupBy("crowd", "family", "large", "nth").agg(F.collect_list(F.struct("node", "part", "bits", "text")).alias("rows"))
     packed = cut(packed.withColumn("c", F.xxhash64("crowd", "family", "nth")), "minhash-chunks")
@@ -243,7 +244,14 @@ def _spread(keyed: DataFrame) -> DataFrame:
     return keyed.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).drop("chunks")
 
 
-def _linked(docs: DataFrame, width: int, percent: int, star_rounds: int = 2, bucket_chunk: int = 512) -> DataFrame:
+def _parts_and_crowds(links: DataFrame, near: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, part) and (node, crowd): components of ``links(u, v)`` and of ``near(a, b)``, found in the same rounds."""
+    edge = lambda rows, of, a, b: rows.select(*(F.struct(F.lit(of).alias("of"), F.col(x).alias("node")).alias(y) for x, y in ((a, "u"), (b, "v"))))
+    found = cut(components(edge(links, 0, "u", "v").union(edge(near, 1, "a", "b"))), "minhash-parts")
+    return tuple(found.where(F.col("id.of") == of).select(F.col("id.node").alias("node"), F.col("component.node").alias(name)) for of, name in enumerate(("part", "crowd")))
+
+
+def _linked(docs: DataFrame, width: int, percent: int, bucket_chunk: int = 512) -> DataFrame:
     """doc_id, k1, k2, n_shingles, component_id and kept of every row of ``docs``."""
     signed = cut(signatures(docs, width), "minhash")
     full = signed.where("n_shingles > 0 and doc_id is not null")
@@ -264,33 +272,24 @@ def _linked(docs: DataFrame, width: int, percent: int, star_rounds: int = 2, buc
     k1, k2 = row_key(docs)
     own = docs.where("text is not null").select(k1.alias("k1"), k2.alias("k2"), "text")
     texts = cut(own.join(_broadcast_if_small(wanted), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("node", "text"), "minhash-texts")
-    members = buckets.join(bits, "node").withColumn("part", F.col("node"))
-    near, links, part_of = None, None, None
-    for at in range(star_rounds):
-        pick = F.min_by(F.struct("node", "bits", "part"), F.struct(F.xxhash64("node", F.lit(at)), F.col("node.nid")))
-        pivots = cut(members.groupBy("key", "chunks").agg(pick.alias("p")).select("key", "chunks", "p.*"), "minhash-pivots")
-        close = members.alias("m").join(_spread(pivots).alias("p"), (F.col("m.key") == F.col("p.key")) & (F.col("m.chunk") == F.col("p.chunk")) & (F.col("p.part") != F.col("m.part")) & (matches("p", "m") >= LEAST_MATCHES))
-        pairs = cut(close.select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b")).distinct(), "minhash-pairs")
-        near = pairs if near is None else near.union(pairs)
-        found = cut(verified(pairs, texts, width, percent), "minhash-links")
-        links = found if links is None else links.union(found)
-        parts = cut(components(links), "minhash-parts")
-        part_of = parts.select(F.col("id").alias("node"), F.col("component").alias("_part"))
-        members = cut(buckets.join(bits, "node").join(part_of, "node", "left").withColumn("part", F.coalesce("_part", "node")).drop("_part"), "minhash-parted")
-        apart = cut(members.groupBy("key", "chunks").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("key", "chunks"), "minhash-apart")
-        members = cut(members.join(_spread(apart), ["key", "chunk"], "left_semi"), "minhash-members")
-    crowds = cut(components(near.select(F.col("a").alias("u"), F.col("b").alias("v"))), "minhash-crowds").select(F.col("id").alias("node"), F.col("component").alias("crowd"))
-    crowded = crowds.join(part_of, "node", "left").select("node", "crowd", F.coalesce("_part", "node").alias("part"))
-    several = crowded.groupBy("crowd").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("crowd")
-    crowded = cut(crowded.join(several, "crowd").join(bits, "node"), "minhash-crowded")
+    members = cut(buckets.join(bits, "node"), "minhash-members")
+    pick = F.min_by(F.struct("node", "bits"), F.struct(F.xxhash64("node"), F.col("node.nid")))
+    pivots = cut(members.groupBy("key", "chunks").agg(pick.alias("p")).select("key", "chunks", "p.*"), "minhash-pivots")
+    close = members.alias("m").join(_spread(pivots).alias("p"), (F.col("m.key") == F.col("p.key")) & (F.col("m.chunk") == F.col("p.chunk")) & (F.col("p.node") != F.col("m.node")) & (matches("p", "m") >= LEAST_MATCHES))
+    near = cut(close.select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b")).distinct(), "minhash-pairs")
+    links = cut(verified(near, texts, width, percent), "minhash-links")
+    parts, crowds = _parts_and_crowds(links, near)
+    crowded = cut(crowds.join(parts, "node", "left").select("node", "crowd", F.coalesce("part", "node").alias("part")), "minhash-crowds")
+    several = cut(crowded.groupBy("crowd").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("crowd"), "minhash-several")
+    crowded = cut(crowded.join(_broadcast_if_small(several), "crowd").join(bits, "node"), "minhash-crowded")
     links = links.union(cut(blocks(crowded, texts, width, percent), "minhash-links"))
     # what is left: members of a bucket in different crowds or in none
-    rest = cut(members.join(crowds, "node", "left"), "minhash-rest")
-    meet = rest.groupBy("key", "chunks").agg(F.count("*").alias("n")).where("n > 1").select("key", "chunks")
+    rest = cut(members.join(crowds, "node", "left").withColumn("apart", F.coalesce("crowd", "node")), "minhash-rest")
+    meet = rest.groupBy("key", "chunks").agg(F.min("apart").alias("x"), F.max("apart").alias("y")).where("x < y").select("key", "chunks")
+    meet = cut(meet, "minhash-meet")
     halves = _spread(meet.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))).where("other <= chunk")
     m, p = rest.join(halves, ["key", "chunk"]).alias("m"), rest.withColumnRenamed("chunk", "other").join(halves, ["key", "other"]).alias("p")
-    elsewhere = ~F.coalesce(F.col("p.crowd") == F.col("m.crowd"), F.lit(False))
-    close = m.join(p, [F.col(f"m.{c}") == F.col(f"p.{c}") for c in ("key", "chunk", "other")] + [((F.col("m.chunk") != F.col("m.other")) | (F.col("p.node") < F.col("m.node"))) & (F.col("p.part") != F.col("m.part")) & elsewhere & (matches("p", "m") >= LEAST_MATCHES)])
+    close = m.join(p, [F.col(f"m.{c}") == F.col(f"p.{c}") for c in ("key", "chunk", "other")] + [((F.col("m.chunk") != F.col("m.other")) | (F.col("p.node") < F.col("m.node"))) & (F.col("p.apart") != F.col("m.apart")) & (matches("p", "m") >= LEAST_MATCHES)])
     pairs = cut(close.select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b")).distinct(), "minhash-pairs")
     links = links.union(cut(verified(pairs, texts, width, percent), "minhash-links"))
     parts = cut(components(links), "minhash-parts")

@@ -110,7 +110,7 @@ def test_minhash(docs, empty, rows):
     assert minhash.link(empty, 2, 80).count() == 0
 
 
-@pytest.mark.parametrize("settings", [{}, {"star_rounds": 1, "bucket_chunk": 3}])
+@pytest.mark.parametrize("settings", [{}, {"bucket_chunk": 3}])
 def test_minhash_crowds(spark, settings, monkeypatch):
     """Chains of texts around the threshold, equal sets in other orders, textual ids, ids that repeat with other texts."""
     workers_see_us(spark)
@@ -154,6 +154,13 @@ def test_shared_shingles():
     assert minhash.shared_shingles(left, right, 16).tolist() == [[len(a & b) for b in right] for a in left]
 
 
+def test_equal_bits():
+    draw = np.random.default_rng(5).integers(-(2**63), 2**63, (2, 6, 4), dtype=np.int64)
+    bit = lambda w, i, j: int(w[j // 64 + 2 * i]) >> (j % 64) & 1
+    want = [[sum(all(bit(x, i, j) == bit(y, i, j) for i in range(2)) for j in range(128)) for y in draw[1]] for x in draw[0]]
+    assert minhash._equal_bits(*draw).tolist() == want
+
+
 def test_keep_one_and_odd_columns(spark):
     workers_see_us(spark)
     own = spark.createDataFrame([("b", "x y z", 1, 2), ("a", "x y z", 3, 4), ("a", "x y z", 0, 9), ("c", None, 5, 6)], "doc_id string, text string, `a.b` int, _k1 int")

@@ -98,8 +98,8 @@ def _at_most(rows: DataFrame, most: int) -> DataFrame:
 def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout: int = 2) -> DataFrame:
     """``docs`` without the lines whose key occurs in ``min_docs`` documents or more, plus n_lines and n_dropped.
 
-    The hashes of all lines are written once, dealt into ``batches``. Only the places of dropped lines are shuffled by
-    document; texts move where the documents concerned are too many to broadcast (16 MB).
+    The hashes of all lines are written once, dealt into ``batches``. One shuffle moves the places of dropped lines, one the
+    texts to them.
     """
     spark = docs.sparkSession
     names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
@@ -119,7 +119,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, batches: int = 4, fanout: i
     dropped.write.parquet(uri)
     dropped = spark.read.schema(dropped.schema).parquet(uri)
     places_of = F.coalesce(F.col(gone), F.array().cast("array<int>"))
-    held = docs.select(*map(quoted, names), k1.alias(n1), k2.alias(n2)).join(_at_most(dropped, 100_000), [n1, n2], "left")
+    held = docs.select(*map(quoted, names), k1.alias(n1), k2.alias(n2)).join(dropped.hint("merge"), [n1, n2], "left")
     held = held.withColumns({parts: split_lines(F.col("text")), gone: places_of})
     stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col(gone))  # in time linear in the lines
     kept = F.array_join(F.transform(stay, lambda i: F.get(F.col(parts), i)), "\n")

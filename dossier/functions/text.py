@@ -52,7 +52,7 @@ def name_tokens(text: Column, drop: tuple[str, ...] = LEGAL_AND_GENERIC) -> Colu
 
 def host(url: Column) -> Column:
     """Lower-case host without ``www.``; "" where there is none."""
-    found = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    found = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", 1)
     return F.regexp_replace(F.lower(found), r"^www\.", "")
 
 

@@ -53,10 +53,19 @@ def fairness(log: DataFrame) -> DataFrame:
 
 
 def at_index(log: DataFrame, group: str, column: str, index: str, name: str) -> DataFrame:
-    """The value at a zero-based position, an expression of the group's n, without gathering a group."""
-    order = Window.partitionBy(group).orderBy(column)
-    own = log.withColumn("_i", F.row_number().over(order) - 1).withColumn("n", F.count("*").over(Window.partitionBy(group)))
-    return own.where(F.expr(f"_i = least(n - 1, {index})")).select(group, F.col(column).alias(name))
+    """The value at a zero-based position, an expression of the group's n, without gathering a group; nulls do not count.
+
+    Counts by bins that grow with the value give the bin that holds the position; only that bin's rows are ordered.
+    """
+    x = F.col(column)
+    binned = log.where(x.isNotNull()).withColumn("_bin", F.floor(F.signum(x) * F.log2(1 + F.abs(x)) * 256))
+    bins = binned.groupBy(group, "_bin").agg(F.count("*").alias("_in"))
+    own = Window.partitionBy(group)
+    before = F.coalesce(F.sum("_in").over(own.orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bins = bins.withColumns({"_before": before, "n": F.sum("_in").over(own)}).withColumn("_at", F.expr(f"least(n - 1, {index})"))
+    held = binned.join(bins.where("_before <= _at and _at < _before + _in").select(group, "_bin", "_before", "_at"), [group, "_bin"])
+    nth = F.row_number().over(Window.partitionBy(group).orderBy(column)) - 1
+    return held.withColumn("_i", nth).where("_i = _at - _before").select(group, F.col(column).alias(name))
 
 
 def runner_percentiles(log: DataFrame) -> DataFrame:

@@ -25,11 +25,41 @@ def homepage(url: Column) -> Column:
     return F.when((text != "") & (host(formed) != ""), formed)
 
 
+#: Address blocks that are not global, as first and last number.
+CLOSED_BLOCKS = (
+    "0.0.0.0/8", "10.0.0.0/8", "100.64.0.0/10", "127.0.0.0/8", "169.254.0.0/16", "172.16.0.0/12", "192.0.0.0/24", "192.0.2.0/24",
+    "192.168.0.0/16", "198.18.0.0/15", "198.51.100.0/24", "203.0.113.0/24", "224.0.0.0/4", "240.0.0.0/4",
+)
+
+
+def address_number(h: Column) -> Column:
+    """The IPv4 address a host writes in one to four decimal, octal or hexadecimal parts; null for a name, -1 out of range."""
+    parts = F.split(h, r"\.")
+    numeric = F.forall(parts, lambda p: p.rlike("^(0x[0-9a-f]{1,8}|[0-9]{1,12})$"))
+    value = lambda p: F.when(p.startswith("0x"), F.conv(F.substr(p, F.lit(3)), 16, 10)).when(p.rlike("^0[0-7]+$"), F.conv(p, 8, 10)).otherwise(p).try_cast("long")
+    n, size = F.transform(parts, value), F.size(parts)
+    fits = F.forall(F.transform(n, lambda x, i: F.coalesce(x <= F.when(i < size - 1, 255).otherwise(F.pow(F.lit(256), 5 - size) - 1), F.lit(False))), lambda x: x)
+    shifted = F.transform(n, lambda x, i: F.when(i < size - 1, x * F.pow(F.lit(256), 3 - i).cast("long")).otherwise(x))
+    total = F.aggregate(shifted, F.lit(0).cast("long"), lambda a, x: a + x)
+    return F.when(numeric, F.when((size <= 4) & fits, total).otherwise(-1))
+
+
 def public_address(url: Column) -> Column:
-    """http or https, and no host that is local by name or by literal address."""
-    h = host(url)
-    local = h.rlike(r"^(localhost|.*\.local|127\..*|10\..*|192\.168\..*|169\.254\..*|172\.(1[6-9]|2[0-9]|3[01])\..*|0\..*|\[?::1\]?)$")
-    return url.rlike("(?i)^https?://") & (h != "") & ~local
+    """http or https, and a host that is neither local by name nor an address outside the global ranges, in any notation.
+
+    An IPv6 literal has to lie in 2000::/3, apart from documentation and transition prefixes. Names are not resolved here.
+    """
+    import ipaddress
+
+    h = F.regexp_replace(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]]*\]|[^/?#:]*)", 1)), r"\.$", "")
+    number = address_number(h)
+    closed = number < 0
+    for block in map(ipaddress.ip_network, CLOSED_BLOCKS):
+        closed = closed | number.between(int(block[0]), int(block[-1]))
+    name = ~h.rlike(r"(^|\.)localhost$|\.local$") & h.contains(".")
+    six = h.rlike(r"^\[[23][0-9a-f]{3}:") & ~h.rlike(r"^\[(2001:0?db8:|2001:0{0,4}:|2002:)")
+    public = F.when(h.startswith("["), six).when(number.isNotNull(), ~closed).otherwise(name)
+    return F.coalesce(url.rlike("(?i)^https?://") & (h != "") & public, F.lit(False))
 
 
 def fields(pages: DataFrame) -> DataFrame:
@@ -53,7 +83,10 @@ def priority_links(pages: DataFrame, most: int = 4) -> DataFrame:
     own = pages.select("page_id", "url", F.explode(anchors).alias("a"))
     href = F.trim(F.regexp_extract("a", r"(?i)href=\"([^\"]*)\"", 1))
     root = F.regexp_extract("url", r"^([A-Za-z]+://[^/?#]+)", 1)
-    target = F.when(href.rlike("(?i)^https?://"), href).when(href.startswith("/") & ~href.startswith("//"), F.concat(root, href))
+    folder = F.coalesce(F.nullif(F.regexp_extract("url", r"^([A-Za-z]+://[^/?#]+/(?:[^?#]*/)?)", 1), F.lit("")), F.concat(root, F.lit("/")))
+    scheme = F.regexp_extract("url", r"^([A-Za-z]+:)", 1)
+    beside = ~href.rlike(r"^([A-Za-z][A-Za-z0-9+.-]*:|#|\?|$)")
+    target = F.when(href.rlike("(?i)^https?://"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(root, href)).when(beside, F.concat(folder, F.regexp_replace(href, r"^(\./)+", "")))
     own = own.select("page_id", "url", homepage(target).alias("link"), F.lower(F.regexp_replace("a", r"(?s)<[^>]*>", " ")).alias("said"), host(F.col("url")).alias("h"))
     own = own.where((host(F.col("link")) == F.col("h")) & (F.regexp_replace("link", "/$", "") != F.regexp_replace("url", "/$", "")))
     hay = F.concat_ws(" ", F.lower(F.regexp_extract("link", r"^[A-Za-z]+://[^/]+(.*)$", 1)), "said")
@@ -94,6 +127,29 @@ def _news_events(s, d):
     return e.withColumn("final_url", F.concat(F.regexp_extract("final_url", r"^([A-Za-z]+://[^/?#]+)", 1), tail))
 
 
+#: Addresses for the oracle, and whether a crawler may ask for them.
+ADDRESSES = (
+    ("https://example.no/a", True), ("http://8.8.8.8/", True), ("ftp://example.no/", False), ("http://localhost:8080/", False), ("http://a.localhost/", False), ("http://printer.local/", False),
+    ("http://127.0.0.1/", False), ("http://10.1.2.3/", False), ("http://172.31.0.1/", False), ("http://172.32.0.1/", True), ("http://192.168.1.1/", False), ("http://169.254.169.254/", False),
+    ("http://100.64.0.1/", False), ("http://2130706433/", False), ("http://0x7f.1/", False), ("http://0177.0.0.1/", False), ("http://134744072/", True), ("http://[::1]/", False),
+    ("http://[fd00::1]/", False), ("http://[fe80::1]/", False), ("http://[::ffff:10.0.0.1]/", False), ("http://[2606:4700::1111]/", True), ("http://256.1.1.1/", False), ("https://user@10.0.0.1/", False),
+    ("http://intranet/", False), ("http://example.no./", True), ("", False),
+)
+
+
+def _addresses(s, d):
+    n = len(ADDRESSES)
+    at = F.element_at(F.array(*(F.lit(a) for a, _ in ADDRESSES)), (F.col("page_id") % n + 1).cast("int"))
+    return bind(s, d, "pages").select("page_id", public_address(at).alias("public"))
+
+
+def _linked_pages(s, d):
+    """Pages with five links: below the page, to a root path twice, elsewhere, and to a mail address."""
+    k = F.col("page_id")
+    html = F.concat(F.lit('<a href="om-oss/'), k, F.lit('">x</a><a class="c" href="/side">Kontakt oss</a><a href="/side">Our team</a><a href="https://other.example/about">About</a><a href="mailto:about@a.no">about</a><a href="./news?x=1">n</a>'))
+    return bind(s, d, "pages").select("page_id", F.concat(F.lit("https://site"), k, F.lit(".example/no/index.html")).alias("url"), html.alias("html"))
+
+
 _E = ctes("page_events")
 _MODULES = {"financials": "https://api.example/accounts/%s", "roles": "https://api.example/units/%s/roles"}
 QUERIES = {
@@ -103,7 +159,9 @@ QUERIES = {
  cast(sc as int) as scripts, case when length(t) < 100 and sc >= 2 then 'js_fallback_candidate' else 'static_complete' end as extraction_state from q"""),
     "page_homepage": (lambda s, d: bind(s, d, "pages").select("page_id", homepage(F.col("url")).alias("homepage"), public_address(F.col("url")).alias("public")), r"""with p as (select page_id, regexp_replace(url, '[?#].*$', '') as u from pages)
  select page_id, case when regexp_matches(u, '^https?://[^/]+$') then u || '/' else u end as homepage, true as public from p"""),
-    "priority_links": (lambda s, d: priority_links(bind(s, d, "pages")).select("page_id", "link", "rank", "nth"), None),
+    "priority_links": (lambda s, d: priority_links(_linked_pages(s, d)).select("page_id", "link", "rank", "nth"), """select page_id, 'https://site' || page_id || '.example' || replace(p, '?', cast(page_id as varchar)) as link, cast(rank as int) as rank, cast(nth as int) as nth
+ from pages, (values ('/no/om-oss/?', 0, 1), ('/side', 3, 2), ('/no/news', 13, 3)) t(p, rank, nth)"""),
+    "public_addresses": (_addresses, f"select page_id, case page_id % {len(ADDRESSES)} {' '.join(f'when {i} then {ok}' for i, (_, ok) in enumerate(ADDRESSES))} end as public from pages"),
     "site_news": (lambda s, d: site_news(_news_events(s, d)), rf"""{_E}, e as (select *, regexp_extract(final_url, '^([A-Za-z]+://[^/?#]+)', 1) || case seq % 3 when 0 then '/news/' || seq when 1 then '/press' else '' end as u from page_events where status = 'available' and seq % 3 <> 2),
  n as (select organisation_number, u as final_url, cast(case when seq % 3 = 0 then 2 else 1 end as int) as depth, row_number() over (partition by organisation_number order by case when seq % 3 = 0 then 2 else 1 end desc, u, seq) as k from e)
  select organisation_number, final_url, depth from n where k = 1"""),

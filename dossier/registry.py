@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("screen", "observations", "sampling", "refresh", "claims", "crawl", "scoring", "identity", "normalize", "pages")
+MODULES = ("screen", "observations", "sampling", "refresh", "claims", "evidence", "crawl", "scoring", "identity", "normalize", "pages", "feeds", "enrichment")
 
 
 def _all() -> dict[str, tuple[Callable, str | None]]:

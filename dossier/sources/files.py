@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,22 +19,21 @@ BULK = {
 
 
 def separator(spark: SparkSession, path: str) -> str:
-    """The most frequent of ; , TAB in the header line."""
-    head = spark.read.text(path).limit(1).collect()
-    line = head[0][0] if head else ""
+    """The most frequent of ; , TAB in the first 8192 characters."""
+    line = "\n".join(r[0] for r in spark.read.text(path).limit(64).collect())[:8192]
     return max(";,\t", key=lambda c: (line.count(c), -";,\t".index(c)))
 
 
 def bulk_registry(spark: SparkSession, path: str) -> DataFrame:
     """Typed registry rows whose number has nine characters; "" where text is missing, null where a count does not parse.
 
-    A gzip file is one split: its rows are dealt out again before any other work.
+    A gzip file is one split: its rows are dealt out again before any other work. ``row`` grows in the order of the file.
     """
     raw = spark.read.csv(path, header=True, sep=separator(spark, path), quote='"', escape='"', multiLine=True)
     raw = raw.toDF(*(c.lstrip("﻿") for c in raw.columns))
     text = lambda c: F.coalesce(F.col(f"`{c}`"), F.lit("")) if c in raw.columns else F.lit("")
     kinds = {"employees": lambda c: c.try_cast("int"), "bankrupt": lambda c: F.lower(c) == "true", "liquidating": lambda c: F.lower(c) == "true"}
-    rows = raw.select(*(kinds.get(name, lambda c: c)(text(header)).alias(name) for header, name in BULK.items()))
+    rows = raw.select(*(kinds.get(name, lambda c: c)(text(header)).alias(name) for header, name in BULK.items()), F.monotonically_increasing_id().alias("row"))
     return rows.where(F.length("organisation_number") == 9).repartition("organisation_number")
 
 
@@ -48,8 +49,10 @@ def organisation_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def requested_profiles(requested: DataFrame, registry: DataFrame) -> DataFrame:
-    """Registry rows of the requested companies in request order; raises where one is missing. Of repeated rows the greatest wins."""
-    last = registry.groupBy("organisation_number").agg(F.max(F.struct(*(c for c in registry.columns if c != "organisation_number"))).alias("r"))
+    """Registry rows of the requested companies in request order; raises where one is missing. Of repeated rows the later one wins, by
+    ``row``; without that column the greatest."""
+    own = F.struct(*(c for c in registry.columns if c not in ("organisation_number", "row")))
+    last = registry.groupBy("organisation_number").agg((F.max_by(own, "row") if "row" in registry.columns else F.max(own)).alias("r"))
     held = requested.join(last, "organisation_number", "left")
     if missing := held.where("r is null").count():
         raise ValueError(f"{missing} requested companies are not in the registry")
@@ -62,8 +65,17 @@ def pending(requested: DataFrame, done: DataFrame) -> DataFrame:
 
 
 def write_jsonl(rows: DataFrame, path: str) -> None:
-    """Replace ``path`` by JSON lines; the committer publishes a job's files together."""
-    rows.write.mode("overwrite").json(path)
+    """Replace ``path`` by JSON lines: written beside it and renamed, so a failed job leaves the old rows."""
+    spark = rows.sparkSession
+    own, old = f"{path}.{uuid.uuid4().hex}.new", f"{path}.{uuid.uuid4().hex}.old"
+    rows.write.json(own)
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(of(path)):
+        fs.rename(of(path), of(old))
+    fs.rename(of(own), of(path))
+    if fs.exists(of(old)):
+        fs.delete(of(old), True)
 
 
 def append_events(rows: DataFrame, path: str) -> None:

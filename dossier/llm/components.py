@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from dossier.llm.shared import cut
 
 
+#: Parts into which a node's edges are dealt, so that a hub's do not meet in one task.
+PARTS = 8
+
+
 def _minimum(edges: DataFrame) -> DataFrame:
-    """Each row (u, v) with the least of u and u's neighbours; a plain aggregate and join, so a hub's rows can be split."""
+    """Each row (u, v) with the least of u and u's neighbours; minima are aggregated apart and joined to every part of u's rows."""
     least = edges.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return edges.join(least, "u")
+    dealt = edges.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)).cast("int"))
+    return dealt.join(least.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))), ["u", "part"]).drop("part")
 
 
 def _state(edges: DataFrame):

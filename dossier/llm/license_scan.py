@@ -17,6 +17,7 @@ Null or empty text: no words, no labels, score 0. Repeated rows count as often a
 
 from __future__ import annotations
 
+import json
 import math
 import re
 
@@ -189,16 +190,23 @@ def _starts(phrase: list[str], df: dict[str, int]) -> Column:
     return F.when(present, met).otherwise(F.array().cast("array<int>"))
 
 
+def _table(spark: SparkSession, rows: list[tuple], columns: tuple[str, ...]) -> DataFrame:
+    """A table of fixed size as one JSON literal that the JVM reads."""
+    names = [c.split()[0] for c in columns]
+    shape = f"array<struct<{','.join(c.replace(' ', ':') for c in columns)}>>"
+    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps([dict(zip(names, r)) for r in rows])), shape)))
+
+
 def covered_templates(found: DataFrame, df: dict[str, int]) -> DataFrame:
     """(row, templates): names of the templates of which a file meets ``COVERED`` tenths of the positions or more.
 
     The index and the frequencies are tables of fixed size (one row per indexed word and position) and are broadcast.
     """
     spark = found.sparkSession
-    index = F.broadcast(spark.createDataFrame(INDEX, "w string, template string, pos int"))
-    sizes = spark.createDataFrame([(name, sum(x[1] == name for x in INDEX)) for name in TEMPLATES], "template string, size int")
+    index = F.broadcast(_table(spark, INDEX, ("w string", "template string", "pos int")))
+    sizes = _table(spark, [(name, sum(x[1] == name for x in INDEX)) for name in TEMPLATES], ("template string", "size int"))
     rank = {w: i for i, w in enumerate(sorted(INDEXED, key=lambda w: (df.get(w, 0), w)))}  # highest IDF first
-    order = F.broadcast(spark.createDataFrame(list(rank.items()), "w string, rank int"))
+    order = F.broadcast(_table(spark, list(rank.items()), ("w string", "rank int")))
     held = found.where(F.size("hits") > 0).select("row", "hits")
     own = held.select("row", F.explode("hits").alias("h")).select("row", "h.at", "h.w").join(order, "w")
     tops = own.groupBy("row").agg(F.slice(F.array_sort(F.collect_set("rank")), 1, LOOKED_UP).alias("tops"))

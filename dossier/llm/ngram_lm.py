@@ -38,6 +38,8 @@ STEP = 0.05
 #: Place of set bit number j of a byte, 0 where it has no such bit.
 _BIT = np.array([[([i for i in range(8) if b >> i & 1] + [0] * 8)[j] for j in range(8)] for b in range(256)], np.int64)
 
+_ONES, _TOPS = _U(0x0101010101010101), _U(0x8080808080808080)
+
 
 def quantise(log10: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(-log10 / STEP), 0, 255).astype(np.uint8)
@@ -51,6 +53,7 @@ class EliasFano:
 
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray, ones: np.ndarray):
         self.n, self.low_bits, self.low, self.high, self.zeros, self.ones = n, low_bits, low, high, zeros, ones
+        self.wide = np.ndarray((len(low) - 7,), "<u8", np.ascontiguousarray(low), strides=(1,))  # the 64 bits from every byte on
 
     @classmethod
     def encode(cls, values: np.ndarray) -> EliasFano:
@@ -83,25 +86,23 @@ class EliasFano:
 
     @staticmethod
     def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-        """Position of the set bit number ``rank`` in each word: its byte by running counts, then a table."""
-        parts = np.ascontiguousarray(words).view(np.uint8).reshape(-1, 8)
-        upto = np.bitwise_count(parts).cumsum(1, dtype=np.uint8)
-        byte = np.minimum((upto <= rank.astype(np.uint8)[:, None]).sum(1), 7)
-        row = np.arange(len(words))
-        before = np.where(byte > 0, upto[row, byte - 1], 0)
-        return 8 * byte + _BIT[parts[row, byte], np.clip(rank - before, 0, 7)]
+        """Position of the set bit number ``rank`` in each word: running counts of its bytes in one product, the byte by
+        comparing all eight at once, then a table."""
+        words, rank = np.ascontiguousarray(words), rank.astype(_U)
+        upto = np.bitwise_count(words.view(np.uint8)).view(_U) * _ONES
+        byte = np.minimum(np.bitwise_count(((rank * _ONES | _TOPS) - upto) & _TOPS), 7).astype(_U)
+        shift = byte << _U(3)
+        before = ((upto << _U(8)) >> shift) & _U(255)
+        own = (words >> shift) & _U(255)
+        return shift.astype(np.int64) + _BIT[own.astype(np.int64), np.clip(rank.astype(np.int64) - before.astype(np.int64), 0, 7)]
 
     def lows(self, i: np.ndarray) -> np.ndarray:
         if not self.low_bits:
             return np.zeros(len(i), _U)
         bit = i * self.low_bits
-        byte = bit >> 3
-        word = np.zeros(len(i), _U)
-        for k in range(8):
-            word |= self.low[byte + k].astype(_U) << _U(8 * k)
-        out = word >> (bit & 7).astype(_U)
+        byte, over = bit >> 3, (bit & 7).astype(_U)
+        out = self.wide[byte] >> over
         if self.low_bits > 57:
-            over = (bit & 7).astype(_U)
             more = self.low[byte + 8].astype(_U)
             out |= np.where(over > 0, more << (_U(64) - np.maximum(over, _U(1))), _U(0))
         return out & _U((1 << self.low_bits) - 1)
@@ -243,6 +244,11 @@ def _blobs(keys: np.ndarray, counts: np.ndarray, bounds: np.ndarray) -> pa.Recor
 def _count_level(keys_of, bounds: np.ndarray, at_once: int = 4_000_000):
     """Per task: the level's keys of whole texts, summed at every ``at_once`` and handed out by bucket."""
 
+    def flushed(held: list) -> pa.RecordBatch:
+        keys, counts = zip(*held)
+        keys = np.concatenate(keys)
+        return _blobs(*(np.unique(keys, return_counts=True) if counts[0] is None else _counted(keys, np.concatenate(counts))), bounds)
+
     def run(batches):
         held, n = [], 0
         for batch in batches:
@@ -250,10 +256,10 @@ def _count_level(keys_of, bounds: np.ndarray, at_once: int = 4_000_000):
             held.append(own)
             n += len(own[0])
             if n >= at_once:
-                yield _blobs(*_counted(*map(np.concatenate, zip(*held))), bounds)
+                yield flushed(held)
                 held, n = [], 0
         if n:
-            yield _blobs(*_counted(*map(np.concatenate, zip(*held))), bounds)
+            yield flushed(held)
 
     return run
 
@@ -264,12 +270,14 @@ def _gathered(blobs: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return _counted(np.concatenate(keys), np.concatenate(counts))
 
 
-_BLOCK = "bucket long, n long, tokens long, hot array<long>, hot_n array<long>, hot_mass array<double>"
+#: next: places in the block that are contexts of more than a block of the next level; hot: contexts split over blocks here.
+_BLOCK = "bucket long, n long, tokens long, next array<long>, next_n array<long>, hot array<long>, hot_mass array<double>"
 
 
-def _block_row(bucket: int, n: int, total: int, hot=(), hot_n=(), hot_mass=()) -> pa.Table:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
-    values = [[bucket], [n], [total], [list(hot)], [list(hot_n)], [list(hot_mass)]]
+def _block_row(bucket: int, counts: np.ndarray, block_tokens: int, hot=(), hot_mass=()) -> pa.Table:
+    large = np.flatnonzero(counts > block_tokens)
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
+    values = [[bucket], [len(counts)], [int(counts.sum())], [large.tolist()], [counts[large].tolist()], [list(hot)], [list(hot_mass)]]
     return pa.table([pa.array(v, k) for v, k in zip(values, kinds)], names=[c.split()[0] for c in _BLOCK.split(", ")])
 
 
@@ -278,13 +286,12 @@ def _word_block(folder: str, bounds: np.ndarray, block_tokens: int):
         bucket = blobs.column("bucket")[0].as_py()
         keys, counts = _gathered(blobs)
         replace_file(_path(folder, 1, bucket), _pack({f"hash_{k}": v for k, v in EliasFano.encode(keys - bounds[bucket]).arrays().items()} | {"counts": counts}))
-        hot = np.flatnonzero(counts > block_tokens)
-        return _block_row(bucket, len(keys), int(counts.sum()), hot.tolist(), counts[hot].tolist())
+        return _block_row(bucket, counts, block_tokens)
 
     return build
 
 
-def _gram_block(folder: str, level: int, trie: dict, least: int, discount: float, last: bool):
+def _gram_block(folder: str, level: int, trie: dict, least: int, discount: float, last: bool, block_tokens: int):
     def build(blobs: pa.Table) -> pa.Table:
         bucket = blobs.column("bucket")[0].as_py()
         keys, counts = _gathered(blobs)
@@ -309,7 +316,7 @@ def _gram_block(folder: str, level: int, trie: dict, least: int, discount: float
             arrays["counts"] = counts
         replace_file(_path(folder, level, bucket), _pack(arrays))
         split = np.flatnonzero(np.isin(own, trie["hot"][level - 1][0]))
-        return _block_row(bucket, len(keys), int(counts.sum()), own[split].tolist(), (), mass[split].tolist())
+        return _block_row(bucket, counts, block_tokens, own[split].tolist(), mass[split].tolist())
 
     return build
 
@@ -382,7 +389,8 @@ class Trie:
         hot, hot_back = self.about["hot"][level - 1]
         for block, first, at in self._by_block(level, self.about["levels"][level][0], keys):
             c, w = (keys[at] >> _U(32)).astype(np.int64), keys[at] & _U(0xFFFFFFFF)
-            distinct, which = np.unique(c, return_inverse=True)
+            new = np.concatenate([[True], c[1:] != c[:-1]])
+            distinct, which = c[new], new.cumsum() - 1
             rank = block["context"].find(distinct)
             ok = rank >= 0
             rank = np.where(ok, rank, 0)
@@ -405,9 +413,10 @@ class Trie:
         return place, p, back
 
     def walk(self, texts: pa.Array, upto: int):
-        """Ends, ids, counts, and per level from 2 to ``upto`` (context, place, log10 p, log10 back-off)."""
+        """Ends, tokens as indices of distinct words, ids, counts of the distinct words, and per level from 2 to ``upto`` (context, place, log10 p, log10 back-off)."""
         hashes, codes, ends = tokens(texts)
-        ids, counts = (v[codes] for v in self.words(hashes))
+        own_ids, own_counts = self.words(hashes)
+        ids = own_ids[codes]
         starts = np.concatenate([[0], ends[:-1]])
         steps, place = [], ids
         for level in range(2, upto + 1):
@@ -416,19 +425,19 @@ class Trie:
             found = self.children(level, context, ids)
             steps.append((context, *found))
             place = found[0]
-        return ends, ids, counts, steps
+        return ends, codes, ids, own_counts, steps
 
     def score(self, texts: pa.Array):
         """Per text: tokens, known tokens, base score, score."""
         about = self.about
-        ends, _, counts, steps = self.walk(texts, about["order"])
-        low = np.log10((counts + 0.5) / (about["N"] + 0.5 * (about["V"] + 1)))
-        best = -STEP * quantise(low)
+        ends, codes, _, counts, steps = self.walk(texts, about["order"])
+        own = np.log10((counts + 0.5) / (about["N"] + 0.5 * (about["V"] + 1)))
+        low, best, known = own[codes], (-STEP * quantise(own))[codes], (counts > 0)[codes]
         for _, place, p, back in steps:
             best = np.where(place >= 0, p, best + back)
         starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
         total = lambda v: np.add.reduceat(v, starts) if len(starts) else v[:0]
-        return ends - starts, total((counts > 0).astype(np.int64)), total(low), total(best)
+        return ends - starts, total(known.astype(np.int64)), total(low), total(best)
 
 
 def _bounds(size: int, blocks: int, hot: list[tuple[int, int]], block_tokens: int, words: int) -> np.ndarray:
@@ -467,7 +476,8 @@ def train(docs: DataFrame, order: int = 3, least: int = 1, discount: float = 0.7
     by, places, there, kinds = _collected(spark, blobs, _word_block(folder, bounds, block_tokens), bounds)
     if kinds >= 1 << 32:
         raise ValueError("more than 2**32 distinct words")
-    hot = sorted((int(places[b]) + i, n) for b, r in by.items() for i, n in zip(r["hot"], r["hot_n"]))
+    large = lambda: sorted((int(places[b]) + i, n) for b, r in by.items() for i, n in zip(r["next"], r["next_n"]))
+    hot = large()
     about = {"N": sum(r["tokens"] for r in by.values()), "V": kinds, "order": 1, "levels": {1: (bounds, places, there)}, "hot": {}, "folder": folder}
     for level in range(2, order + 1):
         about["hot"][level - 1] = (np.array([c for c, _ in hot], np.int64), np.zeros(len(hot), np.uint8))
@@ -475,16 +485,16 @@ def train(docs: DataFrame, order: int = 3, least: int = 1, discount: float = 0.7
 
         def keys(own, level=level, lower=lower):
             trie = Trie(lower)
-            ends, ids, counts, steps = trie.walk(own, level - 1)
-            place = steps[-1][1] if steps else np.where(counts >= least, ids, -1)
+            ends, codes, ids, counts, steps = trie.walk(own, level - 1)
+            place = steps[-1][1] if steps else np.where(counts[codes] >= least, ids, -1)
             context = np.concatenate([[-1], place[:-1]])
             context[np.concatenate([[0], ends[:-1]])] = -1
             ok = (context >= 0) & (place >= 0)  # both shorter parts are frequent
-            return np.unique((context[ok].astype(_U) << _U(32)) | ids[ok].astype(_U), return_counts=True)
+            return (context[ok].astype(_U) << _U(32)) | ids[ok].astype(_U), None
 
         bounds = _bounds(max(1, int(places[-1]) + 1 if level > 2 else kinds), blocks, hot, block_tokens, max(1, kinds))
         blobs = texts.mapInArrow(_count_level(keys, bounds), _BLOB)
-        by, places, there, _ = _collected(spark, blobs, _gram_block(folder, level, lower, least, discount, level == order), bounds)
+        by, places, there, _ = _collected(spark, blobs, _gram_block(folder, level, lower, least, discount, level == order, block_tokens), bounds)
         mass: dict[int, float] = {}
         for r in by.values():
             for c, m in zip(r["hot"], r["hot_mass"]):
@@ -492,7 +502,7 @@ def train(docs: DataFrame, order: int = 3, least: int = 1, discount: float = 0.7
         left = np.array([1 - mass.get(c, 0.0) for c, _ in hot], float)
         about["hot"][level - 1] = (about["hot"][level - 1][0], quantise(np.log10(np.maximum(left, 1e-12))))
         about["levels"][level] = (bounds, places, there)
-        about["order"], hot = level, []
+        about["order"], hot = level, large()
     return about
 
 

@@ -2,12 +2,16 @@
 
 import hashlib
 import os
+import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from dossier.llm import components, embedding_dedup, queries, warc
-from dossier.llm.shared import new_uri, workers_see_us
+from dossier.llm.shared import new_uri, row_key, workers_see_us
 
 
 def test_components(spark):
@@ -116,3 +120,83 @@ def test_repeated_vec_ids_are_vectors_of_their_own(spark):
     rows = [(1, [1.0, 0.0, 0.0], 0), (1, [0.0, 1.0, 0.0], 0), (2, [0.0, 1.0, 0.01], 0), (2, [0.0, 1.0, 0.01], 0), (2, [0.0, 1.0, 0.01], 1)]
     found = embedding_dedup.link(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
     assert sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in found) == [(1, 0, 1, True), (1, 2, 1, True), (2, 0, 2, True), (2, 2, 1, False), (2, 2, 1, False)]
+
+
+def _pipeline_rows():
+    """Texts of one language: plain ones, copies, near copies, rows in full again, common lines, junk, nulls, a long text."""
+    draw = random.Random(21)
+    words = ["".join(draw.choice("bcdfgklmnprst") + draw.choice("aeiou") for _ in range(draw.randint(1, 4))) for _ in range(900)]
+    text = lambda n=120: "\n".join(" ".join(draw.choice(words) for _ in range(n // 4)) for _ in range(4))
+    own = [(i, text(), "en", "s", 1) for i in range(90)]
+    own += [(100 + i, own[i][1], "en", "s", 1) for i in range(5)] + [(120 + i, own[10 + i][1] + " " + words[i], "en", "s", 1) for i in range(5)]
+    own += [own[20], own[20], own[21]]
+    own = [(i, t + ("\nThe same  line" if n % 6 == 0 else ""), a, b, c) for n, (i, t, a, b, c) in enumerate(own)]
+    own += [(200 + i, "BUY!!! ### " * 60, "en", "s", 1) for i in range(6)] + [(210, None, "en", "s", 1), (211, "", "en", None, None), (212, text(9000), "en", "s", 1), (None, text(), "en", "s", 1)]
+    return own
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    """run() over a small table: its own model and verdicts, then line dedup, near-dedup and packing by brute force."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from dossier.llm import quality_classifier, quality_rules
+
+    own = _pipeline_rows()
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(own, schema).coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, int(i < 200), 0) for i in (*range(90), *range(200, 206))]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    model = quality_classifier.fit(docs, spark.read.parquet(f"{tmp_path}/labels.parquet"))
+    rows = [r for r in own if model.score(*quality_classifier.features(r[1] or "", r[4])) >= 0.3]
+    assert {i for i in range(200, 206)}.isdisjoint(r[0] for r in rows)
+    verdict = {(r["doc_id"], r["_k1"]): r["kept"] for r in quality_rules.judge(spark.createDataFrame(rows, schema)).collect()}
+    keys = {r: k for r, k in zip(rows, [x[0] for x in spark.createDataFrame([(i, t) for i, t, *_ in rows], "doc_id long, text string").select(row_key(spark.range(1).selectExpr("id as doc_id", "'' as text"))[0]).collect()])}
+    rows = [r for r in rows if verdict[r[0], keys[r]]]
+    key = lambda line: line.strip(" \t\n\x0b\x0c\r").lower()
+    common = {k for k, n in Counter(k for r in rows for k in {key(x) for x in r[1].split("\n")} if k).items() if n >= 10}
+    assert common == {"the same  line"}
+    rows = [(r[0], "\n".join(x for x in r[1].split("\n") if key(x) not in common), *r[2:]) for r in rows]
+    sets = [set(zip(*(r[1].lower().split()[k:] for k in range(5)))) for r in rows]
+    order = sorted((i for i in range(len(rows)) if rows[i][0] is not None), key=lambda i: rows[i][0])
+    top = {i: i for i in order}
+
+    def find(i):
+        while top[i] != i:
+            i = top[i]
+        return i
+
+    for n, a in enumerate(order):
+        for b in order[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((find(a), find(b)), key=order.index)
+                top[y] = x
+    kept = {rows[i] for i in order if rows[find(i)][0] == rows[i][0]} | {r for r in rows if r[0] is None}
+    assert 80 < len(kept) < len(rows) - 8
+    coder, want = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")), Counter()
+    for r in kept:
+        ids = np.array(coder.encode(r[1], add_special_tokens=False).ids + [0], "<u4")
+        for piece, at in enumerate(range(0, len(ids), 2048)):
+            want[r[0], piece, at, len(ids[at : at + 2048]), zlib.crc32(ids[at : at + 2048].tobytes())] += 1
+    found = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in found) == want
+    assert max(n for _, n in Counter((r["sequence_id"], r["offset"]) for r in found).items()) == 1
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_on_odd_tables(spark, empty):
+    """Nulls in every column, empty and long texts, repeats, clashing and dotted columns, and no rows at all."""
+    import corpus_pipeline
+
+    own = [(1, "a b " * 60, "en", "s", 480, "x", 1), (1, "a b " * 60, "en", "s", 480, "x", 1), (2, "w " * 50000, None, None, None, None, None), (None, None, None, None, None, None, None), (3, "", "en", "s", 0, "y", 2)]
+    docs = spark.createDataFrame(own[: 0 if empty else 9], "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, _k1 int").withColumn("score", F.lit(1)).withColumn("length", F.lit("l"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns and out.count() <= docs.count(), name
+    assert stage(spark, docs, "").count() == (0 if empty else 4)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, "")
+    assert packed.count() == (0 if empty else 4 + 25)

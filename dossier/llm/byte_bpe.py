@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from dossier.llm.shared import table
+from dossier.llm.shared import sole_memory, table
 
 #: Pair keys are left << SHIFT | right; ranks are below 2**18.
 SHIFT = 18
@@ -310,6 +310,7 @@ def encode_texts(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, decoded): the ids of every text and the bytes they decode to."""
 
     def run(batches):
+        sole_memory("byte-bpe", _LOADED.clear)
         coder = _coder(path)
         for batch in batches:
             ids, bounds = coder.encode_all(pc.fill_null(batch.column("text"), ""))
@@ -325,6 +326,7 @@ def digest_texts(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text."""
 
     def run(batches):
+        sole_memory("byte-bpe", _LOADED.clear)
         coder = _coder(path)
         for batch in batches:
             n, ids, back = coder.digests(pc.fill_null(batch.column("text"), ""))

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm.components import components
-from dossier.llm.shared import cut, quoted, row_key, table, unused
+from dossier.llm.shared import cut, quoted, row_key, sole_memory, table, unused
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -84,6 +84,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     """Per row: doc_id, row key k1 and k2, n_shingles, 128 bits c1 and c2 of its word sequence, bands and bits."""
 
     def run(batches):
+        sole_memory("minhash")
         for batch in batches:
             rows = []
             for text in pc.fill_null(batch.column("text"), "").to_pylist():

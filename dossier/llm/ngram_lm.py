@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut, mounted, new_uri, replace_file, table
+from dossier.llm.shared import cut, mounted, new_uri, replace_file, sole_memory, table
 
 END_WORD = b""
 _U = np.uint64
@@ -514,6 +514,7 @@ def score(docs: DataFrame, about: dict) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score of every whole text."""
 
     def run(batches):
+        sole_memory("trie", _OPEN.clear)
         trie = Trie(about)
         for batch in batches:
             texts = pc.fill_null(batch.column("text"), "")

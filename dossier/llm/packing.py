@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut, table
+from dossier.llm.shared import cut, sole_memory, table
 
 SIZE, END = 2048, b"\0\0\0\0"
 
@@ -144,6 +144,7 @@ def cut_pieces(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = Fa
     def run(batches):
         from pyspark import TaskContext
 
+        sole_memory("packing", _CODERS.clear)
         coder, part = _coder(path), TaskContext.get().partitionId()
         nth = np.zeros(size + 1, np.int64)
         for batch in batches:

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dossier.llm.shared import quoted, table, unused
+from dossier.llm.shared import quoted, sole_memory, table, unused
 
 BUCKETS, RANK, STRUCTURE = 4096, 6, 12
 WIDTH = BUCKETS + STRUCTURE + 1
@@ -35,7 +35,7 @@ _SEEN: dict[bytes, int] = {}
 def _bucket(word: bytes) -> int:
     found = _SEEN.get(word)
     if found is None:
-        if len(_SEEN) > 300_000:  # only a memory of hashes; a word's bucket is the same when found again
+        if len(_SEEN) > 150_000:  # only a memory of hashes; a word's bucket is the same when found again
             _SEEN.clear()
         found = _SEEN[word] = zlib.crc32(word) % BUCKETS
     return found
@@ -156,6 +156,7 @@ def classify(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.
     schema = T.StructType([*own.schema.fields[:-2], T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def scored(batches):
+        sole_memory("classifier", _SEEN.clear)
         for batch in batches:
             texts, chars = pc.fill_null(batch.column("body"), "").to_pylist(), batch.column("meta").to_pylist()
             found = [model.score(*features(t, c)) for t, c in zip(texts, chars)]

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut, quoted, row_key, table, unused
+from dossier.llm.shared import cut, quoted, row_key, sole_memory, table, unused
 
 SYMBOLS = "#*$%&|<>"
 #: Coordinates: log mean word length; angles asin(sqrt(share)) of symbols, upper-case letters, repeated lines, repeated words.
@@ -70,6 +70,7 @@ def text_stats(text: str) -> tuple[int, int, int, int, int, int, list[float]]:
 
 
 def _stats_batches(batches):
+    sole_memory("rules")
     for batch in batches:
         texts = pc.fill_null(batch.column("text"), "")
         rows = list(zip(*map(text_stats, texts.to_pylist()))) or [[]] * 7

@@ -75,9 +75,20 @@ def workers_see_us(spark: SparkSession) -> None:
     environment = spark.sparkContext.environment
     if root not in environment.get("PYTHONPATH", "").split(os.pathsep):
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, environment.get("PYTHONPATH", "")) if x)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     if not spark.conf.get(BATCH_BYTES, None):
-        spark.conf.set(BATCH_BYTES, str(16 << 20))
+        spark.conf.set(BATCH_BYTES, str(6 << 20))
+
+
+_MEMORIES: dict = {}
+
+
+def sole_memory(name: str, forget=lambda: None) -> None:
+    """In a Python worker that operators use in turn: only the one at work keeps what it remembers; ``forget`` drops it."""
+    for other, drop in _MEMORIES.items():
+        if other != name:
+            drop()
+    _MEMORIES[name] = forget
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -203,7 +203,7 @@ def _block_links(left: list[dict], right: list[dict], same: bool, width: int, pe
     return list(zip(rows[u].tolist(), columns[v].tolist()))
 
 
-def blocks(members: DataFrame, texts: DataFrame, width: int, percent: int, chunk: int = 400, chunk_bytes: int = 4 << 20) -> DataFrame:
+def blocks(members: DataFrame, texts: DataFrame, width: int, percent: int, chunk: int = 400, chunk_bytes: int = 2 << 20) -> DataFrame:
     """Links between different parts of each group of ``members(node, crowd, part, bits)``, as (u, v).
 
     Chunks hold about ``chunk`` texts and ``chunk_bytes``, of one large part or of small parts only; chunks of the same

@@ -142,9 +142,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 8000) -> Factoris
     rows = rows.agg(F.min_by(F.struct("text", "n_chars"), F.struct(F.xxhash64("text"), "n_chars")).alias("row"))  # one row a label at most
     rows = rows.select("quality", "row.text", "row.n_chars", F.xxhash64("_id", "row.text").alias("o"))
     rows = rows.repartition(8, "o").mapInArrow(_feature_batches, "quality int, at array<int>, x array<float>").toArrow()
-    at, x = rows.column("at").to_pylist(), rows.column("x").to_pylist()
-    y = np.array(rows.column("quality").to_pylist(), float)
-    pairs = [(np.array(a, np.int64), np.array(b, np.float32)) for a, b in zip(at, x)]
+    y = rows.column("quality").to_numpy().astype(float)
+    at, x = (rows.column(c).combine_chunks() for c in ("at", "x"))
+    cuts = np.append(0, pc.list_value_length(at).to_numpy()).cumsum().tolist()
+    at, x = at.flatten().to_numpy(), x.flatten().to_numpy()
+    pairs = [(at[i:j], x[i:j]) for i, j in zip(cuts, cuts[1:])]  # views: the sample stays in two flat arrays
     order = sorted(range(len(pairs)), key=lambda i: (y[i], pairs[i][0].size, pairs[i][1].sum()))
     return FactorisationMachine().fit([pairs[i] for i in order], y[order])
 

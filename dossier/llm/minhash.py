@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm.components import components
-from dossier.llm.shared import cut, quoted, row_key, sole_memory, table, unused
+from dossier.llm.shared import broadcast_if_few, cut, quoted, row_key, sole_memory, table, unused
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -262,9 +262,9 @@ def _linked(docs: DataFrame, width: int, percent: int, bucket_chunk: int = 512)
     classes = classes.withColumn("nid", F.monotonically_increasing_id())
     named = F.struct(F.col("least.doc_id").alias("rep"), F.col("nid").alias("nid")).alias("node")
     reps = cut(classes.select(named, "c1", "c2", F.col("least.k1").alias("k1"), F.col("least.k2").alias("k2"), "bands", "bits"), "minhash-reps")
-    banded = reps.select("node", F.explode("bands").alias("key"))
+    banded = reps.select("node", F.explode(F.array_distinct("bands")).alias("key"))
     shared = banded.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / bucket_chunk).alias("chunks"))
-    buckets = banded.distinct().join(shared, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
+    buckets = banded.join(shared, "key").withColumn("chunk", F.pmod(F.xxhash64("node"), "chunks"))
     buckets = cut(buckets, "minhash-buckets")
     ids = cut(buckets.select("node").distinct(), "minhash-nodes")
     near_by = reps.join(_broadcast_if_small(ids), "node", "left_semi")
@@ -316,8 +316,8 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, **settings) ->
     n1, n2 = unused(names, "_k1", "_k2")
     gone = cut(_linked(docs, width, percent, **settings).where("not kept").select(F.col("k1").alias(n1), F.col("k2").alias(n2)).distinct(), "minhash-gone")
     k1, k2 = row_key(docs)
-    held = docs.select(*map(quoted, names), k1.alias(n1), k2.alias(n2)).join(gone, [n1, n2], "left_anti").select(*map(quoted, names))
-    again = cut(held.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "minhash-again")
+    held = docs.select(*map(quoted, names), k1.alias(n1), k2.alias(n2)).join(broadcast_if_few(gone, 1_000_000), [n1, n2], "left_anti").select(*map(quoted, names))
+    again = broadcast_if_few(cut(held.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "minhash-again"), 1_000_000)
     single = held.join(again, "doc_id", "left_anti").select(*map(quoted, names))
     order = [quoted(f.name) for f in docs.schema if _ordered(f.dataType)]
     row, least = F.struct(*(quoted(c).alias(f"c{i}") for i, c in enumerate(names))), F.struct(*order)

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut, quoted, row_key, sole_memory, table, unused
+from dossier.llm.shared import broadcast_if_few, cut, quoted, row_key, sole_memory, table, unused
 
 SYMBOLS = "#*$%&|<>"
 #: Coordinates: log mean word length; angles asin(sqrt(share)) of symbols, upper-case letters, repeated lines, repeated words.
@@ -267,7 +267,7 @@ def keep_regular(docs: DataFrame, **settings) -> DataFrame:
     gone = judge(docs, **settings).where("not kept").select(F.col("_k1").alias(n1), F.col("_k2").alias(n2)).distinct()
     k1, k2 = row_key(docs)
     held = docs.select(*map(quoted, docs.columns), k1.alias(n1), k2.alias(n2))
-    return held.join(cut(gone, "rule-rejects"), [n1, n2], "left_anti").select(*map(quoted, docs.columns))
+    return held.join(broadcast_if_few(cut(gone, "rule-rejects"), 1_000_000), [n1, n2], "left_anti").select(*map(quoted, docs.columns))
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

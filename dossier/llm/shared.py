@@ -101,6 +101,11 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
 
 
+def broadcast_if_few(rows: DataFrame, most: int) -> DataFrame:
+    """``rows`` broadcast where they are counted to be at most ``most``, else as they are."""
+    return F.broadcast(rows) if rows.count() <= most else rows
+
+
 def quoted(name: str) -> Column:
     """The column of exactly this name, whatever characters it holds."""
     return F.col("`" + name.replace("`", "``") + "`")

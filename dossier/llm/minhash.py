@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm.components import components
-from dossier.llm.shared import broadcast_if_few, cut, quoted, row_key, sole_memory, table, unused
+from dossier.llm.shared import broadcast_if_few, cut, give_back, quoted, row_key, sole_memory, table, unused
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -99,6 +99,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
             kept = ["doc_id", "k1", "k2"]
             yield pa.RecordBatch.from_arrays([*map(batch.column, kept), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=[*kept, "n_shingles", "c1", "c2", "bands", "bits"])
+        give_back()
 
     k1, k2 = row_key(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut, sole_memory, table
+from dossier.llm.shared import cut, give_back, sole_memory, table
 
 SIZE, END = 2048, b"\0\0\0\0"
 
@@ -171,6 +171,7 @@ def cut_pieces(docs: DataFrame, path: str, size: int = SIZE, with_ids: bool = Fa
                 made.append(pa.array([array("I", bytes(data[i:j]) + END * end).tolist() for i, j, end in spans], pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(made, names=names)
+        give_back()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {_PIECE}" + (", ids array<int>" if with_ids else ""))

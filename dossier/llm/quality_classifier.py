@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from dossier.llm.shared import quoted, sole_memory, table, unused
+from dossier.llm.shared import give_back, quoted, sole_memory, table, unused
 
 BUCKETS, RANK, STRUCTURE = 4096, 6, 12
 WIDTH = BUCKETS + STRUCTURE + 1
@@ -164,6 +164,7 @@ def classify(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.
             found = [model.score(*features(t, c)) for t, c in zip(texts, chars)]
             made = [pa.array(found, pa.float64()), pa.array([int(s >= threshold) for s in found], pa.int32())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *made], names=[*batch.schema.names[:-2], "score", "predicted"])
+        give_back()
 
     return own.mapInArrow(scored, schema).toDF(*kept, *names)
 

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import broadcast_if_few, cut, quoted, row_key, sole_memory, table, unused
+from dossier.llm.shared import broadcast_if_few, cut, give_back, quoted, row_key, sole_memory, table, unused
 
 SYMBOLS = "#*$%&|<>"
 #: Coordinates: log mean word length; angles asin(sqrt(share)) of symbols, upper-case letters, repeated lines, repeated words.
@@ -80,6 +80,7 @@ def _stats_batches(batches):
             kept + [pa.array(v, k) for v, k in zip(rows, kinds)],
             names=["doc_id", "_g", "_k1", "_k2", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "x"],
         )
+    give_back()
 
 
 def base_failed() -> Column:

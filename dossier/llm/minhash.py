@@ -118,21 +118,28 @@ def estimate(equal: Column) -> Column:
     return (equal / MINIMA - 0.25) / 0.75
 
 
-def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of ``pairs(a, b)`` those whose full sets have 100 * intersection >= percent * union, as (u, v)."""
+def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, remember: int = 100_000) -> DataFrame:
+    """Of ``pairs(a, b)`` those whose full sets have 100 * intersection >= percent * union, as (u, v).
+
+    A task remembers sets until they hold ``remember`` shingles.
+    """
     own = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     held = pairs.join(own, "a").join(other, "b").select(F.col("a").alias("u"), F.col("b").alias("v"), F.col("a.nid").alias("i"), F.col("b.nid").alias("j"), "text_a", "text_b")
 
     def run(batches):
         sets: dict = {}
+        held = 0
 
         def of(key, text):
+            nonlocal held
             found = sets.get(key)
             if found is None:
-                if len(sets) >= 256:
+                if held >= remember:
                     sets.clear()
+                    held = 0
                 found = sets[key] = shingle_set(text, width)
+                held += len(found)
             return found
 
         for batch in batches:
@@ -159,26 +166,42 @@ def _equal_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return MINIMA - np.bitwise_count(words[0]).astype(np.int16) - np.bitwise_count(words[1])
 
 
-def shared_shingles(left: list[set], right: list[set], slice_: int = 4096) -> np.ndarray:
-    """Sizes of all intersections of a set on the left with one on the right, by products of incidence matrices."""
-    number: dict = {}
-    for s in left:
-        for x in s:
-            number.setdefault(x, len(number))
-    there = [np.fromiter((number[x] for x in s if x in number), np.int64) for s in right]
-    used, at = np.unique(np.concatenate(there) if there else np.zeros(0, np.int64), return_inverse=True)
-    place = np.full(len(number) + 1, -1, np.int64)
-    place[used] = np.arange(len(used))
-    sides = []
-    for groups in ([np.fromiter((number[x] for x in s), np.int64, len(s)) for s in left], there):
-        row = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
-        column = place[np.concatenate(groups)] if groups else row
+def numbered_sets(texts: list[str], width: int) -> list[np.ndarray]:
+    """The exact set of every text as sorted whole numbers, equal where shingles are equal in any of ``texts``.
+
+    Words are numbered from 1, then each shingle by the number of its beginning and its next word; a sequence of fewer
+    words is filled up with 0. This takes 8 bytes a shingle instead of a tuple.
+    """
+    words: dict[bytes, int] = {}
+    rows = [np.array([words.setdefault(w, len(words) + 1) for w in shingle_words(t)], np.int64) for t in texts]
+    rows = [np.append(r, np.zeros(width - len(r), np.int64)) if 0 < len(r) < width else r for r in rows]
+    spans = [max(0, len(r) - width + 1) for r in rows]
+    if not any(spans):
+        return [np.zeros(0, np.int64) for _ in rows]
+    at = lambda i: np.concatenate([r[i : i + n] for r, n in zip(rows, spans)])
+    codes = at(0)
+    for i in range(1, width):
+        codes = np.unique(codes * (len(words) + 1) + at(i), return_inverse=True)[1]
+    return [np.unique(own) for own in np.split(codes, np.cumsum(spans)[:-1])]
+
+
+def shared_shingles(left: list, right: list, slice_: int = 4096) -> np.ndarray:
+    """Sizes of all intersections of a set of whole numbers on the left with one on the right, by products of incidence matrices."""
+    sides, kinds = [], []
+    for groups in (left, right):
+        flat = np.concatenate([np.fromiter(g, np.int64, len(g)) for g in groups] or [np.zeros(0, np.int64)])
+        kinds.append(np.unique(flat))
+        sides.append((np.repeat(np.arange(len(groups)), [len(g) for g in groups]), flat))
+    used = np.intersect1d(*kinds, assume_unique=True)
+    for i, (row, flat) in enumerate(sides):
+        held = np.isin(flat, used)
+        row, column = row[held], np.searchsorted(used, flat[held])
         order = np.argsort(column, kind="stable")
-        sides.append((row[order], column[order], len(groups)))
+        sides[i] = row[order], column[order]
     out = np.zeros((len(left), len(right)), np.float32)
     for start in range(0, len(used), slice_):
         both = []
-        for row, column, n in sides:
+        for (row, column), n in zip(sides, (len(left), len(right))):
             a, b = np.searchsorted(column, [start, start + slice_])
             m = np.zeros((n, slice_), np.float32)
             m[row[a:b], column[a:b] - start] = 1
@@ -197,7 +220,8 @@ def _block_links(left: list[dict], right: list[dict], same: bool, width: int, pe
     rows, columns = np.flatnonzero(near.any(1)), np.flatnonzero(near.any(0))
     if not rows.size:
         return []
-    a, b = ([shingle_set(side[i]["text"], width) for i in at] for side, at in ((left, rows), (right, columns)))
+    sets = numbered_sets([side[i]["text"] for side, at in ((left, rows), (right, columns)) for i in at], width)
+    a, b = sets[: rows.size], sets[rows.size :]
     both = shared_shingles(a, b)
     union = np.fromiter(map(len, a), np.int64)[:, None] + np.fromiter(map(len, b), np.int64)[None, :] - both
     u, v = np.nonzero((100 * both >= percent * union) & near[np.ix_(rows, columns)])

@@ -37,7 +37,7 @@ class WordCoder:
 
     SPLIT, SPLIT_ID = "<|endoftext|>", 49407
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 250_000):
         from tokenizers import Tokenizer
 
         self.encoder = Tokenizer.from_file(path)

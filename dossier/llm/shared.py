@@ -77,7 +77,7 @@ def workers_see_us(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(x for x in (root, environment.get("PYTHONPATH", "")) if x)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     if not spark.conf.get(BATCH_BYTES, None):
-        spark.conf.set(BATCH_BYTES, str(6 << 20))
+        spark.conf.set(BATCH_BYTES, str(3 << 20))
 
 
 _MEMORIES: dict = {}

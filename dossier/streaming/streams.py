@@ -1,4 +1,4 @@
-"""Structured Streaming counterparts of the crawl feed and the change feed (STM-01..06, SNK-06)."""
+"""Structured Streaming counterparts of the crawl feed and the change feed (STM-01..07, SNK-06)."""
 
 from __future__ import annotations
 
@@ -26,9 +26,15 @@ def start(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return events.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(path)
 
 
-def counts(events: DataFrame, width: str = "1 day", horizon: str = "45 days") -> DataFrame:
-    """Events per window and status, late ones within the horizon included."""
-    return events.withWatermark("event_time", horizon).groupBy(F.window("event_time", width), "status").agg(F.count("*").alias("n"))
+def counts(events: DataFrame, width: str = "1 day", horizon: str = "45 days", slide: str | None = None) -> DataFrame:
+    """Events per window and status, late ones within the horizon included; with ``slide`` windows overlap."""
+    return events.withWatermark("event_time", horizon).groupBy(F.window("event_time", width, slide), "status").agg(F.count("*").alias("n"))
+
+
+def sessions(events: DataFrame, key: str, gap: str = "30 minutes", horizon: str = "45 days") -> DataFrame:
+    """Events per session of ``key``: a session ends where nothing came for ``gap``."""
+    held = events.withWatermark("event_time", horizon).groupBy(F.session_window("event_time", gap).alias("session"), key)
+    return held.agg(F.count("*").alias("n")).select(key, F.col("session.start").alias("started"), F.col("session.end").alias("ended"), "n")
 
 
 def change_feed(snapshots: DataFrame, state_path: str, changes_path: str, checkpoint: str) -> StreamingQuery:

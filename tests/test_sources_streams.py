@@ -1,11 +1,12 @@
 """Files in and out, and streams that end where the batch does."""
 
 import gzip
+from collections import Counter
 
 import pytest
 
 from dossier.operators.crawl import dedupe_events
-from dossier.sources import files
+from dossier.sources import files, workspace
 from dossier.streaming import streams
 
 HEAD = "organisasjonsnummer;navn;organisasjonsform.kode;antallAnsatte;konkurs;forretningsadresse.kommune\n"
@@ -48,3 +49,48 @@ def test_change_feed(spark, tmp_path):
         streams.change_feed(stream, str(tmp_path / "state"), str(tmp_path / "changes"), str(tmp_path / "ck")).awaitTermination()
     found = [(r["organisation_number"], r["field"], r["old_value"], r["new_value"]) for r in spark.read.parquet(str(tmp_path / "changes")).collect()]
     assert found == [("1", "registry.employees", "2", "3")]
+
+
+def test_windows_of_a_stream(spark, tmp_path):
+    """A stream's sessions and overlapping windows are those that Python counts."""
+    schema = "organisation_number string, page_kind string, final_url string, content_sha256 string, status string, retrieved_at string, seq long"
+    minutes = [0, 10, 45, 46, 200, 229, 260, 61]  # by the hour and minute of one day
+    stamp = lambda m: f"2026-08-01T{m // 60:02d}:{m % 60:02d}:00Z"
+    late = [("9", "homepage", "u", "h", "available", "2026-12-01T00:00:00Z", 99)]
+    rows = [(str(i % 2), "homepage", "u", "h", "available", stamp(m), i) for i, m in enumerate(minutes)]
+    spark.createDataFrame(rows, schema).coalesce(1).write.json(str(tmp_path / "in"))
+    stream = streams.read_events(spark, str(tmp_path / "in"), schema)
+    for name, made in (("s", streams.sessions(stream, "organisation_number")), ("w", streams.counts(stream, "2 hours", slide="1 hour"))):
+        streams.start(made, str(tmp_path / name), str(tmp_path / f"ck-{name}")).awaitTermination()
+    spark.createDataFrame(late, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))  # lets the watermark pass
+    for name, made in (("s", streams.sessions(stream, "organisation_number")), ("w", streams.counts(stream, "2 hours", slide="1 hour"))):
+        streams.start(made, str(tmp_path / name), str(tmp_path / f"ck-{name}")).awaitTermination()
+    want = []
+    for org in "01":
+        last = None
+        for m in sorted(m for i, m in enumerate(minutes) if i % 2 == int(org)):
+            if last is None or m - last >= 30:
+                want.append([org, 0])
+            want[-1][1] += 1
+            last = m
+    found = spark.read.parquet(str(tmp_path / "s")).collect()
+    assert sorted((r["organisation_number"], r["n"]) for r in found) == sorted(map(tuple, want))
+    hours = Counter(h for m in minutes for h in (m // 60 - 1, m // 60))
+    found = spark.read.parquet(str(tmp_path / "w")).select("n").collect()
+    assert sorted(r["n"] for r in found) == sorted(hours.values())
+
+
+def test_workspace(tmp_path):
+    path = str(tmp_path / "deep" / "workspace.json")
+    held, reason = workspace.load(path)
+    assert held == workspace.Workspace() and reason is None
+    for i in range(103):
+        held = held.with_screen(f"q{i}", {"filters": []}, ["2", "1"], ["2"] if i % 2 else ["1"])
+    held.save(path)
+    again, reason = workspace.load(path)
+    assert reason is None and again == held and again.pins == ("1", "2")
+    assert [len(again.history), again.history[0]["query"], again.history[-1]["result_count"]] == [100, "q3", 2]
+    for text in ("{", "[]", '{"schema_version": 2, "pins": [], "history": []}', '{"schema_version": 1, "pins": {}, "history": []}'):
+        (tmp_path / "bad.json").write_text(text)
+        held, reason = workspace.load(str(tmp_path / "bad.json"))
+        assert held == workspace.Workspace() and reason

@@ -154,6 +154,16 @@ def test_shared_shingles():
     assert minhash.shared_shingles(left, right, 16).tolist() == [[len(a & b) for b in right] for a in left]
 
 
+def test_numbered_sets():
+    draw = random.Random(4)
+    texts = [" ".join(draw.choice("abcDd") for _ in range(draw.choice([0, 1, 2, 4, 5, 6, 30]))) for _ in range(40)]
+    for width in (1, 2, 5):
+        numbers, sets = minhash.numbered_sets(texts, width), [minhash.shingle_set(t, width) for t in texts]
+        assert [len(n) for n in numbers] == [len(s) for s in sets]
+        assert minhash.shared_shingles(numbers[:15], numbers[15:], 16).tolist() == [[len(a & b) for b in sets[15:]] for a in sets[:15]]
+    assert minhash.numbered_sets([], 5) == [] and [len(n) for n in minhash.numbered_sets(["", ""], 5)] == [0, 0]
+
+
 def test_equal_bits():
     draw = np.random.default_rng(5).integers(-(2**63), 2**63, (2, 6, 4), dtype=np.int64)
     bit = lambda w, i, j: int(w[j // 64 + 2 * i]) >> (j % 64) & 1

@@ -4,10 +4,11 @@ import hashlib
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from dossier.llm import exact_dedup
+from dossier.llm import exact_dedup, whitening
 
 SCHEMA = "doc_id long, text string, lang string, source string"
 
@@ -69,3 +70,68 @@ def test_exact_dedup_is_native(spark, tmp_path):
     assert "Python" not in plan and "Arrow" not in plan
     assert plan.count("Exchange hashpartitioning") <= 2 * plan.count("SortMergeJoin")  # nothing else moves
     assert found.count() == 1000
+
+
+def _whitened(vectors, k=16):
+    """numpy's own eigenvectors of the covariance: {x vector: (deviation, |whitened|)}, explained, list size."""
+    x = [tuple(int(np.floor(64.0 * c)) + 1000000 for c in v) for v in vectors]
+    fit = np.array(sorted(set(x)), dtype=np.int64)
+    n, sums = len(fit), fit.sum(axis=0)
+    centred = (n * fit - sums) / n
+    values, axes = np.linalg.eigh(centred.T @ centred / n)
+    values, axes = values[::-1][:k], axes[:, ::-1][:, :k]
+    own = np.array(x, dtype=np.int64)
+    return n, [sum(int(a) ** 2 for a in row) for row in n * own - sums], ((n * own - sums) / n) @ (axes / np.sqrt(values)), values / np.trace(centred.T @ centred / n)
+
+
+@pytest.mark.parametrize("d,k", [(64, 16), (5, 16), (96, 3)])
+def test_whitening(spark, d, k):
+    draw = np.random.default_rng(d)
+    vectors = (draw.standard_normal((400, d)) * np.linspace(2, 0.3, d) + draw.integers(0, 2, (400, 1))).astype(np.float32)
+    vectors[200:260] = vectors[7]
+    rows = [(i, [float(c) for c in v], f"w{i}") for i, v in enumerate(vectors)]
+    odd = [(1000, None, "x"), (1001, [], "x"), (1002, [float("nan")] * d, "x"), (1003, [None] * d, "x"), (1004, [float("inf")] + [0.0] * (d - 1), "x"), (1005, [1e300] * d, "x")]
+    frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, n string").withColumn("_x", F.lit(1)).repartition(7)
+    found = whitening.whiten(frame, components=k)
+    assert found.columns == ["vec_id", "embedding", "_x", *whitening.ADDED]
+    n, deviation, white, explained = _whitened(vectors, k)
+    got = {r["vec_id"]: r for r in found.collect()}
+    assert sorted(got) == list(range(400))
+    assert all(got[i]["n"] == n and int(got[i]["deviation"]) == deviation[i] for i in range(400))
+    mine = np.array([got[i]["whitened"] for i in range(400)])
+    signs = np.sign((mine * white).sum(axis=0))
+    np.testing.assert_allclose(mine * signs, white, atol=1e-8)
+    np.testing.assert_allclose(got[0]["explained"], explained, rtol=1e-9)
+    assert {r["identity_error"] for r in got.values()} == {got[0]["identity_error"]} and got[0]["identity_error"] < 1e-9
+
+
+def test_whitening_query_and_odd_tables(spark, tmp_path):
+    draw = np.random.default_rng(1)
+    rows = [(f"v{i}", [float(c) for c in draw.standard_normal(4)], 1) for i in range(50)]
+    spark.createDataFrame(rows, "vec_id string, embedding array<double>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    found = whitening.op12_embedding_whitening(spark, str(tmp_path))
+    assert dict(found.dtypes) == {"vec_id": "string", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"}
+    assert found.count() == 200 and found.agg(F.min("component"), F.max("component")).first() == (1, 4)
+    schema = "vec_id long, embedding array<double>"
+    assert whitening.whiten(spark.createDataFrame([], schema)).count() == 0
+    assert whitening.whiten(spark.createDataFrame([(1, None)], schema)).count() == 0
+    same = whitening.whiten(spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0])], schema)).collect()
+    assert [(r["n"], int(r["deviation"]), r["whitened"]) for r in same] == [(1, 0, [])] * 2
+    line = whitening.whiten(spark.createDataFrame([(i, [float(i), 2.0 * i, 5.0]) for i in range(9)], schema)).collect()
+    assert {len(r["whitened"]) for r in line} == {1} and abs(line[0]["explained"][0] - 1) < 1e-12
+    mixed = whitening.whiten(spark.createDataFrame([(i, [float(i), float(i * i)] if i % 2 else [float(i)]) for i in range(20)], schema)).collect()
+    assert {(len(r["embedding"]), r["n"], len(r["whitened"])) for r in mixed} == {(2, 10, 2), (1, 10, 1)}
+    far = whitening.whiten(spark.createDataFrame([(i, [1e13 * i, 7.0]) for i in range(6)], schema)).collect()  # beyond 64 bits
+    x = [int(64 * 1e13 * i) + 1000000 for i in range(6)]
+    assert {r["vec_id"]: int(r["deviation"]) for r in far} == {i: (6 * x[i] - sum(x)) ** 2 for i in range(6)}
+
+
+def test_lobpcg_needs_its_steps():
+    draw = np.random.default_rng(4)
+    q = np.linalg.qr(draw.standard_normal((300, 300)))[0]
+    values = np.linspace(3, 0.01, 300)
+    matrix = (q * values) @ q.T
+    found, axes, steps = whitening.lobpcg(lambda b: matrix @ b, 300, 16)
+    np.testing.assert_allclose(found, values[:16], rtol=1e-11)
+    np.testing.assert_allclose(np.abs((axes * q[:, :16]).sum(axis=0)), 1, atol=1e-12)
+    assert 3 < steps < 200

@@ -19,6 +19,7 @@ _TABLE = {
     "op8_warc": ("warc", "OP8_SQL"),
     "op9_embedding_dedup": ("embedding_dedup", None),
     "op10_minhash": ("minhash", None),
+    "op11_source_divergence": ("source_divergence", "OP11_SQL"),
     "op12_embedding_whitening": ("whitening", None),
     "op13_exact_dedup": ("exact_dedup", "OP13_SQL"),
 }

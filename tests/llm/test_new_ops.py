@@ -2,14 +2,17 @@
 
 import hashlib
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from dossier.llm import exact_dedup, whitening
+from dossier.llm import exact_dedup, source_divergence, whitening
 
+SCALE = 10**9
 SCHEMA = "doc_id long, text string, lang string, source string"
 
 
@@ -135,3 +138,72 @@ def test_lobpcg_needs_its_steps():
     np.testing.assert_allclose(found, values[:16], rtol=1e-11)
     np.testing.assert_allclose(np.abs((axes * q[:, :16]).sum(axis=0)), 1, atol=1e-12)
     assert 3 < steps < 200
+
+
+_TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def _audited(rows, min_docs, top):
+    docs = [(lang or "", source or "", _TERM.findall((text or "").translate({c: c + 32 for c in range(65, 91)}))) for _, text, lang, source in rows]
+    found = set()
+    for lang in {x[0] for x in docs}:
+        own = [x for x in docs if x[0] == lang]
+        df = Counter(t for x in own for t in set(x[2]))
+        kept = sorted((t for t, n in df.items() if n >= min_docs), key=str.encode)
+        counts = defaultdict(Counter)
+        for _, source, found_terms in own:
+            counts[source].update(found_terms)
+        whole = sum(counts.values(), Counter())
+        shares = lambda c: {t: 1 + SCALE * (c[t] + 2) // (sum(c[u] for u in kept) + 2 * len(kept)) for t in kept}  # noqa: B023, E731
+        p, q = {s: shares(c) for s, c in counts.items()}, shares(whole)
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s in counts:
+            pairs = sorted(((-sum(f(p[s][t], p[o][t]) for t in kept), o) for o in counts if o != s), key=lambda x: (x[0], x[1].encode()))
+            best = sorted(((-f(p[s][t], q[t]), t) for t in kept if counts[s][t] and p[s][t] > q[t]), key=lambda x: (x[0], x[1].encode()))[:top]
+            found |= {(lang, s, part, item, -v, i) for part, of in (("pair", pairs), ("term", best)) for i, (v, item) in enumerate(of, 1)}
+    return found
+
+
+@pytest.mark.parametrize("leaves,sources,groups", [(150_000, 512, 100_000), (40, 2, 3)])
+def test_source_divergence(spark, monkeypatch, leaves, sources, groups):
+    for name, value in (("SOURCES", sources), ("GROUPS", groups)):
+        monkeypatch.setattr(source_divergence, name, value)
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice(("a", "B", "é", "中", "zz", "\U0001f600", "\x85")) for _ in range(draw.randint(1, 3)))
+    rows = [(i, " .1_".join(word() for _ in range(draw.randint(0, 40))), draw.choice(("en", "en", "de", None)), draw.choice(("s0", "s0", "s0", "s1", "é", None))) for i in range(150)]
+    rows += [(200, None, "en", "silent"), (201, "", "xx", "a"), (202, "q", "xx", "b"), (203, None, None, "s0"), (204, "Zz " * 30000, "en", "s1")] + rows[:20]
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("item", F.lit(1)).repartition(6)
+    found = source_divergence.audit(docs, 10, 4)
+    assert found.columns == ["lang", "source", "part", "item", "value", "rank"]
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(set(got)) and set(got) == _audited(rows, 10, 4)
+    assert source_divergence.audit(docs.limit(0)).count() == 0
+
+
+def test_divergence_tries_in_small_parts(monkeypatch):
+    """Tries that are read out again and again, windows of two bytes: the same kept terms."""
+    draw = random.Random(2)
+    texts = [" ".join(draw.choice(("ab", "abc", "a", "æøå", "æ", "b" * 9)) for _ in range(draw.randint(0, 9))).encode() for _ in range(200)]
+    batches = [pa.RecordBatch.from_pydict({"lang": ["en"] * 20, "source": [f"s{i % 3}" for i in range(20)], "text": texts[k : k + 20]}) for k in range(0, 200, 20)]
+    read = lambda found: [(r["lang"], r["term"], r["docs"], r["sources"], r["counts"]) for b in found for r in b.to_pylist()]
+
+    def kept():
+        runs = sorted(read(source_divergence._count(iter(batches))))
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*runs), source_divergence._RUN)]
+        whole = pa.RecordBatch.from_arrays(columns, schema=source_divergence._RUN)
+        return read(source_divergence._merging(10)(whole.slice(i, 3) for i in range(0, whole.num_rows, 3))), len(runs)
+
+    want, few = kept()
+    for name, value in (("LEAVES", 2), ("PENDING", 3), ("WINDOW", 2)):
+        monkeypatch.setattr(source_divergence, name, value)
+    got, many = kept()
+    assert got == want and many > few and [t for _, t, *_ in got] == sorted(t for _, t, *_ in got)
+    assert {t: n for _, t, n, *_ in got} == {t: n for t, n in Counter(w for x in texts for w in set(x.split())).items() if n >= 10}
+
+
+def test_shares_are_exact():
+    draw = random.Random(1)
+    counts = [draw.randint(0, 10**15) for _ in range(200)] + [0, 1]
+    totals = [c + draw.randint(1, 8 * 10**15) for c in counts]
+    got = source_divergence.share(np.array(counts, np.int64), np.array(totals, np.int64))
+    assert got.tolist() == [SCALE * c // t for c, t in zip(counts, totals)]

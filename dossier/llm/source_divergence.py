@@ -2,8 +2,8 @@
 
 A task counts the terms of its documents in byte-wise radix tries, one per language, whose leaves hold a counter per source
 and the number of documents; a trie that reaches ``LEAVES`` is read out in UTF-8 order and begun anew. The runs are dealt by
-ranges of (language, term), so that all parts of a term meet in one task whatever source they come from, and merged there in
-a trie again; what is behind the last term is complete and leaves the trie, so it stays small. Terms found in ``min_docs``
+ranges of (language, term), so that all parts of a term meet in one task whatever source they come from, and their walks are
+merged there: the parts of a term are neighbours, and only the last term waits for more. Terms found in ``min_docs``
 documents of the language are written, in order. A last walk over them adds up the pair sums of all sources of a language
 and keeps, per source, the best ``top`` terms with ties by their bytes; tasks return these sums and candidates only.
 
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from dossier.llm.shared import cut, table
 
 #: Leaves that a task's tries hold before they are read out, and counters before they go into the tries.
-LEAVES, PENDING = 150_000, 200_000
+LEAVES, PENDING = 250_000, 300_000
 SOURCES, GROUPS = 512, 100_000
 #: Bytes of a text that are split at once.
 WINDOW = 1 << 20
@@ -54,89 +54,101 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Trie:
-    """A radix trie over bytes; a leaf maps a source to its count, and None to the number of documents."""
+    """A radix trie over bytes whose leaves hold a counter per source, and the number of documents under None.
+
+    ``index`` finds the leaves of known terms at once; only new terms go down the tree.
+    """
 
     class Node:
         __slots__ = ("label", "below", "leaf")
 
-        def __init__(self, label: bytes, leaf: dict | None = None):
-            self.label, self.below, self.leaf = label, {}, leaf
+        def __init__(self, label: bytes):
+            self.label, self.below, self.leaf = label, None, None
 
     def __init__(self):
-        self.root, self.leaves = Trie.Node(b""), 0
+        self.root, self.index = Trie.Node(b""), {}
+
+    def add(self, source: str | None, counts: Counter) -> None:
+        """Merge a counter of terms into the leaves' counters of ``source``."""
+        index = self.index
+        for term, n in counts.items():
+            leaf = index.get(term)
+            if leaf is None:
+                self._insert(term).leaf = index[term] = {source: n}
+            else:
+                leaf[source] = leaf.get(source, 0) + n
 
-    def leaf(self, term: bytes) -> dict:
-        """The counters of ``term``, made where there are none."""
+    def _insert(self, term: bytes) -> Trie.Node:
         node, at, end = self.root, 0, len(term)
         while at < end:
-            child = node.below.get(term[at])
+            if node.below is None:
+                node.below = {}
+            first = term[at]
+            child = node.below.get(first)
             if child is None:
-                child = node.below[term[at]] = Trie.Node(term[at:])
-                node, at = child, end
-                continue
+                child = node.below[first] = Trie.Node(term[at:])
+                return child
             label = child.label
             if not term.startswith(label, at):
                 same = 1
                 while at + same < end and term[at + same] == label[same]:
                     same += 1
-                fork = node.below[term[at]] = Trie.Node(label[:same])
+                fork = node.below[first] = Trie.Node(label[:same])
                 child.label = label[same:]
-                fork.below[label[same]] = child
+                fork.below = {label[same]: child}
                 child, label = fork, fork.label
             node, at = child, at + len(label)
-        if node.leaf is None:
-            node.leaf = {}
-            self.leaves += 1
-        return node.leaf
-
-    def merge(self, term: bytes, counts: dict) -> None:
-        own = self.leaf(term)
-        for source, n in counts.items():
-            own[source] = own.get(source, 0) + n
+        return node
 
     def walk(self) -> Iterator[tuple[bytes, dict]]:
         """(term, counters) in the order of bytes, which is that of UTF-8 code points."""
-        stack = [(self.root, b"")]
+        stack = [(b"", self.root)]
         while stack:
-            node, prefix = stack.pop()
+            prefix, node = stack.pop()
             prefix += node.label
             if node.leaf is not None:
                 yield prefix, node.leaf
-            stack += [(node.below[first], prefix) for first in sorted(node.below, reverse=True)]
+            if node.below is not None:
+                stack += [(prefix, node.below[first]) for first in sorted(node.below, reverse=True)]
 
 
 _RUN = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 _RUN_DDL = "lang string, term binary, docs long, sources array<string>, counts array<long>"
 
 
-def _rows(found: Iterator[tuple[str, bytes, dict]], most: int = 10_000) -> Iterator[pa.RecordBatch]:
-    rows: list = []
-    for lang, term, counts in found:
-        sources = sorted(s for s in counts if s is not None)
-        rows.append((lang, term, counts.get(None, 0), sources, [counts[s] for s in sources]))
-        if len(rows) == most:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUN)], schema=_RUN)
-            rows = []
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _RUN)], schema=_RUN)
+def _rows(lang: str, found: Iterator[tuple[bytes, dict]], most: int = 20_000) -> Iterator[pa.RecordBatch]:
+    def batch():
+        ends = pa.array(offsets, pa.int32())
+        lists = [pa.ListArray.from_arrays(ends, pa.array(sources, pa.string())), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))]
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()), pa.array(docs, pa.int64()), *lists], schema=_RUN)
+
+    names, docs, sources, counts, offsets = [], [], [], [], [0]
+    for term, leaf in found:
+        names.append(term)
+        docs.append(leaf.pop(None, 0))
+        sources.extend(leaf)
+        counts.extend(leaf.values())
+        offsets.append(len(sources))
+        if len(names) == most:
+            yield batch()
+            names, docs, sources, counts, offsets = [], [], [], [], [0]
+    if names:
+        yield batch()
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Runs of a task's documents (lang, source, text in bytes)."""
+    """Runs of a task's documents (lang, source, text in bytes): walks of its tries."""
     tries: dict[str, Trie] = defaultdict(Trie)
     counted: dict[tuple[str, str | None], Counter] = defaultdict(Counter)
 
     def pour():
         for (lang, source), counter in counted.items():
-            trie = tries[lang]
-            for term, n in counter.items():
-                leaf = trie.leaf(term)
-                leaf[source] = leaf.get(source, 0) + n
+            tries[lang].add(source, counter)
         counted.clear()
 
     def out():
-        yield from _rows((lang, term, leaf) for lang in sorted(tries) for term, leaf in tries[lang].walk())
-        tries.clear()
+        for lang in sorted(tries):
+            yield from _rows(lang, tries.pop(lang).walk())
 
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c).to_pylist() for c in (0, 1)), batch.column(2)):
@@ -147,34 +159,51 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             counted[lang, None].update(seen)
         if sum(map(len, counted.values())) > PENDING:
             pour()
-            if sum(t.leaves for t in tries.values()) > LEAVES:
+            if sum(len(t.index) for t in tries.values()) > LEAVES:
                 yield from out()
     pour()
     yield from out()
 
 
 def _merging(min_docs: int):
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Kept terms of one range; rows come ordered by language and term."""
-        trie, now, last = Trie(), None, None
-
-        def complete(all_of_it: bool):
-            nonlocal trie
-            old, trie = trie, Trie()
-            for term, leaf in old.walk():
-                if not all_of_it and term == last:
-                    trie.merge(term, leaf)
-                elif leaf[None] >= min_docs:
-                    yield now, term, leaf
+    def merged(rows: pa.Table, whole: bool) -> tuple[pa.Table, pa.RecordBatch | None]:
+        """The rows behind the last term, and kept terms before it (with ``whole``, all of them)."""
+        lang, term = rows.column(0).combine_chunks(), rows.column(1).combine_chunks()
+        other = pc.or_(pc.not_equal(lang[1:], lang[:-1]), pc.not_equal(term[1:], term[:-1])).to_numpy(zero_copy_only=False)
+        starts = np.concatenate([[0], np.flatnonzero(other) + 1])
+        ends = np.append(starts[1:], len(term))
+        docs = np.add.reduceat(rows.column(2).to_numpy(), starts)
+        kept = docs >= min_docs
+        if not whole:
+            kept[-1] = False
+        names, sources, counts, offsets = [], [], [], [0]
+        for start, end in zip(starts[kept], ends[kept]):
+            sums: Counter = Counter()
+            part = rows.slice(start, end - start)
+            for s, c in zip(part.column(3).to_pylist(), part.column(4).to_pylist()):
+                for source, n in zip(s, c):
+                    sums[source] += n
+            names.append(int(start))
+            sources.extend(sums)
+            counts.extend(sums.values())
+            offsets.append(len(sources))
+        found = None
+        if names:
+            of, at = pa.array(names, pa.int64()), pa.array(offsets, pa.int32())
+            lists = [pa.ListArray.from_arrays(at, pa.array(sources, pa.string())), pa.ListArray.from_arrays(at, pa.array(counts, pa.int64()))]
+            found = pa.RecordBatch.from_arrays([lang.take(of), term.take(of), pa.array(docs[kept]), *lists], schema=_RUN)
+        return rows.slice(starts[-1]), found
 
-        for batch in batches:
-            for lang, term, docs, sources, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                if lang != now or trie.leaves >= LEAVES:
-                    yield from _rows(complete(lang != now))
-                    now = lang
-                trie.merge(term, {None: docs, **dict(zip(sources, counts))})
-                last = term
-        yield from _rows(complete(True))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Kept terms of one range. Rows are walks of tries in one order, so the parts of a term are neighbours."""
+        left = None
+        for batch in (b for b in batches if b.num_rows):
+            now = pa.Table.from_batches([batch], _RUN)
+            left, found = merged(now if left is None else pa.concat_tables([left, now]), False)
+            if found is not None:
+                yield found
+        if left is not None and (last := merged(left, True)[1]) is not None:
+            yield last
 
     return merge
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,9 @@ from pyspark.sql import functions as F
 from dossier.llm.shared import cut, table
 
 #: Leaves that a task's tries hold before they are read out, and counters before they go into the tries.
-LEAVES, PENDING = 250_000, 300_000
+LEAVES, PENDING = 250_000, 600_000
+#: Terms that a node holds before it bursts into nodes for the next byte.
+BURST = 1_000
 SOURCES, GROUPS = 512, 100_000
 #: Bytes of a text that are split at once.
 WINDOW = 1 << 20
@@ -54,84 +57,85 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Trie:
-    """A radix trie over bytes whose leaves hold a counter per source, and the number of documents under None.
+    """A radix trie over bytes: a leaf is a term's counter per source. Nodes with few terms below them hold these as a table of
+    suffixes, which bursts into a node per next byte when it has more than ``BURST``.
 
-    ``index`` finds the leaves of known terms at once; only new terms go down the tree.
+    ``index`` finds the leaves of known terms at once; only new terms go down the tree. ``docs`` counts documents by term.
     """
 
     class Node:
-        __slots__ = ("label", "below", "leaf")
+        __slots__ = ("held", "below")
 
-        def __init__(self, label: bytes):
-            self.label, self.below, self.leaf = label, None, None
+        def __init__(self):
+            self.held, self.below = {}, None
+
+        def burst(self) -> None:
+            held, self.held, self.below = self.held, {}, {}
+            for suffix, leaf in held.items():
+                self.at(suffix).held[suffix[1:]] = leaf
+
+        def at(self, suffix: bytes) -> Trie.Node:
+            """The node below for the first byte of ``suffix``; this one for the end of a term."""
+            if not suffix:
+                return self
+            child = self.below.get(suffix[0])
+            if child is None:
+                child = self.below[suffix[0]] = Trie.Node()
+            return child
 
     def __init__(self):
-        self.root, self.index = Trie.Node(b""), {}
+        self.root, self.index, self.docs = Trie.Node(), {}, Counter()
 
-    def add(self, source: str | None, counts: Counter) -> None:
+    def add(self, source: str, counts: Counter) -> None:
         """Merge a counter of terms into the leaves' counters of ``source``."""
         index = self.index
         for term, n in counts.items():
             leaf = index.get(term)
             if leaf is None:
-                self._insert(term).leaf = index[term] = {source: n}
+                leaf = index[term] = {source: n}
+                self._insert(term, leaf)
             else:
                 leaf[source] = leaf.get(source, 0) + n
 
-    def _insert(self, term: bytes) -> Trie.Node:
-        node, at, end = self.root, 0, len(term)
-        while at < end:
-            if node.below is None:
-                node.below = {}
-            first = term[at]
-            child = node.below.get(first)
-            if child is None:
-                child = node.below[first] = Trie.Node(term[at:])
-                return child
-            label = child.label
-            if not term.startswith(label, at):
-                same = 1
-                while at + same < end and term[at + same] == label[same]:
-                    same += 1
-                fork = node.below[first] = Trie.Node(label[:same])
-                child.label = label[same:]
-                fork.below = {label[same]: child}
-                child, label = fork, fork.label
-            node, at = child, at + len(label)
-        return node
-
-    def walk(self) -> Iterator[tuple[bytes, dict]]:
-        """(term, counters) in the order of bytes, which is that of UTF-8 code points."""
+    def _insert(self, term: bytes, leaf: dict) -> None:
+        node, at = self.root, 0
+        while node.below is not None and at < len(term):
+            node, at = node.at(term[at:]), at + 1
+        node.held[term[at:]] = leaf
+        if node.below is None and len(node.held) > BURST:
+            node.burst()
+
+    def walk(self) -> Iterator[tuple[list[bytes], list[dict]]]:
+        """Terms and leaves, node by node, in the order of bytes, which is that of UTF-8 code points."""
         stack = [(b"", self.root)]
         while stack:
             prefix, node = stack.pop()
-            prefix += node.label
-            if node.leaf is not None:
-                yield prefix, node.leaf
-            if node.below is not None:
-                stack += [(prefix, node.below[first]) for first in sorted(node.below, reverse=True)]
+            suffixes = sorted(node.held)
+            if suffixes:
+                yield [prefix + x for x in suffixes], [node.held[x] for x in suffixes]
+            if node.below:
+                stack += [(prefix + bytes((first,)), node.below[first]) for first in sorted(node.below, reverse=True)]
 
 
 _RUN = pa.schema([("lang", pa.string()), ("term", pa.binary()), ("docs", pa.int64()), ("sources", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
 _RUN_DDL = "lang string, term binary, docs long, sources array<string>, counts array<long>"
 
 
-def _rows(lang: str, found: Iterator[tuple[bytes, dict]], most: int = 20_000) -> Iterator[pa.RecordBatch]:
+def _rows(lang: str, trie: Trie, most: int = 20_000) -> Iterator[pa.RecordBatch]:
     def batch():
-        ends = pa.array(offsets, pa.int32())
-        lists = [pa.ListArray.from_arrays(ends, pa.array(sources, pa.string())), pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64()))]
-        return pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()), pa.array(docs, pa.int64()), *lists], schema=_RUN)
-
-    names, docs, sources, counts, offsets = [], [], [], [], [0]
-    for term, leaf in found:
-        names.append(term)
-        docs.append(leaf.pop(None, 0))
-        sources.extend(leaf)
-        counts.extend(leaf.values())
-        offsets.append(len(sources))
-        if len(names) == most:
+        ends = pa.array(np.append(0, np.cumsum(list(map(len, leaves)))), pa.int32())
+        flat = [list(chain.from_iterable(leaves)), list(chain.from_iterable(map(dict.values, leaves)))]
+        lists = [pa.ListArray.from_arrays(ends, pa.array(f, kind)) for f, kind in zip(flat, (pa.string(), pa.int64()))]
+        docs = pa.array(list(map(trie.docs.__getitem__, names)), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()), docs, *lists], schema=_RUN)
+
+    names, leaves = [], []
+    for some, of in trie.walk():
+        names += some
+        leaves += of
+        if len(names) >= most:
             yield batch()
-            names, docs, sources, counts, offsets = [], [], [], [], [0]
+            names, leaves = [], []
     if names:
         yield batch()
 
@@ -139,7 +143,7 @@ def _rows(lang: str, found: Iterator[tuple[bytes, dict]], most: int = 20_000) ->
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of a task's documents (lang, source, text in bytes): walks of its tries."""
     tries: dict[str, Trie] = defaultdict(Trie)
-    counted: dict[tuple[str, str | None], Counter] = defaultdict(Counter)
+    counted: dict[tuple[str, str], Counter] = defaultdict(Counter)
 
     def pour():
         for (lang, source), counter in counted.items():
@@ -148,7 +152,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def out():
         for lang in sorted(tries):
-            yield from _rows(lang, tries.pop(lang).walk())
+            yield from _rows(lang, tries.pop(lang))
 
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c).to_pylist() for c in (0, 1)), batch.column(2)):
@@ -156,8 +160,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for piece in terms(text.as_py()):
                 counted[lang, source].update(piece)
                 seen.update(piece)
-            counted[lang, None].update(seen)
-        if sum(map(len, counted.values())) > PENDING:
+            tries[lang].docs.update(seen)
+        if sum(map(len, counted.values())) > PENDING or sum(len(t.docs) for t in tries.values()) > LEAVES:
             pour()
             if sum(len(t.index) for t in tries.values()) > LEAVES:
                 yield from out()
@@ -176,22 +180,21 @@ def _merging(min_docs: int):
         kept = docs >= min_docs
         if not whole:
             kept[-1] = False
-        names, sources, counts, offsets = [], [], [], [0]
-        for start, end in zip(starts[kept], ends[kept]):
-            sums: Counter = Counter()
-            part = rows.slice(start, end - start)
-            for s, c in zip(part.column(3).to_pylist(), part.column(4).to_pylist()):
-                for source, n in zip(s, c):
-                    sums[source] += n
-            names.append(int(start))
-            sources.extend(sums)
-            counts.extend(sums.values())
-            offsets.append(len(sources))
         found = None
-        if names:
-            of, at = pa.array(names, pa.int64()), pa.array(offsets, pa.int32())
-            lists = [pa.ListArray.from_arrays(at, pa.array(sources, pa.string())), pa.ListArray.from_arrays(at, pa.array(counts, pa.int64()))]
-            found = pa.RecordBatch.from_arrays([lang.take(of), term.take(of), pa.array(docs[kept]), *lists], schema=_RUN)
+        if kept.any():
+            group = np.repeat(np.where(kept, np.cumsum(kept) - 1, -1), ends - starts)  # of each row; -1: not kept
+            part = rows.filter(pa.array(group >= 0)).combine_chunks()
+            lists = part.column(3).combine_chunks()
+            names = lists.flatten().dictionary_encode()
+            at = np.repeat(group[group >= 0], np.asarray(lists.value_lengths()))
+            cell, inverse = np.unique(at * len(names.dictionary) + names.indices.to_numpy(), return_inverse=True)
+            sums = np.zeros(len(cell), np.int64)
+            np.add.at(sums, inverse, part.column(4).combine_chunks().flatten().to_numpy())
+            of = pa.array(starts[kept])
+            offsets = pa.array(np.searchsorted(cell, np.arange(int(kept.sum()) + 1) * len(names.dictionary)), pa.int32())
+            sources = names.dictionary.take(pa.array(cell % len(names.dictionary)))
+            made = [pa.ListArray.from_arrays(offsets, sources), pa.ListArray.from_arrays(offsets, pa.array(sums))]
+            found = pa.RecordBatch.from_arrays([lang.take(of), term.take(of), pa.array(docs[kept]), *made], schema=_RUN)
         return rows.slice(starts[-1]), found
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -194,7 +194,7 @@ def test_divergence_tries_in_small_parts(monkeypatch):
         return read(source_divergence._merging(10)(whole.slice(i, 3) for i in range(0, whole.num_rows, 3))), len(runs)
 
     want, few = kept()
-    for name, value in (("LEAVES", 2), ("PENDING", 3), ("WINDOW", 2)):
+    for name, value in (("LEAVES", 2), ("PENDING", 3), ("WINDOW", 2), ("BURST", 1)):
         monkeypatch.setattr(source_divergence, name, value)
     got, many = kept()
     assert got == want and many > few and [t for _, t, *_ in got] == sorted(t for _, t, *_ in got)

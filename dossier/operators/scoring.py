@@ -1,9 +1,7 @@
-"""Sentiment, coverage scores, strategies, budget and the control loop (AGG-03, AGG-04, AGG-06, FLT-09, SCO-01..05, WIN-06); SCO-06, the competition proxy, is left out."""
+"""Sentiment, coverage scores, strategies and budget (AGG-03, AGG-04, AGG-06, FLT-09, SCO-01, SCO-02, SCO-04, SCO-05, WIN-06)."""
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -119,31 +117,6 @@ def budget_greedy(tasks: DataFrame, budget: float, group: str) -> DataFrame:
     return folded.select(group, F.round("f.spent", 6).alias("spent"), F.size("f.taken").alias("accepted"))
 
 
-def control_loop(observations: DataFrame) -> DataFrame:
-    """Per company, strategies in adaptive order, each once: a strategy's accepted observations become visible and its gain steers the next."""
-
-    def fold(pdf):
-        import pandas as pd
-
-        org = pdf["organisation_number"].iloc[0]
-        gains: dict[str, list[float]] = {}
-        seen, rows, score = set(), [], 0.0
-        for turn in range(len(STRATEGIES)):
-            bonus = lambda s: 0.35 * math.sqrt(math.log(max(1, turn) + 1) / (len(gains.get(s, ())) + 1))
-            rank = {s: (sum(gains[s]) / len(gains[s]) if s in gains else 0.0) + bonus(s) for s in STRATEGIES if s not in seen}
-            best = max(rank, key=lambda s: (rank[s], -STRATEGIES.index(s)))
-            seen.add(best)
-            now = 5.0 * pdf.loc[pdf["strategy"].isin(seen), "signal_type"].nunique()
-            gains[best] = [now - score]
-            rows.append((org, turn + 1, best, now, now - score))
-            score = now
-        return pd.DataFrame(rows, columns=["organisation_number", "turn", "strategy", "score", "gain"])
-
-    own = validated(observations).where("publishable").withColumn("strategy", F.element_at(F.array(*map(F.lit, STRATEGIES)), (F.pmod("seq", F.lit(len(STRATEGIES))) + 1).cast("int")))
-    own = own.select("organisation_number", "strategy", "signal_type").distinct()
-    return own.groupBy("organisation_number").applyInPandas(fold, "organisation_number string, turn int, strategy string, score double, gain double")
-
-
 def _completeness(spark, sf_dir):
     from dossier.operators.claims import _modules
 
@@ -203,5 +176,4 @@ QUERIES = {
  g as (select user_id, k, case when cost <= 100 then cost else 0.0 end as spent, case when cost <= 100 then 1 else 0 end as accepted from t where k = 1
  union all select t.user_id, t.k, case when g.spent + t.cost <= 100 then g.spent + t.cost else g.spent end, g.accepted + case when g.spent + t.cost <= 100 then 1 else 0 end from g join t on t.user_id = g.user_id and t.k = g.k + 1)
  select user_id, round(max_by(spent, k), 6) as spent, cast(max(accepted) as int) as accepted from g group by user_id"""),
-    "control_iterations": (lambda s, d: control_loop(bind(s, d, "observations")), None),
 }

@@ -27,10 +27,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut, table
+from dossier.llm.shared import cut, give_back, sole_memory, table
 
 #: Leaves that a task's tries hold before they are read out, and counters before they go into the tries.
-LEAVES, PENDING = 250_000, 600_000
+LEAVES, PENDING = 150_000, 250_000
 #: Terms that a node holds before it bursts into nodes for the next byte.
 BURST = 1_000
 SOURCES, GROUPS = 512, 100_000
@@ -57,22 +57,22 @@ def terms(text: bytes) -> Iterator[list[bytes]]:
 
 
 class Trie:
-    """A radix trie over bytes: a leaf is a term's counter per source. Nodes with few terms below them hold these as a table of
+    """A radix trie over bytes: a leaf is a term's counter per source. Nodes with few terms below them hold these as a list of
     suffixes, which bursts into a node per next byte when it has more than ``BURST``.
 
-    ``index`` finds the leaves of known terms at once; only new terms go down the tree. ``docs`` counts documents by term.
+    ``index`` has the leaves by term, so only new terms go down the tree. ``docs`` counts documents by term.
     """
 
     class Node:
         __slots__ = ("held", "below")
 
         def __init__(self):
-            self.held, self.below = {}, None
+            self.held, self.below = [], None
 
         def burst(self) -> None:
-            held, self.held, self.below = self.held, {}, {}
-            for suffix, leaf in held.items():
-                self.at(suffix).held[suffix[1:]] = leaf
+            held, self.held, self.below = self.held, [], {}
+            for suffix in held:
+                self.at(suffix).held.append(suffix[1:])
 
         def at(self, suffix: bytes) -> Trie.Node:
             """The node below for the first byte of ``suffix``; this one for the end of a term."""
@@ -92,16 +92,16 @@ class Trie:
         for term, n in counts.items():
             leaf = index.get(term)
             if leaf is None:
-                leaf = index[term] = {source: n}
-                self._insert(term, leaf)
+                index[term] = {source: n}
+                self._insert(term)
             else:
                 leaf[source] = leaf.get(source, 0) + n
 
-    def _insert(self, term: bytes, leaf: dict) -> None:
+    def _insert(self, term: bytes) -> None:
         node, at = self.root, 0
         while node.below is not None and at < len(term):
             node, at = node.at(term[at:]), at + 1
-        node.held[term[at:]] = leaf
+        node.held.append(term[at:])
         if node.below is None and len(node.held) > BURST:
             node.burst()
 
@@ -110,9 +110,9 @@ class Trie:
         stack = [(b"", self.root)]
         while stack:
             prefix, node = stack.pop()
-            suffixes = sorted(node.held)
-            if suffixes:
-                yield [prefix + x for x in suffixes], [node.held[x] for x in suffixes]
+            if node.held:
+                found = [prefix + suffix for suffix in sorted(node.held)]
+                yield found, [self.index[term] for term in found]
             if node.below:
                 stack += [(prefix + bytes((first,)), node.below[first]) for first in sorted(node.below, reverse=True)]
 
@@ -154,6 +154,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang in sorted(tries):
             yield from _rows(lang, tries.pop(lang))
 
+    sole_memory("source_divergence")
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c).to_pylist() for c in (0, 1)), batch.column(2)):
             seen: set = set()
@@ -167,6 +168,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from out()
     pour()
     yield from out()
+    give_back()
 
 
 def _merging(min_docs: int):

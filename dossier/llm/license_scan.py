@@ -4,11 +4,16 @@ The index holds, for every word of the licence templates but the most common wor
 where it stands. A pass over the texts keeps, per file, the positions of the words that the index or a key phrase has.
 Document frequencies of these words over all files rank them by IDF. Per file:
 
-* its ``LOOKED_UP`` licence words of highest IDF are looked up in the index; every posting votes for a start, the word's
-  place less its position in the template, and starts with two votes or more are candidates;
-* at a candidate's start the positions of all postings of the template are intersected with those of the file's words;
-  ``COVERED`` of a template's positions have to be met, over all its candidates, so insertions only cost what they shift;
-* the template's mandatory key phrases are then verified word by word, apart from the votes.
+* its licence words of high IDF are looked up: a template of which ``COVERED`` tenths of the positions have to be met must
+  meet one of the remaining part and one more, so its words of highest IDF, so many positions of them, decide whether the
+  file is read for it at all; no template can be lost by that;
+* for the templates found, all postings meet all places of the file's words: each says where the template would start, and
+  a start counts that two positions of the template agree on. The positions that stand at such starts are united, so
+  insertions only cost what they shift; the template is covered where they are ``COVERED`` tenths of its positions or more;
+* the template's mandatory key phrases are then verified word by word, apart from that.
+
+A file's places and postings are arrays of one row: numbers made of template, start and position, sorted once, in which
+agreeing starts are neighbours. Nothing moves between files but the counts of the vocabulary.
 
 A template that passes adds its label. Key phrases that name a licence label a file by themselves, as do the base phrases.
 
@@ -24,6 +29,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from dossier.functions.frames import with_once
 from dossier.llm.shared import cut, table
 
 #: The base phrases and their labels.
@@ -82,7 +88,23 @@ TEMPLATES = {
         conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
         list of conditions and the following disclaimer in the documentation and/or other materials provided with the
         distribution. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
-        promote products derived from this software without specific prior written permission.""",
+        promote products derived from this software without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE
+        COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+        IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE
+        COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+        DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR
+        BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT
+        (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE
+        POSSIBILITY OF SUCH DAMAGE.""",
+    ),
+    "bsd-conditions": (
+        "bsd",
+        ["redistribution and use in source and binary forms", "redistributions of source code must retain"],
+        """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+        following conditions are met: Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this
+        list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution.""",
     ),
     "zlib": (
         "zlib",
@@ -125,7 +147,9 @@ TEMPLATES = {
         """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish,
         use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose,
         commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of
-        this software dedicate any and all copyright interest in the software to the public domain.""",
+        this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for
+        the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an
+        overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.""",
     ),
     "boost": (
         "boost",
@@ -135,13 +159,14 @@ TEMPLATES = {
         transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software
         is furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement,
         including the above license grant, this restriction and the following disclaimer, must be included in all copies of the
-        Software, in whole or in part, and all derivative works of the Software.""",
+        Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are
+        solely in the form of machine-executable object code generated by a source language processor.""",
     ),
 }
 #: Words of English that are rare in no corpus; the index leaves them out.
 COMMON = set("a all an and any are as at be but by can for from if in is it its no not of on or other that the this to was will with without you".split())
-#: Licence words of a file that are looked up; the tenths of a template's indexed positions that have to be met.
-LOOKED_UP, COVERED = 16, 6
+#: Tenths of a template's indexed positions that have to be met.
+COVERED = 6
 
 PHRASES = BASE | OWN
 KEY_PHRASES = list(dict.fromkeys([*PHRASES, *(p for _, phrases, _ in TEMPLATES.values() for p in phrases)]))
@@ -155,6 +180,10 @@ def _template_words(text: str) -> list[str]:
 INDEX = [(w, name, at) for name, (_, _, text) in TEMPLATES.items() for at, w in enumerate(_template_words(text)) if w not in COMMON]
 INDEXED = sorted({w for w, _, _ in INDEX})
 VOCABULARY = sorted({w for p in KEY_PHRASES for w in p.split()} | set(INDEXED))
+NAMES = list(TEMPLATES)
+SIZES = {name: sum(x[1] == name for x in INDEX) for name in NAMES}
+#: A posting met at a place is one number: template, start (from a place before the text), position.
+POSITIONS, STARTS = 1 << 10, 1 << 38
 _APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -165,12 +194,12 @@ def _words(text: Column) -> Column:
 
 
 def postings(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, n_words, hits): hits are (at, w) of vocabulary words in whole texts; row numbers the rows."""
-    hit = lambda w, i: F.when(w.isin(VOCABULARY), F.struct(i.alias("at"), w.alias("w")))
+    """(doc_id, n_words, hits): hits are (at, w) of vocabulary words in whole texts."""
+    hit = lambda w, i: F.when(w.isin(VOCABULARY), F.struct(i.cast("long").alias("at"), w.alias("w")))
     own = docs.select("doc_id", _words(F.col("text")).alias("w"))
     empty = (F.size("w") == 1) & (F.col("w")[0] == "")
     hits = F.filter(F.transform("w", hit), lambda h: h.isNotNull()).alias("hits")
-    return own.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.when(empty, 0).otherwise(F.size("w")).cast("long").alias("n_words"), hits)
+    return own.select("doc_id", F.when(empty, 0).otherwise(F.size("w")).cast("long").alias("n_words"), hits)
 
 
 def word_counts(found: DataFrame) -> tuple[int, dict[str, int]]:
@@ -187,36 +216,48 @@ def _starts(phrase: list[str], df: dict[str, int]) -> Column:
     for k in rarest[1:]:
         met = F.array_intersect(met, at(k))
     present = F.exists("hits", lambda h: h["w"] == phrase[rarest[0]])
-    return F.when(present, met).otherwise(F.array().cast("array<int>"))
-
-
-def _table(spark: SparkSession, rows: list[tuple], columns: tuple[str, ...]) -> DataFrame:
-    """A table of fixed size as one JSON literal that the JVM reads."""
-    names = [c.split()[0] for c in columns]
-    shape = f"array<struct<{','.join(c.replace(' ', ':') for c in columns)}>>"
-    return spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps([dict(zip(names, r)) for r in rows])), shape)))
-
-
-def covered_templates(found: DataFrame, df: dict[str, int]) -> DataFrame:
-    """(row, templates): names of the templates of which a file meets ``COVERED`` tenths of the positions or more.
-
-    The index and the frequencies are tables of fixed size (one row per indexed word and position) and are broadcast.
-    """
-    spark = found.sparkSession
-    index = F.broadcast(_table(spark, INDEX, ("w string", "template string", "pos int")))
-    sizes = _table(spark, [(name, sum(x[1] == name for x in INDEX)) for name in TEMPLATES], ("template string", "size int"))
-    rank = {w: i for i, w in enumerate(sorted(INDEXED, key=lambda w: (df.get(w, 0), w)))}  # highest IDF first
-    order = F.broadcast(_table(spark, list(rank.items()), ("w string", "rank int")))
-    held = found.where(F.size("hits") > 0).select("row", "hits")
-    own = held.select("row", F.explode("hits").alias("h")).select("row", "h.at", "h.w").join(order, "w")
-    tops = own.groupBy("row").agg(F.slice(F.array_sort(F.collect_set("rank")), 1, LOOKED_UP).alias("tops"))
-    own = cut(own.join(tops, "row").select("row", "at", "w", F.array_contains("tops", F.col("rank")).alias("top")), "licence-words")
-    votes = own.where("top").join(index, "w").groupBy("row", "template", (F.col("at") - F.col("pos")).alias("start")).agg(F.count("*").alias("votes"))
-    candidates = votes.where("votes >= 2").select("row", "template", "start")
-    expected = candidates.join(index, "template").select("row", "template", "w", "pos", (F.col("start") + F.col("pos")).alias("at"))
-    met = expected.join(own.select("row", "at", "w"), ["row", "at", "w"]).select("row", "template", "pos").distinct().groupBy("row", "template").agg(F.count("*").alias("met"))
-    enough = met.join(F.broadcast(sizes), "template").where(10 * F.col("met") >= COVERED * F.col("size"))
-    return enough.groupBy("row").agg(F.array_sort(F.collect_set("template")).alias("templates"), F.max(F.col("met") / F.col("size")).alias("cover"))
+    return F.when(present, met).otherwise(F.array().cast("array<bigint>"))
+
+
+def _needed(name: str) -> int:
+    return -(-COVERED * SIZES[name] // 10)
+
+
+def rare_words(df: dict[str, int]) -> dict[str, list[int]]:
+    """Word -> templates (by number) of which it stands at one of the positions of highest IDF; one of these has to be met."""
+    found: dict[str, list[int]] = {}
+    for number, name in enumerate(NAMES):
+        rarest = sorted((w for w, t, _ in INDEX if t == name), key=lambda w: (df.get(w, 0), w))
+        for w in sorted(set(rarest[: SIZES[name] - _needed(name) + 1])):
+            found.setdefault(w, []).append(number)
+    return found
+
+
+def _lists(of: dict[str, list[int]]) -> Column:
+    """The lists of ``of`` by the number of a word in VOCABULARY, from 1, as one literal that the JVM reads."""
+    return F.from_json(F.lit(json.dumps([of.get(w, []) for w in VOCABULARY])), "array<array<bigint>>")
+
+
+def with_templates(found: DataFrame, df: dict[str, int]) -> DataFrame:
+    """``found`` with met: numbers template * POSITIONS + position, of all positions that stand at starts two agree on."""
+    postings_of: dict[str, list[int]] = {}
+    for w, name, pos in INDEX:
+        postings_of.setdefault(w, []).append((NAMES.index(name) * STARTS + POSITIONS - pos) * POSITIONS + pos)
+    rare = rare_words(df)
+    looked_up = F.filter("hits", lambda h: h["w"].isin(sorted(rare)))
+    number = lambda w: F.array_position(F.array(*map(F.lit, VOCABULARY)), w).cast("int")
+    lists = with_once(found, {"_rare": _lists(rare), "_postings": _lists(postings_of)})
+    here = with_once(lists, {"_templates": F.array_distinct(F.flatten(F.transform(looked_up, lambda h: F.element_at("_rare", number(h["w"])))))})
+    none = F.array().cast("array<bigint>")
+    of_template = lambda code: F.floor(code / (STARTS * POSITIONS))
+    at_place = lambda h: F.transform(F.filter(F.element_at("_postings", number(h["w"])), lambda a: F.array_contains("_templates", of_template(a))), lambda a: a + h["at"] * POSITIONS)
+    codes = F.array_sort(F.flatten(F.transform(F.filter("hits", lambda h: h["w"].isin(INDEXED)), at_place)))
+    met = with_once(here, {"_codes": F.when(F.size("_templates") > 0, codes).otherwise(none)})
+    start = lambda code: F.shiftright(code, 10)
+    same = lambda a, b: F.coalesce(start(a) == start(b), F.lit(False))
+    agreed = F.filter("_codes", lambda c, i: same(c, F.get("_codes", i - 1)) | same(c, F.get("_codes", i + 1)))
+    positions = F.array_distinct(F.transform(agreed, lambda c: F.shiftright(c, 48) * POSITIONS + c.bitwiseAND(F.lit(POSITIONS - 1))))
+    return with_once(met, {"met": positions}).drop("_rare", "_postings", "_templates", "_codes")
 
 
 def scan(docs: DataFrame) -> DataFrame:
@@ -228,11 +269,13 @@ def scan(docs: DataFrame) -> DataFrame:
     found = cut(postings(docs), "licence-postings")
     n, df = word_counts(found)
     starts = {p: f"_s{i}" for i, p in enumerate(KEY_PHRASES)}
-    placed = found.select("row", "doc_id", "n_words", *(_starts(p.split(), df).alias(c) for p, c in starts.items()))
+    known = with_once(with_templates(found, df), {c: _starts(p.split(), df) for p, c in starts.items()})
     has = lambda p: F.size(starts[p]) > 0
     base = F.concat(*(F.col(starts[p]) for p in BASE))
-    known = placed.join(covered_templates(found, df), "row", "left")
-    verified = {name: F.coalesce(F.array_contains("templates", name), F.lit(False)) for name in TEMPLATES}
+    times = {name: F.size(F.filter("met", lambda m: F.shiftright(m, 10) == i)) for i, name in enumerate(NAMES)}  # noqa: B023
+    known = with_once(known, {f"_c{i}": F.when(10 * c >= COVERED * SIZES[name], c / SIZES[name]) for i, (name, c) in enumerate(times.items())})
+    cover = F.greatest(*(F.col(f"_c{i}") for i in range(len(NAMES))))
+    verified = {name: F.col(f"_c{i}").isNotNull() for i, name in enumerate(NAMES)}
     for name, (_, phrases, _) in TEMPLATES.items():
         for p in phrases:
             verified[name] = verified[name] & has(p)
@@ -252,7 +295,7 @@ def scan(docs: DataFrame) -> DataFrame:
         join([F.when(has(p), F.lit(label)) for p, label in BASE.items()]).alias("base_labels"),
         join(named + own).alias("labels"),
         join([F.when(v, F.lit(name)) for name, v in verified.items()]).alias("templates"),
-        F.round(F.greatest(s / (s + 10.0), F.when(any_template, F.col("cover")).otherwise(0.0)), 6).alias("score"),
+        F.round(F.greatest(s / (s + 10.0), F.when(any_template, cover).otherwise(0.0)), 6).alias("score"),
     )
 
 
@@ -279,8 +322,8 @@ near as (select doc_id, pos, w, {leads} from words window o as (partition by doc
 df as (select w, count(distinct doc_id) as n from words where w in ({quoted(VOCABULARY)}) group by w),
 mass as (select phrase, sum(ln(1 + (select count(*) from d) / df.n)) as m from spread join df using (w) group by phrase having count(*) = (select count(*) from spread s where s.phrase = spread.phrase)),
 places as (select near.doc_id, near.pos, p.phrase, p.label, p.base, p.named from near join phrases p on p.phrase[1] = near.w[1] and ({tests})),
-held as (select doc_id, pos as place, w, dense_rank() over (partition by doc_id order by df.n, w) as nth from words join df using (w) where w in (select w from idx)),
-candidates as (select doc_id, template, place - idx.pos as start from held join idx using (w) where nth <= {LOOKED_UP} group by 1, 2, 3 having count(*) >= 2),
+held as (select doc_id, pos as place, w from words where w in (select w from idx)),
+candidates as (select doc_id, template, place - idx.pos as start from held join idx using (w) group by 1, 2, 3 having count(*) >= 2),
 met as (select doc_id, template, count(distinct idx.pos) as met from candidates join idx using (template) join held using (doc_id, w) where held.place = start + idx.pos group by 1, 2),
 covers as (select doc_id, template, met / size as cover from met join (select template, count(*) as size from idx group by 1) using (template) where 10 * met >= {COVERED} * size),
 verified as (select c.doc_id, c.template, label from covers c join templates using (template)

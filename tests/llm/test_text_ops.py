@@ -290,6 +290,26 @@ def test_license_templates(spark):
     assert sorted(map(str, want.fetchall())) == sorted(str(tuple(found[i][c] for c in want.columns)) for i in range(12))
 
 
+def test_licenses_that_share_a_file(spark):
+    """Every pair of templates, four and all in one file, among noise: none is lost, whichever words are rarest."""
+    import duckdb
+
+    draw = random.Random(6)
+    text = {name: t for name, (_, _, t) in license_scan.TEMPLATES.items()}
+    names = sorted(text)
+    sets = [{a, b} for i, a in enumerate(names) for b in names[i + 1 :]] + [set(draw.sample(names, 4)) for _ in range(8)] + [set(names)]
+    noise = lambda: " ".join(draw.choice(license_scan.VOCABULARY + ["n1", "n2"]) for _ in range(60))
+    texts = ["\n".join(text[n] + " " + noise() for n in draw.sample(sorted(own), len(own))) for own in sets]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r for r in license_scan.scan(df).collect()}
+    assert all(own <= set(found[i]["templates"].split(",")) for i, own in enumerate(sets))
+    assert {license_scan.TEMPLATES[n][0] for n in names} <= set(found[len(sets) - 1]["labels"].split(","))
+    con = duckdb.connect()
+    con.register("documents", df.toPandas())
+    want = con.sql(license_scan.OP4_SQL)
+    assert sorted(map(str, want.fetchall())) == sorted(str(tuple(found[i][c] for c in want.columns)) for i in range(len(sets)))
+
+
 def _stats(text):
     words = (text or "").encode().split()
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]

@@ -156,9 +156,18 @@ class Graph:
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
+    """Rows of length 1. The largest part of a row is first brought near 1 by a power of two, which rounds nothing, so that no
+    square leaves the range of doubles."""
+    x = np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
     return x / np.sqrt((x * x).sum(1))[:, None]
 
 
+def _parts(column: pa.ChunkedArray, n: int) -> np.ndarray:
+    """A column of vectors as a matrix: single precision where the column has that, else double."""
+    x = column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+    return x if x.dtype == np.float32 else x.astype(np.float64)
+
+
 def _exact(a: np.ndarray, b: np.ndarray, least: float):
     """(rows of a, hits) in blocks: all of b against some of a, in double precision."""
     step = max(1, (1 << 22) // max(1, len(b)))
@@ -264,8 +273,7 @@ def compare(a: dict, b: dict, least: float, goal: float = 0.99, audit: int = 48)
 
 def _load(path: str) -> dict:
     with np.load(path) as f:
-        x32 = f["x"]
-        x64 = _unit(x32.astype(np.float64))
+        x64 = _unit(f["x"].astype(np.float64))
         unit = x64.astype(np.float32)
         layers = [f[f"layer{i}"].astype(np.int64) for i in range(int(f["layers"]))]
         return {"x32": unit, "x64": x64, "ids": f["ids"], "w": f["w"], "graph": Graph(unit, layers)}
@@ -278,7 +286,7 @@ def _build_shards(folder: str):
     def build(shard: pa.Table) -> pa.Table:
         ids = np.stack([shard.column(c).to_numpy() for c in _NAME], 1)
         order = np.argsort(ids[:, 1] ^ ids[:, 2], kind="stable")
-        x = shard.column("embedding").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(ids), -1)[order].astype(np.float32)
+        x = _parts(shard.column("embedding"), len(ids))[order]
         graph = Graph.build(_unit(x.astype(np.float64)).astype(np.float32))
         out = io.BytesIO()
         np.savez(out, x=x, ids=ids[order], w=shard.column("n").to_numpy()[order], layers=len(graph.layers), **{f"layer{i}": v.astype(np.int32) for i, v in enumerate(graph.layers)})

@@ -76,6 +76,20 @@ def test_embedding_links(spark, shard_rows):
     assert embedding_dedup.link(table.limit(0)).count() == 0
 
 
+def test_embedding_cosines_in_double(spark):
+    """Pairs a hair above and below the threshold, and vectors beyond the range of single precision."""
+    workers_see_us(spark)
+    draw, rows, want = np.random.default_rng(8), [], {}
+    for i in range(60):
+        u, v = np.linalg.qr(draw.normal(size=(16, 2)))[0].T
+        angle = np.arccos(0.93 + (2e-9 if i % 2 else -2e-9))
+        scale = (1.0, 1e-50, 1e39, 1e-170, 1e160)[i % 5]
+        rows += [(2 * i, (u * scale).tolist(), i), (2 * i + 1, ((np.cos(angle) * u + np.sin(angle) * v) * scale * 3).tolist(), i)]
+        want |= {2 * i: i % 2, 2 * i + 1: i % 2}
+    found = embedding_dedup.link(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert {r["vec_id"]: r["n_links"] for r in found.collect()} == want
+
+
 @pytest.mark.parametrize("same", [False, True])
 def test_audit_finds_rare_links_that_the_graph_misses(same):
     n, draw = 2000, np.random.default_rng(6)

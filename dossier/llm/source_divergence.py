@@ -17,6 +17,7 @@ rows count as often as they occur. Empty in, empty out. Columns other than text,
 
 from __future__ import annotations
 
+import gc
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from itertools import chain
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from dossier.llm.shared import cut, give_back, sole_memory, table
 
 #: Leaves that a task's tries hold before they are read out, and counters before they go into the tries.
-LEAVES, PENDING = 150_000, 250_000
+LEAVES, PENDING = 200_000, 250_000
 #: Terms that a node holds before it bursts into nodes for the next byte.
 BURST = 1_000
 SOURCES, GROUPS = 512, 100_000
@@ -155,6 +156,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _rows(lang, tries.pop(lang))
 
     sole_memory("source_divergence")
+    gc.disable()  # a trie has many small parts and no cycles
     for batch in batches:
         for lang, source, text in zip(*(batch.column(c).to_pylist() for c in (0, 1)), batch.column(2)):
             seen: set = set()
@@ -168,6 +170,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from out()
     pour()
     yield from out()
+    gc.enable()
     give_back()
 
 

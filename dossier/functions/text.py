@@ -64,17 +64,28 @@ def on_host(h: Column, hosts: tuple[str, ...]) -> Column:
     return hit
 
 
+def _decoded(text: Column) -> Column:
+    return F.coalesce(F.try_url_decode(text), text)
+
+
+def _encoded(text: Column) -> Column:
+    return F.replace(F.replace(F.url_encode(text), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
+
+
 def canonical_url(url: Column) -> Column:
-    """Scheme and host in lower case, no ``www.``, no trailing slash, tracking and blank parameters and fragment gone, the rest sorted."""
+    """Scheme and host with its port in lower case, no ``www.``, no trailing slash, tracking and blank parameters and fragment
+    gone, the rest decoded, sorted and encoded one way. Text that is no URL: white space collapsed."""
     whole = F.regexp_replace(F.trim(url), "#.*$", "")
     scheme = F.lower(F.regexp_extract(whole, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
-    path = F.regexp_extract(whole, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1)
-    path = F.regexp_replace(path, "/+$", "")
+    netloc = F.regexp_replace(F.lower(F.regexp_extract(whole, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1)), r"^www\.", "")
+    path = F.regexp_replace(F.regexp_extract(whole, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)", 1), "/+$", "")
     path = F.when(path == "", F.lit("/")).otherwise(path)
-    query = F.split(F.regexp_extract(whole, r"\?(.*)$", 1), "&")
-    keep = F.array_sort(F.filter(query, lambda p: p.rlike("^[^=]+=.+") & ~F.lower(F.split_part(p, F.lit("="), F.lit(1))).isin(*TRACKING_PARAMS)))
-    tail = F.when(F.size(keep) > 0, F.concat(F.lit("?"), F.array_join(keep, "&"))).otherwise("")
-    return F.when(scheme == "", collapse(url)).otherwise(F.concat(scheme, F.lit("://"), host(url), path, tail))
+    query = F.filter(F.split(F.regexp_extract(whole, r"\?(.*)$", 1), "&"), lambda p: p.rlike("^[^=]*=."))
+    pairs = F.transform(query, lambda p: F.struct(_decoded(F.substring_index(p, "=", 1)).alias("k"), _decoded(F.regexp_replace(p, "^[^=]*=", "")).alias("v")))
+    keep = F.array_sort(F.filter(pairs, lambda p: ~F.lower(p["k"]).isin(*TRACKING_PARAMS)))
+    tail = F.array_join(F.transform(keep, lambda p: F.concat(_encoded(p["k"]), F.lit("="), _encoded(p["v"]))), "&")
+    made = F.concat(scheme, F.lit("://"), netloc, path, F.when(tail == "", "").otherwise(F.concat(F.lit("?"), tail)))
+    return F.when(scheme == "", collapse(url)).otherwise(made)
 
 
 def sha(text: Column) -> Column:

@@ -57,35 +57,6 @@ def plain_company(name: Column) -> Column:
     return F.regexp_replace(F.array_join(words(name), " "), rf"(?:\s(?:{'|'.join(FORM_ENDINGS)}))+$", "")
 
 
-def linked_data(html: Column) -> Column:
-    """JSON texts of a page's linked-data scripts."""
-    return F.regexp_extract_all(html, F.lit(r"(?is)<script[^>]*application/ld\+json[^>]*>(.*?)</script>"), F.lit(1))
-
-
-def directory_ratings(pages: DataFrame) -> DataFrame:
-    """Rating of ``pages(organisation_number, name, html)`` whose text has the company's name and number: value above 0 and up
-    to 5, at least one rating. The first linked-data object with both counts."""
-    shape = "struct<aggregateRating:struct<ratingValue:string,ratingCount:string,reviewCount:string>>"
-    rated = F.transform(linked_data(F.col("html")), lambda j: F.from_json(j, shape)["aggregateRating"])
-    pair = F.transform(rated, lambda r: F.struct(r["ratingValue"].try_cast("double").alias("value"), F.coalesce(r["ratingCount"], r["reviewCount"]).try_cast("int").alias("n")))
-    first = F.get(F.filter(pair, lambda p: p["value"].isNotNull() & p["n"].isNotNull()), F.lit(0))
-    text = collapse(F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1\s*>", " "), r"<[^>]*>", " "))
-    own = pages.withColumn("_text", text).withColumn("_first", first)
-    exact = F.lower("_text").contains(F.lower("name")) & digits(F.col("_text")).contains(F.col("organisation_number"))
-    found = own.where(exact & (F.col("_first.value") > 0) & (F.col("_first.value") <= 5) & (F.col("_first.n") > 0))
-    return found.select("organisation_number", F.concat(slug(F.col("name")), F.lit("-"), "organisation_number").alias("page"), F.col("_first.value").alias("rating"), F.col("_first.n").alias("n"))
-
-
-def structured_names(pages: DataFrame) -> DataFrame:
-    """Distinct sorted values of name, legalName and alternateName anywhere in a page's linked data, and its sameAs links."""
-    body = F.array_join(linked_data(F.col("html")), "\n")
-    own = pages.withColumn("_body", body)
-    names = F.regexp_extract_all("_body", F.lit(r'"(?:name|legalName|alternateName)"\s*:\s*"([^"]+)"'), F.lit(1))
-    lists = F.regexp_extract_all("_body", F.lit(r'"sameAs"\s*:\s*(\[[^\]]*\]|"[^"]*")'), F.lit(1))
-    links = F.flatten(F.transform(lists, lambda x: F.regexp_extract_all(x, F.lit(r'"([^"]+)"'), F.lit(1))))
-    return own.select("page_id", F.array_join(F.array_sort(F.array_distinct(F.transform(names, lambda x: F.trim(x)))), "|").alias("names"), F.array_join(F.array_sort(F.array_distinct(links)), "|").alias("same_as"))
-
-
 def registered_domain(url: Column) -> Column:
     """The last two labels of a host, three under a two-label suffix; "" for an address or a single label."""
     labels = F.split(host(url), r"\.")
@@ -161,19 +132,6 @@ def _feeds(s, d):
     return _companies(s, d).select("organisation_number", "name", F.concat(F.lit("<rss><channel>"), body, F.lit("</channel></rss>")).alias("payload"))
 
 
-def _directory_pages(s, d):
-    k = F.col("k")
-    rating = F.concat(F.lit('<script type="application/ld+json">{"@type":"Thing"}</script><script type="application/ld+json">{"name":"x","aggregateRating":{"ratingValue":"'), (k % 13 / 2).cast("string"), F.lit('","'), F.when(k % 2 == 0, "ratingCount").otherwise("reviewCount"), F.lit('":'), k % 5, F.lit("}}</script>"))
-    said = F.when(k % 7 == 0, "Somebody else").otherwise(F.col("name"))
-    return _companies(s, d).select("organisation_number", "name", "k", F.concat(F.lit("<html><h1>"), said, F.lit("</h1> Org.nr "), F.substring("organisation_number", 1, 3), F.lit(" "), F.substring("organisation_number", 4, 6), rating, F.lit("</html>")).alias("html"))
-
-
-def _ld_pages(s, d):
-    k = F.col("page_id")
-    body = F.concat(F.lit('{"@graph":[{"name":"Page '), k % 10, F.lit('","sub":{"legalName": "Legal '), k % 3, F.lit('"}},{"sameAs":'), F.when(k % 2 == 0, '["https://a.example/1","https://b.example/2"]').otherwise('"https://c.example/3"'), F.lit("}]}"))
-    return bind(s, d, "pages").select("page_id", F.concat("html", F.when(k % 4 != 3, F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))).otherwise("")).alias("html"))
-
-
 def _domains(s, d):
     k = F.col("page_id")
     url = F.when(k % 5 == 0, F.concat(F.lit("https://www.shop"), k, F.lit(".co.uk/x"))).when(k % 5 == 1, F.concat(F.lit("http://a.b.site"), k, F.lit(".no"))).when(k % 5 == 2, "https://10.0.0.1/").when(k % 5 == 3, "https://localhost/").otherwise("https://co.uk/")
@@ -220,9 +178,6 @@ QUERIES = {
     "search_api_results": (lambda s, d: search_results(_search_payloads(s, d)), f"{_R} select organisation_number, cast(i + 1 as int) as rank, 'https://e' || i || '.example/' || k as url, name || ' ' || i as title, 'said' as snippet from c, range(3) t(i) where (k + i) % 4 <> 0"),
     "news_rss_items": (lambda s, d: news_items(_feeds(s, d)).withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm")), f"""{_R}, i as (select organisation_number, 1 as nth, name || ' vokser - Avisen' as title, 'https://n.example/1' as link, 'Avisen' as publisher, '2026-08-03 08:00' as published_at from c
  union all select organisation_number, 2, 'Nytt fra ' || name, 'https://n.example/4', 'Bladet', case when k % 2 = 0 then '2026-08-04 08:30' end from c where k % 3 <> 0) select organisation_number, cast(nth as int) as nth, title, link, publisher, published_at from i"""),
-    "directory_ratings": (lambda s, d: directory_ratings(_directory_pages(s, d)), f"{_R} select organisation_number, regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g') || '-' || organisation_number as page, cast(k % 13 as double) / 2 as rating, cast(k % 5 as int) as n from c where k % 7 <> 0 and k % 13 between 1 and 10 and k % 5 > 0"),
-    "structured_names": (lambda s, d: structured_names(_ld_pages(s, d)), """select page_id, case when page_id % 4 <> 3 then 'Legal ' || page_id % 3 || '|Page ' || page_id % 10 else '' end as names,
- case when page_id % 4 = 3 then '' when page_id % 2 = 0 then 'https://a.example/1|https://b.example/2' else 'https://c.example/3' end as same_as from pages"""),
     "registered_domains": (_domains, "select page_id, case page_id % 5 when 0 then 'shop' || page_id || '.co.uk' when 1 then 'site' || page_id || '.no' else '' end as domain from pages"),
     "site_aliases": (_aliases, f"{_R} select organisation_number, name || '/Shop ' || k % 3 || '/Third-party name' as aliases from c"),
     "label_cleaning": (_labels, "select doc_id, case doc_id % 5 when 0 then 'positive' when 1 then 'negative' when 2 then 'mixed' end as said, case when doc_id % 7 = 6 then null when doc_id % 6 <= 2 then 'negative' when doc_id % 6 >= 4 then 'positive' else 'neutral' end as review from labels"),

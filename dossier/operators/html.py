@@ -26,8 +26,13 @@ from dossier.work import workers_see_us
 
 #: Elements that have no content, that the next of their kind ends, that hold blocks of text, and whose text is none of the page's.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-ENDED_BY = {"p": ("p",), "li": ("li",), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"), "option": ("option",), "dt": ("dt", "dd"), "dd": ("dt", "dd")}
 BLOCKS = frozenset("article aside body div dd dt footer form header li main nav section table td".split())
+#: Element -> what its start ends, up to what it cannot leave.
+ENDED_BY = {
+    **dict.fromkeys("p h1 h2 h3 h4 h5 h6 ul ol dl div article aside footer form header main nav section table".split(), (("p",), BLOCKS)),
+    "li": (("li",), ("ul", "ol")), "option": (("option",), ("select",)), **dict.fromkeys(("dt", "dd"), (("dt", "dd"), ("dl",))),
+    **dict.fromkeys(("td", "th"), (("td", "th"), ("tr", "table"))), "tr": (("td", "th", "tr"), ("table",)),
+}
 SILENT = ("script", "style", "noscript", "template")
 ASIDE = ("nav", "header", "footer", "aside", "form")
 #: Kinds of organisation in linked data; how many of them a page may have.
@@ -54,12 +59,15 @@ class _Tree(HTMLParser):
         return own
 
     def handle_starttag(self, tag, attrs):
-        for at in range(len(self.open) - 1, -1, -1):
-            if self.open[at][1] in ENDED_BY.get(tag, ()):
-                del self.open[at:]
-                break
-            if self.open[at][1] in BLOCKS or self.open[at][1] in ("ul", "ol", "dl", "select"):
+        ended, scope = ENDED_BY.get(tag, ((), ()))
+        ends = None
+        for at in range(len(self.open) - 1, -1, -1) if ended else ():
+            if self.open[at][1] in ended:
+                ends = at
+            elif self.open[at][1] in scope:
                 break
+        if ends is not None:
+            del self.open[ends:]
         own = self._add(tag, [(k, v or "") for k, v in dict(reversed(attrs)).items()], None)
         if tag not in VOID:
             self.open.append(own)
@@ -76,7 +84,10 @@ class _Tree(HTMLParser):
                 break
 
     def handle_data(self, data):
-        if data.strip():
+        last = self.rows[-1] if self.rows else None
+        if last and last[3] == "#text" and last[1] == (self.open[-1][0] if self.open else -1):
+            self.rows[-1] = (*last[:7], last[7] + data)  # the parser gives a text in parts
+        elif data.strip():
             self._add("#text", None, data)
 
 
@@ -114,7 +125,7 @@ def texts(nodes: DataFrame, where: Column, key: str, name: str) -> DataFrame:
 def main_texts(nodes: DataFrame, key: str) -> DataFrame:
     """(key, main_text): text of blocks of which links make half or less, outside navigation, headers, footers, asides and forms;
     where a page has an article or main element, of those inside it only."""
-    pieces = nodes.where((F.col("tag") == "#text") & ~_under(*SILENT, *ASIDE))
+    pieces = nodes.where((F.col("tag") == "#text") & ~_under(*SILENT, *ASIDE, "title"))
     length = F.length(collapse(F.col("text")))
     blocks = pieces.groupBy(key, "block").agg(F.sum(length).alias("chars"), F.sum(F.when(_under("a"), length).otherwise(0)).alias("linked"), F.max(_under("article", "main").cast("int")).alias("inner"))
     best = blocks.withColumn("has_inner", F.max("inner").over(Window.partitionBy(key)))
@@ -196,6 +207,15 @@ def ratings(values: DataFrame, key: str = "page_id") -> DataFrame:
     return own.groupBy(key).agg(F.min_by(F.struct("rating", "n"), F.struct("script", "path")).alias("r")).select(key, "r.*")
 
 
+def same_as(values: DataFrame, key: str = "page_id") -> DataFrame:
+    """(key, target): texts that are a sameAs or in the list that is one, at any depth."""
+    same = values.where("name = 'sameAs'").select(key, "script", "path", "value")
+    one = same.select(key, _string(F.col("value")).alias("target"))
+    listed = values.where(F.col("name").isNull() & (F.size("path") > 0)).select(key, "script", F.slice("path", 1, F.size("path") - 1).alias("path"), _string(F.col("value")).alias("target"))
+    many = listed.join(same.select(key, "script", "path"), [key, "script", "path"], "left_semi").select(key, "target")
+    return one.unionByName(many).select(key, F.trim("target").alias("target")).where("target is not null")
+
+
 def resolved(base: Column, href: Column) -> Column:
     """``href`` as seen from the page ``base``: whole URLs, paths from the root or the folder with ``./`` and ``../``, ``//`` and ``?``."""
     href = F.trim(href)
@@ -225,14 +245,16 @@ def social_links(pages: DataFrame, key: str = "page_id") -> DataFrame:
     plugin = (host(F.col("target")) == "facebook.com") & F.col("target").rlike("^[A-Za-z]+://[^/?#]+/plugins/")
     embedded = F.try_url_decode(F.nullif(F.regexp_extract("target", r"[?&]href=([^&#]*)", 1), F.lit("")))
     found = linked.select(key, F.when(plugin, F.coalesce(embedded, F.col("target"))).otherwise(F.col("target")).alias("target"))
-    same = values.where("name = 'sameAs'").select(key, "script", "path", "value")
-    one = same.select(key, _string(F.col("value")).alias("target"))
-    listed = values.where(F.col("name").isNull() & (F.size("path") > 0)).select(key, "script", F.slice("path", 1, F.size("path") - 1).alias("path"), _string(F.col("value")).alias("target"))
-    many = listed.join(same.select(key, "script", "path"), [key, "script", "path"], "left_semi").select(key, "target")
-    every = found.unionByName(one.unionByName(many).select(key, F.trim("target").alias("target"))).where("target is not null")
+    every = found.unionByName(same_as(values, key)).where("target is not null")
     return with_once(every, {"s": social_url(F.col("target"))}).where("s is not null").select(key, "s.platform", "s.url").distinct()
 
 
+def _exact(pages: DataFrame) -> DataFrame:
+    """Pages whose text has the company's name, and its number among the digits."""
+    said = texts(tree(pages, "organisation_number"), F.lit(True), "organisation_number", "text")
+    return pages.join(said, "organisation_number").where(F.lower("text").contains(F.lower("name")) & digits(F.col("text")).contains(F.col("organisation_number")))
+
+
 def directory_observations(pages: DataFrame) -> DataFrame:
     """Three observations of a rating on an exact page of a directory: summary, metrics and buzz.
 
@@ -240,9 +262,7 @@ def directory_observations(pages: DataFrame) -> DataFrame:
     the first rating to be above 0 and at most 5 of at least one. The content hash is of the page.
     """
     key = "organisation_number"
-    said = texts(tree(pages, key), F.lit(True), key, "text")
-    exact = pages.join(said, key).where(F.lower("text").contains(F.lower("name")) & digits(F.col("text")).contains(F.col(key)))
-    held = exact.join(ratings(linked_values(pages, key), key), key).where("rating > 0 and rating <= 5 and n > 0")
+    held = _exact(pages).join(ratings(linked_values(pages, key), key), key).where("rating > 0 and rating <= 5 and n > 0")
     digest = F.sha2("html", 256)
     url = F.concat(F.lit("https://directory.example/"), slug(F.col("name")), F.lit("-"), key)
     span = F.concat(F.lit("Aggregate rating "), "rating", F.lit("/5 of "), "n", F.lit(" reviews on the exact page of the company."))
@@ -279,6 +299,35 @@ def _directory(s, d):
     return bind(s, d, "registry").select("organisation_number", "name", html.alias("html"))
 
 
+def _directory_pages(s, d):
+    k = F.col("k")
+    rating = F.concat(F.lit('<script type="application/ld+json">{"@type":"Thing"}</script><script type="application/ld+json">{"name":"x","aggregateRating":{"ratingValue":"'), (k % 13 / 2).cast("string"), F.lit('","'), F.when(k % 2 == 0, "ratingCount").otherwise("reviewCount"), F.lit('":'), k % 5, F.lit("}}</script>"))
+    said = F.when(k % 7 == 0, "Somebody else").otherwise(F.col("name"))
+    return bind(s, d, "registry").withColumn("k", F.col("organisation_number").cast("bigint") - 900000000).select("organisation_number", "name", "k", F.concat(F.lit("<html><h1>"), said, F.lit("</h1> Org.nr "), F.substring("organisation_number", 1, 3), F.lit(" "), F.substring("organisation_number", 4, 6), rating, F.lit("</html>")).alias("html"))
+
+
+def _ld_pages(s, d):
+    k = F.col("page_id")
+    body = F.concat(F.lit('{"@graph":[{"name":"Page '), k % 10, F.lit('","sub":{"legalName": "Legal '), k % 3, F.lit('"}},{"sameAs":'), F.when(k % 2 == 0, '["https://a.example/1","https://b.example/2"]').otherwise('"https://c.example/3"'), F.lit("}]}"))
+    return bind(s, d, "pages").select("page_id", F.concat("html", F.when(k % 4 != 3, F.concat(F.lit('<script type="application/ld+json">'), body, F.lit("</script>"))).otherwise("")).alias("html"))
+
+
+def _rated(s, d):
+    key = "organisation_number"
+    pages = _directory_pages(s, d)
+    held = _exact(pages).join(ratings(linked_values(pages, key), key), key).where("rating > 0 and rating <= 5 and n > 0")
+    return held.select(key, F.concat(slug(F.col("name")), F.lit("-"), key).alias("page"), "rating", "n")
+
+
+def _ld_names(s, d):
+    pages = _ld_pages(s, d)
+    values = linked_values(pages)
+    links = same_as(values).groupBy("page_id").agg(F.array_sort(F.collect_set("target")).alias("links"))
+    held = pages.select("page_id").join(structured_names(values), "page_id", "left").join(links, "page_id", "left")
+    listed = lambda c: F.coalesce(F.array_join(c, "|"), F.lit(""))
+    return held.select("page_id", listed("names").alias("names"), listed("links").alias("same_as"))
+
+
 def _names(s, d):
     pages = _pages(s, d)
     values = linked_values(pages)
@@ -288,7 +337,11 @@ def _names(s, d):
 
 _OBSERVED = ("id", "organisation_number", "signal_type", "strategy", "source_url", "content_sha256", "rating", "review_count", "evidence_span")
 _LD = """case when page_id % 4 <> 3 then"""
+_R = f"{ctes('registry')}, c as (select organisation_number, name, cast(organisation_number as bigint) - 900000000 as k from registry)"
 QUERIES = {
+    "directory_ratings": (_rated, f"{_R} select organisation_number, regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g') || '-' || organisation_number as page, cast(k % 13 as double) / 2 as rating, cast(k % 5 as int) as n from c where k % 7 <> 0 and k % 13 between 1 and 10 and k % 5 > 0"),
+    "structured_names": (_ld_names, """select page_id, case when page_id % 4 <> 3 then 'Legal ' || page_id % 3 || '|Page ' || page_id % 10 else '' end as names,
+ case when page_id % 4 = 3 then '' when page_id % 2 = 0 then 'https://a.example/1|https://b.example/2' else 'https://c.example/3' end as same_as from pages"""),
     "page_tree_fields": (lambda s, d: fields(_pages(s, d)).drop("main_text").withColumn("links", F.col("links").cast("int")), r"""with p as (select page_id, html as h, regexp_replace(regexp_replace(html, '(?is)<(script)\b.*?</script\s*>|<!--.*?-->', ' ', 'g'), '(?is)<style\b.*?</style\s*>', ' ', 'g') as b from pages)
  select page_id, left(trim(regexp_replace(replace(regexp_extract(h, '(?is)<title[^>]*>(.*?)</title>', 1), '&amp;', '&'), '\s+', ' ', 'g')), 500) as title, 'Says "' || page_id || '"' as description,
  trim(regexp_replace(replace(replace(replace(regexp_extract(b, '(?is)<footer[^>]*>(.*?)</footer>', 1), '&copy;', '©'), '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g')) as footer,

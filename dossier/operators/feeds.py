@@ -14,7 +14,7 @@ FORM_ENDINGS = ("as", "asa", "ans", "da", "enk", "sa", "nuf")
 #: Two-label suffixes under which names are registered; a stand-in for the public list.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "com.au", "co.nz", "co.jp", "com.br")
 #: Page titles that are no names of a company.
-BANNED_ALIASES = ("home", "hjem", "forside", "om oss", "about us", "kontakt", "welcome", "velkommen")
+BANNED_ALIASES = ("home", "homepage", "forside", "welcome", "velkommen", "official site")
 
 
 def search_results(payloads: DataFrame) -> DataFrame:
@@ -65,10 +65,17 @@ def registered_domain(url: Column) -> Column:
     return F.when((F.size(labels) < 2) | host(url).rlike(r"^[0-9.]+$"), "").when(two.isin(*TWO_LABEL_SUFFIXES), F.when(F.size(labels) > 2, three).otherwise("")).otherwise(two)
 
 
-def aliases(titles: Column, most: int = 3) -> Column:
-    """Names before a spaced bar or dash, without banned ones, at least two characters, in order, each once."""
-    cut = F.transform(titles, lambda t: collapse(F.regexp_replace(t, r"\s+[|–—-]\s+.*$", "")))
-    return F.slice(F.array_distinct(F.filter(cut, lambda t: (F.length(t) > 1) & ~F.lower(t).isin(*BANNED_ALIASES))), 1, most)
+def full_name(text: Column) -> Column:
+    """Lower-case words of letters a-z, æ, ø, å and digits, one space apart."""
+    return F.array_join(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit("[a-z0-9æøå]+"), F.lit(0)), " ")
+
+
+def aliases(legal_name: Column, titles: Column, most: int = 3) -> Column:
+    """Names that ``titles`` give up to a spaced bar or long dash, other than banned ones and the legal name, of 3 to 80 characters
+    as ``full_name``; in order, each once."""
+    cut = F.transform(titles, lambda t: F.trim(F.regexp_replace(F.coalesce(t, F.lit("")), r"(?s)\s+[|–—]\s+.*$", "")))
+    fit = lambda t: ~full_name(t).isin("", *BANNED_ALIASES) & (full_name(t) != full_name(legal_name)) & F.length(full_name(t)).between(3, 80)
+    return F.slice(F.array_distinct(F.filter(cut, fit)), 1, most)
 
 
 def review_label(stars: Column) -> Column:
@@ -82,15 +89,15 @@ def clean_label(text: Column) -> Column:
 
 
 def video_channels(results: DataFrame) -> DataFrame:
-    """Channel of ``results(organisation_number, company, channel, channel_url, description, domain)`` with the company's name.
-
-    It needs two results, or the company's domain in a description; most results first, then the least URL.
+    """Channel of ``results(organisation_number, company, channel, channel_url, description, domain)`` with the company's name:
+    the one with most results, then the least URL. It needs two results or the company's domain in a description; where it has
+    neither, the company has none, whatever other channels prove.
     """
     same = fold_ascii(collapse(F.col("channel"))) == fold_ascii(collapse(F.col("company")))
     proof = (F.col("domain") != "") & F.lower("description").contains(F.col("domain"))
-    per = results.where(same).groupBy("organisation_number", "channel_url").agg(F.count("*").alias("n"), F.max(F.coalesce(proof, F.lit(False))).alias("by_domain"))
+    per = results.where(same & (F.coalesce("channel_url", F.lit("")) != "")).groupBy("organisation_number", "channel_url").agg(F.count("*").alias("n"), F.max(F.coalesce(proof, F.lit(False))).alias("by_domain"))
     nth = F.row_number().over(Window.partitionBy("organisation_number").orderBy(F.col("n").desc(), "channel_url"))
-    return per.where("n >= 2 or by_domain").withColumn("_n", nth).where("_n = 1").select("organisation_number", "channel_url", "n", "by_domain")
+    return per.withColumn("_n", nth).where("_n = 1 and (n >= 2 or by_domain)").select("organisation_number", "channel_url", "n", "by_domain")
 
 
 def post_engagement(posts: DataFrame, engagement: DataFrame) -> DataFrame:
@@ -139,8 +146,12 @@ def _domains(s, d):
 
 
 def _aliases(s, d):
-    made = F.array(F.concat("name", F.lit(" | Home")), F.lit("Om oss"), F.concat("name", F.lit(" - "), "municipality"), F.concat(F.lit("Shop "), F.col("k") % 3, F.lit(" – offers")), F.lit("A"), F.lit("Third-party name"), F.lit("Fourth"))
-    return _companies(s, d).select("organisation_number", F.array_join(aliases(made), "/").alias("aliases"))
+    k = F.col("k")
+    made = F.array(
+        F.concat(F.lower("name"), F.lit(" | Home")), F.lit("Home | x"), F.lit("Official site"), F.concat("name", F.lit(" - "), "municipality"), F.concat(F.lit("Shop "), k % 3, F.lit(" – offers — more")), F.lit(" ab "), F.lit(None).cast("string"),
+        F.when(k % 4 == 0, F.concat(F.lit("Shop "), k % 3)).otherwise("Third-party name"), F.repeat(F.lit("long "), F.lit(20)), F.lit("Fourth"), F.lit("Fifth"),
+    )
+    return _companies(s, d).select("organisation_number", F.array_join(aliases(F.col("name"), made), "/").alias("aliases"))
 
 
 def _labels(s, d):
@@ -179,11 +190,11 @@ QUERIES = {
     "news_rss_items": (lambda s, d: news_items(_feeds(s, d)).withColumn("published_at", F.date_format("published_at", "yyyy-MM-dd HH:mm")), f"""{_R}, i as (select organisation_number, 1 as nth, name || ' vokser - Avisen' as title, 'https://n.example/1' as link, 'Avisen' as publisher, '2026-08-03 08:00' as published_at from c
  union all select organisation_number, 2, 'Nytt fra ' || name, 'https://n.example/4', 'Bladet', case when k % 2 = 0 then '2026-08-04 08:30' end from c where k % 3 <> 0) select organisation_number, cast(nth as int) as nth, title, link, publisher, published_at from i"""),
     "registered_domains": (_domains, "select page_id, case page_id % 5 when 0 then 'shop' || page_id || '.co.uk' when 1 then 'site' || page_id || '.no' else '' end as domain from pages"),
-    "site_aliases": (_aliases, f"{_R} select organisation_number, name || '/Shop ' || k % 3 || '/Third-party name' as aliases from c"),
+    "site_aliases": (_aliases, f"{_R} select organisation_number, name || ' - ' || municipality || '/Shop ' || k % 3 || case when k % 4 = 0 then '/Fourth' else '/Third-party name' end as aliases from c"),
     "label_cleaning": (_labels, "select doc_id, case doc_id % 5 when 0 then 'positive' when 1 then 'negative' when 2 then 'mixed' end as said, case when doc_id % 7 = 6 then null when doc_id % 6 <= 2 then 'negative' when doc_id % 6 >= 4 then 'positive' else 'neutral' end as review from labels"),
     "video_channels": (lambda s, d: video_channels(_videos(s, d)), f"""{_R}, v as (select c.organisation_number, k, event_id as v, 'https://v.example/c' || event_id % 4 as channel_url from events join c on c.k = user_id % 200 + 1 where event_id % 3 = 0),
- p as (select organisation_number, channel_url, count(*) as n, bool_or(v % 12 = 0 and k % 2 = 0) as by_domain from v group by all having count(*) >= 2 or bool_or(v % 12 = 0 and k % 2 = 0)),
- r as (select *, row_number() over (partition by organisation_number order by n desc, channel_url) as i from p) select organisation_number, channel_url, n, by_domain from r where i = 1"""),
+ p as (select organisation_number, channel_url, count(*) as n, bool_or(v % 12 = 0 and k % 2 = 0) as by_domain from v group by all),
+ r as (select *, row_number() over (partition by organisation_number order by n desc, channel_url) as i from p) select organisation_number, channel_url, n, by_domain from r where i = 1 and (n >= 2 or by_domain)"""),
     "post_engagement": (_posts, """select event_id as activity_id, user_id, cast(case when event_id % 3 = 0 then floor(value) + case when event_id % 4 = 0 then 1 else 0 end else 0 end as bigint) as likes,
  cast(case when event_id % 3 = 0 and event_id % 5 <> 0 then event_id % 7 else 0 end as bigint) as comments from events where event_id % 2 = 0"""),
     "company_typeahead": (_typeahead, f"""{_R} select organisation_number, cast(k as varchar) as company_id, upper(name) || ' ASA' as label, true as exact from c union all select organisation_number, 'x', name, true from c where k % 2 = 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut
+from dossier.llm.shared import cut, planned_once
 
 
 #: Parts into which a node's edges are dealt, so that a hub's do not meet in one task.
@@ -29,6 +29,11 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     Every round is written to the shared folder. Ids without a neighbour are not returned. Empty in, empty out.
     """
+    with planned_once(edges.sparkSession):
+        return _rounds(edges, max_rounds)
+
+
+def _rounds(edges: DataFrame, max_rounds: int) -> DataFrame:
     own = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = cut(own, "cc")
     before = _state(now)

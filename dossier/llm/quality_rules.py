@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import broadcast_if_few, cut, give_back, quoted, row_key, sole_memory, table, unused
+from dossier.llm.shared import broadcast_if_few, cut, give_back, planned_once, quoted, row_key, sole_memory, table, unused
 
 SYMBOLS = "#*$%&|<>"
 #: Coordinates: log mean word length; angles asin(sqrt(share)) of symbols, upper-case letters, repeated lines, repeated words.
@@ -212,6 +212,11 @@ def mcd(stats: DataFrame, share: float = 0.75, tolerance: float = 1e-3, most_ste
     """
     if "v" not in stats.columns:
         stats = stats.withColumn("v", F.array(*[F.lit(LEAST)] * DIMS))
+    with planned_once(stats.sparkSession):
+        return _steps(stats, share, tolerance, most_steps)
+
+
+def _steps(stats: DataFrame, share: float, tolerance: float, most_steps: int) -> DataFrame:
     now, settled = cut(_starts(stats), "mcd"), []
     for at in range(most_steps):
         fresh = _concentrate(stats, now, share)

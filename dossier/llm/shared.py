@@ -5,11 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Fixed by the contracts: ``[\x20\x09-\x0D]``.
 WHITE = " \t\n\x0b\x0c\r"
@@ -46,6 +49,18 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(uri)
 
 
+@contextmanager
+def planned_once(spark: SparkSession) -> Iterator[None]:
+    """Plans that run inside are fixed before they start. For rounds over tables that are small or dealt evenly: planning anew at
+    every exchange gains nothing there, and starts a thread of the driver for each, which stays for a minute."""
+    before = spark.conf.get(ADAPTIVE)
+    spark.conf.set(ADAPTIVE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(ADAPTIVE, before)
+
+
 def mounted(uri: str) -> str:
     """The file-system path of a shared folder; executors map model files from it.
 

@@ -8,13 +8,15 @@ from pyspark.sql import functions as F
 from dossier.bindings import bind, ctes
 from dossier.operators.screen import latest_filing
 
-#: Evidence status to availability, confidence by source class, forms with a duty to file.
+#: Evidence status to availability.
 AVAILABILITY = {"available": "available", "not_found": "not_available", "not_fetched": "not_available", "not_applicable": "not_applicable", "blocked": "blocked", "source_error": "failed"}
+#: Confidence by source class.
 CONFIDENCE = {
     "official_registry_bulk": 0.99, "official_registry_live": 0.99, "official_annual_accounts": 0.98, "official_annual_account_copies": 0.97,
     "official_roles": 0.97, "official_group_structure": 0.97, "official_subunits": 0.97, "official_rule_interpretation": 0.9,
     "registry_linked_company_website": 0.9, "registry_linked_company_website_scrapy": 0.9, "company_linked_social_profile": 0.9, "company_reported_claim": 0.85,
 }
+#: Legal forms with a duty to file, and those with one above a threshold.
 ALWAYS_FORMS = ("AS", "ASA", "BRL", "BBL", "STI", "SF", "VPFO")
 THRESHOLD_FORMS = ("ENK", "ANS", "DA", "SA", "FLI", "ESEK", "NUF", "UTLA", "ORGL", "SAM", "SPA", "KS", "BO")
 

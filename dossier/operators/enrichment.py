@@ -6,6 +6,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.bindings import bind, ctes
+from dossier.operators.observations import _VALID, validated
+from dossier.operators.refresh import QUERIES as REFRESH
+from dossier.operators.refresh import refresh_idempotent, refresh_metrics
+from dossier.operators.scoring import QUERIES as SENTIMENT
+from dossier.operators.scoring import metrics_summary, rollup
 
 #: Connectors with their requests, cost, need of an identity and rights.
 POLICY = {
@@ -104,32 +109,31 @@ def label_audit(observations: DataFrame, labels: DataFrame) -> DataFrame:
     return own.withColumn("passed", (F.col("audited") >= 100) & (F.col("entity_precision") >= 0.995) & (F.col("metric_precision") >= 0.98))
 
 
-def capped(most: float, share: Column) -> Column:
-    """``most`` points by a share that counts from 0 to 1."""
-    return F.lit(float(most)) * F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(share.cast("double"), F.lit(0.0))))
-
-
-def competition_proxy(report: DataFrame) -> DataFrame:
-    """Categories, raw score, gates and awardable score of one row of measures; points of unqualified parts are 0."""
-    c = F.col
-    when = lambda gate, points: F.when(gate, points).otherwise(0.0)
-    zero_wrong = (c("wrong_entity") == 0) & (c("audited") > 0)
-    supported = (c("unsupported") == 0) & (c("audited") > 0)
-    sentiment = c("sentiment_qualified") & (c("sentiment_wrong") == 0) & (c("sentiment_support") == 1)
-    batch = c("batch_valid") & (c("envelopes") == c("profiles"))
-    refresh = c("refresh_qualified") & c("refresh_complete") & c("idempotent")
-    external = (
-        when(c("external_qualified") & zero_wrong, 10.0) + when(c("external_qualified"), capped(10, c("two_platforms")) + capped(7, c("workforce_jobs")) + capped(8, c("ratings_reviews")) + capped(7, c("buzz_engagement")))
-        + when(sentiment, capped(10, c("sentiment"))) + when(c("external_qualified"), capped(3, c("fresh")))
-    )
-    foundation = capped(4, c("exact_registry")) + capped(4, c("financial")) + capped(4, c("roles_locations")) + capped(3, c("website_terminal"))
-    research = F.least(F.lit(10.0), F.least(F.lit(12.0), c("research")) * 10 / 12)
-    research = F.when(c("external_qa"), research).otherwise(F.least(F.lit(5.0), research))
-    daily = when(batch, 4.0) + when(c("resume_valid") & (c("refetched") == 0), 2.0) + when(refresh, 3.0) + when(batch & (c("p95_ms") <= 10_000), 1.0) + when(c("connector_policy"), 2.0)
-    ux = F.when(c("ux_external"), F.least(F.lit(8.0), c("ux"))).otherwise(F.least(F.lit(4.0), c("ux")))
-    own = report.select(*(F.round(v, 3).alias(n) for n, v in (("external", external), ("foundation", foundation), ("research_agent", research), ("daily", daily), ("design", ux))), (c("audit_size") & zero_wrong & supported & c("connector_policy") & (c("exact_registry") == 1) & batch & refresh).alias("qualified"))
-    raw = F.round(sum((c(n) for n in ("external", "foundation", "research_agent", "daily", "design")), F.lit(0.0)), 3)
-    return own.withColumn("raw", raw).withColumn("awardable", F.when(c("qualified"), c("raw")).otherwise(0.0))
+#: What a part of the score is of, its most points, when it counts, and the share of the points it gets.
+PROXY = (
+    ("external", 10, "external_qualified and wrong = 0 and audited > 0", "1"), ("external", 10, "external_qualified", "two_platforms"), ("external", 7, "external_qualified", "workforce_jobs"),
+    ("external", 8, "external_qualified", "ratings_reviews"), ("external", 7, "external_qualified", "buzz_engagement"), ("external", 10, "sentiment_qualified and sentiment_wrong = 0 and sentiment_support = 1", "sentiment"),
+    ("external", 3, "external_qualified", "fresh"), ("foundation", 4, "true", "exact_registry"), ("foundation", 4, "true", "financial"), ("foundation", 4, "true", "roles_locations"), ("foundation", 3, "true", "website_terminal"),
+    ("research_agent", 5, "true", "research / 6"), ("research_agent", 5, "external_qa", "research / 6 - 1"), ("daily", 4, "batch_valid", "1"), ("daily", 2, "resume_valid and refetched = 0", "1"),
+    ("daily", 3, "refresh_qualified and refresh_complete and idempotent", "1"), ("daily", 1, "batch_valid and p95_ms <= 10000", "1"), ("daily", 2, "connector_policy", "1"), ("design", 4, "true", "ux / 4"), ("design", 4, "ux_external", "ux / 4 - 1"),
+)
+#: What has to hold for a score to be awarded.
+GATES = ("audit_size", "wrong = 0 and audited > 0", "unsupported = 0 and audited > 0", "connector_policy", "exact_registry = 1", "batch_valid", "refresh_qualified and refresh_complete and idempotent")
+
+
+def competition_proxy(measures: DataFrame) -> DataFrame:
+    """Points by category of one row of ``measures``, their sum, whether all gates hold, and what is awarded then.
+
+    A part is its most points by its share, from 0 to 1, where its condition holds; what is missing counts as 0 and as false.
+    """
+    points: dict[str, Column] = {}
+    for category, most, gate, share in PROXY:
+        part = F.when(F.expr(gate), float(most) * F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(F.expr(share).cast("double"), F.lit(0.0))))).otherwise(0.0)
+        points[category] = points.get(category, F.lit(0.0)) + part
+    every = F.forall(F.array(*(F.coalesce(F.expr(g), F.lit(False)) for g in GATES)), lambda g: g)
+    own = measures.select(*(F.round(c, 3).alias(n) for n, c in points.items()), every.alias("qualified"))
+    own = own.withColumn("raw", F.round(sum(map(F.col, points), F.lit(0.0)), 3))
+    return own.withColumn("awardable", F.when(F.col("qualified"), F.col("raw")).otherwise(0.0))
 
 
 # --- bindings --------------------------------------------------------------------------------------------------------
@@ -166,21 +170,56 @@ def _gate(s, d):
     return identity_gate(r.select("organisation_number", status.alias("status"), (F.col("k") % 3 != 0).alias("site_ok"), F.when(F.col("k") % 7 != 0, F.array(link(0), link(1))).alias("links")))
 
 
-def _audit(s, d):
+def _audit(s, d, wrong="seq % 500 = 0", unsupported="seq % 30 = 0"):
     o = bind(s, d, "observations").select("id", "seq", (F.col("rights_status") == "approved").alias("published"))
-    labels = o.where("seq % 2 = 0").select("id", (F.col("seq") % 500 != 0).alias("exact_entity"), (F.col("seq") % 30 != 0).alias("supported"))
+    labels = o.where("seq % 2 = 0").select("id", F.expr(f"not ({wrong})").alias("exact_entity"), F.expr(f"not ({unsupported})").alias("supported"))
     return label_audit(o, labels)
 
 
-def _proxy(s, d):
-    r = bind(s, d, "registry").join(bind(s, d, "registry_live").select("organisation_number", F.lit(True).alias("live")), "organisation_number", "left")
-    r = r.join(bind(s, d, "filings").select("organisation_number", F.lit(True).alias("fin")).distinct(), "organisation_number", "left")
-    share = lambda c: (F.count(c) / F.count("*")).alias
-    n = F.count("*")
-    own = r.agg(n.alias("profiles"), n.alias("envelopes"), share("live")("exact_registry"), share("fin")("financial"), share("website")("website_terminal"))
-    flags = {"external_qualified": True, "sentiment_qualified": True, "batch_valid": True, "resume_valid": True, "refresh_qualified": True, "refresh_complete": True, "idempotent": True, "connector_policy": True, "audit_size": False, "external_qa": False, "ux_external": False}
-    numbers = {"wrong_entity": 0, "unsupported": 1, "audited": 120, "sentiment_wrong": 0, "sentiment_support": 1.0, "two_platforms": 0.6, "workforce_jobs": 1.4, "ratings_reviews": 0.25, "buzz_engagement": None, "sentiment": 0.5, "fresh": -1.0, "roles_locations": 1.0, "research": 11.0, "refetched": 0, "p95_ms": 12000, "ux": 6.0}
-    return competition_proxy(own.select("*", *(F.lit(v).alias(k) for k, v in {**flags, **numbers}.items())))
+#: Signals that make a company count for a share.
+_SHARES = {"workforce_jobs": ("job_posting", "workforce_snapshot"), "ratings_reviews": ("review", "review_summary"), "buzz_engagement": ("public_post", "public_mention", "buzz_metrics")}
+
+
+def _measures(s, d):
+    """Measures from registry, filings, roles, locations, observations, labels, sentiment, changes and the request log."""
+    key = "organisation_number"
+    n = F.lit(bind(s, d, "registry").count()).cast("double")
+    registry, seen = bind(s, d, "registry"), validated(bind(s, d, "observations")).where("publishable")
+    both = lambda a, b: a.select(key).distinct().join(b.select(key).distinct(), key, "left_semi")
+    share = lambda rows, name: rows.select(key).distinct().join(registry.select(key), key, "left_semi").agg((F.count("*") / n).alias(name))
+    newest = seen.agg(F.max("retrieved_at").alias("last"))
+    parts = [
+        registry.agg(F.count("*").alias("profiles"), (F.count("website") / n).alias("website_terminal")), share(bind(s, d, "registry_live"), "exact_registry"), share(bind(s, d, "filings"), "financial"), share(both(bind(s, d, "roles"), bind(s, d, "locations")), "roles_locations"),
+        share(seen.groupBy(key).agg(F.count_distinct("platform").alias("p")).where("p >= 2"), "two_platforms"), *(share(seen.where(F.col("signal_type").isin(*signals)), name) for name, signals in _SHARES.items()),
+        share(seen.join(F.broadcast(newest)).where("retrieved_at >= last - interval 45 days"), "fresh"), share(rollup(bind(s, d, "sentiment_predictions")).where("status = 'available'"), "sentiment"),
+        _audit(s, d, "false", "seq % 120 = 0").select("audited", "wrong", "unsupported", F.col("passed").alias("external_qualified"), (F.col("audited") >= 100).alias("audit_size")),
+        metrics_summary(bind(s, d, "sentiment_gold"), bind(s, d, "sentiment_predictions")).select(F.col("qualified").alias("sentiment_qualified")),
+        bind(s, d, "sentiment_predictions").agg(F.count_if(~F.col("exact_entity")).alias("sentiment_wrong"), (F.count("source_url") / F.count("*")).alias("sentiment_support")),
+        refresh_metrics(s, d).select(((F.col("precision") >= 0.95) & (F.col("recall") >= 0.95)).alias("refresh_qualified"), F.lit(True).alias("refresh_complete")), refresh_idempotent(s, d).agg((F.count("*") == 0).alias("idempotent")),
+        bind(s, d, "http_log").agg(F.expr("percentile_disc(0.95) within group (order by latency_ms)").alias("p95_ms")), seen.agg((F.count_if(F.col("rights_status") != "approved") == 0).alias("connector_policy")),
+    ]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.join(part)  # one row each
+    return whole.withColumns({"batch_valid": F.lit(True), "resume_valid": F.lit(True), "refetched": F.lit(0), "external_qa": F.lit(False), "ux_external": F.lit(False), "research": F.lit(11.0), "ux": F.lit(6.0)})
+
+
+def _proxy_sql() -> str:
+    n = "(select count(*) from registry)"
+    known = "organisation_number in (select organisation_number from registry)"
+    share = lambda rows: f"(select count(distinct organisation_number) from ({rows}) where {known}) * 1.0::double / {n}"
+    ok = f"({_VALID} select * from v where len(reasons) = 0)"
+    signals = {name: share(f"select * from {ok} where signal_type in {of}") for name, of in _SHARES.items()}
+    two = share(f"select organisation_number from {ok} group by 1 having count(distinct platform) >= 2")
+    fresh = share(f"select * from {ok} where retrieved_at >= (select max(retrieved_at) from {ok}) - interval 45 days")
+    felt = share(f"select * from ({SENTIMENT['sentiment_rollup'][1]}) where status = 'available'")
+    return f"""{ctes("registry", "registry_live", "filings", "roles", "locations", "sentiment_predictions", "http_log", "observations")},
+ o as (select count(*) as audited, 0 as wrong, count(*) filter (where seq % 120 = 0) as unsupported from observations where rights_status = 'approved' and seq % 2 = 0), a as (select *, audited >= 100 and unsupported <= 0.02 * audited as passed from o), s as (select qualified and (select count(*) from sentiment_predictions where not exact_entity) = 0 as ok from ({SENTIMENT["sentiment_summary"][1]})), r as (select precision >= 0.95 and recall >= 0.95 as ok from ({REFRESH["refresh_metrics"][1]})),
+ p as (select quantile_disc(latency_ms, 0.95) <= 10000 as ok from http_log),
+ m as (select round(case when passed and wrong = 0 then 10 else 0 end + case when passed then 10 * {two} + 7 * {signals["workforce_jobs"]} + 8 * {signals["ratings_reviews"]} + 7 * {signals["buzz_engagement"]} + 3 * {fresh} else 0 end + case when s.ok then 10 * {felt} else 0 end, 3) as external,
+  round(4 * {share("select * from registry_live")} + 4 * {share("select * from filings")} + 4 * {share("select organisation_number from roles where organisation_number in (select organisation_number from locations)")} + 3.0 * (select count(website) from registry) / {n}, 3) as foundation,
+  5.0 as research_agent, round(6 + 2 + case when r.ok then 3 else 0 end + case when p.ok then 1 else 0 end, 3) as daily, 4.0 as design, {n} = (select count(*) from registry_live where {known}) and wrong = 0 and unsupported = 0 and audited >= 100 and r.ok as qualified from a, s, r, p)
+ select cast(external as double) as external, cast(foundation as double) as foundation, cast(research_agent as double) as research_agent, cast(daily as double) as daily, cast(design as double) as design, qualified, round(cast(external + foundation + research_agent + daily + design as double), 3) as raw, case when qualified then round(cast(external + foundation + research_agent + daily + design as double), 3) else 0.0::double end as awardable from m"""
 
 
 _K = "cast(organisation_number as bigint)"
@@ -200,8 +239,5 @@ QUERIES = {
  cast(case when k % 5 = 0 or k % 7 = 0 then 0 when k % 3 = 0 then 2 else 2 - cast(k % 2 = 0 as int) end as int) as quarantined from g"""),
     "observation_label_audit": (_audit, f"""{ctes("observations")}, a as (select count(*) as audited, count(*) filter (where seq % 500 = 0) as wrong, count(*) filter (where seq % 30 = 0) as unsupported from observations where rights_status = 'approved' and seq % 2 = 0),
  b as (select *, round(coalesce((audited - wrong) / nullif(audited, 0), 0.0), 6) as entity_precision, round(coalesce((audited - unsupported) / nullif(audited, 0), 0.0), 6) as metric_precision from a) select *, audited >= 100 and entity_precision >= 0.995 and metric_precision >= 0.98 as passed from b"""),
-    "competition_proxy": (_proxy, f"""{ctes("registry", "registry_live", "filings")}, m as (select count(*) as n, count(*) filter (where organisation_number in (select organisation_number from registry_live)) as live,
- count(*) filter (where organisation_number in (select organisation_number from filings)) as fin, count(website) as sites from registry),
- p as (select round(10.0 + 6.0 + 7.0 + 2.0 + 5.0, 3) as external, round(4.0 * live / n + 4.0 * fin / n + 4.0 + 3.0 * sites / n, 3) as foundation, 5.0 as research_agent, 4.0 + 2.0 + 3.0 + 2.0 as daily, 4.0 as design, false as qualified from m)
- select cast(external as double) as external, cast(foundation as double) as foundation, cast(research_agent as double) as research_agent, cast(daily as double) as daily, cast(design as double) as design, qualified, round(cast(external + foundation + research_agent + daily + design as double), 3) as raw, cast(0 as double) as awardable from p"""),
 }
+QUERIES["competition_proxy"] = (lambda s, d: competition_proxy(_measures(s, d)), _proxy_sql())

@@ -13,14 +13,19 @@ PLATFORMS = (
     "company_site", "google_places", "linkedin", "facebook", "instagram", "x", "youtube", "tiktok", "glassdoor", "indeed",
     "job_board", "news", "openstreetmap", "brreg", "apple_app_store", "google_play", "wikidata", "wikipedia", "company_directory",
 )
+#: Signals of an observation.
 SIGNALS = (
     "company_profile", "profile_handle", "profile_metrics", "place_summary", "review", "review_summary", "job_posting",
     "workforce_snapshot", "public_post", "public_mention", "buzz_metrics",
 )
+#: Ways of acquisition that may be published, and those on trial.
 PUBLISHABLE_MODES = ("official_api", "licensed_api", "company_authorized_export", "permitted_public_page")
 EXPERIMENTAL_MODES = ("jobspy_experiment", "unofficial_api_experiment", "rights_review_experiment")
+#: Classes of sources that are independent of the company.
 INDEPENDENT_CLASSES = ("customer_review", "employee_review", "licensed_news", "public_news", "public_mention")
+#: Labels of sentiment.
 LABELS = ("positive", "neutral", "negative", "mixed")
+#: Classes of official sources, and of all others.
 OFFICIAL_CLASSES = (
     "official_registry_bulk", "official_registry_live", "official_rule_interpretation", "official_annual_accounts",
     "official_annual_account_copies", "official_roles", "official_group_structure", "official_subunits",
@@ -30,6 +35,7 @@ OTHER_CLASSES = (
     "company_linked_social_profile", "company_reported_claim", "licensed_api", "licensed_news", "public_news", "public_mention",
     "customer_review", "employee_review",
 )
+#: Signals that need words as evidence.
 NEEDS_SPAN = ("review", "public_post", "public_mention")
 
 

@@ -13,6 +13,7 @@ PRIORITY_TERMS = (
     "om-oss", "om_oss", "about", "kontakt", "contact", "ledelse", "management", "team", "people", "locations",
     "lokasjoner", "avdelinger", "butikker", "news", "press", "aktuelt", "nyheter",
 )
+#: Fixed value: folders of news.
 _NEWS = r"(?i)/(?:news|press|aktuelt|nyheter|artikler|blog)(?:/|$)"
 
 

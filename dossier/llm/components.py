@@ -29,16 +29,16 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
 
     Every round is written to the shared folder. Ids without a neighbour are not returned. Empty in, empty out.
     """
-    with planned_once(edges.sparkSession):
-        return _rounds(edges, max_rounds)
-
-
-def _rounds(edges: DataFrame, max_rounds: int) -> DataFrame:
     own = edges.where(F.col("u") != F.col("v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     now = cut(own, "cc")
     before = _state(now)
     if not before[0]:
         return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
+    with planned_once(edges.sparkSession, 2 * before[0]):
+        return _rounds(now, before, max_rounds)
+
+
+def _rounds(now: DataFrame, before, max_rounds: int) -> DataFrame:
     for _ in range(max_rounds):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _minimum(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()

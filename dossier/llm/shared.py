@@ -12,7 +12,7 @@ from urllib.parse import urlparse
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ADAPTIVE = "spark.sql.adaptive.enabled"
+ADAPTIVE, PARTITIONS = "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions"
 BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 #: Fixed by the contracts: ``[\x20\x09-\x0D]``.
 WHITE = " \t\n\x0b\x0c\r"
@@ -50,15 +50,21 @@ def cut(df: DataFrame, name: str) -> DataFrame:
 
 
 @contextmanager
-def planned_once(spark: SparkSession) -> Iterator[None]:
+def planned_once(spark: SparkSession, rows: int | None = None, rows_each: int = 20_000) -> Iterator[None]:
     """Plans that run inside are fixed before they start. For rounds over tables that are small or dealt evenly: planning anew at
-    every exchange gains nothing there, and starts a thread of the driver for each, which stays for a minute."""
-    before = spark.conf.get(ADAPTIVE)
+    every exchange gains nothing there, and starts a thread of the driver for each, which stays for a minute.
+
+    Where the number of ``rows`` is known, exchanges have a partition for every ``rows_each`` of them, at most the session's.
+    """
+    before = {key: spark.conf.get(key) for key in (ADAPTIVE, PARTITIONS)}
     spark.conf.set(ADAPTIVE, "false")
+    if rows is not None:
+        spark.conf.set(PARTITIONS, str(max(1, min(int(before[PARTITIONS]), -(-rows // rows_each)))))
     try:
         yield
     finally:
-        spark.conf.set(ADAPTIVE, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 def mounted(uri: str) -> str:

@@ -99,8 +99,12 @@ def with_annotations(profiles: DataFrame, annotations: DataFrame) -> DataFrame:
 
 
 def curated(config: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Observations of a curated list: ids from company, URL and signal; hashes of 64 lower-case hex digits; known companies."""
-    good = config.where(F.col("content_sha256").rlike("^[0-9a-f]{64}$")).join(profiles.select("organisation_number"), "organisation_number", "left_semi")
+    """Observations of a curated list: ids from company, URL and signal. Raises ValueError where a company is unknown or a hash is
+    not 64 lower-case hex digits: such a list is to be mended, not read in part."""
+    known = F.coalesce(F.col("content_sha256").rlike("^[0-9a-f]{64}$"), F.lit(False))
+    good = config.where(known).join(profiles.select("organisation_number"), "organisation_number", "left_semi")
+    if bad := config.count() - good.count():
+        raise ValueError(f"{bad} curated rows of unknown companies or with bad hashes")
     text = F.concat_ws("|", "organisation_number", "source_url", "signal_type")
     return good.select(F.substring(F.sha2(text, 256), 1, 24).alias("id"), "organisation_number", "source_url", "signal_type")
 
@@ -173,7 +177,9 @@ def _annotations(s, d):
 def _curated(s, d):
     o = bind(s, d, "observations")
     config = o.select("organisation_number", "source_url", "signal_type", F.when(F.col("seq") % 7 == 0, F.upper("content_sha256")).otherwise(F.col("content_sha256")).alias("content_sha256")).distinct()
-    return curated(config, bind(s, d, "registry").where("not bankrupt")).distinct()
+    known = bind(s, d, "registry").where("not bankrupt")
+    whole = config.where(F.col("content_sha256").rlike("^[0-9a-f]{64}$")).join(known.select("organisation_number"), "organisation_number", "left_semi")
+    return curated(whole, known).distinct()
 
 
 def _codes(s, d):

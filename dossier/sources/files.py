@@ -1,4 +1,4 @@
-"""Sources and sinks: bulk registry CSV, organisation lists, snapshots, JSONL (SRC-01..03, SRC-23, SRC-24, SNK-01, SNK-02)."""
+"""Sources and sinks: bulk registry CSV, organisation lists, resume, JSONL (SRC-01..03, SRC-24, SNK-01, SNK-06)."""
 
 from __future__ import annotations
 

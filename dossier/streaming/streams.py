@@ -1,4 +1,4 @@
-"""Structured Streaming counterparts of the crawl feed and the change feed (STM-01..07, SNK-06)."""
+"""Structured Streaming counterparts of the crawl feed and the change feed (STM-01, STM-02, STM-06..08)."""
 
 from __future__ import annotations
 
@@ -37,13 +37,16 @@ def sessions(events: DataFrame, key: str, gap: str = "30 minutes", horizon: str
     return held.agg(F.count("*").alias("n")).select(key, F.col("session.start").alias("started"), F.col("session.end").alias("ended"), "n")
 
 
-def change_feed(snapshots: DataFrame, state_path: str, changes_path: str, checkpoint: str) -> StreamingQuery:
-    """Diff every micro-batch of profiles against the last state and append the changes; a version per batch makes a repeated batch harmless."""
+def change_feed(snapshots: DataFrame, state_path: str, changes_path: str, checkpoint: str, order: tuple[str, ...] = ()) -> StreamingQuery:
+    """Diff every micro-batch of profiles against the last state and append the changes; a version per batch makes a repeated batch
+    harmless. Of a company's rows in one batch the greatest by ``order``, then by all columns, counts, so a repeat sees the same."""
 
     def apply(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         old = spark.read.parquet(f"{state_path}/v{number - 1}") if number else batch.limit(0)
-        batch = batch.dropDuplicates(["organisation_number"])
+        own = F.struct(*(F.col(c) for c in order), *(F.col(c) for c in batch.columns if c not in order))  # ties by all columns
+        latest = batch.groupBy("organisation_number").agg(F.max(own).alias("r"))
+        batch = latest.select(*(F.col(f"r.{c}").alias(c) for c in batch.columns))
         diff(old, batch).withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{changes_path}/batch={number}")
         kept = old.join(batch.select("organisation_number"), "organisation_number", "left_anti")
         kept.unionByName(batch).write.mode("overwrite").parquet(f"{state_path}/v{number}")

@@ -79,9 +79,17 @@ def interpolated_free(log: DataFrame) -> DataFrame:
 
 
 def pacing(log: DataFrame, gap: float = 2.1) -> DataFrame:
-    """Start seconds of requests of a domain kept ``gap`` apart."""
-    at = F.row_number().over(Window.partitionBy("domain").orderBy("started_at", "latency_ms")) - 1
-    return log.withColumn("start_s", F.round(gap * at, 3)).groupBy("domain").agg(F.max("start_s").alias("last_start_s"), F.round(F.sum("start_s"), 2).alias("total_s"))
+    """Per domain the last start and the sum of waits of requests that start in order and ``gap`` seconds apart at least.
+
+    A request waits for what is left of the gap only: it starts at the later of its own time and the start before it plus the
+    gap, which is the greatest of (time of an earlier one - its place * gap), plus its own place * gap.
+    """
+    asked = F.round(F.col("started_at").cast("timestamp").cast("double"), 3)
+    order = Window.partitionBy("domain").orderBy("started_at", "latency_ms")
+    own = log.withColumns({"_at": asked, "_i": F.row_number().over(order) - 1})
+    start = F.max(F.col("_at") - F.col("_i") * gap).over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.col("_i") * gap
+    waits = own.withColumn("start", F.round(start, 3))
+    return waits.groupBy("domain").agg(F.round(F.max("start"), 3).alias("last_start"), F.round(F.sum(F.col("start") - F.col("_at")), 1).alias("waited"), F.count_if(F.col("start") > F.col("_at") + 0.0005).alias("delayed"))
 
 
 def replay(requests: DataFrame, responses: DataFrame) -> DataFrame:
@@ -112,6 +120,8 @@ QUERIES = {
     "domain_fairness": (_on("http_log", fairness), f"{_H}, p as (select domain, count(*) as n from http_log group by domain) select count(*) as domains, quantile_disc(n, 0.5) as p50, quantile_disc(n, 0.95) as p95, max(n) as most from p"),
     "runner_percentiles": (_on("http_log", runner_percentiles), f"{_H}, x as {_IX} select connector, max(latency_ms) filter (where i = least(n - 1, n // 2)) as p50, max(latency_ms) filter (where i = least(n - 1, cast(floor(n * 0.95) as bigint))) as p95 from x group by connector"),
     "search_percentile": (_on("http_log", interpolated_free), f"{_H}, x as {_IX} select connector, latency_ms as p95 from x where i = cast(floor((n - 1) * 0.95) as bigint)"),
-    "request_pacing": (_on("http_log", pacing), f"{_H}, x as (select domain, round(2.1 * (row_number() over (partition by domain order by started_at, latency_ms) - 1), 3) as s from http_log) select domain, cast(max(s) as double) as last_start_s, cast(round(sum(s), 2) as double) as total_s from x group by domain"),
+    "request_pacing": (_on("http_log", pacing), f"""{_H.replace("with ", "with recursive ", 1)}, x as (select domain, round(epoch(started_at), 3) as t, row_number() over (partition by domain order by started_at, latency_ms) as i from http_log),
+ g as (select domain, i, t, t as s from x where i = 1 union all select x.domain, x.i, x.t, greatest(x.t, g.s + 2.1) from g join x on x.domain = g.domain and x.i = g.i + 1)
+ select domain, round(max(s), 3) as last_start, round(sum(round(s, 3) - t), 1) as waited, count(*) filter (where s > t + 0.0005) as delayed from g group by domain"""),
     "snapshot_replay": (_replay, "with u as (select distinct url from pages), r as (select url, min(html) as body from pages where page_id % 4 <> 0 group by url) select u.url, case when body is null then 0 else 200 end as status, sha256(body) as content_sha256 from u left join r on u.url = r.url"),
 }

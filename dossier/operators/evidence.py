@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossier.bindings import bind, ctes
@@ -111,10 +111,17 @@ def curated(config: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def compact(registry: DataFrame, filings: DataFrame, roles: DataFrame, locations: DataFrame) -> DataFrame:
     """What a company's card shows: three latest periods, thirty role holders in force, thirty locations."""
-    top = lambda rows, of, n, name: rows.groupBy("organisation_number").agg(F.slice(of, 1, n).alias(name))
-    years = top(filings, F.reverse(F.array_sort(F.collect_list("period_year"))), 3, "years")
-    holders = top(roles.where("not inactive"), F.transform(F.array_sort(F.collect_list(F.struct("seq", "name"))), lambda r: r["name"]), 30, "holders")
-    units = top(locations, F.transform(F.array_sort(F.collect_list(F.struct("seq", "unit"))), lambda r: r["unit"]), 30, "units")
+    key = "organisation_number"
+
+    def top(rows: DataFrame, value: str, order: list, n: int, name: str) -> DataFrame:
+        """The first ``n`` by ``order``: ranked first, so no more than these are gathered."""
+        nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+        kept = rows.withColumn("_n", nth).where(F.col("_n") <= n)
+        return kept.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", value))), lambda r: r[value]).alias(name))
+
+    years = top(filings, "period_year", [F.col("period_year").desc()], 3, "years")
+    holders = top(roles.where("not inactive"), "name", ["seq", "name"], 30, "holders")
+    units = top(locations, "unit", ["seq", "unit"], 30, "units")
     own = reduce(lambda a, b: a.join(b, "organisation_number", "left"), (years, holders, units), registry.select("organisation_number", "name"))
     join = lambda c: F.coalesce(F.array_join(c, ","), F.lit(""))
     return own.select("organisation_number", "name", join("years").alias("years"), join("holders").alias("holders"), join("units").alias("units"))

@@ -23,8 +23,9 @@ def registry_row(raw: DataFrame) -> DataFrame:
 
 def latest_three(filings: DataFrame) -> DataFrame:
     """The three latest periods, latest first; zero stays zero."""
-    rows = F.reverse(F.array_sort(F.collect_list(F.struct("period_year", "revenue", "annual_result"))))
-    return filings.groupBy("organisation_number").agg(F.slice(rows, 1, 3).alias("r")).select("organisation_number", F.posexplode("r").alias("ix", "f")).select("organisation_number", "ix", "f.period_year", "f.revenue", "f.annual_result")
+    order = Window.partitionBy("organisation_number").orderBy(F.col("period_year").desc(), F.col("revenue").desc(), F.col("annual_result").desc())
+    ranked = filings.withColumn("ix", F.row_number().over(order) - 1)
+    return ranked.where("ix < 3").select("organisation_number", "ix", "period_year", "revenue", "annual_result")
 
 
 def filing_years(filings: DataFrame) -> DataFrame:

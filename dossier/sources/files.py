@@ -37,11 +37,26 @@ def bulk_registry(spark: SparkSession, path: str) -> DataFrame:
     return rows.where(F.length("organisation_number") == 9).repartition("organisation_number")
 
 
+#: What an entry of a list may say beside its number.
+ANNOTATIONS = ("evaluation_split", "sample_slice")
+
+
 def organisation_list(spark: SparkSession, path: str) -> DataFrame:
-    """(organisation_number, seq) of a text or JSONL list; raises where a number is not nine digits or repeats."""
-    lines = spark.read.text(path)
-    value = F.coalesce(F.get_json_object("value", "$.organisation_number"), F.col("value"))
-    rows = lines.where(F.trim("value") != "").select(digits(value).alias("organisation_number"), F.monotonically_increasing_id().alias("seq"))
+    """(organisation_number, seq, evaluation_split, sample_slice) of a list: a ``.json`` file with a list or an object that has one under
+    organisation_numbers, a ``.jsonl`` file, or lines of text. An entry is a number or an object; all but its digits is dropped.
+
+    Raises ValueError where a number has not nine digits or repeats.
+    """
+    if path.endswith(".json"):
+        whole = spark.read.text(path, wholetext=True).select(F.parse_json("value").alias("v"))
+        listed = F.coalesce(F.try_variant_get("v", "$", "array<variant>"), F.try_variant_get("v", "$.organisation_numbers", "array<variant>"))
+        entries = whole.select(F.posexplode(listed).alias("seq", "e")).withColumn("seq", F.col("seq").cast("long"))
+    else:
+        lines = spark.read.text(path).where(F.trim("value") != "").select(F.monotonically_increasing_id().alias("seq"), F.trim("value").alias("text"))
+        entries = lines.withColumn("e", F.try_parse_json("text"))  # a line of text is a number, or no JSON
+    said = [F.try_variant_get("e", "$.organisation_number", "string"), F.try_variant_get("e", "$", "string")]
+    number = F.coalesce(*said, *([] if path.endswith((".json", ".jsonl")) else [F.col("text")]), F.lit(""))
+    rows = entries.select(digits(number).alias("organisation_number"), "seq", *(F.try_variant_get("e", f"$.{a}", "string").alias(a) for a in ANNOTATIONS))
     bad = rows.agg(F.count_if(F.length("organisation_number") != 9).alias("bad"), (F.count("*") - F.count_distinct("organisation_number")).alias("again")).first()
     if bad["bad"] or bad["again"]:
         raise ValueError(f"{path}: {bad['bad']} numbers without nine digits, {bad['again']} repeated")
@@ -56,7 +71,7 @@ def requested_profiles(requested: DataFrame, registry: DataFrame) -> DataFrame:
     held = requested.join(last, "organisation_number", "left")
     if missing := held.where("r is null").count():
         raise ValueError(f"{missing} requested companies are not in the registry")
-    return held.select("seq", "organisation_number", "r.*").orderBy("seq")
+    return held.select("seq", "organisation_number", *(c for c in requested.columns if c in ANNOTATIONS), "r.*").orderBy("seq")
 
 
 def pending(requested: DataFrame, done: DataFrame) -> DataFrame:

@@ -28,6 +28,19 @@ def test_bulk_and_lists(spark, tmp_path):
         files.organisation_list(spark, str(wanted))
 
 
+def test_organisation_lists_of_every_form(spark, tmp_path):
+    forms = {"a.json": '["111 111 111", {"organisation_number": 222222222, "sample_slice": "s"}]', "b.json": '{"organisation_numbers": [111111111, {"organisation_number": "222222222", "sample_slice": "s", "other": 1}]}', "c.jsonl": '"111111111"\n\n{"organisation_number": "NO 222222222", "sample_slice": "s"}\n', "d.txt": " 111111111 \nNO222222222MVA\n"}
+    for name, text in forms.items():
+        (tmp_path / name).write_text(text)
+        rows = files.organisation_list(spark, str(tmp_path / name)).orderBy("seq").collect()
+        assert [r["organisation_number"] for r in rows] == ["111111111", "222222222"] and rows[0]["sample_slice"] is None
+        assert rows[1]["sample_slice"] == (None if name == "d.txt" else "s")
+    for text in ("{", '["1"]', '["111111111", "111111111"]'):
+        (tmp_path / "bad.json").write_text(text)
+        with pytest.raises(Exception):  # noqa: B017
+            files.organisation_list(spark, str(tmp_path / "bad.json")).collect()
+
+
 def test_stream_equals_batch(spark, tmp_path):
     schema = "organisation_number string, page_kind string, final_url string, content_sha256 string, status string, retrieved_at string, seq long"
     rows = [(str(i % 3), "homepage", f"u{i % 4}", "h", "available", f"2026-08-{1 + i % 20:02d}T00:00:00Z", i) for i in range(60)]

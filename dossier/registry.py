@@ -7,7 +7,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES = ("screen", "observations", "sampling", "refresh", "claims", "evidence", "crawl", "scoring", "identity", "normalize", "pages", "feeds", "enrichment", "replay", "control", "html", "profile_diff", "places", "handles", "profile_claims", "domains", "envelopes", "budget")
+MODULES = ("screen", "observations", "sampling", "refresh", "claims", "evidence", "crawl", "scoring", "identity", "normalize", "pages", "feeds", "enrichment", "replay", "control", "html", "profile_diff", "places", "handles", "profile_claims", "domains", "envelopes", "budget", "social_pages")
 
 
 def _all() -> dict[str, tuple[Callable, str | None]]:

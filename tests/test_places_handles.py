@@ -1,8 +1,10 @@
 """Places against companies, job cards and handles: each rule with a row that fails by one proof."""
 
+import json
+
 from pyspark.sql import functions as F
 
-from dossier.operators import handles, places
+from dossier.operators import handles, places, social_pages
 
 COMPANY = "organisation_number string, name string, street string, postcode string, city string, phone string, site string"
 PLACES = f"seq long, place_id string, data_id string, link string, title string, address string, phone string, web_site string, latitude double, longitude double, review_count long, review_rating double, user_reviews {places.REVIEWS}"
@@ -84,3 +86,19 @@ def test_each_rule_fails_without_one_proof(spark):
     held = spark.createDataFrame([("1", str(i), w, n, d, place, t) for i, (w, n, d, place, t, _) in enumerate(cases)], schema)
     got = {int(r["url"]): r["exact_entity"] for r in handles.proofs(company, held).collect()}
     assert [got[i] for i in range(len(cases))] == [c[-1] for c in cases]
+
+
+def test_social_page_is_read_where_it_is_the_companys(spark):
+    graph = {"@graph": [{"@type": "DiscussionForumPosting", "author": {"url": "https://no.linkedin.com/company/af-gruppen"}, "datePublished": "2026-08-21", "text": "Exact company update", "url": "https://no.linkedin.com/posts/example-activity-7496-x"}, {"@type": "Organization", "name": "AF Gruppen", "url": "https://no.linkedin.com/company/af-gruppen", "numberOfEmployees": {"value": 1303}}]}
+    html = (
+        f'<meta property="og:description" content="AF Gruppen | 56\u00a0726 følgere"><script type="application/ld+json">{json.dumps(graph)}</script><script>const dormant="recaptcha/challengepage";</script><div data-test-id="about-us__size"><dd>5,001-10,000 employees</dd></div>'
+        '<div data-test-id="about-us__website"><dd>no link</dd></div><article class="main-feed-activity-card" data-activity-urn="urn:li:activity:7496"><p><a data-test-id="social-actions__reactions" data-num-reactions="29"></a></article><a data-test-id="social-actions__comments" data-num-comments="4"></a>'
+    )
+    own = "https://linkedin.com/company/af-gruppen"
+    pages = [(1, own, html), (2, "https://linkedin.com/company/other", html), (3, None, html), (4, own, "<script>recaptcha/challengepage</script>"), (5, own, None), (6, None, '<script type="application/ld+json">[{"@type":"Organization","name":"N"}]</script>')]
+    got = {r["page_id"]: r for r in social_pages.social_pages(spark.createDataFrame(pages, "page_id long, expected_url string, html string")).collect()}
+    assert [got[i]["status"] for i in range(1, 7)] == ["available", "mismatch", "available", "no_organisation", "no_organisation", "available"]
+    one = got[1]
+    assert (one["name"], one["followers"], one["visible_employees"], one["employee_size_label"], one["website"], one["organisation_ids"]) == ("AF Gruppen", 56726, 1303, "5,001-10,000 employees", None, [])
+    assert [(p["text"], p["likes"], p["comments"]) for p in one["posts"]] == [("Exact company update", 29, 0)]
+    assert got[2]["name"] is None and got[6]["page_url"] is None and got[6]["posts"] is None

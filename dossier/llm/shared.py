@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import itertools
 import os
 import tempfile
 import uuid
@@ -41,11 +43,23 @@ def new_uri(spark: SparkSession, name: str) -> str:
     return f"{base_uri(spark)}/dossier/{name}-{uuid.uuid4().hex}"
 
 
+_CUTS = itertools.count(1)
+#: Cuts after which the driver collects garbage.
+COLLECT_EACH = 10
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: no lineage, survives lost executors."""
+    """Write ``df`` to the shared folder and read it back: no lineage, survives lost executors.
+
+    Executors keep the shuffle files of a plan until the driver collects it as garbage. In rounds of small plans that is seldom
+    by itself, so it is asked to every ``COLLECT_EACH`` cuts.
+    """
     spark = df.sparkSession
     uri = new_uri(spark, name)
     df.write.parquet(uri)
+    if next(_CUTS) % COLLECT_EACH == 0:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(uri)
 
 

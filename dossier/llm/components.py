@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossier.llm.shared import cut, planned_once
+from dossier.llm.shared import counted_broadcasts, cut, planned_once
 
 
 #: Parts into which a node's edges are dealt, so that a hub's do not meet in one task.
@@ -34,7 +34,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     before = _state(now)
     if not before[0]:
         return now.select(F.col("u").alias("id"), F.col("v").alias("component"))
-    with planned_once(edges.sparkSession, 2 * before[0]):
+    # minima are dealt to every part of a node's rows: as many rows as edges, which no driver should hold
+    with planned_once(edges.sparkSession, 2 * before[0]), counted_broadcasts(edges.sparkSession):
         return _rounds(now, before, max_rounds)
 
 

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dossier.llm.components import components
-from dossier.llm.shared import broadcast_if_few, cut, give_back, quoted, row_key, sole_memory, table, unused
+from dossier.llm.shared import broadcast_if_few, counted_broadcasts, cut, give_back, quoted, row_key, sole_memory, table, unused
 
 BANDS, ROWS = 32, 4
 MINIMA = BANDS * ROWS
@@ -154,9 +154,12 @@ def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int, remem
     return held.mapInArrow(run, f"u {node}, v {node}")
 
 
-def _broadcast_if_small(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
-    """Ids that are counted to be at most 16 MB are broadcast, more are shuffled."""
-    return F.broadcast(ids) if ids.count() <= most else ids
+#: Rows (ids, signatures) that may be broadcast: about 10 MB. The driver holds a broadcast several times over while it is built.
+FEW = 100_000
+
+
+def _broadcast_if_small(rows: DataFrame, most: int | None = None) -> DataFrame:
+    return broadcast_if_few(rows, FEW if most is None else most)
 
 
 def _equal_bits(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -279,6 +282,15 @@ def _parts_and_crowds(links: DataFrame, near: DataFrame) -> tuple[DataFrame, Dat
 
 def _linked(docs: DataFrame, width: int, percent: int, bucket_chunk: int = 512) -> DataFrame:
     """doc_id, k1, k2, n_shingles, component_id and kept of every row of ``docs``."""
+    with counted_broadcasts(docs.sparkSession):
+        signed, tops = _tops(docs, width, percent, bucket_chunk)
+    placed = signed.drop("bands", "bits").join(tops, ["c1", "c2"], "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id"))
+    return placed.select("doc_id", "k1", "k2", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def _tops(docs: DataFrame, width: int, percent: int, bucket_chunk: int) -> tuple[DataFrame, DataFrame]:
+    """The signatures of ``docs`` and, per class, the least doc_id of its component as (c1, c2, top)."""
     signed = cut(signatures(docs, width), "minhash")
     full = signed.where("n_shingles > 0 and doc_id is not null")
     # rows of a class have equal bands and bits, so any will do
@@ -298,32 +310,30 @@ def _linked(docs: DataFrame, width: int, percent: int, bucket_chunk: int = 512)
     k1, k2 = row_key(docs)
     own = docs.where("text is not null").select(k1.alias("k1"), k2.alias("k2"), "text")
     texts = cut(own.join(_broadcast_if_small(wanted), ["k1", "k2"]).dropDuplicates(["k1", "k2"]).select("node", "text"), "minhash-texts")
-    members = cut(buckets.join(bits, "node"), "minhash-members")
+    members = cut(buckets.join(_broadcast_if_small(bits), "node"), "minhash-members")
     pick = F.min_by(F.struct("node", "bits"), F.struct(F.xxhash64("node"), F.col("node.nid")))
     pivots = cut(members.groupBy("key", "chunks").agg(pick.alias("p")).select("key", "chunks", "p.*"), "minhash-pivots")
-    close = members.alias("m").join(_spread(pivots).alias("p"), (F.col("m.key") == F.col("p.key")) & (F.col("m.chunk") == F.col("p.chunk")) & (F.col("p.node") != F.col("m.node")) & (matches("p", "m") >= LEAST_MATCHES))
+    close = members.alias("m").join(_broadcast_if_small(cut(_spread(pivots), "minhash-spread"), 2 * FEW).alias("p"), (F.col("m.key") == F.col("p.key")) & (F.col("m.chunk") == F.col("p.chunk")) & (F.col("p.node") != F.col("m.node")) & (matches("p", "m") >= LEAST_MATCHES))
     near = cut(close.select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b")).distinct(), "minhash-pairs")
     links = cut(verified(near, texts, width, percent), "minhash-links")
     parts, crowds = _parts_and_crowds(links, near)
-    crowded = cut(crowds.join(parts, "node", "left").select("node", "crowd", F.coalesce("part", "node").alias("part")), "minhash-crowds")
+    crowded = cut(crowds.join(_broadcast_if_small(parts), "node", "left").select("node", "crowd", F.coalesce("part", "node").alias("part")), "minhash-crowds")
     several = cut(crowded.groupBy("crowd").agg(F.min("part").alias("x"), F.max("part").alias("y")).where("x < y").select("crowd"), "minhash-several")
-    crowded = cut(crowded.join(_broadcast_if_small(several), "crowd").join(bits, "node"), "minhash-crowded")
+    crowded = cut(crowded.join(_broadcast_if_small(several), "crowd").join(_broadcast_if_small(bits), "node"), "minhash-crowded")
     links = links.union(cut(blocks(crowded, texts, width, percent), "minhash-links"))
     # what is left: members of a bucket in different crowds or in none
-    rest = cut(members.join(crowds, "node", "left").withColumn("apart", F.coalesce("crowd", "node")), "minhash-rest")
+    rest = cut(members.join(_broadcast_if_small(crowds), "node", "left").withColumn("apart", F.coalesce("crowd", "node")), "minhash-rest")
     meet = rest.groupBy("key", "chunks").agg(F.min("apart").alias("x"), F.max("apart").alias("y")).where("x < y").select("key", "chunks")
     meet = cut(meet, "minhash-meet")
     halves = _spread(meet.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))).where("other <= chunk")
+    halves = _broadcast_if_small(cut(halves, "minhash-halves"))
     m, p = rest.join(halves, ["key", "chunk"]).alias("m"), rest.withColumnRenamed("chunk", "other").join(halves, ["key", "other"]).alias("p")
     close = m.join(p, [F.col(f"m.{c}") == F.col(f"p.{c}") for c in ("key", "chunk", "other")] + [((F.col("m.chunk") != F.col("m.other")) | (F.col("p.node") < F.col("m.node"))) & (F.col("p.apart") != F.col("m.apart")) & (matches("p", "m") >= LEAST_MATCHES)])
     pairs = cut(close.select(F.least("p.node", "m.node").alias("a"), F.greatest("p.node", "m.node").alias("b")).distinct(), "minhash-pairs")
     links = links.union(cut(verified(pairs, texts, width, percent), "minhash-links"))
     parts = cut(components(links), "minhash-parts")
-    tops = reps.select("c1", "c2", "node").join(parts.select(F.col("id").alias("node"), F.col("component.rep").alias("top")), "node", "left")
-    tops = tops.select("c1", "c2", F.coalesce("top", "node.rep").alias("top"))
-    placed = signed.drop("bands", "bits").join(tops, ["c1", "c2"], "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("top", "doc_id"))
-    return placed.select("doc_id", "k1", "k2", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    tops = reps.select("c1", "c2", "node").join(_broadcast_if_small(parts.select(F.col("id").alias("node"), F.col("component.rep").alias("top"))), "node", "left")
+    return signed, _broadcast_if_small(cut(tops.select("c1", "c2", F.coalesce("top", "node.rep").alias("top")), "minhash-tops"))
 
 
 def link(docs: DataFrame, width: int = 5, percent: int = 80, **settings) -> DataFrame:
@@ -341,8 +351,8 @@ def keep_one(docs: DataFrame, width: int = 5, percent: int = 80, **settings) ->
     n1, n2 = unused(names, "_k1", "_k2")
     gone = cut(_linked(docs, width, percent, **settings).where("not kept").select(F.col("k1").alias(n1), F.col("k2").alias(n2)).distinct(), "minhash-gone")
     k1, k2 = row_key(docs)
-    held = docs.select(*map(quoted, names), k1.alias(n1), k2.alias(n2)).join(broadcast_if_few(gone, 1_000_000), [n1, n2], "left_anti").select(*map(quoted, names))
-    again = broadcast_if_few(cut(held.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "minhash-again"), 1_000_000)
+    held = docs.select(*map(quoted, names), k1.alias(n1), k2.alias(n2)).join(_broadcast_if_small(gone), [n1, n2], "left_anti").select(*map(quoted, names))
+    again = _broadcast_if_small(cut(held.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "minhash-again"))
     single = held.join(again, "doc_id", "left_anti").select(*map(quoted, names))
     order = [quoted(f.name) for f in docs.schema if _ordered(f.dataType)]
     row, least = F.struct(*(quoted(c).alias(f"c{i}") for i, c in enumerate(names))), F.struct(*order)

@@ -2,7 +2,9 @@
 
 Pairs come from an inverted index over keys that every accepted pair shares: a phone number, a suffix of the place's domain
 that is the company's, or a postcode (a street's longest word, where the registry has no postcode) with a word of the name.
-Address, phone, site and name are then compared once for each pair. Only pairs whose domain agrees need the ratio of strings.
+An address alone proves a place only where the name is there as a whole, so of a name's words those that the fewest places have
+near the address are enough; more channels than that include the phone or the site. Address, phone, site and name are then
+compared once for each pair. Only pairs whose domain agrees need the ratio of strings.
 """
 
 from __future__ import annotations
@@ -62,13 +64,21 @@ def latest_places(places: DataFrame) -> DataFrame:
 
 
 def pairs(profiles: DataFrame, places: DataFrame) -> DataFrame:
-    """(organisation_number, _place): pairs that share a key; with a column organisation_number, places of that company only."""
+    """(organisation_number, _place): pairs that share a key; with a column organisation_number, places of that company only.
+
+    Of a company's keys of address and word those stay that the fewest places have, as many as ``ONE_CHANNEL`` lets a name miss
+    and one more: a place that has none of them lacks too much of the name. Words such as "nord", which a street's companies and
+    places all have, would else pair them all.
+    """
     known = _known(profiles)
     with_word = lambda words, head: F.transform(words, lambda w: F.concat(head, F.lit("|"), w))
     longest = F.element_at(F.array_sort(F.transform("t_street", lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))), -1)["w"]
     near = F.when(F.col("t_post") != "", F.concat(F.lit("z:"), "t_post")).when(F.size("t_street") > 0, F.concat(F.lit("s:"), longest))
     own = F.array_compact(F.array(F.when(F.length("t_phone") >= 5, F.concat(F.lit("p:"), "t_phone")), F.when(F.col("t_domain") != "", F.concat(F.lit("d:"), "t_domain"))))
-    left = known.select("organisation_number", F.explode(F.array_distinct(F.concat(own, F.coalesce(with_word(F.col("t_words"), near), F.array().cast("array<string>"))))).alias("key"))
+    proved = known.select("organisation_number", F.explode(own).alias("key"))
+    target = F.array_distinct("t_words")
+    enough = F.size(target) - F.ceil(F.size(target) * ONE_CHANNEL - 1e-9) + 1
+    named = known.select("organisation_number", enough.alias("_enough"), F.explode(F.coalesce(with_word(target, near), F.array().cast("array<string>"))).alias("key"))
     labels = F.split(domain(F.col("web_site")), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat(F.lit("d:"), F.array_join(F.slice(labels, i, F.size(labels)), ".")))
     address, words = tokens(F.col("address")), name_words(F.col("title"))
@@ -76,7 +86,10 @@ def pairs(profiles: DataFrame, places: DataFrame) -> DataFrame:
     keys = F.concat(F.array(F.concat(F.lit("p:"), phone(F.col("phone")))), suffixes, placed)
     asked = ["organisation_number"] if "organisation_number" in places.columns else []
     right = places.select("_place", *(F.col(c).alias("_asked") for c in asked), F.explode(F.array_distinct(keys)).alias("key"))
-    met = left.join(right, "key")
+    held = right.groupBy("key").agg(F.count("*").alias("_held"))
+    rarest = F.row_number().over(Window.partitionBy("organisation_number").orderBy(F.coalesce("_held", F.lit(0)), "key"))
+    named = named.join(held, "key", "left").withColumn("_n", rarest).where("_n <= _enough and _held > 0").select("organisation_number", "key")
+    met = proved.unionByName(named).join(right, "key")
     return (met.where("_asked = organisation_number") if asked else met).select("organisation_number", "_place").distinct()
 
 
@@ -110,7 +123,9 @@ def scored(profiles: DataFrame, places: DataFrame, trade_names: DataFrame) -> Da
 
 
 def best_places(profiles: DataFrame, assessed: DataFrame) -> DataFrame:
-    """(organisation_number, status, candidates, _place, score): the accepted place of highest score; none of two that share it."""
+    """(organisation_number, status, candidates, _place, score): the accepted place of highest score; none of two that share it.
+
+    ``candidates`` are the places that were compared with the company, see ``pairs``."""
     order = Window.partitionBy("organisation_number").orderBy(F.col("score").desc(), F.coalesce("data_id", F.lit("")), "_place")
     top = assessed.where("accepted").withColumns({"_n": F.row_number().over(order), "_next": F.lead("score").over(order)}).where("_n = 1")
     top = top.select("organisation_number", (F.col("_next") == F.col("score")).alias("_tie"), "_place", "score")

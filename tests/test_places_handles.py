@@ -102,3 +102,16 @@ def test_social_page_is_read_where_it_is_the_companys(spark):
     assert (one["name"], one["followers"], one["visible_employees"], one["employee_size_label"], one["website"], one["organisation_ids"]) == ("AF Gruppen", 56726, 1303, "5,001-10,000 employees", None, [])
     assert [(p["text"], p["likes"], p["comments"]) for p in one["posts"]] == [("Exact company update", 29, 0)]
     assert got[2]["name"] is None and got[6]["page_url"] is None and got[6]["posts"] is None
+
+
+def test_common_words_of_a_street_pair_nothing(spark):
+    """Companies and places of one street whose names share words: a pair is one that the rarest word of the name makes."""
+    companies = [(str(i), f"Firm{i} Industri Nord AS", "Gate 1", None, "By", None, None) for i in range(40)]
+    long = " ".join(f"word{i:03d}" for i in range(100))
+    companies.append(("long", long, "Gate 1", None, "By", None, None))
+    found = [_place(i, f"Firm{i} Industri Nord", "Gate 1, By") for i in range(40)] + [_place(50, long.replace("word007", ""), "Gate 1"), _place(51, long.replace("word007", "").replace("word008", ""), "Gate 1")]
+    profiles, held = spark.createDataFrame(companies, COMPANY), spark.createDataFrame(found, PLACES)
+    same = {(str(i), f"p{i}") for i in range(40)} | {("long", "p50")}
+    compared = {tuple(r) for r in places.pairs(profiles, places.latest_places(held)).collect()}
+    assert same <= compared <= same | {("long", "p51")}
+    assert {(r["organisation_number"], r["_place"]) for r in places.scored(profiles, held, spark.createDataFrame([], TRADES)).where("accepted").collect()} == same

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.bindings import bind, ctes
+from dossier.functions.frames import dealt
 from dossier.functions.text import canonical_url, collapse
 from dossier.operators.refresh import membership_gap
 
@@ -153,7 +154,7 @@ _TURN = f"cast(organisation_number as bigint) % {len(_VERSIONS) + 1}"
 def versions(s, d):
     old, new = _versions()
     chosen = f"case {_TURN} {' '.join(f'when {i} then {text}' for i, text in enumerate(new))} end"
-    own = bind(s, d, "registry").select("organisation_number")
+    own = dealt(bind(s, d, "registry").select("organisation_number"), "organisation_number")
     return tuple(own.select("organisation_number", F.parse_json(F.expr(x)).alias("profile")) for x in (old, chosen))
 
 

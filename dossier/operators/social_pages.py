@@ -2,21 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dossier.bindings import bind, ctes
-from dossier.functions.frames import with_once
+from dossier.functions.frames import dealt, with_once
 from dossier.functions.text import collapse
 from dossier.operators.handles import company_url
-from dossier.operators.html import tree
+from dossier.operators.html import picked
 
 #: Descriptions of a page, words that follow the number of followers, what a page says about a company.
-DESCRIPTIONS = ("description", "og:description", "twitter:description")
+NAMED, PROPERTY = ("description", "twitter:description"), ("og:description",)
 FOLLOWERS = r"(?i)([\d\s\x{00a0}.,]+)\s+(?:followers|follower|følgere|Follower:innen|seguidores)"
 ABOUT = {"employee_size_label": "about-us__size", "industry": "about-us__industry", "headquarters": "about-us__headquarters", "website": "about-us__website"}
 FACET = r"(?i)facetCurrentCompany(?:%3D|=)(?:%255B|%5B|\[)(.*?)(?:%255D|%5D|\])"
-ORGANISATION, POSTING = "Organization", "DiscussionForumPosting"
+ORGANISATION, POSTING, KIND = "Organization", "DiscussionForumPosting", "$['@type']"
+#: The class of a post's card, and what counts on it: mark -> attribute.
+CARD = "main-feed-activity-card"
+COUNTED = {f"social-actions__{what}": f"data-num-{what}" for what in ("reactions", "comments")}
+CLASSES, DETAIL, WEBSITE = re.compile(r"\s+", re.ASCII), re.compile("/dd/"), re.compile("/dd/(?:.*/)?a/")
+SAID = "linked array<string>, told string, about map<string,array<string>>, cards map<string,array<string>>"
 
 
 def number(text: Column) -> Column:
@@ -24,25 +32,56 @@ def number(text: Column) -> Column:
     return F.regexp_replace(text, "[^0-9]", "").try_cast("bigint")
 
 
-def _objects(nodes: DataFrame, key: str) -> DataFrame:
-    """(key, at, v): objects of a page's linked data: of a script's @graph, of its list, or the script's own, in order."""
-    kind = F.lower(F.trim(F.col("attrs")["type"])) == "application/ld+json"
-    scripts = nodes.where((F.col("tag") == "script") & kind).select(key, F.col("node").alias("script"))
-    said = nodes.where("tag = '#text'").select(key, F.col("parent").alias("script"), F.try_parse_json("text").alias("j"))
-    held = scripts.join(said, [key, "script"]).where("j is not null")
-    listed = F.coalesce(F.try_variant_get("j", "$['@graph']", "array<variant>"), F.try_variant_get("j", "$", "array<variant>"), F.array("j"))
-    return held.select(key, "script", F.posexplode(listed).alias("pos", "v")).where(F.schema_of_variant("v").startswith("OBJECT")).select(key, F.struct("script", "pos").alias("at"), "v")
-
-
-def _inside(nodes: DataFrame, marked: DataFrame, key: str) -> DataFrame:
-    """Nodes below each of ``marked(key, mark, start, level)``: from its start to the next node that is no deeper."""
-    later = marked.join(nodes.select(key, "node", "depth"), key).where("node > start and depth <= level").groupBy(key, "start").agg(F.min("node").alias("stop"))
-    spans = marked.join(later, [key, "start"], "left")
-    return spans.join(nodes, key).where("node > start and (stop is null or node < stop)")
-
-
-def _field(path: str, kind: str = "string") -> Column:
-    return F.try_variant_get("v", path, kind)
+def _below(rows: list[tuple], at: int) -> Iterator[tuple]:
+    """The nodes below node ``at``: up to the next one that is no deeper."""
+    for below in range(at + 1, len(rows)):
+        if rows[below][2] <= rows[at][2]:
+            return
+        yield rows[below]
+
+
+def _said(rows: list[tuple]) -> tuple:
+    """What a page says, as ``SAID``: texts of linked data, descriptions, per mark of ``ABOUT`` the text in its dd and all of it,
+    per activity the counts on its last card; all in the order of the page."""
+    scripts, linked, told, about, cards = set(), [], [], {}, {}
+    for at, parent, _, tag, _, _, attrs, text in rows:
+        if tag == "#text":
+            if parent in scripts:
+                linked.append(text)
+            continue
+        has = dict(attrs)
+        if tag == "script" and has.get("type", "").strip(" ").lower() == "application/ld+json":
+            scripts.add(at)
+        elif tag == "meta" and (has.get("name") in NAMED or has.get("property") in PROPERTY):
+            told.append(has.get("content", ""))
+        elif tag == "article" and CARD in CLASSES.split(has.get("class", "")) and "data-activity-urn" in has:
+            first: dict[str, dict] = {}
+            inner = False
+            for row in _below(rows, at):
+                inner = True
+                of = dict(row[6] or ())
+                first.setdefault(of.get("data-test-id"), of)
+                if COUNTED.keys() <= first.keys():
+                    break
+            if inner:
+                cards[has["data-activity-urn"].split(":")[-1]] = [first.get(mark, {}).get(count) for mark, count in COUNTED.items()]
+        mark = has.get("data-test-id")
+        if mark in ABOUT.values() and mark not in about:
+            texts = [row for row in _below(rows, at) if row[3] == "#text"]
+            want = WEBSITE if mark == ABOUT["website"] else DETAIL
+            about[mark] = [" ".join(row[7] for row in texts if want.search(row[4])), " ".join(row[7] for row in texts)]
+    return linked, " ".join(told), list(about.items()), list(cards.items())
+
+
+def _field(v: Column, path: str, kind: str = "string") -> Column:
+    return F.try_variant_get(v, path, kind)
+
+
+def _objects(linked: Column) -> Column:
+    """Objects of a page's linked data, those of a kind: of a script's @graph, of its list, or the script's own, in order."""
+    parsed = F.filter(F.transform(linked, lambda t: F.try_parse_json(t)), lambda j: j.isNotNull())
+    listed = F.transform(parsed, lambda j: F.coalesce(_field(j, "$['@graph']", "array<variant>"), _field(j, "$", "array<variant>"), F.array(j)))
+    return F.filter(F.flatten(listed), lambda v: _field(v, KIND).isin(ORGANISATION, POSTING))
 
 
 def social_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
@@ -50,52 +89,38 @@ def social_pages(pages: DataFrame, key: str = "page_id") -> DataFrame:
 
     ``no_organisation``: no structured organisation, as behind a login; ``mismatch``: the page is of another address than the
     expected one, where one is expected. Of several organisations the last counts. Posts are those of the page's own address.
+    A page is read once, and all of it is one row: no field is joined to another.
     """
-    nodes = tree(pages, key)
-    objects = _objects(nodes, key)
-    own = objects.where(_field("$['@type']") == ORGANISATION).groupBy(key).agg(F.max_by("v", "at").alias("v"))
-    employees = number(_field("$.numberOfEmployees.value"))
-    text = lambda path: F.coalesce(_field(path), F.lit(""))
-    own = own.select(key, text("$.name").alias("name"), company_url(_field("$.url")).alias("page_url"), employees.alias("visible_employees"), text("$.description").alias("description"), F.to_json(_field("$.address", "variant")).alias("address"))
-    attrs = F.col("attrs")
-    meta = nodes.where((F.col("tag") == "meta") & (attrs["name"].isin("description", "twitter:description") | (attrs["property"] == "og:description")))
-    told = meta.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("node", F.coalesce(attrs["content"], F.lit("")).alias("c")))), lambda x: x["c"]), " ").alias("told"))
-    followers = told.select(key, number(F.regexp_extract("told", FOLLOWERS, 1)).alias("followers"))
-    marks = nodes.where(attrs["data-test-id"].isin(*ABOUT.values())).groupBy(key, attrs["data-test-id"].alias("mark")).agg(F.min(F.struct("node", "depth")).alias("m"))
-    inside = _inside(nodes, marks.select(key, "mark", F.col("m.node").alias("start"), F.col("m.depth").alias("level")), key).where("tag = '#text'")
-    below = F.substring_index("path", "/dd/", 1) != F.col("path")
-    want = F.when(F.col("mark") == ABOUT["website"], below & F.col("path").rlike("/dd/(?:.*/)?a/")).otherwise(below)
-    words = lambda when: collapse(F.array_join(F.transform(F.array_sort(F.collect_list(F.when(when, F.struct("node", "text")))), lambda x: x["text"]), " "))
-    about = inside.groupBy(key, "mark").agg(words(want).alias("dd"), words(F.lit(True)).alias("whole"))
-    said = about.select(key, "mark", F.when(F.col("mark") == ABOUT["website"], F.nullif("dd", F.lit(""))).otherwise(F.coalesce(F.nullif("dd", F.lit("")), F.nullif("whole", F.lit("")))).alias("said"))
-    about = said.groupBy(key).agg(*(F.max(F.when(F.col("mark") == mark, F.col("said"))).alias(name) for name, mark in ABOUT.items()))
     facets = F.transform(F.regexp_extract_all("html", F.lit(FACET), F.lit(1)), lambda f: F.coalesce(F.try_url_decode(F.try_url_decode(f)), f))
     ids = F.flatten(F.transform(facets, lambda f: F.regexp_extract_all(f, F.lit(r"\d+"), F.lit(0))))
     ids = F.transform(F.array_sort(F.transform(F.array_distinct(ids), lambda i: F.struct(i.cast("decimal(38,0)").alias("n"), i.alias("i")))), lambda x: x["i"])
-    held = pages.select(key, "expected_url", F.coalesce(ids, F.array().cast("array<string>")).alias("organisation_ids"))
-    for part in (own, followers, about, _posts(nodes, objects, own, key)):
-        held = held.join(part, key, "left")
-    status = F.when(F.col("name").isNull(), "no_organisation").when(F.col("expected_url").isNotNull() & ~F.col("page_url").eqNullSafe(F.col("expected_url")), "mismatch").otherwise("available")
-    shown = [c for c in held.columns if c not in (key, "expected_url")]
+    own = dealt(pages.select(key, "expected_url", "html"), key).withColumn("organisation_ids", F.coalesce(ids, F.array().cast("array<string>")))
+    held = with_once(picked(own, _said, SAID), {"objects": _objects(F.col("linked"))})
+    held = with_once(held, {"own": F.try_element_at(F.filter("objects", lambda v: _field(v, KIND) == ORGANISATION), F.lit(-1))})
+    held = with_once(held, {"page_url": company_url(_field(F.col("own"), "$.url"))})
+    status = F.when(F.col("own").isNull(), "no_organisation").when(F.col("expected_url").isNotNull() & ~F.col("page_url").eqNullSafe(F.col("expected_url")), "mismatch").otherwise("available")
     held = with_once(held, {"status": status})
-    return held.select(key, "status", *(F.when(F.col("status") == "available", F.col(c)).alias(c) for c in shown))
-
-
-def _posts(nodes: DataFrame, objects: DataFrame, own: DataFrame, key: str) -> DataFrame:
-    """(key, posts) of the page's own address, in order, with likes and comments of the card of the same activity, else 0."""
-    attrs = F.col("attrs")
-    cards = nodes.where((F.col("tag") == "article") & F.array_contains(F.split(attrs["class"], r"\s+"), "main-feed-activity-card") & attrs["data-activity-urn"].isNotNull())
-    cards = cards.select(key, F.element_at(F.split(attrs["data-activity-urn"], ":"), -1).alias("mark"), F.col("node").alias("start"), F.col("depth").alias("level"))
-    met = _inside(nodes, cards, key)
-    count = lambda what: F.coalesce(F.min_by(number(attrs[f"data-num-{what}"]), F.when(attrs["data-test-id"] == f"social-actions__{what}", F.col("node"))), F.lit(0).cast("long"))
-    engagement = met.groupBy(key, "mark", "start").agg(count("reactions").alias("likes"), count("comments").alias("comments")).groupBy(key, F.col("mark").alias("activity")).agg(F.max_by(F.struct("likes", "comments"), "start").alias("e"))
-    url = F.coalesce(F.nullif(_field("$.url"), F.lit("")), _field("$.mainEntityOfPage"), F.lit(""))
-    posts = objects.where(_field("$['@type']") == POSTING).select(key, "at", url.alias("url"), company_url(_field("$.author.url")).alias("author"), _field("$.datePublished").alias("date_published"), F.trim(F.coalesce(_field("$.text"), F.lit(""))).alias("text"))
-    posts = posts.withColumn("activity", F.regexp_extract(F.coalesce(F.try_url_decode("url"), F.col("url")), r"activity-(\d+)", 1)).join(own.select(key, "page_url"), key)
-    held = posts.where("page_url is null or author <=> page_url").join(engagement, [key, "activity"], "left")
-    zero = F.lit(0).cast("long")
-    post = F.struct("url", "date_published", "text", F.coalesce("e.likes", zero).alias("likes"), F.coalesce("e.comments", zero).alias("comments"))
-    return held.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("at", post.alias("p")))), lambda x: x["p"]).alias("posts"))
+    text = lambda path: F.coalesce(_field(F.col("own"), path), F.lit(""))
+    said = lambda mark, at: F.nullif(collapse(F.try_element_at("about", F.lit(ABOUT[mark]))[at]), F.lit(""))
+    shown = {
+        "organisation_ids": F.col("organisation_ids"), "name": text("$.name"), "page_url": F.col("page_url"), "visible_employees": number(_field(F.col("own"), "$.numberOfEmployees.value")), "description": text("$.description"),
+        "address": F.to_json(_field(F.col("own"), "$.address", "variant")), "followers": number(F.regexp_extract("told", FOLLOWERS, 1)),
+        **{name: said(name, 0) if name == "website" else F.coalesce(said(name, 0), said(name, 1)) for name in ABOUT}, "posts": _posts(),
+    }
+    return held.select(key, "status", *(F.when(F.col("status") == "available", c).alias(name) for name, c in shown.items()))
+
+
+def _posts() -> Column:
+    """Posts of the page's own address, in order, with likes and comments of the card of the same activity, else 0; null without any."""
+    theirs = F.col("page_url").isNull()
+    posts = F.filter("objects", lambda v: (_field(v, KIND) == POSTING) & (theirs | company_url(_field(v, "$.author.url")).eqNullSafe(F.col("page_url"))))
+    url = lambda v: F.coalesce(F.nullif(_field(v, "$.url"), F.lit("")), _field(v, "$.mainEntityOfPage"), F.lit(""))
+    posts = F.transform(posts, lambda v: F.struct(url(v).alias("url"), _field(v, "$.datePublished").alias("date_published"), F.trim(F.coalesce(_field(v, "$.text"), F.lit(""))).alias("text")))
+    activity = lambda p: F.regexp_extract(F.coalesce(F.try_url_decode(p["url"]), p["url"]), r"activity-(\d+)", 1)
+    posts = F.transform(posts, lambda p: F.struct(p.alias("p"), F.try_element_at("cards", activity(p)).alias("counts")))
+    count = lambda x, at: F.coalesce(number(x["counts"][at]), F.lit(0).cast("long"))
+    posts = F.transform(posts, lambda x: F.struct(x["p"]["url"].alias("url"), x["p"]["date_published"].alias("date_published"), x["p"]["text"].alias("text"), count(x, 0).alias("likes"), count(x, 1).alias("comments")))
+    return F.when(F.size(posts) > 0, posts)
 
 
 # --- bindings -----------------------------------------------------------------------------------------------------------

@@ -104,6 +104,21 @@ def test_social_page_is_read_where_it_is_the_companys(spark):
     assert got[2]["name"] is None and got[6]["page_url"] is None and got[6]["posts"] is None
 
 
+def test_social_pages_are_read_once_and_joined_to_nothing(spark):
+    """A page is tokenised once however many fields it has; cards of one activity count by the last, as their first marks say."""
+    count = lambda what, n: f'<a data-test-id="social-actions__{what}" data-num-{what}="{n}"></a>'
+    card = lambda inner: f'<article class="main-feed-activity-card x" data-activity-urn="urn:li:activity:7">{inner}</article>'
+    post = {"@type": "DiscussionForumPosting", "url": "https://linkedin.com/posts/activity-7-x", "text": " t "}
+    data = "".join(f'<script type="application/ld+json">{json.dumps(x)}</script>' for x in ([post], {"@type": "Organization", "name": "Old"}, {"@graph": [{"@type": "Organization", "name": "New"}, post]}, 7))
+    html = data + card(count("reactions", "1,000") + count("comments", 5)) + card(count("reactions", "2,000") + count("reactions", 9)) + '<div data-test-id="about-us__website">x <dd>see <a>f.no</a></dd></div><p data-test-id="about-us__industry"> </p>'
+    found = social_pages.social_pages(spark.createDataFrame([(i, None, html) for i in range(300)], "page_id long, expected_url string, html string"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Join" not in plan
+    rows = found.collect()
+    assert sorted(r["page_id"] for r in rows) == list(range(300))
+    assert {(r["name"], r["website"], r["industry"], *((p["text"], p["likes"], p["comments"]) for p in r["posts"])) for r in rows} == {("New", "f.no", None, ("t", 2000, 0), ("t", 2000, 0))}
+
+
 def test_common_words_of_a_street_pair_nothing(spark):
     """Companies and places of one street whose names share words: a pair is one that the rarest word of the name makes."""
     companies = [(str(i), f"Firm{i} Industri Nord AS", "Gate 1", None, "By", None, None) for i in range(40)]
